@@ -1,0 +1,47 @@
+"""Finding and setting apart the few groups that hold very many rows.
+
+The lists made here are only hints on which of two exact ways a group takes, so
+a list that misses a group costs time, never rows. They are bounded (the
+largest `MAX_LISTED` groups), which is what makes broadcasting them safe."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_ROWS = 1_000_000
+MAX_LISTED = 10_000
+
+
+def null_safe(pairs: Sequence[tuple[Column, Column]]) -> Column:
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in pairs])
+
+
+def listed(groups: DataFrame, *order: Column) -> DataFrame | None:
+    """The first `MAX_LISTED` rows as a small local frame; None when empty."""
+    rows = groups.orderBy(*order).limit(MAX_LISTED).collect()
+    return groups.sparkSession.createDataFrame(rows, groups.schema) if rows else None
+
+
+def hot_groups(df: DataFrame, group: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Groups with at least `hot_rows` rows; the counts combine before the shuffle."""
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= hot_rows)
+    return listed(counts, F.desc("_rows"), *group)
+
+
+def _semi(df: DataFrame, hot: DataFrame, group: Sequence[str], how: str) -> DataFrame:
+    keys = F.broadcast(hot.select([F.col(g).alias(f"_hot_{i}") for i, g in enumerate(group)]))
+    return df.join(keys, null_safe([(df[g], keys[f"_hot_{i}"]) for i, g in enumerate(group)]), how)
+
+
+def split_hot(
+    df: DataFrame, group: Sequence[str], hot_rows: int | None = HOT_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
+    """(ordinary rows, rows of hot groups or None)."""
+    hot = hot_groups(df, group, hot_rows) if hot_rows is not None else None
+    if hot is None:
+        return df, None
+    return _semi(df, hot, group, "left_anti"), _semi(df, hot, group, "left_semi")
