@@ -949,32 +949,32 @@ def net_09_unpivot(spark, sf):
 
 @query(O.net(f"SELECT {pick(*SEQUENCED)} FROM n10"))
 def net_10_sequence(spark, sf):
-    return shown(stages(spark, sf).sequenced(), *SEQUENCED)
+    return shown(stages(spark, sf).sequenced, *SEQUENCED)
 
 
 @query(O.net(f"SELECT {pick(*SEQUENCED)} FROM n10", O.ALTERIX))
 def net_10_sequence_by_row(spark, sf):
-    return shown(stages(spark, sf, policy="ordered_alterix").sequenced(), *SEQUENCED)
+    return shown(stages(spark, sf, policy="ordered_alterix").sequenced, *SEQUENCED)
 
 
 @query(O.net(f"SELECT {pick(*SEQUENCED)} FROM n10", O.NEWEST))
 def net_10_sequence_newest(spark, sf):
-    return shown(stages(spark, sf, newest_first=True).sequenced(), *SEQUENCED)
+    return shown(stages(spark, sf, newest_first=True).sequenced, *SEQUENCED)
 
 
 @query(O.net(f"SELECT {pick(*SEQUENCED)} FROM n10", O.UNORDERED))
 def net_10_sequence_unordered(spark, sf):
-    return shown(stages(spark, sf, policy="unordered").sequenced(), *SEQUENCED)
+    return shown(stages(spark, sf, policy="unordered").sequenced, *SEQUENCED)
 
 
 @query(O.net(f"SELECT {pick(*ALLOCATED)} FROM n11"))
 def net_11_allocate(spark, sf):
-    return shown(stages(spark, sf).allocated(), *ALLOCATED)
+    return shown(stages(spark, sf).allocated, *ALLOCATED)
 
 
 @query(O.net(f"SELECT {pick(*N.REPORT_COLUMNS)} FROM n12"))
 def net_12_report(spark, sf):
-    return shown(stages(spark, sf).report(), *N.REPORT_COLUMNS)
+    return shown(stages(spark, sf).report, *N.REPORT_COLUMNS)
 
 
 REPORT_KINDS = {
@@ -1002,8 +1002,7 @@ _NET_KEY = ["bor_client_id", "option_type", "symbol"]
     )
 )
 def net_recon(spark, sf):
-    path = staging_path(spark, "report")
-    report = T.replace_table(stages(spark, sf).report(), path)
+    report = _report(spark, sf)
     rows = N.reconcile_report(report, X.changed_report(report), RUN, ignore=["underlying_sec_name"])
     return results(rows)
 
@@ -1032,7 +1031,8 @@ def capped_balance(spark, sf):
 
 
 def _report(spark, sf) -> DataFrame:
-    return stages(spark, sf).report()
+    """The report as a stage table, which the extracts read."""
+    return T.replace_table(stages(spark, sf).report, staging_path(spark, "report"))
 
 
 @query(
@@ -1089,7 +1089,7 @@ def extract_3(spark, sf):
 )
 def extract_1_recon(spark, sf):
     """The delivered file, written from the same report, must agree in every cell."""
-    report = T.replace_table(_report(spark, sf), staging_path(spark, "report"))
+    report = _report(spark, sf)
     path = staging_path(spark, "delivered")
     T.export_delimited(E.position_extract(report), path)
     delivered = T.read_text_table(spark, path, sep="|")

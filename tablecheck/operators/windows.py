@@ -85,41 +85,57 @@ def capped_running_balance(
     amount: Column,
     balance: str = "short_balance",
     previous: str = "short_balance_prev",
+    number: str | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Balance that never rises above zero: b = min(0, b_before + amount).
 
     Closed form: running sum minus the largest running sum so far (not below
-    zero). `order` must leave no ties."""
+    zero). `order` must leave no ties. `number` also adds the row number; all of
+    it is one shuffle and one sort."""
     group = list(group)
     frame = df.withColumn("_amount", F.coalesce(amount, F.lit(0)))
     rest, hot = split_hot(frame, group, hot_rows)
+    zero = F.lit(0)
 
     def running(rows: DataFrame, part: list[str], sort: list) -> DataFrame:
         w = W.partitionBy(*part).orderBy(*sort)
         upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-        summed = rows.withColumn("_sum", F.sum("_amount").over(upto))
+        summed = rows.withColumns({"_sum": F.sum("_amount").over(upto), "_number": F.row_number().over(w)})
         topped = summed.withColumn("_top", F.max("_sum").over(upto))
-        return topped.withColumn("_sum_prev", F.lag("_sum").over(w)).withColumn("_top_prev", F.lag("_top").over(w))
+        return topped.withColumns({"_sum_prev": F.lag("_sum").over(w), "_top_prev": F.lag("_top").over(w)})
 
-    zero = F.lit(0)
-    plain = running(rest, group, list(order)).select(
-        *df.columns,
-        (F.col("_sum") - F.greatest("_top", zero)).alias(balance),
-        F.coalesce(F.col("_sum_prev") - F.greatest("_top_prev", zero), zero).alias(previous),
+    def shaped(rows: DataFrame, now: Column, before: Column, place: Column) -> DataFrame:
+        numbers = [place.cast("bigint").alias(number)] if number else []
+        return rows.select(*df.columns, *numbers, now.alias(balance), before.alias(previous))
+
+    plain = shaped(
+        running(rest, group, list(order)),
+        F.col("_sum") - F.greatest("_top", zero),
+        F.coalesce(F.col("_sum_prev") - F.greatest("_top_prev", zero), zero),
+        F.col("_number"),
     )
     if hot is None:
         return plain
     local = running(ordered_pieces(hot, group, order), [*group, "_piece"], [*order, "_tie"])
-    ends = local.groupBy(*group, "_piece").agg(F.sum("_amount").alias("_whole"), F.max("_sum").alias("_peak"))
-    starts = ends.withColumn("_start", F.coalesce(F.sum("_whole").over(_before(group)), zero))
-    carry = starts.select(
-        *group, "_piece", "_start", F.max(F.col("_start") + F.col("_peak")).over(_before(group)).alias("_top_start")
+    ends = local.groupBy(*group, "_piece").agg(
+        F.sum("_amount").alias("_whole"), F.max("_sum").alias("_peak"), F.count(zero).alias("_rows")
     )
+    starts = ends.withColumns(
+        {
+            "_start": F.coalesce(F.sum("_whole").over(_before(group)), zero),
+            "_skip": F.coalesce(F.sum("_rows").over(_before(group)), zero),
+        }
+    )
+    top_before = F.max(F.col("_start") + F.col("_peak")).over(_before(group))
+    carry = starts.select(*group, "_piece", "_start", "_skip", top_before.alias("_top_start"))
     placed = _with_carry(local, carry, group)
-    total = F.col("_start") + F.col("_sum")
-    total_prev = F.col("_start") + F.coalesce("_sum_prev", zero)
     top = F.greatest("_top_start", F.col("_start") + F.col("_top"), zero)
     top_prev = F.greatest("_top_start", F.col("_start") + F.col("_top_prev"), zero)
-    cut = placed.select(*df.columns, (total - top).alias(balance), (total_prev - top_prev).alias(previous))
+    cut = shaped(
+        placed,
+        F.col("_start") + F.col("_sum") - top,
+        F.col("_start") + F.coalesce("_sum_prev", zero) - top_prev,
+        F.col("_skip") + F.col("_number"),
+    )
     return plain.unionByName(cut)

@@ -7,6 +7,7 @@ balance that never rises above zero. Short quantities are negative."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -251,16 +252,14 @@ def still_both_sides(open_rows: DataFrame) -> DataFrame:
 def sequence(
     open_rows: DataFrame, policy: str = "ordered", newest_first: bool = False, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
-    """Numbers the rows of each group and runs the capped balance over them.
-
-    The rows are pinned first: the search for hot groups and both window
-    operators read them, and the lineage behind them is long."""
-    rows = pin(still_both_sides(open_rows))
-    order = sequence_order(policy, newest_first)
-    ranked = numbered(rows, GROUP, order, "row_seqno", hot_rows)
-    moved = F.col("long_quantity") + F.col("short_quantity")
+    """Numbers the rows of each group and runs the capped balance over them."""
     return capped_running_balance(
-        ranked, GROUP, ["row_seqno"], moved, "short_balance", "short_balance_prev", hot_rows
+        still_both_sides(open_rows),
+        GROUP,
+        sequence_order(policy, newest_first),
+        F.col("long_quantity") + F.col("short_quantity"),
+        number="row_seqno",
+        hot_rows=hot_rows,
     )
 
 
@@ -322,41 +321,75 @@ class Stages:
     ) -> None:
         self.positions = positions.filter(F.col("process_date") == process_date)
         self.process_date = process_date
-        self.enriched = enrich(self.positions)
-        self.totals = aggregate(self.enriched)
-        self.sided = both_sides(self.totals)
-        self.longs = long_rows(self.sided)
-        self.carried = carriers(self.longs)
-        self.shorts = short_rows(self.sided, by_name)
-        self.paired = pair_sides(self.carried, self.shorts)
-        self.attached = attach_rest(self.paired, self.longs, self.carried)
-        self.offset = exact_offset(self.attached)
-        self.open_rows = unprocessed(self.offset)
-        self.unpivoted = unpivot_sides(self.open_rows)
-        self._policy, self._newest_first, self._hot_rows = policy, newest_first, hot_rows
-        self._pinned = False
-
-    def _pin_offset(self) -> None:
-        """Both later branches read the offset rows; they are written once."""
-        if not self._pinned:
-            self.offset = pin(self.offset)
-            self.open_rows = unprocessed(self.offset)
-            self._pinned = True
+        self._policy, self._newest_first = policy, newest_first
+        self._by_name, self._hot_rows = by_name, hot_rows
 
+    @cached_property
+    def enriched(self) -> DataFrame:
+        return enrich(self.positions)
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return aggregate(self.enriched)
+
+    @cached_property
+    def sided(self) -> DataFrame:
+        return both_sides(self.totals)
+
+    @cached_property
+    def pinned_sided(self) -> DataFrame:
+        """Written once: the long rows, their carriers and the short rows read it."""
+        return pin(self.sided)
+
+    @cached_property
+    def longs(self) -> DataFrame:
+        return long_rows(self.pinned_sided)
+
+    @cached_property
+    def carried(self) -> DataFrame:
+        return carriers(self.longs)
+
+    @cached_property
+    def shorts(self) -> DataFrame:
+        return short_rows(self.pinned_sided, self._by_name)
+
+    @cached_property
+    def paired(self) -> DataFrame:
+        return pair_sides(self.carried, self.shorts)
+
+    @cached_property
+    def attached(self) -> DataFrame:
+        return attach_rest(self.paired, self.longs, self.carried)
+
+    @cached_property
+    def offset(self) -> DataFrame:
+        return exact_offset(self.attached)
+
+    @cached_property
+    def pinned_offset(self) -> DataFrame:
+        """Written once: the allocation and the report both read it."""
+        return pin(self.offset)
+
+    @cached_property
+    def unpivoted(self) -> DataFrame:
+        return unpivot_sides(unprocessed(self.pinned_offset))
+
+    @cached_property
     def sequenced(self) -> DataFrame:
-        self._pin_offset()
-        return sequence(self.open_rows, self._policy, self._newest_first, self._hot_rows)
+        return sequence(unprocessed(self.pinned_offset), self._policy, self._newest_first, self._hot_rows)
 
+    @cached_property
     def allocated(self) -> DataFrame:
-        return allocate(self.sequenced())
+        return allocate(self.sequenced)
 
+    @cached_property
     def report(self) -> DataFrame:
-        rows = self.allocated()
-        return report_rows(self.offset, rows, self.process_date, the_one_value(self.positions, "run_date"))
+        run_date = the_one_value(self.positions, "run_date")
+        return report_rows(self.pinned_offset, self.allocated, self.process_date, run_date)
 
 
 def netting_report(positions: DataFrame, process_date: str, **options) -> DataFrame:
-    return Stages(positions, process_date, **options).report()
+    return Stages(positions, process_date, **options).report
 
 
 def report_for_compare(report: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:

@@ -14,6 +14,7 @@ def build_session(app_name: str = "tablecheck", master: str | None = None, **con
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -48,8 +49,12 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Writes the rows to the shared folder, so that later readers see one and
-    the same layout even when executors are lost."""
-    staging_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def pin(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Writes the rows as a table in the shared folder and reads them back.
+
+    This cuts the lineage, lets every later reader see the same rows whatever
+    executors are lost, and unlike a checkpoint it can be read column by column."""
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
