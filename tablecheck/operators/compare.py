@@ -27,11 +27,11 @@ class CellRule:
     percent: float = 0.0
     signed: bool = False
 
-    def _amount(self, column: Column) -> Column:
+    def amount(self, column: Column) -> Column:
         value = F.coalesce(column.cast(TOLERANCE_TYPE), F.lit(0).cast(TOLERANCE_TYPE))
         return (value if self.signed else F.abs(value)).cast("double")
 
-    def _bounds(self, amount: Column) -> tuple[Column, Column]:
+    def bounds(self, amount: Column) -> tuple[Column, Column]:
         low, high = amount * F.lit(1 - self.percent / 100), amount * F.lit(1 + self.percent / 100)
         return (F.least(low, high), F.greatest(low, high)) if self.signed else (low, high)
 
@@ -48,7 +48,7 @@ class CellRule:
         if self.kind == "absent":
             return F.lit(False)
         if self.kind == "tolerance":
-            return self._amount(tgt).between(*self._bounds(self._amount(src)))
+            return self.amount(tgt).between(*self.bounds(self.amount(src)))
         if self.kind == "typed":
             return src.eqNullSafe(tgt)
         return self.canonical(tgt) == self.canonical(src)
@@ -138,124 +138,138 @@ def _count_joined(joined: DataFrame, rules: Sequence[CellRule]) -> DataFrame:
     return joined.agg(*counters).select(F.inline(F.array(*per_column)))
 
 
-def many_cells(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame | None:
-    """For keys with many rows on both sides: how often each value occurs per key
-    and column on either side. Every pair follows from it, but it only has as
-    many rows as there are different cells."""
-    if pairing.many_src is None or pairing.many_tgt is None:
-        return None
-    k = [f"_k{i}" for i in range(len(pairing.keys))]
+def _key_names(pairing: Pairing) -> list[str]:
+    return [f"_k{i}" for i in range(len(pairing.keys))]
+
+
+def _value_counts(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
+    """(key, column_name, value, amount, n_src, n_tgt, n_tgt_null)."""
+    k = _key_names(pairing)
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
 
     def unpivot(df: DataFrame, prefix: str) -> DataFrame:
         cells = []
         for r in rules:
-            if r.kind == "absent" and prefix:
-                cell = F.lit(None).cast("string")
-            else:
-                cell = F.col(prefix + r.column)
-            exact = r.kind in ("text", "typed", "absent")
+            cell = F.lit(None).cast("string") if r.kind == "absent" and prefix else F.col(prefix + r.column)
+            banded = r.kind == "tolerance"
             cells.append(
                 F.struct(
                     F.lit(r.column).alias("column_name"),
-                    (r.canonical(cell) if exact else F.lit(None).cast("string")).alias("value"),
-                    (F.lit(None).cast("double") if exact else r._amount(cell)).alias("amount"),
+                    (F.lit(None).cast("string") if banded else r.canonical(cell)).alias("value"),
+                    (r.amount(cell) if banded else F.lit(None).cast("double")).alias("amount"),
                     cell.isNull().cast("bigint").alias("_null"),
                 )
             )
         n_src, n_tgt = (one, none) if prefix else (none, one)
-        long = df.select(*k, F.inline(F.array(*cells)))
         nulls = none if prefix else F.col("_null")
+        long = df.select(*k, F.inline(F.array(*cells)))
         return long.select(*k, "column_name", "value", "amount", n_src.alias("_s"), n_tgt.alias("_t"), nulls.alias("_n"))
 
     both = unpivot(pairing.many_src, PREFIX).unionAll(unpivot(pairing.many_tgt, ""))
-    counts = both.groupBy(*k, "column_name", "value", "amount").agg(
+    return both.groupBy(*k, "column_name", "value", "amount").agg(
         F.sum("_s").alias("n_src"), F.sum("_t").alias("n_tgt"), F.sum("_n").alias("n_tgt_null")
     )
-    return counts.withColumnsRenamed({c: f"key_{name}" for c, name in zip(k, pairing.keys)})
 
 
-def _count_many(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame | None:
-    """The counters of the pairs of heavy keys, from value counts alone: a key's
-    passing pairs are the sum over values of (source copies x target copies)."""
-    counts = many_cells(pairing, rules)
-    if counts is None:
+def many_cells(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame | None:
+    """For keys with many rows on both sides: how often each value occurs per key
+    and column on either side. Every pair follows from it, but it only has as
+    many rows as there are different cells."""
+    if pairing.many_src is None or pairing.many_tgt is None:
         return None
-    keys = [f"key_{name}" for name in pairing.keys]
-    wide = {n: F.col(n).cast(CELL_COUNT) for n in ("n_src", "n_tgt", "n_tgt_null")}
-
-    def product(a: Column, b: Column) -> Column:
-        return (a.cast("decimal(19,0)") * b.cast("decimal(19,0)")).cast(CELL_COUNT)
-
-    absent = [r.column for r in rules if r.kind == "absent"]
-    exact = counts.withColumn(
-        "_pairs",
-        F.when(F.col("column_name").isin(absent), F.lit(0).cast(CELL_COUNT)).otherwise(
-            F.when(F.col("amount").isNull(), product(F.col("n_src"), F.col("n_tgt")))
-        ),
-    )
-    per_key = exact.groupBy(*keys, "column_name").agg(
-        F.sum("_pairs").alias("_pass"),
-        F.sum(wide["n_src"]).alias("_s"),
-        F.sum(wide["n_tgt"]).alias("_t"),
-        F.sum(wide["n_tgt_null"]).alias("_n"),
-    )
+    named = {c: f"key_{name}" for c, name in zip(_key_names(pairing), pairing.keys, strict=True)}
+    return _value_counts(pairing, rules).withColumnsRenamed(named)
+
+
+def _product(a: Column, b: Column) -> Column:
+    return (a.cast("decimal(19,0)") * b.cast("decimal(19,0)")).cast(CELL_COUNT)
+
+
+def _cell_total(column: str) -> Column:
+    return F.sum(F.col(column).cast(CELL_COUNT)).cast(CELL_COUNT)
+
+
+def _count_many(pairing: Pairing, rules: Sequence[CellRule]) -> list[DataFrame]:
+    """The counters of the pairs of heavy keys, without making the pairs."""
+    if pairing.many_src is None or pairing.many_tgt is None:
+        return []
+    exact = [r for r in rules if r.kind != "tolerance"]
+    parts = [_count_exact(pairing, exact)] if exact else []
+    return parts + [_count_band(pairing, r) for r in rules if r.kind == "tolerance"]
+
+
+def _finished(per_key: DataFrame) -> DataFrame:
+    """From (column_name, _pass, _s, _t, _n) per key to the counters per column."""
     totals = per_key.groupBy("column_name").agg(
-        F.coalesce(F.sum("_pass"), F.lit(0)).cast(CELL_COUNT).alias("_pass"),
-        F.sum(product(F.col("_s"), F.col("_t"))).cast(CELL_COUNT).alias("_all"),
-        F.sum(product(F.col("_s"), F.col("_n"))).cast(CELL_COUNT).alias("null_count"),
+        _cell_total("_pass").alias("pass_count"),
+        F.sum(_product(F.col("_s"), F.col("_t"))).cast(CELL_COUNT).alias("_all"),
+        F.sum(_product(F.col("_s"), F.col("_n"))).cast(CELL_COUNT).alias("null_count"),
     )
-    banded = [r for r in rules if r.kind == "tolerance"]
-    if banded:
-        near = _pairs_in_band(counts, keys, banded)
-        totals = totals.join(F.broadcast(near), "column_name", "left").withColumn(
-            "_pass", F.col("_pass") + F.coalesce("_near", F.lit(0))
-        )
     return totals.select(
-        "column_name",
-        F.col("_pass").cast(CELL_COUNT).alias("pass_count"),
-        (F.col("_all") - F.col("_pass")).cast(CELL_COUNT).alias("fail_count"),
-        "null_count",
+        "column_name", "pass_count", (F.col("_all") - F.col("pass_count")).cast(CELL_COUNT).alias("fail_count"), "null_count"
     )
 
 
-def _pairs_in_band(counts: DataFrame, keys: list[str], rules: Sequence[CellRule]) -> DataFrame:
-    """Per column, the pairs whose target lies in the band around the source.
+def _count_exact(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
+    """A key's passing pairs are the sum over its values of source copies times
+    target copies."""
+    absent = F.col("column_name").isin([r.column for r in rules if r.kind == "absent"])
+    pairs = F.when(absent, F.lit(0).cast(CELL_COUNT)).otherwise(_product(F.col("n_src"), F.col("n_tgt")))
+    per_key = (
+        _value_counts(pairing, rules)
+        .withColumn("_pairs", pairs)
+        .groupBy(*_key_names(pairing), "column_name")
+        .agg(
+            _cell_total("_pairs").alias("_pass"),
+            _cell_total("n_src").alias("_s"),
+            _cell_total("n_tgt").alias("_t"),
+            _cell_total("n_tgt_null").alias("_n"),
+        )
+    )
+    return _finished(per_key)
+
 
-    Along each (key, column) the targets below the upper bound minus those below
-    the lower bound; a running total gives both. One row per column."""
-    group = [*keys, "column_name"]
+def _count_band(pairing: Pairing, rule: CellRule) -> DataFrame:
+    """A key's passing pairs are, over its source values, the targets up to the
+    upper bound less the targets below the lower bound. Both are running totals
+    along the key's sorted values; `place` puts a target between the two bounds
+    of an equal value."""
+    k = _key_names(pairing)
     zero = F.lit(0).cast("bigint")
-    parts = []
-    for rule in rules:
-        mine = counts.filter(F.col("column_name") == rule.column)
-        low, high = rule._bounds(F.col("amount"))
-        at = lambda point, place, targets, weight: F.struct(
+    low, high = rule.bounds(F.col("amount"))
+
+    def mark(point: Column, place: int, targets: Column, weight: Column) -> Column:
+        return F.struct(
             point.alias("point"), F.lit(place).alias("place"), targets.alias("targets"), weight.alias("weight")
         )
-        marks = F.array(
-            at(low, 0, zero, -F.col("n_src")),
-            at(F.col("amount"), 1, F.col("n_tgt"), zero),
-            at(high, 2, zero, F.col("n_src")),
-        )
-        parts.append(mine.select(*group, F.inline(marks)))
-    marks = parts[0]
-    for part in parts[1:]:
-        marks = marks.unionAll(part)
-    marks = marks.filter((F.col("targets") != 0) | (F.col("weight") != 0))
-    run = running_total(marks, group, ["point", "place"], "targets", "_below")
-    pairs = F.col("weight").cast("decimal(19,0)") * F.col("_below").cast("decimal(19,0)")
-    return run.groupBy("column_name").agg(F.sum(pairs.cast(CELL_COUNT)).cast(CELL_COUNT).alias("_near"))
+
+    marks = F.array(
+        mark(low, 0, zero, -F.col("n_src")),
+        mark(F.col("amount"), 1, F.col("n_tgt"), zero),
+        mark(high, 2, zero, F.col("n_src")),
+    )
+    counts = _value_counts(pairing, [rule])
+    sizes = [F.when(F.col("place") == p, F.col(c)).otherwise(zero) for p, c in ((2, "n_src"), (1, "n_tgt"), (1, "n_tgt_null"))]
+    placed = counts.select(*k, "n_src", "n_tgt", "n_tgt_null", F.inline(marks)).select(
+        *k, "point", "place", "targets", "weight", *[s.alias(n) for s, n in zip(sizes, ("_s", "_t", "_n"), strict=True)]
+    )
+    placed = placed.filter((F.col("targets") != 0) | (F.col("weight") != 0))
+    run = running_total(placed, k, ["point", "place"], "targets", "_below")
+    near = _product(F.col("weight"), F.col("_below"))
+    per_key = run.groupBy(*k).agg(
+        F.sum(near).cast(CELL_COUNT).alias("_pass"), *[_cell_total(c).alias(c) for c in ("_s", "_t", "_n")]
+    )
+    return _finished(per_key.withColumn("column_name", F.lit(rule.column)))
 
 
 def count_cells(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
     """(column_name, pass_count, fail_count, null_count)."""
     parts = _count_joined(pairing.joined, rules)
     many = _count_many(pairing, rules)
-    if many is None:
+    if not many:
         return parts
+    for part in many:
+        parts = parts.unionByName(part)
     return (
-        parts.unionByName(many)
-        .groupBy("column_name")
-        .agg(*[F.sum(c).cast(CELL_COUNT).alias(c) for c in ("pass_count", "fail_count", "null_count")])
+        parts.groupBy("column_name").agg(*[F.sum(c).cast(CELL_COUNT).alias(c) for c in ("pass_count", "fail_count", "null_count")])
     )

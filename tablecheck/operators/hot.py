@@ -38,10 +38,13 @@ def _semi(df: DataFrame, hot: DataFrame, group: Sequence[str], how: str) -> Data
 
 
 def split_hot(
-    df: DataFrame, group: Sequence[str], hot_rows: int | None = HOT_ROWS
+    df: DataFrame, group: Sequence[str], hot_rows: int | None = HOT_ROWS, counted_on: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """(ordinary rows, rows of hot groups or None)."""
-    hot = hot_groups(df, group, hot_rows) if hot_rows is not None else None
+    """(ordinary rows, rows of hot groups or None).
+
+    `counted_on` may be a cheaper frame that holds at least the same rows."""
+    counted = df if counted_on is None else counted_on
+    hot = hot_groups(counted, group, hot_rows) if hot_rows is not None else None
     if hot is None:
         return df, None
     return _semi(df, hot, group, "left_anti"), _semi(df, hot, group, "left_semi")

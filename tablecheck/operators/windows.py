@@ -20,18 +20,22 @@ Order = Sequence[str | Column]
 
 
 def ordered_pieces(df: DataFrame, group: Sequence[str], order: Order) -> DataFrame:
-    """Adds `_piece`, increasing along (group, order), and the tie break `_tie`.
+    """Sorts by (group, order) over all tasks and adds `_piece` (the task) and
+    `_pos` (the place in it, from 0), both increasing along the order.
 
     Equal rows may fall on both sides of a cut, so a group of copies is cut as
-    well. Sorting before numbering makes `_tie` the same when a task is rerun;
-    the written copy keeps the cuts the same for every later reader."""
-    ready = df.sortWithinPartitions(*group, *order).withColumn("_tie", F.monotonically_increasing_id())
-    laid = ready.repartitionByRange(*group, *order, "_tie")
-    return pin(laid.withColumn("_piece", F.spark_partition_id()))
-
-
-def _with_carry(df: DataFrame, carry: DataFrame, group: Sequence[str]) -> DataFrame:
-    keys = [*group, "_piece"]
+    well; `_tie` is what tells them apart. Sorting by hash before handing it out
+    makes it the same when a task is rerun, and the staged copy keeps the cuts
+    the same for every later reader."""
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns)).sortWithinPartitions("_hash")
+    ready = hashed.withColumn("_tie", F.monotonically_increasing_id()).drop("_hash")
+    laid = ready.repartitionByRange(*group, *order, "_tie").sortWithinPartitions(*group, *order, "_tie")
+    place = F.monotonically_increasing_id()
+    marks = {"_piece": F.shiftright(place, 33).cast("int"), "_pos": place.bitwiseAND(F.lit((1 << 33) - 1))}
+    return pin(laid.drop("_tie").withColumns(marks), "pieces")
+
+
+def _with_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = F.broadcast(carry.withColumnsRenamed({k: f"_carry_{i}" for i, k in enumerate(keys)}))
     joined = df.join(renamed, null_safe([(df[k], renamed[f"_carry_{i}"]) for i, k in enumerate(keys)]))
     return joined.drop(*[f"_carry_{i}" for i in range(len(keys))])
@@ -44,7 +48,11 @@ def _before(group: Sequence[str]):
 def numbered(
     df: DataFrame, group: Sequence[str], order: Order, name: str = "row_id", hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
-    """`row_number() over (partition by group order by order)`."""
+    """`row_number() over (partition by group order by order)`.
+
+    Sorted pieces need no window: a row's place in the whole is the size of the
+    pieces before its own plus its place there; its number in the group is that
+    less the place of the group's first row."""
     group = list(group)
     rest, hot = split_hot(df, group, hot_rows) if group else (None, df)
     plain = (
@@ -55,14 +63,12 @@ def numbered(
     if hot is None:
         return plain
     pieces = ordered_pieces(hot, group, order)
-    local = pieces.withColumn(
-        name, F.row_number().over(W.partitionBy(*group, "_piece").orderBy(*order, "_tie")).cast("bigint")
-    )
-    sizes = pieces.groupBy(*group, "_piece").agg(F.count(F.lit(1)).alias("_size"))
-    carry = sizes.select(
-        *group, "_piece", F.coalesce(F.sum("_size").over(_before(group)), F.lit(0)).alias("_start")
-    )
-    counted = _with_carry(local, carry, group).withColumn(name, F.col(name) + F.col("_start"))
+    sizes = pieces.groupBy("_piece").agg(F.count(F.lit(1)).alias("_size"))
+    carry = sizes.select("_piece", F.coalesce(F.sum("_size").over(_before([])), F.lit(0)).alias("_start"))
+    counted = _with_carry(pieces, carry, ["_piece"]).withColumn(name, F.col("_start") + F.col("_pos") + 1)
+    if group:
+        firsts = counted.groupBy(*group).agg(F.min(name).alias("_first"))
+        counted = _with_carry(counted, firsts, group).withColumn(name, F.col(name) - F.col("_first") + 1)
     counted = counted.select(*df.columns, name)
     return counted if plain is None else plain.unionByName(counted)
 
@@ -71,11 +77,11 @@ def running_total(df: DataFrame, group: Sequence[str], order: Order, value: str,
     """Running sum in (group, order) for groups that are all large."""
     group = list(group)
     pieces = ordered_pieces(df, group, order)
-    rows = W.partitionBy(*group, "_piece").orderBy(*order, "_tie").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = W.partitionBy(*group, "_piece").orderBy("_pos").rowsBetween(W.unboundedPreceding, W.currentRow)
     local = pieces.withColumn("_run", F.sum(value).over(rows))
     sums = pieces.groupBy(*group, "_piece").agg(F.sum(value).alias("_sum"))
     carry = sums.select(*group, "_piece", F.coalesce(F.sum("_sum").over(_before(group)), F.lit(0)).alias("_start"))
-    return _with_carry(local, carry, group).select(*df.columns, (F.col("_run") + F.col("_start")).alias(name))
+    return _with_carry(local, carry, [*group, "_piece"]).select(*df.columns, (F.col("_run") + F.col("_start")).alias(name))
 
 
 def capped_running_balance(
@@ -87,6 +93,7 @@ def capped_running_balance(
     previous: str = "short_balance_prev",
     number: str | None = None,
     hot_rows: int | None = HOT_ROWS,
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Balance that never rises above zero: b = min(0, b_before + amount).
 
@@ -95,7 +102,7 @@ def capped_running_balance(
     it is one shuffle and one sort."""
     group = list(group)
     frame = df.withColumn("_amount", F.coalesce(amount, F.lit(0)))
-    rest, hot = split_hot(frame, group, hot_rows)
+    rest, hot = split_hot(frame, group, hot_rows, counted_on)
     zero = F.lit(0)
 
     def running(rows: DataFrame, part: list[str], sort: list) -> DataFrame:
@@ -117,7 +124,7 @@ def capped_running_balance(
     )
     if hot is None:
         return plain
-    local = running(ordered_pieces(hot, group, order), [*group, "_piece"], [*order, "_tie"])
+    local = running(ordered_pieces(hot, group, order), [*group, "_piece"], ["_pos"])
     ends = local.groupBy(*group, "_piece").agg(
         F.sum("_amount").alias("_whole"), F.max("_sum").alias("_peak"), F.count(zero).alias("_rows")
     )
@@ -129,7 +136,7 @@ def capped_running_balance(
     )
     top_before = F.max(F.col("_start") + F.col("_peak")).over(_before(group))
     carry = starts.select(*group, "_piece", "_start", "_skip", top_before.alias("_top_start"))
-    placed = _with_carry(local, carry, group)
+    placed = _with_carry(local, carry, [*group, "_piece"])
     top = F.greatest("_top_start", F.col("_start") + F.col("_top"), zero)
     top_prev = F.greatest("_top_start", F.col("_start") + F.col("_top_prev"), zero)
     cut = shaped(

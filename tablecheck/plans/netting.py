@@ -260,6 +260,7 @@ def sequence(
         F.col("long_quantity") + F.col("short_quantity"),
         number="row_seqno",
         hot_rows=hot_rows,
+        counted_on=open_rows,
     )
 
 
