@@ -121,6 +121,7 @@ class ExtractRules:
     validator_file_name: str = ""
     row_tag: str = ""
     root_tag: str = ""
+    row_schema: str = ""
 
     @classmethod
     def from_mapping(cls, raw: Mapping[str, Any]) -> ExtractRules:
@@ -143,6 +144,7 @@ class ExtractRules:
             validator_file_name=raw.get("validator_file_name") or "",
             row_tag=raw.get("row_tag") or "",
             root_tag=raw.get("root_tag") or "",
+            row_schema=raw.get("row_schema") or "",
         )
 
     def table_rules(self, with_not_null: bool = True) -> TableRules:

@@ -87,7 +87,7 @@ def partition_filter(df: DataFrame, column: str, wanted: str = "LATEST") -> Data
     if "<=" in wanted or ">=" in wanted:
         kept = df
         for term in re.split(r"\s+and\s+", wanted.strip(), flags=re.IGNORECASE):
-            found = re.fullmatch(rf"\s*(?:{re.escape(column)}\s*)?(<=|>=|<|>)\s*(.+)", term)
+            found = re.fullmatch(rf"\s*(?:{re.escape(column)}\s*)?(<=|>=|<|>)\s*('[^']*'|\"[^\"]*\"|[^\s'\"]+)\s*", term)
             if not found:
                 raise ValueError(f"cannot read the condition {term!r}")
             bound = _typed(df, column, found.group(2))

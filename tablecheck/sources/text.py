@@ -186,7 +186,7 @@ def read_extract(spark: SparkSession, path: str, rules: ExtractRules) -> DataFra
     if rules.file_format == "xml":
         from tablecheck.sources.xml import flatten_xml
 
-        return flatten_xml(spark, path, rules.row_tag, rules.root_tag or None)
+        return flatten_xml(spark, path, rules.row_tag, rules.root_tag or None, rules.row_schema or None)
     data, _ = split_lines(spark, path, rules)
     names = rules.tbl_column_names
     if rules.file_format == "csv":

@@ -115,11 +115,16 @@ def root_values(spark: SparkSession, path: str, root_tag: str) -> DataFrame:
     return found.groupBy("_file").agg(F.any_value("_root").alias("_root"))
 
 
-def flatten_xml(spark: SparkSession, path: str, row_tag: str, root_tag: str | None = None) -> DataFrame:
-    """Flat rows of an XML extract; root attributes are on every row."""
+def flatten_xml(
+    spark: SparkSession, path: str, row_tag: str, root_tag: str | None = None, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Flat rows of an XML extract; root attributes are on every row.
+
+    Without a schema Spark infers one in a pass of its own and sorts it by name;
+    give one to save the pass and to keep the order of repeated tags."""
     if root_tag is None:
-        return flatten(read_xml(spark, path, row_tag), row_tag)
-    records = read_xml(spark, path, row_tag).withColumn("_file", F.col("_metadata.file_path"))
+        return flatten(read_xml(spark, path, row_tag, schema), row_tag)
+    records = read_xml(spark, path, row_tag, schema).withColumn("_file", F.col("_metadata.file_path"))
     roots = root_values(spark, path, root_tag)
     tag = _bare(root_tag)
     few_files = len(records.inputFiles()) <= MAX_FILES_BROADCAST
