@@ -20,6 +20,7 @@ from tablecheck.model import EdgeRule, ExtractRules, RunInfo, TableRules  # noqa
 from tablecheck.operators import align as A  # noqa: E402
 from tablecheck.operators import checks as K  # noqa: E402
 from tablecheck.operators import verdict as V  # noqa: E402
+from tablecheck.operators.compare import unmatched_counts  # noqa: E402
 from tablecheck.operators.windows import capped_running_balance, numbered  # noqa: E402
 from tablecheck.plans import extracts as E  # noqa: E402
 from tablecheck.plans import netting as N  # noqa: E402
@@ -155,7 +156,7 @@ def _csv_rows(spark, sf) -> DataFrame:
     label = F.concat(F.lit('"'), F.col("c_name"), F.lit(", "), F.col("c_mktsegment"), F.lit('"'))
     line = F.concat_ws(",", F.col("c_custkey").cast("string"), label, mark, F.col("c_mktsegment"))
     path = _delivered(spark, customer(spark, sf), "c_custkey", line, ["k,label,mark,segment"])
-    data, _ = L.split_lines(spark, path, CSV_RULES)
+    data, _ = L.split_lines(L.read_lines(spark, path), CSV_RULES)
     return L.parse_delimited(data, CSV_RULES.tbl_column_names)
 
 
@@ -244,7 +245,7 @@ BUCKETS = f"b AS (SELECT c_custkey // {X.FILE_ROWS} AS bucket, count(*)::bigint
     UNION ALL SELECT 'trailer', 'T|' || n::varchar || '|20240201' FROM b"""
 )
 def header_trailer_split(spark, sf):
-    data, edges = L.split_lines(spark, _edge_file(spark, sf), EDGE_RULES)
+    data, edges = L.split_lines(L.read_lines(spark, _edge_file(spark, sf)), EDGE_RULES)
     return data.select(F.lit("data").alias("part"), "value").unionByName(edges.select("part", "value"))
 
 
@@ -507,6 +508,19 @@ for _how in ("full", "inner", "left"):
     )(_recon_keys(_how))
 
 
+@query(
+    f"""WITH {O.P_CUSTOMER}, {O.joined("customer", "p", list(O.CUSTOMER), O.on_keys("c_mktsegment", "c_nationkey"))}
+    SELECT count(*) FILTER (WHERE in_src AND NOT in_tgt)::bigint AS src_only,
+      count(*) FILTER (WHERE in_tgt AND NOT in_src)::bigint AS tgt_only,
+      count(*) FILTER (WHERE NOT (in_src AND in_tgt) AND coalesce(t_c_mktsegment, s_c_mktsegment, '') = '')::bigint AS blank_keys
+    FROM j"""
+)
+def recon_unmatched(spark, sf):
+    """Keyed by a column that is blank or NULL in places on the target side."""
+    s, t = C.prefix_source(customer(spark, sf)), changed_customer(spark, sf)
+    return unmatched_counts(A.pair_by_key(s, t, ["c_mktsegment", "c_nationkey"]))
+
+
 CELL_COLUMNS = O.CUSTOMER | {}
 _CELLS = {c: k for c, k in CELL_COLUMNS.items() if c != "c_nationkey"}
 
@@ -576,17 +590,15 @@ def recon_text(spark, sf):
     return results(reconcile(src, changed_customer(spark, sf).select(names), CUSTOMER, RUN, compare="text"))
 
 
+TWO_KINDS = {"c_custkey": "typed", "c_name": "text"}
+
+
 @query(
     f"""WITH {O.P_CUSTOMER}, t2 AS (SELECT c_custkey, c_name, c_mktsegment AS c_segment FROM p),
-    j AS (SELECT s.c_custkey AS s_c_custkey, t.c_custkey AS t_c_custkey, s.c_name AS s_c_name, t.c_name AS t_c_name,
-      t.c_segment AS t_c_segment
-      FROM customer s FULL JOIN t2 t ON s.c_custkey IS NOT DISTINCT FROM t.c_custkey)
-    SELECT 'c_custkey' AS column_name, 'FAIL(Count Check)' AS overall_status,
-      count(*) FILTER (WHERE s_c_custkey IS NOT DISTINCT FROM t_c_custkey)::bigint AS pass_count,
-      count(*) FILTER (WHERE s_c_custkey IS DISTINCT FROM t_c_custkey)::bigint AS fail_count FROM j
-    UNION ALL SELECT 'c_name', 'FAIL(Count Check)', count(*) FILTER (WHERE coalesce(s_c_name, '') = coalesce(t_c_name, '')),
-      count(*) FILTER (WHERE coalesce(s_c_name, '') <> coalesce(t_c_name, '')) FROM j
-    UNION ALL SELECT 'c_segment', 'FAIL', 0, count(*) FROM j"""
+    {O.joined("customer", "t2", list(TWO_KINDS), O.on_keys("c_custkey"))}, {O.cells_sql(TWO_KINDS)}
+    SELECT column_name, overall_status, pass_count, fail_count
+    FROM ({O.result_sql("customer", "t2", "customer", ["c_custkey"])})
+    UNION ALL SELECT 'c_segment', 'FAIL', 0, (SELECT count(*) FROM j)"""
 )
 def recon_missing_column(spark, sf):
     """A target column the source lacks fails."""
@@ -731,11 +743,6 @@ def latest_run(spark, sf):
     return results(V.latest_run(_log(spark, sf), ["customer"]))
 
 
-@query("SELECT 'customer' AS table_name, 'FAIL' AS overall_status UNION ALL SELECT 'supplier', 'PASS'")
-def verdict(spark, sf):
-    return V.verdict(V.latest_run(_log(spark, sf)))
-
-
 SUPPLIER = {"s_suppkey": "typed", "s_name": "text", "s_nationkey": "typed", "s_acctbal": "typed"}
 NATION = {"n_nationkey": "typed", "n_name": "text", "n_regionkey": "typed"}
 
@@ -746,6 +753,16 @@ def _same_sql(table: str, kinds: dict[str, str], key: str) -> str:
     return f"SELECT * FROM ({inner}) UNION ALL {checks}"
 
 
+@query(
+    f"""WITH {O.RESULTS}, log AS (SELECT * FROM regression UNION ALL SELECT * FROM checks
+      UNION ALL SELECT * FROM ({_same_sql("supplier", SUPPLIER, "s_suppkey")}))
+    SELECT table_name, CASE WHEN bool_or(overall_status LIKE 'FAIL%') THEN 'FAIL' ELSE 'PASS' END AS overall_status
+    FROM log GROUP BY table_name"""
+)
+def verdict(spark, sf):
+    return V.verdict(V.latest_run(_log(spark, sf)))
+
+
 @query(
     f"""WITH {O.RESULTS} SELECT * FROM regression UNION ALL SELECT * FROM checks
     UNION ALL SELECT * FROM ({_same_sql("supplier", SUPPLIER, "s_suppkey")})

@@ -120,6 +120,21 @@ def long_cells(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
     return pairing.joined.select(*keys, F.inline(F.array(*cells)))
 
 
+def unmatched_counts(pairing: Pairing) -> DataFrame:
+    """One row: `src_only` and `tgt_only` rows, and how many of them have a blank
+    key. Keys with many rows on both sides are matched, so they add nothing."""
+    blank = F.lit(False)
+    for k in pairing.keys:
+        value = F.coalesce(F.col(k).cast("string"), F.col(PREFIX + k).cast("string"), F.lit(""))
+        blank = blank | (value == "")
+    src_only, tgt_only = F.col("_in_src") & ~F.col("_in_tgt"), F.col("_in_tgt") & ~F.col("_in_src")
+    return pairing.joined.agg(
+        F.count_if(src_only).alias("src_only"),
+        F.count_if(tgt_only).alias("tgt_only"),
+        F.count_if((src_only | tgt_only) & blank).alias("blank_keys"),
+    )
+
+
 def _count_joined(joined: DataFrame, rules: Sequence[CellRule]) -> DataFrame:
     """All counters in one aggregate over one pass, then one row per column."""
     counters = [F.count(F.lit(1)).alias("_rows")]
@@ -270,6 +285,5 @@ def count_cells(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
         return parts
     for part in many:
         parts = parts.unionByName(part)
-    return (
-        parts.groupBy("column_name").agg(*[F.sum(c).cast(CELL_COUNT).alias(c) for c in ("pass_count", "fail_count", "null_count")])
-    )
+    counters = ("pass_count", "fail_count", "null_count")
+    return parts.groupBy("column_name").agg(*[_cell_total(c).alias(c) for c in counters])

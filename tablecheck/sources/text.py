@@ -17,18 +17,21 @@ from tablecheck.operators.summary import result_rows
 from tablecheck.session import pin
 
 PIPE_MARK = "~!~"
-MAX_FILES_BROADCAST = 100_000
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, seq, value); (block, seq) gives the line order in a file."""
-    lines = spark.read.text(path)
-    return lines.select(
+    """(file, block, seq, value); (block, seq) gives the line order in a file and
+    `seq` has no gaps inside a block.
+
+    The lines are staged, so that everything derived from them refers to the
+    same positions; later steps that need no text do not read it again."""
+    lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
         "value",
     )
+    return pin(lines, "lines")
 
 
 def line_counts(lines: DataFrame) -> DataFrame:
@@ -41,43 +44,47 @@ def record_counts(lines: DataFrame, rules: ExtractRules) -> DataFrame:
     return line_counts(lines).select("file", (F.col("lines") - skipped).alias("record_count"))
 
 
-def edge_lines(lines: DataFrame, rules: ExtractRules) -> DataFrame:
-    """(file, part, line_no, value, block, seq) of the header and trailer rows.
-
-    Each task passes on only its own first and last few lines of a file."""
-
-    def first(n: int, part: str, *order: Column) -> DataFrame:
-        rank = F.row_number().over(W.partitionBy("file").orderBy(*order))
-        taken = lines.withColumn("line_no", rank).filter(F.col("line_no") <= n)
-        number = F.col("line_no") if part == "header" else n + 1 - F.col("line_no")
-        return taken.withColumn("line_no", number).withColumn("part", F.lit(part))
-
-    heads = first(rules.skip_header_rows, "header", F.col("block"), F.col("seq"))
-    tails = first(rules.skip_trailer_rows, "trailer", F.desc("block"), F.desc("seq"))
-    return heads.unionByName(tails).select("file", "part", "line_no", "value", "block", "seq")
+def _cuts(lines: DataFrame, rules: ExtractRules) -> DataFrame:
+    """Per file the place of the last header line and of the first trailer line.
 
+    Taken from the first and last position of each block, so no line is sorted.
+    The result is staged: its size is then known, and Spark broadcasts it when
+    it is small."""
+    head, tail = rules.skip_header_rows, rules.skip_trailer_rows
+    blocks = lines.groupBy("file", "block").agg(
+        F.min("seq").alias("first"), F.max("seq").alias("last"), F.count(F.lit(1)).alias("n")
+    )
+    file = W.partitionBy("file")
+    earlier = file.orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    placed = blocks.withColumns(
+        {"before": F.coalesce(F.sum("n").over(earlier), F.lit(0)), "body": F.sum("n").over(file) - tail}
+    )
+    first, before = F.col("first"), F.col("before")
+    header_end = F.struct("block", F.least("last", first + (F.lit(head - 1) - before)).alias("seq"))
+    trailer_start = F.struct("block", F.greatest(first, first + (F.col("body") - before)).alias("seq"))
+    cuts = placed.groupBy(F.col("file").alias("_file")).agg(
+        F.max(F.when(before < head, header_end)).alias("_after"),
+        F.min(F.when((before + F.col("n") > F.col("body")) & F.lit(tail > 0), trailer_start)).alias("_until"),
+    )
+    return pin(cuts, "cuts")
 
-def split_lines(spark: SparkSession, path: str, rules: ExtractRules) -> tuple[DataFrame, DataFrame]:
-    """(data lines, header and trailer lines).
 
-    The lines are written to the shared folder first, so both results refer to
-    the same positions. Per file the first and last data position is enough to
-    leave out the edges."""
-    lines = pin(read_lines(spark, path))
-    edges = edge_lines(lines, rules)
-    if rules.skip_header_rows + rules.skip_trailer_rows == 0:
-        return lines, edges
+def split_lines(lines: DataFrame, rules: ExtractRules) -> tuple[DataFrame, DataFrame]:
+    """(data lines, header and trailer lines); the latter as (file, part, line_no,
+    value)."""
     place = F.struct("block", "seq")
-    cuts = edges.groupBy(F.col("file").alias("_file")).agg(
-        F.max(F.when(F.col("part") == "header", place)).alias("_after"),
-        F.min(F.when(F.col("part") == "trailer", place)).alias("_until"),
-    )
-    few_files = len(spark.read.text(path).inputFiles()) <= MAX_FILES_BROADCAST
-    cut = lines.join(F.broadcast(cuts) if few_files else cuts, F.col("file") == F.col("_file"), "left")
-    inside = (F.col("_after").isNull() | (place > F.col("_after"))) & (
-        F.col("_until").isNull() | (place < F.col("_until"))
+    cut = lines.join(_cuts(lines, rules), F.col("file") == F.col("_file"), "left").withColumns(
+        {
+            "_header": F.coalesce(place <= F.col("_after"), F.lit(False)),
+            "_trailer": F.coalesce(place >= F.col("_until"), F.lit(False)),
+        }
     )
-    return cut.filter(inside).drop("_file", "_after", "_until"), edges
+    data = cut.filter(~F.col("_header") & ~F.col("_trailer")).select(*lines.columns)
+    few = cut.filter(F.col("_header") | F.col("_trailer"))
+    parts = F.array_compact(F.array(F.when(F.col("_header"), "header"), F.when(F.col("_trailer"), "trailer")))
+    number = F.row_number().over(W.partitionBy("file", "part").orderBy("block", "seq"))
+    edges = few.withColumn("part", F.explode(parts)).withColumn("line_no", number)
+    return data, edges.select("file", "part", "line_no", "value")
 
 
 def _expected(rule: EdgeRule, run: RunInfo, run_stamp: str, count: Column) -> Column:
@@ -121,7 +128,8 @@ def check_edges(
         ]
     )
     plan = counts.select("file", F.inline(expected))
-    edges = edge_lines(lines, rules).select("file", "part", "line_no", F.col("value").alias("actual"))
+    _, edges = split_lines(lines, rules)
+    edges = edges.withColumnRenamed("value", "actual")
     found = plan.join(edges, ["file", "part", "line_no"], "left")
     pattern = F.concat(F.lit("^(?:"), F.col("expected"), F.lit(")" + end))
     fits = F.when(F.col("is_pattern"), F.regexp_like("actual", pattern)).otherwise(
@@ -187,7 +195,7 @@ def read_extract(spark: SparkSession, path: str, rules: ExtractRules) -> DataFra
         from tablecheck.sources.xml import flatten_xml
 
         return flatten_xml(spark, path, rules.row_tag, rules.root_tag or None, rules.row_schema or None)
-    data, _ = split_lines(spark, path, rules)
+    data, _ = split_lines(read_lines(spark, path), rules)
     names = rules.tbl_column_names
     if rules.file_format == "csv":
         return escape_pipes(parse_delimited(data, names, ","))

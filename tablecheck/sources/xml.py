@@ -11,7 +11,6 @@ from tablecheck.session import pin, staging_path
 ATTRIBUTE = "_"
 TEXT = "_VALUE"
 BAD = "_corrupt_record"
-MAX_FILES_BROADCAST = 100_000
 
 
 def _bare(name: str) -> str:
@@ -102,7 +101,9 @@ def root_values(spark: SparkSession, path: str, root_tag: str) -> DataFrame:
     """(file, attributes) of each file's root element.
 
     Cutting the text at '>' keeps a tag in one piece even when it runs over
-    several lines; the root tag lies in the first block of its file."""
+    several lines; the root tag lies in the first block of its file. The result,
+    one row per file, is staged: its size is then known, and Spark broadcasts it
+    when it is small."""
     pieces = spark.read.option("lineSep", ">").text(path)
     opening = pieces.filter(F.col("_metadata.file_block_start") == 0).filter(
         F.col("value").rlike(rf"<(?:[\w.-]+:)?{root_tag}(?:\s|$)")
@@ -112,7 +113,7 @@ def root_values(spark: SparkSession, path: str, root_tag: str) -> DataFrame:
     values = F.regexp_extract_all("value", pattern, F.lit(2))
     bare = F.transform(names, lambda n: F.lower(F.regexp_replace(n, "^.*:", "")))
     found = opening.select(F.col("_metadata.file_path").alias("_file"), F.map_from_arrays(bare, values).alias("_root"))
-    return found.groupBy("_file").agg(F.any_value("_root").alias("_root"))
+    return pin(found.groupBy("_file").agg(F.any_value("_root").alias("_root")), "roots")
 
 
 def flatten_xml(
@@ -127,10 +128,9 @@ def flatten_xml(
     records = read_xml(spark, path, row_tag, schema).withColumn("_file", F.col("_metadata.file_path"))
     roots = root_values(spark, path, root_tag)
     tag = _bare(root_tag)
-    few_files = len(records.inputFiles()) <= MAX_FILES_BROADCAST
     # The attribute names are metadata: a few names, from the files' first tags.
     names = sorted(r.k for r in roots.select(F.explode(F.map_keys("_root")).alias("k")).distinct().collect())
-    marked = records.join(F.broadcast(roots) if few_files else roots, "_file", "left")
+    marked = records.join(roots, "_file", "left")
     fields = [c for c in records.columns if c != "_file"]
     level = _Level(
         marked.select(F.struct(*[F.col(f"`{c}`") for c in fields]).alias("_row"), F.col("_root").alias("_root_map"))

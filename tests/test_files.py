@@ -32,26 +32,31 @@ def status(spark, path, mode="prefix", rules=RULES):
     return {(r.part, r.line_no): r.status for r in rows}
 
 
-@pytest.fixture
-def small_splits(spark):
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1")
-    yield
-    spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    spark.conf.unset("spark.sql.files.openCostInBytes")
-
-
-def test_split_over_many_blocks_and_files(spark, tmp_path, small_splits):
+def read_in_blocks(spark, path, size):
+    """The lines of `path`, read in blocks of `size` bytes."""
+    limits = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1"}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        return L.read_lines(spark, path).coalesce(4)
+    finally:
+        for key in limits:
+            spark.conf.unset(key)
+
+
+def test_split_over_many_blocks_and_files(spark, tmp_path):
     for name, n in (("a.txt", 300), ("b.txt", 7), ("c.txt", 120)):
         path = write(tmp_path / "in", name, good(n))
-    data, edges = L.split_lines(spark, path, RULES)
+    lines = read_in_blocks(spark, path, 300)
+    assert lines.select("file", "block").distinct().count() > 10
+    data, edges = L.split_lines(lines, RULES)
     assert data.count() == 427
     assert data.filter("value like 'H%' or value like 'T%' or value = 'k|v'").count() == 0
     got = sorted((r.file[-5:], r.part, r.line_no, r.value) for r in edges.collect())
     assert [g for g in got if g[0] == "a.txt"] == [
         ("a.txt", "header", 1, "H|20240131"), ("a.txt", "header", 2, "k|v"), ("a.txt", "trailer", 1, "T|300"),
     ]
-    counts = {r.file[-5:]: r.record_count for r in L.record_counts(L.read_lines(spark, path), RULES).collect()}
+    counts = {r.file[-5:]: r.record_count for r in L.record_counts(lines, RULES).collect()}
     assert counts == {"a.txt": 300, "b.txt": 7, "c.txt": 120}
     assert set(status(spark, path).values()) == {"PASS"}
 
@@ -83,7 +88,7 @@ def test_missing_final_newline_and_no_data(spark, tmp_path):
     assert set(status(spark, path).values()) == {"PASS"}
     path = write(tmp_path / "b", "x.txt", good(0))
     assert set(status(spark, path).values()) == {"PASS"}
-    assert L.split_lines(spark, path, RULES)[0].count() == 0
+    assert L.split_lines(L.read_lines(spark, path), RULES)[0].count() == 0
 
 
 def test_line_that_is_not_there_fails(spark, tmp_path):
@@ -91,6 +96,20 @@ def test_line_that_is_not_there_fails(spark, tmp_path):
     assert status(spark, path)[("header", 2)] == "FAIL"
 
 
+def test_header_longer_than_the_first_block(spark, tmp_path):
+    """Edges may run over block borders, and may leave no data at all."""
+    rules = ExtractRules("t", "psv", skip_header_rows=9, skip_trailer_rows=7)
+    path = write(tmp_path / "in", "x", [f"line {i:02d} {'.' * 20}" for i in range(40)])
+    data, edges = L.split_lines(read_in_blocks(spark, path, 100), rules)
+    assert sorted(int(r.value[5:7]) for r in data.collect()) == list(range(9, 33))
+    got = {(r.part, r.line_no): int(r.value[5:7]) for r in edges.collect()}
+    assert got == {("header", i + 1): i for i in range(9)} | {("trailer", i + 1): 33 + i for i in range(7)}
+    path = write(tmp_path / "few", "x", [f"line {i:02d}" for i in range(10)])
+    data, edges = L.split_lines(L.read_lines(spark, path), rules)
+    assert data.count() == 0
+    assert edges.groupBy("part").count().count() == 2 and edges.count() == 16
+
+
 def test_formats(spark, tmp_path):
     names = ("k", "v")
     csv = write(tmp_path / "csv", "x", ['1,"a, b"', "2,x|y", "3,"])
