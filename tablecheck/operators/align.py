@@ -169,11 +169,13 @@ def pair_by_important(
     return pair_by_key(s, t, [*important, ROW_ID], how, unique=True)
 
 
-def pair_by_ordinal(src: DataFrame, tgt: DataFrame, how: str = "full") -> Pairing:
+def pair_by_ordinal(
+    src: DataFrame, tgt: DataFrame, how: str = "full", hot_rows: int | None = HOT_ROWS
+) -> Pairing:
     """Keyless: the n-th row of one side meets the n-th row of the other."""
     s, t = blank_text(src), blank_text(tgt)
-    s = numbered(s, [], s.columns, PREFIX + ROW_ID)
-    t = numbered(t, [], t.columns, ROW_ID)
+    s = numbered(s, [], s.columns, PREFIX + ROW_ID, hot_rows)
+    t = numbered(t, [], t.columns, ROW_ID, hot_rows)
     return pair_by_key(s, t, [ROW_ID], how, unique=True)
 
 

@@ -90,9 +90,9 @@ def number_positions(rows: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFr
     return occurrence_number(rows, POSITION_KEY, POSITION_ORDER, OCCURRENCE, hot_rows)
 
 
-def number_clearing(rows: DataFrame) -> DataFrame:
+def number_clearing(rows: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Numbered through the whole file, by all its columns."""
-    return numbered(rows, [], CLEARING_COLUMNS, OCCURRENCE)
+    return numbered(rows, [], CLEARING_COLUMNS, OCCURRENCE, hot_rows)
 
 
 def number_messages(rows: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:

@@ -109,15 +109,22 @@ def both_sides(totals: DataFrame) -> DataFrame:
     return kept.withColumn("strikepriceamount", F.col("strikepriceamount").cast(STRIKE))
 
 
-def long_rows(sided: DataFrame) -> DataFrame:
-    """Long quantity per name and strike."""
+def side_totals(sided: DataFrame) -> DataFrame:
+    """Quantity per maturity, side and name; long rows by strike as well, short
+    rows over all strikes. One shuffle for both sides."""
+    side = F.col("short_or_long")
     return (
-        sided.filter(F.col("short_or_long") == "Long")
+        sided.filter(side.isin("Long", "Short"))
+        .withColumn("strikepriceamount", F.when(side == "Long", F.col("strikepriceamount")))
         .groupBy(*LONG_KEY, "short_or_long")
         .agg(F.sum("quantity").cast(QUANTITY).alias("quantity"))
     )
 
 
+def long_rows(totals: DataFrame) -> DataFrame:
+    return totals.filter(F.col("short_or_long") == "Long")
+
+
 def carriers(longs: DataFrame) -> DataFrame:
     """Per maturity, the first long row by name and strike: it takes the whole
     short quantity. Found by a minimum, so a large group combines before the
@@ -131,15 +138,14 @@ def numbered_long_rows(longs: DataFrame, hot_rows: int | None = HOT_ROWS) -> Dat
     return numbered(longs, MATURITY_KEY, ["underlying_sec_name", "strikepriceamount"], "row_id", hot_rows)
 
 
-def short_rows(sided: DataFrame, by_name: bool = True) -> DataFrame:
-    """Short quantity per maturity and name, over all strikes. With
-    `by_name=False` one row per maturity, under its first name."""
-    shorts = sided.filter(F.col("short_or_long") == "Short")
-    total = F.sum("quantity").cast(QUANTITY).alias("quantity")
+def short_rows(totals: DataFrame, by_name: bool = True) -> DataFrame:
+    """One row per maturity and name; with `by_name=False` one row per maturity,
+    under its first name."""
+    shorts = totals.filter(F.col("short_or_long") == "Short").drop("strikepriceamount")
     if by_name:
-        return shorts.groupBy(*MATURITY_KEY, "short_or_long", "underlying_sec_name").agg(total)
+        return shorts
     return shorts.groupBy(*MATURITY_KEY, "short_or_long").agg(
-        F.min("underlying_sec_name").alias("underlying_sec_name"), total
+        F.min("underlying_sec_name").alias("underlying_sec_name"), F.sum("quantity").cast(QUANTITY).alias("quantity")
     )
 
 
@@ -338,13 +344,13 @@ class Stages:
         return both_sides(self.totals)
 
     @cached_property
-    def pinned_sided(self) -> DataFrame:
+    def pinned_sides(self) -> DataFrame:
         """Written once: the long rows, their carriers and the short rows read it."""
-        return pin(self.sided)
+        return pin(side_totals(self.sided))
 
     @cached_property
     def longs(self) -> DataFrame:
-        return long_rows(self.pinned_sided)
+        return long_rows(self.pinned_sides)
 
     @cached_property
     def carried(self) -> DataFrame:
@@ -352,7 +358,7 @@ class Stages:
 
     @cached_property
     def shorts(self) -> DataFrame:
-        return short_rows(self.pinned_sided, self._by_name)
+        return short_rows(self.pinned_sides, self._by_name)
 
     @cached_property
     def paired(self) -> DataFrame:

@@ -38,7 +38,7 @@ def pair(
     if align == "important":
         return pair_by_important(src, tgt, rules.important_col, how, hot_rows)
     if align == "ordinal":
-        return pair_by_ordinal(src, tgt, how)
+        return pair_by_ordinal(src, tgt, how, hot_rows)
     raise ValueError(f"unknown alignment: {align}")
 
 

@@ -147,10 +147,11 @@ def test_bag_is_independent_of_order(spark, seed):
     assert tuple(sums) == (sum((a & b).values()), sum((a - b).values()), sum((b - a).values()))
 
 
+@pytest.mark.parametrize("hot_rows", [None, 20])
 @pytest.mark.parametrize("align", ["important", "ordinal", "bag"])
-def test_keyless_identity_passes(spark, align):
+def test_keyless_identity_passes(spark, cut_often, align, hot_rows):
     df = spark.createDataFrame(SRC, SCHEMA)
-    rows = self_compare(df, TableRules("t", important_col=("k",)), RUN, align=align).collect()
+    rows = self_compare(df, TableRules("t", important_col=("k",)), RUN, align=align, hot_rows=hot_rows).collect()
     assert {r.overall_Status for r in rows} == {"PASS"}
     assert {int(r.pass_count) for r in rows} == {len(SRC)}
 
