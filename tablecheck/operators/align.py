@@ -81,10 +81,10 @@ def pair_by_key(
     how: str = "full",
     unique: bool = False,
     heavy_pairs: int = HEAVY_PAIRS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> Pairing:
     """Join on the keys, NULL-safe. `unique=True` (keys made unique by a row
-    number) skips the search for heavy keys."""
+    number) or `hot_rows=None` skips the search for heavy keys."""
     named = key_columns(src, tgt, keys)
     k = [f"_k{i}" for i in range(len(keys))]
     s = src.withColumns({c: e for c, (_, e, _) in zip(k, named)}).withColumn("_in_src", F.lit(True))
@@ -98,7 +98,7 @@ def pair_by_key(
     def joined(left: DataFrame, right: DataFrame, kind: str) -> DataFrame:
         return flagged(left.join(right, null_safe([(F.col(c), F.col(c + "t")) for c in k]), kind))
 
-    heavy = None if unique else _heavy_keys(s, t, k, heavy_pairs, hot_rows)
+    heavy = None if unique or hot_rows is None else _heavy_keys(s, t, k, heavy_pairs, hot_rows)
     if heavy is None:
         return Pairing(joined(s, t, how), tuple(keys), how)
 
