@@ -1125,9 +1125,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return run_table(customer(spark, sf), changed_customer(spark, sf), CUSTOMER_TOL, RUN)
 
 
+def _text_queries():
+    """Those of the subpackage for training text, where it is there."""
+    import importlib.util
+
+    if importlib.util.find_spec("tablecheck.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return {}, {}
+    from tablecheck.llm import queries as texts
+
+    return texts.QUERIES, texts.ORACLES
+
+
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_text_queries()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return {**_ORACLES, **_text_queries()[1]}

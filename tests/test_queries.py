@@ -20,11 +20,15 @@ def con():
     return con
 
 
+#: The queries of the subpackage for training text have tests of their own.
+OWN = sorted(set(S.queries()) - set(S._text_queries()[0]))
+
+
 def test_every_query_has_sql():
-    assert set(S.queries()) == set(S.oracle_sql())
+    assert set(OWN) <= set(S.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(S.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, name):
     df = S.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
