@@ -16,7 +16,7 @@ SAMPLE_ROWS = 2000
 # White space between words, and the characters that count as symbols.
 BETWEEN = r"[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
-BLANKS = r"' \t\n\u000b\f\r'"
+BLANKS = r"' \t\n\u000b\u000c\r'"
 
 
 @dataclass(frozen=True)
