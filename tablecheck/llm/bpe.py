@@ -114,7 +114,7 @@ class ByteBpe:
         if len(words) > KEPT_WORDS:
             words.clear()
         long = {}
-        for word in set(rest) - words.keys():
+        for word in [w for w in set(rest) if w not in words]:
             (words if len(word) <= KEPT_LENGTH else long)[word] = self._word(" " + word)
         get = words.__getitem__ if not long else lambda w: words[w] if w in words else long[w]
         return b"".join([self._word(first) if first else b"", *map(get, rest)])
