@@ -68,8 +68,9 @@ class Shingles:
             return np.empty(0, np.uint64)
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
-        for w in set(parts) - self.known.keys():
-            self.known[w] = xxhash.xxh3_64_intdigest(w)
+        for w in set(parts):
+            if w not in self.known:
+                self.known[w] = xxhash.xxh3_64_intdigest(w)
         hashes = np.fromiter(map(self.known.__getitem__, parts), np.uint64, len(parts))
         k = min(self.words, len(parts))
         out = np.full(len(parts) - k + 1, k, np.uint64)

@@ -92,8 +92,9 @@ class QualityModel:
         known = self.__dict__.setdefault("known", {})
         if len(known) > KEPT_WORDS:
             known.clear()
-        for w in set(words) - known.keys():
-            known[w] = self.rows.get(w) or self.rows.get(shape(w), 0)
+        for w in set(words):
+            if w not in known:
+                known[w] = self.rows.get(w) or self.rows.get(shape(w), 0)
         return np.fromiter(map(known.__getitem__, words), np.int32, len(words))
 
     def features(self, text: str) -> np.ndarray:

@@ -53,9 +53,10 @@ class SpotSigs:
         known = self.known
         if len(known) > KEPT_WORDS:
             known.clear()
-        for w in set(words) - known.keys():
-            bare = w.strip(_EDGE)
-            known[w] = xxhash.xxh3_64_intdigest(bare) if bare else 0
+        for w in set(words):
+            if w not in known:
+                bare = w.strip(_EDGE)
+                known[w] = xxhash.xxh3_64_intdigest(bare) if bare else 0
         hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         hashes = hashes[hashes != 0]
         if not len(hashes):

@@ -51,7 +51,7 @@ class PieceCounter:
         if len(words) > KEPT_WORDS:
             words.clear()
         parts = [self.cut(t) for t in values]
-        new = list(set().union(*parts) - words.keys()) if parts else []
+        new = [w for w in set().union(*parts) if w not in words]
         long = {}
         for word, ids in zip(new, self.model.encode(new, num_threads=1), strict=True):
             (words if len(word) <= KEPT_LENGTH else long)[word] = len(ids)

@@ -47,8 +47,9 @@ class ToxicityModel:
         if len(known) > KEPT_WORDS:
             known.clear()
         words = set(_WORD.findall(text.lower()))
-        for w in words - known.keys():
-            known[w] = tuple(self.columns[f] for f in word_features(w) if f in self.columns)
+        for w in words:
+            if w not in known:
+                known[w] = tuple(self.columns[f] for f in word_features(w) if f in self.columns)
         return set(chain.from_iterable(map(known.__getitem__, words)))
 
     def learn(self, toxic: list[str], unlabelled: list[str], prior: float, seed: int = 11) -> ToxicityModel:
