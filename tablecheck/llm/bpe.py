@@ -20,13 +20,12 @@ LEAF = 32_768
 WINDOW = 32
 #: Tokens at either end of a window that must come out as they were.
 AGREE = 4
-#: Words whose ids a worker keeps, and the longest of them.
-KEPT_WORDS, KEPT_LENGTH = 300_000, 48
+#: Unusual words whose ids a worker keeps, and the longest of them.
+KEPT_WORDS, KEPT_LENGTH = 100_000, 48
 
 # The split pattern that byte-level vocabularies of this kind are made for.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_TOUCHING = re.compile(r"\s\s")
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
 #: Characters that engines with other Unicode tables might class differently go to the library itself.
 _UNUSUAL = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\\u024f]")
@@ -42,10 +41,10 @@ def _byte_letters() -> dict[str, int]:
 class ByteBpe:
     """Ids as `tokenizers` gives them without added special tokens.
 
-    White space parts pre-tokens, so a space between two other characters is a safe place to
-    cut; the ids of the words between are kept and looked up. Words that are not kept are
-    encoded by `tiktoken` with the same merges, and by the library itself where the two might
-    differ: unusual characters, or a vocabulary that is not plain byte-level BPE."""
+    Texts are encoded by `tiktoken` with the same merges. Where the two might differ the library
+    itself is asked: for words with unusual characters, which are cut out at safe places (a space
+    between two other characters parts pre-tokens), and for vocabularies that are not plain
+    byte-level BPE. Longer stretches than a leaf without a safe place go through the tree."""
 
     def __init__(self, vocabulary: str, leaf: int = LEAF):
         from tokenizers import Tokenizer
@@ -58,7 +57,7 @@ class ByteBpe:
             spec = json.load(f)
         letters, vocab = _byte_letters(), spec["model"]["vocab"]
         self.specials = [t["content"] for t in spec["added_tokens"]]
-        self.fast = self._plain(spec)
+        self.fast = self._byte_level(spec)
         self.bytes: list[bytes] = [b""] * (1 + max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]))
         for token, k in vocab.items():
             known = all(c in letters for c in token)
@@ -75,7 +74,7 @@ class ByteBpe:
         self.words: dict[str, bytes] = {}
 
     @staticmethod
-    def _plain(spec: dict) -> bool:
+    def _byte_level(spec: dict) -> bool:
         model, before, vocab = spec["model"], spec["pre_tokenizer"] or {}, spec["model"]["vocab"]
         made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
         return (
@@ -97,27 +96,32 @@ class ByteBpe:
             return self.library.encode(text, add_special_tokens=False).ids
         return self.engine.encode(text, allowed_special="all")
 
-    def _word(self, word: str) -> bytes:
-        ids = self.whole(word) if len(word) <= self.leaf else self.tree(word)
-        return np.array(ids, "<u4").tobytes()
-
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not self.fast:
             return np.array(self.whole(text), "<u4").tobytes()
-        if _TOUCHING.search(text):
-            cut = _BEFORE_WORD.split(text)
-            first, rest = cut[0], [x[1:] for x in cut[1:]]
-        else:
-            first, *rest = text.split(" ")
-        words = self.words
-        if len(words) > KEPT_WORDS:
-            words.clear()
-        long = {}
-        for word in [w for w in set(rest) if w not in words]:
-            (words if len(word) <= KEPT_LENGTH else long)[word] = self._word(" " + word)
-        get = words.__getitem__ if not long else lambda w: words[w] if w in words else long[w]
-        return b"".join([self._word(first) if first else b"", *map(get, rest)])
+        if len(text) <= self.leaf and not _UNUSUAL.search(text):
+            return self._plain(text)
+        out, run = [], []
+        for word in _BEFORE_WORD.split(text):
+            if len(word) > self.leaf or _UNUSUAL.search(word):
+                out += [self._plain("".join(run)), self._odd(word)]
+                run = []
+            else:
+                run.append(word)
+        return b"".join([*out, self._plain("".join(run))])
+
+    def _plain(self, text: str) -> bytes:
+        return self.engine.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+
+    def _odd(self, word: str) -> bytes:
+        if len(word) > KEPT_LENGTH:
+            return np.array(self.tree(word), "<u4").tobytes()
+        if len(self.words) > KEPT_WORDS:
+            self.words.clear()
+        if word not in self.words:
+            self.words[word] = np.array(self.whole(word), "<u4").tobytes()
+        return self.words[word]
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
