@@ -1,20 +1,22 @@
 """Exact Jaccard join of word-shingle sets: pivots, regions, windows, recursion.
 
-Jaccard distance d = 1 - J is a metric, and documents link when d is at most a radius (0.1 by
-default). Pivots over whole sets alone would not help: nearly all distances between unrelated
-texts are close to 1, so a document lies at the border of every region and the windows would
-copy it everywhere. The regions are therefore laid in projections:
-
-1. The universe of shingles is cut by hash into m blocks, one more than the shingles in which
-   two linked sets of that size can differ. In one block at least, linked sets are equal: their
-   projections lie at distance 0 of one pivot, and its Voronoi region in that block is the set
-   of documents with that very projection. m depends on a class of sizes; a set that is close
-   enough to a smaller class (its distance to the empty pivot is within the window) is copied
-   to that class too. A set is copied to m regions, about a sixth of its size, as a hash each.
+Jaccard distance d = 1 - J is a metric, and documents link when d is at most a radius. Pivots
+that are documents would not part the corpus: nearly all distances between unrelated texts are
+close to 1, so every document lies at the border of every region and the windows would copy it
+everywhere. The first level therefore takes single shingles as pivots, and documents only
+inside its regions:
+
+1. A document of n shingles has distance 1 - 1/n to the pivots {s} that it holds and 1 to all
+   others; ties go to the first pivot in one order for all documents. Its region is that of its
+   first pivot. Linked documents differ in few shingles, so one of the first `nearest(n)`
+   pivots of each is common to both: into this window of regions a document is copied.
+   The order is by hash, with frequent shingles last, so that passages which many documents
+   share make no regions. A document that would have to look too far for rare ones keeps the
+   plain order by hash, and meets all documents by that.
 2. In each region with several sets, one becomes the pivot and the distance of all others to
    it is computed exactly: a link, or a coordinate. Regions whose sets now lie in one component
    are done. The others go on recursively: the pivot, whose links are all known, leaves; new
-   pivots, twice as many each round, meet only sets of other components whose distance to the
+   pivots, four times as many each round, meet only sets of other components whose distance to the
    old pivot lies in the triangle window, |d(x, p) - d(q, p)| <= radius.
 
 No link between different texts is lost: every linked pair shares a region, and in it the pair
@@ -38,8 +40,9 @@ from tablecheck.session import pin
 
 #: Words in a shingle; linked are sets with 100 * intersection >= PERCENT * union.
 WORDS, PERCENT = 5, 80
-#: Tries with another hash for sets that leave a block empty.
-PARTITIONS = 4
+#: A shingle is frequent if more sets than this have it among the elements they look at. This
+#: sets an order only; any value gives the same links.
+FREQUENT = 16
 #: A list of ids up to this size is broadcast (16 MB), a longer one is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 KEPT_WORDS = 500_000
@@ -87,45 +90,14 @@ def shingles(words: int) -> Shingles:
 # --- regions ---
 
 
-def most_different(size: int, percent: int) -> int:
-    """Elements in which a set of `size` and a larger one can differ and still link."""
-    return size * (100 - percent) // percent
-
-
-@lru_cache(maxsize=100_000)
-def size_classes(size: int, percent: int) -> tuple[tuple[int, int], ...]:
-    """(first size, blocks) of the class of `size` and of lower classes that a set linked with
-    it may be in. Classes begin at fixed sizes, each about half as large again."""
-    least, low, out = -(-size * percent // 100), 1, []
-    while low <= size:
-        high = max(low + 1, low * 3 // 2)
-        if high > least:
-            out.append((low, most_different(high - 1, percent) + 1))
-        low = high
-    return tuple(out)
-
-
-def region_keys(found: np.ndarray, percent: int) -> np.ndarray:
-    """A key for each block of each class that the set belongs to.
-
-    A block that is empty makes no region, as unrelated sets would meet there; a set with one
-    also takes part in another partition of the universe, so that two sets whose only equal
-    block is empty meet in that. In the last partition empty blocks count."""
-    out = []
-    for low, m in size_classes(len(found), percent):
-        for again in range(PARTITIONS):
-            own = mixed(found + np.uint64(again)) if again else found
-            block = ((own >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
-            sums = np.zeros(m, np.uint64)
-            np.add.at(sums, block.astype(np.int64), mixed(own ^ np.uint64(0x5851F42D4C957F2D)))
-            filled = np.zeros(m, bool)
-            filled[block.astype(np.int64)] = True
-            use = filled | (again == PARTITIONS - 1)
-            place = np.arange(m, dtype=np.uint64) + np.uint64((low << 24) + (again << 60))
-            out.append(mixed(sums + mixed(place + np.uint64(1)))[use])
-            if filled.all():
-                break
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+def nearest(size: int, percent: int) -> int:
+    """How many first elements of a set, in any order, hold one of every set linked with it."""
+    return size * (100 - percent) // 100 + 1
+
+
+def looked_at(size: int, percent: int) -> int:
+    """How many elements are looked at to find so many that are not frequent."""
+    return min(size, 2 * nearest(size, percent))
 
 
 def _keys(make: Callable[[], SetOf]):
@@ -149,7 +121,7 @@ def _regions(make: Callable[[], SetOf], percent: int):
         set_of = make()
         for batch in in_batches(batches):
             found = [set_of(t) for t in batch.column("text").to_pylist()]
-            regions = [region_keys(x, percent).view(np.int64) for x in found]
+            regions = [x[: looked_at(len(x), percent)].view(np.int64) if len(x) else x.view(np.int64) for x in found]
             ends = np.concatenate([[0], np.cumsum([len(r) for r in regions])]).astype(np.int32)
             yield pa.RecordBatch.from_pydict(
                 {
@@ -224,19 +196,38 @@ def classes(docs: DataFrame, make: Callable[[], SetOf], percent: int) -> DataFra
     firsts = near(pin(copies, "copies"), docs, "doc_id", "left_anti")
     schema = "doc_id bigint, key binary, n bigint, regions array<bigint>"
     spots = named(firsts.mapInArrow(_regions(make, percent), schema))
-    spots = spots.select(F.col("node").alias("x"), "n", F.explode("regions").alias("region"))
-    joined = components(_links(docs, nodes, spots, make, percent))
+    spots = spots.select(F.col("node").alias("x"), "n", F.posexplode("regions").alias("at", "region"))
+    joined = _links(docs, nodes, spots, make, percent)
     found = nodes.select("key", F.col("x").alias("a")).join(joined, "a", "left")
     found = found.select("key", F.coalesce("b", "a").alias("component"))
     return described.join(found, "key", "left").select("doc_id", "n", "component")
 
 
+def _members(spots: DataFrame, percent: int) -> DataFrame:
+    """(region, x, n, leads): the sets of each region that has several, and whether they may be
+    its pivots."""
+    near_ones = F.expr(f"n * {100 - percent} div 100 + 1")
+    seen = spots.groupBy("region").agg(F.count("*").alias("sets")).filter("sets > 1")
+    found = pin(spots.join(seen, "region").withColumn("frequent", F.col("sets") > FREQUENT).drop("sets"), "shared")
+    often = found.filter("frequent").groupBy("x").agg(F.first("n").alias("n"), F.collect_set("at").alias("places"))
+    lacks = F.least("n", 2 * near_ones) - F.size("places") < near_ones
+    often = pin(often.select("x", "places", lacks.alias("plain")), "frequent")
+    found = found.join(often, "x", "left").withColumn("plain", F.coalesce("plain", F.lit(False)))
+    place = F.col("at") - F.coalesce(F.size(F.filter("places", lambda p: p < F.col("at"))), F.lit(0))
+    rare = found.filter(~F.col("frequent") & ~F.col("plain")).filter(place < near_ones)
+    rare = rare.select("region", "x", "n", F.lit(True).alias("leads"))
+    by_hash = found.filter(F.col("at") < near_ones)
+    led = by_hash.filter("plain").select("region").distinct()
+    by_hash = by_hash.join(led, "region", "left_semi")
+    by_hash = by_hash.select(F.xxhash64("region", F.lit("plain")).alias("region"), "x", "n", F.col("plain").alias("leads"))
+    return rare.unionAll(by_hash).distinct()
+
+
 def _links(docs: DataFrame, nodes: DataFrame, spots: DataFrame, make: Callable[[], SetOf], percent: int) -> DataFrame:
-    """(a, b): links that connect what all links connect."""
+    """(a, b): every linked node that is not the least of its component, with the least one."""
     spark = docs.sparkSession
     radius = 1 - percent / 100
-    shared = spots.groupBy("region").agg(F.min("x").alias("least"), F.max("x").alias("most")).filter("least < most")
-    members = pin(spots.join(shared.select("region"), "region").select("region", "x", "n"), "regions")
+    members = pin(_members(spots, percent), "regions")
     wanted = pin(members.select("x").distinct(), "wanted")
     found = near(wanted, nodes.select("x", "key", F.coalesce("doc_id", F.lit(0)).alias("doc_id")), "x", "inner")
     texts_of = found.select(F.col("doc_id").alias("at"), F.lit(True).alias("needed")).distinct()
@@ -244,14 +235,13 @@ def _links(docs: DataFrame, nodes: DataFrame, spots: DataFrame, make: Callable[[
     sets = rows.select("text").mapInArrow(_sets(make), "key binary, elements binary")
     sets = sets.groupBy("key").agg(F.first("elements").alias("elements"))
     sets = pin(sets.join(found.select("key", "x"), "key").select("x", "elements"), "elements")
-    links = spark.createDataFrame([], "a bigint, b bigint")
     tested = spark.createDataFrame([], "p bigint, x bigint")
     stars = spark.createDataFrame([], "a bigint, b bigint")
     members = members.withColumns({"far": F.lit(None).cast("double"), "component": F.col("x")})
     pivots = 1
     while True:
         order = W.partitionBy("region").orderBy(F.xxhash64("x", F.lit(pivots)), "x")
-        chosen = members.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= pivots)
+        chosen = members.filter("leads").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= pivots)
         chosen = pin(chosen.select(
             "region", "rank", F.col("x").alias("p"), F.col("n").alias("p_n"), F.col("far").alias("p_far"),
             F.col("component").alias("p_component")), "pivots")
@@ -265,24 +255,26 @@ def _links(docs: DataFrame, nodes: DataFrame, spots: DataFrame, make: Callable[[
         measured = measured.select("p", "x", "p_elements", "x_elements")
         measured = pin(measured.mapInArrow(_compare, "p bigint, x bigint, common bigint, together bigint"), "compared")
         new = measured.filter(F.col("common") * 100 >= F.col("together") * percent)
-        links = stars.unionAll(new.select(F.col("p").alias("a"), F.col("x").alias("b")))
-        stars = components(links)
+        if not new.isEmpty():
+            stars = components(stars.unionAll(new.select(F.col("p").alias("a"), F.col("x").alias("b"))))
         # what is left of the regions: without the pivots, and without those in one component
         labels = stars.select(F.col("a").alias("x"), F.col("b").alias("root"))
         first = chosen.filter("rank = 1").select("region", F.col("p").alias("q"))
         left = members.drop("far", "component").join(chosen.select("region", F.col("p").alias("x")), ["region", "x"], "left_anti")
         left = left.join(labels, "x", "left").withColumn("component", F.coalesce("root", "x")).drop("root")
-        open_ones = left.groupBy("region").agg(F.min("component").alias("u"), F.max("component").alias("v")).filter("u < v")
+        open_ones = left.groupBy("region").agg(
+            F.min("component").alias("u"), F.max("component").alias("v"), F.max("leads").alias("led"))
+        open_ones = open_ones.filter("u < v and led")
         left = left.join(open_ones.select("region"), "region").join(first, "region")
         far = measured.select(
             F.col("p").alias("e"), F.col("x").alias("f"), (1 - F.col("common") / F.col("together")).alias("far"))
         ends = [F.greatest("x", "q").alias("e"), F.least("x", "q").alias("f")]
-        left = left.select("region", "x", "n", "component", *ends).join(far, ["e", "f"], "left")
-        members = pin(left.select("region", "x", "n", "far", "component"), "open")
+        left = left.select("region", "x", "n", "leads", "component", *ends).join(far, ["e", "f"], "left")
+        members = pin(left.select("region", "x", "n", "leads", "far", "component"), "open")
         if members.isEmpty():
             return stars
         tested = pin(tested.unionAll(measured.select("p", "x")), "tested")
-        pivots *= 2
+        pivots *= 4
 
 
 def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
