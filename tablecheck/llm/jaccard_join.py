@@ -97,7 +97,8 @@ def nearest(size: int, percent: int) -> int:
 
 def looked_at(size: int, percent: int) -> int:
     """How many elements are looked at to find so many that are not frequent."""
-    return min(size, 2 * nearest(size, percent))
+    first = nearest(size, percent)
+    return min(size, first + first // 2 + 1)
 
 
 def _keys(make: Callable[[], SetOf]):
@@ -135,21 +136,48 @@ def _regions(make: Callable[[], SetOf], percent: int):
     return run
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """How many elements fall in each of about n / 2 equal ranges of the hash (a power of two)."""
+    bits = min(16, max(6, (len(found) - 1).bit_length() - 1))
+    places = (found >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(places, minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the elements in which two sets differ, from their sketches alone."""
+    a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (a, b))
+    wide, narrow = (a, b) if len(a) >= len(b) else (b, a)
+    return int(np.abs(wide.reshape(len(narrow), -1).sum(1) - narrow).sum())
+
+
 def _sets(make: Callable[[], SetOf]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         set_of = make()
         for batch in in_batches(batches):
-            found = [set_of(t).tobytes() for t in batch.column("text").to_pylist()]
+            found = [set_of(t) for t in batch.column("text").to_pylist()]
+            data = [x.tobytes() for x in found]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "key": pa.array([xxhash.xxh3_128_digest(x) for x in found], pa.binary()),
-                    "elements": pa.array(found, pa.binary()),
+                    "key": pa.array([xxhash.xxh3_128_digest(x) for x in data], pa.binary()),
+                    "elements": pa.array(data, pa.binary()),
+                    "sketch": pa.array([sketch(x) for x in found], pa.binary()),
                 }
             )
 
     return run
 
 
+def _may_link(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_batches(batches, "x_sketch"):
+            rows = zip(*(batch.column(c).to_pylist() for c in ("p_sketch", "x_sketch", "n")), strict=True)
+            # linked sets with n elements together differ in n (1 - J) / (1 + J) at most
+            may = [least_difference(p, x) * (100 + percent) <= n * (100 - percent) for p, x, n in rows]
+            yield batch.select(["p", "x"]).filter(pa.array(may, pa.bool_()))
+
+    return run
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in in_batches(batches, "x_elements"):
         common, union = [], []
@@ -168,6 +196,23 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _measure(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(p, x, common, together) of the pairs (p, x, n) that may link, n being their sizes' sum.
+
+    Sketches, a sixteenth of a set, rule most pairs out; the sets of the others are shipped."""
+    small = sets.select("x", "sketch")
+    near_ones = pairs.join(small.withColumnRenamed("sketch", "x_sketch"), "x")
+    near_ones = near_ones.join(small.select(F.col("x").alias("p"), F.col("sketch").alias("p_sketch")), "p")
+    near_ones = near_ones.select("p", "x", "n", "p_sketch", "x_sketch")
+    near_ones = pin(near_ones.mapInArrow(_may_link(percent), "p bigint, x bigint"), "near")
+    needed = near_ones.select("x").unionAll(near_ones.select("p")).distinct()
+    own = pin(near(needed, sets.select("x", "elements"), "x", "inner"), "needed")
+    measured = near_ones.join(own.withColumnRenamed("elements", "x_elements"), "x")
+    measured = measured.join(own.select(F.col("x").alias("p"), F.col("elements").alias("p_elements")), "p")
+    measured = measured.select("p", "x", "p_elements", "x_elements")
+    return pin(measured.mapInArrow(_compare, "p bigint, x bigint, common bigint, together bigint"), "compared")
+
+
 def near(ids: DataFrame, rows: DataFrame, on: str, how: str) -> DataFrame:
     """Joins with a list of ids: broadcast if its size allows, else by a shuffle."""
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, on, how)
@@ -206,21 +251,29 @@ def classes(docs: DataFrame, make: Callable[[], SetOf], percent: int) -> DataFra
 def _members(spots: DataFrame, percent: int) -> DataFrame:
     """(region, x, n, leads): the sets of each region that has several, and whether they may be
     its pivots."""
-    near_ones = F.expr(f"n * {100 - percent} div 100 + 1")
+    near_ones = F.expr(f"n * {100 - percent} div 100 + 1")  # as nearest() and looked_at()
+    looked = F.expr(f"least(n, n * {100 - percent} div 100 + 1 + (n * {100 - percent} div 100 + 1) div 2 + 1)")
     seen = spots.groupBy("region").agg(F.count("*").alias("sets")).filter("sets > 1")
     found = pin(spots.join(seen, "region").withColumn("frequent", F.col("sets") > FREQUENT).drop("sets"), "shared")
     often = found.filter("frequent").groupBy("x").agg(F.first("n").alias("n"), F.collect_set("at").alias("places"))
-    lacks = F.least("n", 2 * near_ones) - F.size("places") < near_ones
+    lacks = looked - F.size("places") < near_ones
     often = pin(often.select("x", "places", lacks.alias("plain")), "frequent")
     found = found.join(often, "x", "left").withColumn("plain", F.coalesce("plain", F.lit(False)))
-    place = F.col("at") - F.coalesce(F.size(F.filter("places", lambda p: p < F.col("at"))), F.lit(0))
+    before = F.size(F.filter(F.coalesce("places", F.array().cast("array<int>")), lambda p: p < F.col("at")))
+    place = F.when(F.col("at") < near_ones, 0).otherwise(F.col("at") - before)  # its place among the rare ones
     rare = found.filter(~F.col("frequent") & ~F.col("plain")).filter(place < near_ones)
     rare = rare.select("region", "x", "n", F.lit(True).alias("leads"))
     by_hash = found.filter(F.col("at") < near_ones)
     led = by_hash.filter("plain").select("region").distinct()
     by_hash = by_hash.join(led, "region", "left_semi")
     by_hash = by_hash.select(F.xxhash64("region", F.lit("plain")).alias("region"), "x", "n", F.col("plain").alias("leads"))
-    return rare.unionAll(by_hash).distinct()
+    members = pin(rare.unionAll(by_hash).distinct(), "members")
+    # regions with the same sets, as those of one passage, are one
+    mark = [F.xxhash64("x", "leads", F.lit(seed)).cast("decimal(20,0)") for seed in (1, 2)]
+    same = members.groupBy("region").agg(
+        F.count("*").alias("sets"), *(F.sum(m).alias(f"sum{k}") for k, m in enumerate(mark)))
+    one = same.filter("sets > 1").groupBy("sets", "sum0", "sum1").agg(F.min("region").alias("region"))
+    return members.join(one.select("region"), "region", "left_semi")
 
 
 def _links(docs: DataFrame, nodes: DataFrame, spots: DataFrame, make: Callable[[], SetOf], percent: int) -> DataFrame:
@@ -232,9 +285,9 @@ def _links(docs: DataFrame, nodes: DataFrame, spots: DataFrame, make: Callable[[
     found = near(wanted, nodes.select("x", "key", F.coalesce("doc_id", F.lit(0)).alias("doc_id")), "x", "inner")
     texts_of = found.select(F.col("doc_id").alias("at"), F.lit(True).alias("needed")).distinct()
     rows = near(texts_of, docs.withColumn("at", F.coalesce("doc_id", F.lit(0))), "at", "inner")
-    sets = rows.select("text").mapInArrow(_sets(make), "key binary, elements binary")
-    sets = sets.groupBy("key").agg(F.first("elements").alias("elements"))
-    sets = pin(sets.join(found.select("key", "x"), "key").select("x", "elements"), "elements")
+    sets = rows.select("text").mapInArrow(_sets(make), "key binary, elements binary, sketch binary")
+    sets = sets.groupBy("key").agg(F.first("elements").alias("elements"), F.first("sketch").alias("sketch"))
+    sets = pin(sets.join(found.select("key", "x"), "key").select("x", "elements", "sketch"), "elements")
     tested = spark.createDataFrame([], "p bigint, x bigint")
     stars = spark.createDataFrame([], "a bigint, b bigint")
     members = members.withColumns({"far": F.lit(None).cast("double"), "component": F.col("x")})
@@ -248,12 +301,10 @@ def _links(docs: DataFrame, nodes: DataFrame, spots: DataFrame, make: Callable[[
         window = F.coalesce(F.abs(F.col("far") - F.col("p_far")) <= radius + 1e-9, F.lit(True))
         sizes = F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent
         pairs = members.join(chosen, "region").filter("component != p_component").filter(sizes & window)
-        pairs = pairs.select(F.greatest("p", "x").alias("p"), F.least("p", "x").alias("x")).distinct()
-        pairs = pairs.join(tested, ["p", "x"], "left_anti")
-        measured = pairs.join(sets.withColumnRenamed("elements", "x_elements"), "x")
-        measured = measured.join(sets.select(F.col("x").alias("p"), F.col("elements").alias("p_elements")), "p")
-        measured = measured.select("p", "x", "p_elements", "x_elements")
-        measured = pin(measured.mapInArrow(_compare, "p bigint, x bigint, common bigint, together bigint"), "compared")
+        ends = (F.greatest("p", "x").alias("p"), F.least("p", "x").alias("x"))
+        pairs = pairs.select(*ends, (F.col("n") + F.col("p_n")).alias("n")).distinct()
+        pairs = pin(pairs.join(tested, ["p", "x"], "left_anti"), "pairs")
+        measured = _measure(pairs, sets, percent)
         new = measured.filter(F.col("common") * 100 >= F.col("together") * percent)
         if not new.isEmpty():
             stars = components(stars.unionAll(new.select(F.col("p").alias("a"), F.col("x").alias("b"))))
@@ -273,7 +324,7 @@ def _links(docs: DataFrame, nodes: DataFrame, spots: DataFrame, make: Callable[[
         members = pin(left.select("region", "x", "n", "leads", "far", "component"), "open")
         if members.isEmpty():
             return stars
-        tested = pin(tested.unionAll(measured.select("p", "x")), "tested")
+        tested = pin(tested.unionAll(pairs.select("p", "x")), "tested")
         pivots *= 4
 
 
