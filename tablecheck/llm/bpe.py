@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.llm.common import map_texts, ship, texts
+from tablecheck.llm.common import in_batches, map_texts, ship, texts
 from tablecheck.session import pin
 
 #: Code points of unsplit text that are encoded in one piece.
@@ -38,6 +38,25 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def _token_bytes(spec: dict) -> list[bytes]:
+    """The bytes that each id stands for."""
+    letters, vocab, added = _byte_letters(), spec["model"]["vocab"], spec["added_tokens"]
+    out: list[bytes] = [b""] * (1 + max([*vocab.values(), *(t["id"] for t in added)]))
+    for token, k in vocab.items():
+        known = all(c in letters for c in token)
+        out[k] = bytes(letters[c] for c in token) if known else token.encode()
+    for t in added:
+        out[t["id"]] = t["content"].encode()
+    return out
+
+
+@functools.lru_cache(maxsize=4)
+def token_bytes(vocabulary: str) -> list[bytes]:
+    """For decoding, which needs no encoder."""
+    with open(vocabulary, encoding="utf-8") as f:
+        return _token_bytes(json.load(f))
+
+
 class ByteBpe:
     """Ids as `tokenizers` gives them without added special tokens.
 
@@ -55,15 +74,10 @@ class ByteBpe:
         self.leaf = leaf
         with open(vocabulary, encoding="utf-8") as f:
             spec = json.load(f)
-        letters, vocab = _byte_letters(), spec["model"]["vocab"]
+        vocab = spec["model"]["vocab"]
         self.specials = [t["content"] for t in spec["added_tokens"]]
         self.fast = self._byte_level(spec)
-        self.bytes: list[bytes] = [b""] * (1 + max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]))
-        for token, k in vocab.items():
-            known = all(c in letters for c in token)
-            self.bytes[k] = bytes(letters[c] for c in token) if known else token.encode()
-        for t in spec["added_tokens"]:
-            self.bytes[t["id"]] = t["content"].encode()
+        self.bytes = _token_bytes(spec)
         self.engine = None
         if self.fast:
             import tiktoken
@@ -123,9 +137,6 @@ class ByteBpe:
             self.words[word] = np.array(self.whole(word), "<u4").tobytes()
         return self.words[word]
 
-    def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
-
     # --- tree concatenation ---
 
     def tree(self, text: str) -> list[int]:
@@ -276,9 +287,10 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     rows = encoded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids"))
 
     def run(batches):
-        bpe = byte_bpe(vocabulary)
-        for batch in batches:
-            text = [bpe.decode(x) for x in batch.column("ids").to_pylist()]
+        piece = token_bytes(vocabulary).__getitem__
+        for batch in in_batches(batches, "ids"):
+            rows = (np.frombuffer(x, "<u4").tolist() for x in batch.column("ids").to_pylist())
+            text = [b"".join(map(piece, ids)).decode("utf-8", "replace") for ids in rows]
             yield batch.append_column("text", pa.array(text, pa.string()))
 
     return rows.mapInArrow(run, "doc_id bigint, ids binary, text string")
