@@ -101,35 +101,20 @@ def looked_at(size: int, percent: int) -> int:
     return min(size, first + first // 2 + 1)
 
 
-def _keys(make: Callable[[], SetOf]):
+def _describe(make: Callable[[], SetOf], percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         set_of = make()
         for batch in in_batches(batches):
             found = [set_of(t) for t in batch.column("text").to_pylist()]
+            first = [x[: looked_at(len(x), percent)] if len(x) else x for x in found]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in first])]).astype(np.int32)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
                     "n": pa.array([len(x) for x in found], pa.int64()),
                     "key": pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in found], pa.binary()),
-                }
-            )
-
-    return run
-
-
-def _regions(make: Callable[[], SetOf], percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        set_of = make()
-        for batch in in_batches(batches):
-            found = [set_of(t) for t in batch.column("text").to_pylist()]
-            regions = [x[: looked_at(len(x), percent)].view(np.int64) if len(x) else x.view(np.int64) for x in found]
-            ends = np.concatenate([[0], np.cumsum([len(r) for r in regions])]).astype(np.int32)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "key": pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in found], pa.binary()),
-                    "n": pa.array([len(x) for x in found], pa.int64()),
-                    "regions": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(regions))),
+                    "sketch": pa.array([sketch(x) for x in found], pa.binary()),
+                    "regions": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first).view(np.int64))),
                 }
             )
 
@@ -138,7 +123,7 @@ def _regions(make: Callable[[], SetOf], percent: int):
 
 def sketch(found: np.ndarray) -> bytes:
     """How many elements fall in each of about n / 2 equal ranges of the hash (a power of two)."""
-    bits = min(16, max(6, (len(found) - 1).bit_length() - 1))
+    bits = min(16, max(6, len(found).bit_length() - 1))
     places = (found >> np.uint64(64 - bits)).astype(np.int64)
     return np.minimum(np.bincount(places, minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
@@ -154,15 +139,9 @@ def _sets(make: Callable[[], SetOf]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         set_of = make()
         for batch in in_batches(batches):
-            found = [set_of(t) for t in batch.column("text").to_pylist()]
-            data = [x.tobytes() for x in found]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "key": pa.array([xxhash.xxh3_128_digest(x) for x in data], pa.binary()),
-                    "elements": pa.array(data, pa.binary()),
-                    "sketch": pa.array([sketch(x) for x in found], pa.binary()),
-                }
-            )
+            data = [set_of(t).tobytes() for t in batch.column("text").to_pylist()]
+            keys = [xxhash.xxh3_128_digest(x) for x in data]
+            yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.binary()), "elements": pa.array(data, pa.binary())})
 
     return run
 
@@ -196,21 +175,42 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _measure(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(p, x, common, together) of the pairs (p, x, n) that may link, n being their sizes' sum.
-
-    Sketches, a sixteenth of a set, rule most pairs out; the sets of the others are shipped."""
-    small = sets.select("x", "sketch")
-    near_ones = pairs.join(small.withColumnRenamed("sketch", "x_sketch"), "x")
-    near_ones = near_ones.join(small.select(F.col("x").alias("p"), F.col("sketch").alias("p_sketch")), "p")
-    near_ones = near_ones.select("p", "x", "n", "p_sketch", "x_sketch")
-    near_ones = pin(near_ones.mapInArrow(_may_link(percent), "p bigint, x bigint"), "near")
-    needed = near_ones.select("x").unionAll(near_ones.select("p")).distinct()
-    own = pin(near(needed, sets.select("x", "elements"), "x", "inner"), "needed")
-    measured = near_ones.join(own.withColumnRenamed("elements", "x_elements"), "x")
-    measured = measured.join(own.select(F.col("x").alias("p"), F.col("elements").alias("p_elements")), "p")
-    measured = measured.select("p", "x", "p_elements", "x_elements")
-    return pin(measured.mapInArrow(_compare, "p bigint, x bigint, common bigint, together bigint"), "compared")
+class _Measure:
+    """Exact distances of pairs, with the sets of as few documents as need be.
+
+    Sketches, a sixteenth of a set, rule most pairs out. The sets of the others are made from
+    the texts when a round first needs them, and kept as a table."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, make: Callable[[], SetOf], percent: int):
+        self.docs, self.nodes, self.make, self.percent = docs, nodes, make, percent
+        self.sets: DataFrame | None = None
+
+    def _load(self, wanted: DataFrame) -> None:
+        """Adds the sets of the nodes in `wanted` (x) that are not there yet."""
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("x"), "x", "left_anti")
+        wanted = pin(wanted, "wanted")
+        found = pin(near(wanted, self.nodes.select("x", "key", F.coalesce("doc_id", F.lit(0)).alias("at")), "x", "inner"), "found")
+        rows = near(found.select("at").distinct(), self.docs.withColumn("at", F.coalesce("doc_id", F.lit(0))), "at", "inner")
+        sets = rows.select("text").mapInArrow(_sets(self.make), "key binary, elements binary")
+        sets = sets.groupBy("key").agg(F.first("elements").alias("elements"))
+        new = pin(sets.join(found.select("key", "x"), "key").select("x", "elements"), "elements")
+        self.sets = new if self.sets is None else self.sets.unionAll(new)
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        """(p, x, common, together) of the pairs (p, x, n) that may link, n being their sizes' sum."""
+        small = self.nodes.select("x", "sketch")
+        close = pairs.join(small.withColumnRenamed("sketch", "x_sketch"), "x")
+        close = close.join(small.select(F.col("x").alias("p"), F.col("sketch").alias("p_sketch")), "p")
+        close = close.select("p", "x", "n", "p_sketch", "x_sketch")
+        close = pin(close.mapInArrow(_may_link(self.percent), "p bigint, x bigint"), "close")
+        needed = pin(close.select("x").unionAll(close.select("p")).distinct(), "needed")
+        self._load(needed)
+        own = near(needed, self.sets, "x", "inner")
+        measured = close.join(own.withColumnRenamed("elements", "x_elements"), "x")
+        measured = measured.join(own.select(F.col("x").alias("p"), F.col("elements").alias("p_elements")), "p")
+        measured = measured.select("p", "x", "p_elements", "x_elements")
+        return pin(measured.mapInArrow(_compare, "p bigint, x bigint, common bigint, together bigint"), "compared")
 
 
 def near(ids: DataFrame, rows: DataFrame, on: str, how: str) -> DataFrame:
@@ -223,7 +223,8 @@ def classes(docs: DataFrame, make: Callable[[], SetOf], percent: int) -> DataFra
     links of sets connect them. Rows with an empty set have no component."""
     ship(docs.sparkSession)
     docs = texts(docs)
-    described = pin(docs.mapInArrow(_keys(make), "doc_id bigint, n bigint, key binary"), "sets")
+    schema = "doc_id bigint, n bigint, key binary, sketch binary, regions array<bigint>"
+    described = pin(docs.mapInArrow(_describe(make, percent), schema), "sets")
     some = described.filter("n > 0")
     # one node for each distinct set: its least id, or a hash where one id has several sets
     many = some.groupBy("doc_id").agg(F.min("key").alias("u"), F.max("key").alias("v"))
@@ -236,12 +237,12 @@ def classes(docs: DataFrame, make: Callable[[], SetOf], percent: int) -> DataFra
         same = F.col("doc_id").eqNullSafe(F.col("shared_id"))
         named = lambda rows: rows.join(shared, same, "left").withColumn("node", node).drop("shared_id", "shared")
     some = named(some)
-    nodes = pin(some.groupBy("key").agg(F.min("node").alias("x"), F.min("doc_id").alias("doc_id")), "nodes")
-    copies = some.join(nodes.select("key", "x"), "key").filter("node != x and node = doc_id").select("doc_id").distinct()
-    firsts = near(pin(copies, "copies"), docs, "doc_id", "left_anti")
-    schema = "doc_id bigint, key binary, n bigint, regions array<bigint>"
-    spots = named(firsts.mapInArrow(_regions(make, percent), schema))
-    spots = spots.select(F.col("node").alias("x"), "n", F.posexplode("regions").alias("at", "region"))
+    first = some.groupBy("key").agg(
+        F.min("node").alias("x"), F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"))
+    nodes = pin(first, "nodes")
+    copies = some.join(nodes.select("key", "x"), "key").filter("node != x").select(F.col("node").alias("x")).distinct()
+    spots = near(pin(copies, "copies"), some.withColumn("x", F.col("node")), "x", "left_anti")
+    spots = spots.select("x", "n", F.posexplode("regions").alias("at", "region"))
     joined = _links(docs, nodes, spots, make, percent)
     found = nodes.select("key", F.col("x").alias("a")).join(joined, "a", "left")
     found = found.select("key", F.coalesce("b", "a").alias("component"))
@@ -281,13 +282,7 @@ def _links(docs: DataFrame, nodes: DataFrame, spots: DataFrame, make: Callable[[
     spark = docs.sparkSession
     radius = 1 - percent / 100
     members = pin(_members(spots, percent), "regions")
-    wanted = pin(members.select("x").distinct(), "wanted")
-    found = near(wanted, nodes.select("x", "key", F.coalesce("doc_id", F.lit(0)).alias("doc_id")), "x", "inner")
-    texts_of = found.select(F.col("doc_id").alias("at"), F.lit(True).alias("needed")).distinct()
-    rows = near(texts_of, docs.withColumn("at", F.coalesce("doc_id", F.lit(0))), "at", "inner")
-    sets = rows.select("text").mapInArrow(_sets(make), "key binary, elements binary, sketch binary")
-    sets = sets.groupBy("key").agg(F.first("elements").alias("elements"), F.first("sketch").alias("sketch"))
-    sets = pin(sets.join(found.select("key", "x"), "key").select("x", "elements", "sketch"), "elements")
+    measure = _Measure(docs, nodes, make, percent)
     tested = spark.createDataFrame([], "p bigint, x bigint")
     stars = spark.createDataFrame([], "a bigint, b bigint")
     members = members.withColumns({"far": F.lit(None).cast("double"), "component": F.col("x")})
@@ -304,7 +299,7 @@ def _links(docs: DataFrame, nodes: DataFrame, spots: DataFrame, make: Callable[[
         ends = (F.greatest("p", "x").alias("p"), F.least("p", "x").alias("x"))
         pairs = pairs.select(*ends, (F.col("n") + F.col("p_n")).alias("n")).distinct()
         pairs = pin(pairs.join(tested, ["p", "x"], "left_anti"), "pairs")
-        measured = _measure(pairs, sets, percent)
+        measured = measure(pairs)
         new = measured.filter(F.col("common") * 100 >= F.col("together") * percent)
         if not new.isEmpty():
             stars = components(stars.unionAll(new.select(F.col("p").alias("a"), F.col("x").alias("b"))))
