@@ -20,7 +20,8 @@ from tablecheck.model import EdgeRule, ExtractRules, RunInfo, TableRules  # noqa
 from tablecheck.operators import align as A  # noqa: E402
 from tablecheck.operators import checks as K  # noqa: E402
 from tablecheck.operators import verdict as V  # noqa: E402
-from tablecheck.operators.compare import unmatched_counts  # noqa: E402
+from tablecheck.operators.compare import cell_rules, unmatched_counts  # noqa: E402
+from tablecheck.operators.compare import long_cells as cells_as_rows  # noqa: E402
 from tablecheck.operators.windows import capped_running_balance, numbered  # noqa: E402
 from tablecheck.plans import extracts as E  # noqa: E402
 from tablecheck.plans import netting as N  # noqa: E402
@@ -181,6 +182,19 @@ def psv_extract(spark, sf):
     return L.read_extract(spark, path, rules)
 
 
+@query(
+    """SELECT c_custkey::varchar AS k, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 'a~!~b' ELSE c_mktsegment END AS segment
+    FROM customer"""
+)
+def delimited_by_rules(spark, sf):
+    """A delimiter of its own, and column names from the header line."""
+    rules = ExtractRules("customer", "csv", delimiter=";", skip_header_rows=1, skip_trailer_rows=1)
+    segment = F.when(F.col("c_custkey") % 3 == 0, "a|b").otherwise(F.col("c_mktsegment"))
+    line = F.concat_ws(";", F.col("c_custkey").cast("string"), "c_name", segment)
+    path = _delivered(spark, customer(spark, sf), "c_custkey", line, ["k;name;segment"], "T;{count}")
+    return L.read_extract(spark, path, rules)
+
+
 FIXED = {"k": 10, "name": 25, "nation": 5, "segment": 12}
 
 
@@ -500,7 +514,7 @@ def _recon_keys(how: str) -> Query:
     return make
 
 
-for _how in ("full", "inner", "left"):
+for _how in ("full", "inner", "left", "right"):
     query(
         f"""WITH {O.P_CUSTOMER}, {O.joined("customer", "p", list(O.CUSTOMER), O.on_keys("c_custkey"), _how)}
         SELECT s_c_custkey AS qa_c_custkey, t_c_custkey AS c_custkey, {O.ROW_STATUS} FROM j""",
@@ -623,6 +637,66 @@ def recon_duplicates(spark, sf):
     return results(reconcile(lineitem(spark, sf), changed_lineitem(spark, sf), BY_SUPPLIER, RUN))
 
 
+# A key that both sides repeat: its rows meet by occurrence, in the order of the common columns.
+_BY_ORDER = f"""{O.P_LINEITEM},
+sk AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY ALL),
+tk AS (SELECT l_orderkey, count(*) AS n FROM pl GROUP BY ALL),
+both_many AS (SELECT l_orderkey FROM sk JOIN tk USING (l_orderkey) WHERE sk.n > 1 AND tk.n > 1),
+so AS (SELECT *, CASE WHEN l_orderkey IN (FROM both_many) THEN row_id ELSE 0 END AS occ FROM {O.numbered("lineitem", "l_orderkey")}),
+ot AS (SELECT *, CASE WHEN l_orderkey IN (FROM both_many) THEN row_id ELSE 0 END AS occ FROM {O.numbered("pl", "l_orderkey")}),
+{O.joined("so", "ot", O.LINE_COLUMNS, O.on_keys("l_orderkey", "occ"))}"""
+BY_ORDER = TableRules("lineitem", pk_col=("l_orderkey",))
+
+
+@query(
+    f"""WITH {_BY_ORDER} SELECT t_l_orderkey AS l_orderkey, s_l_orderkey AS qa_l_orderkey, t_l_linenumber AS l_linenumber,
+    s_l_linenumber AS qa_l_linenumber, t_l_extendedprice AS l_extendedprice, s_l_extendedprice AS qa_l_extendedprice,
+    CASE WHEN {O.cell("l_quantity", "typed")} THEN 'PASS' ELSE 'FAIL' END AS status_l_quantity, {O.ROW_STATUS} FROM j"""
+)
+def detail_duplicates(spark, sf):
+    """Every row of repeated keys, as many as the longer side has."""
+    rows = detail(lineitem(spark, sf), changed_lineitem(spark, sf), BY_ORDER)
+    shown_columns = ("l_orderkey", "l_linenumber", "l_extendedprice")
+    names = [n for c in shown_columns for n in (c, f"qa_{c}")]
+    return rows.select(*names, "status_l_quantity", "row_status")
+
+
+@query(
+    f"""WITH {_BY_ORDER} SELECT coalesce(t_l_orderkey, s_l_orderkey)::varchar AS key_l_orderkey, c.column_name,
+      CASE c.column_name WHEN 'l_quantity' THEN s_l_quantity::bigint ELSE s_l_partkey::bigint END AS src_value,
+      CASE c.column_name WHEN 'l_quantity' THEN t_l_quantity::bigint ELSE t_l_partkey::bigint END AS tgt_value,
+      CASE WHEN CASE c.column_name WHEN 'l_quantity' THEN {O.cell("l_quantity", "typed")} ELSE {O.cell("l_partkey", "typed")} END
+        THEN 'PASS' ELSE 'FAIL' END AS status
+    FROM j, (SELECT unnest(['l_partkey', 'l_quantity']) AS column_name) c"""
+)
+def long_cells(spark, sf):
+    """One row per cell of the same pairs."""
+    s, t = C.prefix_source(lineitem(spark, sf)), changed_lineitem(spark, sf)
+    _, rules = cell_rules(s, t, BY_ORDER)
+    rows = cells_as_rows(A.pair_by_key(s, t, ["l_orderkey"]), [r for r in rules if r.column in ("l_partkey", "l_quantity")])
+    whole = {c: F.col(c).cast("double").cast("bigint") for c in ("src_value", "tgt_value")}
+    return rows.withColumns(whole)
+
+
+_BLANK = f"""{O.P_CUSTOMER},
+sb AS (SELECT * REPLACE (CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name END AS c_name) FROM customer WHERE c_custkey % 5 <> 0 OR c_custkey = 5),
+tb AS (SELECT * REPLACE (CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_name END AS c_name) FROM customer
+  WHERE c_custkey % 5 <> 0 OR c_custkey = 10)"""
+
+
+@query(
+    f"""WITH {_BLANK}, {O.joined("sb", "tb", ["c_custkey", "c_name"], "coalesce(s.c_name, '') = coalesce(t.c_name, '')")}
+    SELECT s_c_custkey AS qa_c_custkey, t_c_custkey AS c_custkey, s_c_name AS qa_c_name, t_c_name AS c_name FROM j"""
+)
+def recon_blank_keys(spark, sf):
+    """'' on the source side meets NULL on the target side."""
+    rows, fifth = customer(spark, sf), F.col("c_custkey") % 5 == 0
+    src = rows.filter(~fifth | (F.col("c_custkey") == 5)).withColumn("c_name", F.when(fifth, "").otherwise(F.col("c_name")))
+    tgt = rows.filter(~fifth | (F.col("c_custkey") == 10)).withColumn("c_name", F.when(~fifth, F.col("c_name")))
+    paired = A.pair_by_key(C.prefix_source(src), tgt, ["c_name"]).joined
+    return paired.select("qa_c_custkey", "c_custkey", "qa_c_name", "c_name")
+
+
 # --- alignment without a key ------------------------------------------------
 
 IMPORTANT = ("l_orderkey", "l_returnflag")
@@ -678,6 +752,60 @@ def align_bag_status(spark, sf):
     return results(reconcile(lineitem(spark, sf), changed_lineitem(spark, sf), LINEITEM, RUN))
 
 
+@query(
+    f"""WITH {O.P_CUSTOMER}, t2 AS (SELECT *, 'x' AS extra FROM p),
+    u AS (SELECT c_custkey, c_name, coalesce(c_mktsegment, '') AS m, c_nationkey, c_acctbal, 1 AS a, 0 AS b FROM customer
+      UNION ALL SELECT c_custkey, c_name, coalesce(c_mktsegment, ''), c_nationkey, c_acctbal, 0, 1 FROM p),
+    bag AS (SELECT sum(a) AS a, sum(b) AS b FROM u GROUP BY c_custkey, c_name, m, c_nationkey, c_acctbal),
+    n AS (SELECT sum(least(a, b)) AS good, sum(greatest(a, b) - least(a, b)) AS bad FROM bag)
+    SELECT column_name, overall_status, pass_count, fail_count, null_count FROM (
+      SELECT x.column_name, CASE WHEN x.column_name = 'extra' THEN 'FAIL' ELSE 'FAIL(Count Check)' END AS overall_status,
+        CASE WHEN x.column_name = 'extra' THEN 0 ELSE good END::bigint AS pass_count,
+        CASE WHEN x.column_name = 'extra' THEN good + bad ELSE bad END::bigint AS fail_count,
+        (SELECT count(*) FILTER (WHERE CASE x.column_name WHEN 'c_acctbal' THEN c_acctbal IS NULL
+          WHEN 'c_mktsegment' THEN c_mktsegment IS NULL ELSE false END) FROM p)::bigint AS null_count
+      FROM n, (SELECT unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment', 'extra']) AS column_name) x)"""
+)
+def align_bag_missing_column(spark, sf):
+    """Whole rows as a bag; a target column the source lacks fails."""
+    tgt = changed_customer(spark, sf).withColumn("extra", F.lit("x"))
+    rows = results(reconcile(customer(spark, sf), tgt, TableRules("customer"), RUN))
+    return rows.select("column_name", "overall_status", "pass_count", "fail_count", "null_count")
+
+
+_SAME_ROWS = """SELECT column_name, 'PASS' AS overall_status, n AS pass_count, 0::bigint AS fail_count
+    FROM (SELECT count(*)::bigint AS n FROM orders), (SELECT unnest([{columns}]) AS column_name)"""
+
+
+def _other_form(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The same rows twice: numbers as text on one side, columns in another order on the other."""
+    rows = X.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return rows.withColumn("o_custkey", F.col("o_custkey").cast("string")), rows.select("o_orderstatus", "o_custkey", "o_orderkey")
+
+
+def _same_rows(rows: DataFrame) -> DataFrame:
+    return results(rows).select("column_name", "overall_status", "pass_count", "fail_count")
+
+
+@query(_SAME_ROWS.format(columns="'o_orderkey', 'o_custkey', 'o_orderstatus'"))
+def align_bag_forms(spark, sf):
+    """Text against numbers, and another order of columns, as a bag."""
+    src, tgt = _other_form(spark, sf)
+    return _same_rows(reconcile(src, tgt, TableRules("orders"), RUN))
+
+
+@query(_SAME_ROWS.format(columns="'o_orderkey', 'o_custkey', 'o_orderstatus', 'row_id'"))
+def align_ordinal_forms(spark, sf):
+    src, tgt = _other_form(spark, sf)
+    return _same_rows(reconcile(src, tgt, TableRules("orders"), RUN, align="ordinal"))
+
+
+@query(_SAME_ROWS.format(columns="'o_orderkey', 'o_custkey', 'o_orderstatus', 'row_id'"))
+def align_important_forms(spark, sf):
+    src, tgt = _other_form(spark, sf)
+    return _same_rows(reconcile(src, tgt, TableRules("orders", important_col=("O_CustKey",)), RUN))
+
+
 @query(
     f"""SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice,
     row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {O.LINE_ORDER})::bigint AS rnm FROM lineitem"""
@@ -763,6 +891,27 @@ def verdict(spark, sf):
     return V.verdict(V.latest_run(_log(spark, sf)))
 
 
+@query(
+    f"""WITH {O.RESULTS}, log AS (SELECT * FROM regression WHERE column_name NOT IN ('c_acctbal', 'c_mktsegment')
+      UNION ALL SELECT * FROM checks)
+    SELECT table_name, CASE WHEN bool_or(overall_status LIKE 'FAIL%') THEN 'FAIL' ELSE 'PASS' END AS overall_status
+    FROM log GROUP BY table_name"""
+)
+def verdict_ignore(spark, sf):
+    """Ignored columns do not count; the checks do."""
+    return V.verdict(V.latest_run(_log(spark, sf), ["customer"]), ["c_acctbal", "c_mktsegment"])
+
+
+@query(
+    f"""WITH {O.RESULTS}, log AS (SELECT * FROM regression UNION ALL SELECT * FROM checks
+      UNION ALL SELECT * FROM ({_same_sql("supplier", SUPPLIER, "s_suppkey")}))
+    SELECT CASE WHEN bool_or(overall_status LIKE 'FAIL%') THEN 'FAIL' ELSE 'PASS' END AS overall_status FROM log"""
+)
+def suite_verdict(spark, sf):
+    """One verdict for all tables together."""
+    return V.overall_verdict(V.latest_run(_log(spark, sf)))
+
+
 @query(
     f"""WITH {O.RESULTS} SELECT * FROM regression UNION ALL SELECT * FROM checks
     UNION ALL SELECT * FROM ({_same_sql("supplier", SUPPLIER, "s_suppkey")})
@@ -1096,24 +1245,75 @@ def extract_3(spark, sf):
     return shown(E.number_messages(E.message_extract(_report(spark, sf))), *E.MESSAGE_COLUMNS, "rnm")
 
 
+def _delivered_copy(spark, made: DataFrame, key: str) -> DataFrame:
+    """The delivered file as text: rows of some keys missing, some quantities changed."""
+    quantity = "qty_long" if "qty_long" in made.columns else "occ_qty_reported"
+    path = staging_path(spark, "delivered")
+    changed = F.when(F.col(quantity) % 3 == 0, F.col(quantity) + 1).otherwise(F.col(quantity))
+    rows = made.filter(F.col(key) != made.select(F.min(key)).scalar()) if key else made
+    T.export_delimited(rows.withColumn(quantity, changed), path)
+    return T.read_text_table(spark, path, sep="|")
+
+
+def _extract_sql(made: str, columns: tuple[str, ...], quantity: str, key: tuple[str, ...], order: str, drop: str, not_null: tuple[str, ...]):
+    """Both sides as text, numbered inside the key, joined on all of it."""
+    text = ", ".join(f"coalesce({c}::varchar, '') AS {c}" for c in columns)
+    part = f"PARTITION BY {', '.join(key)} " if key else ""
+    keys = (*key, "rnm")
+    where = f"WHERE {drop} <> (SELECT min({drop}) FROM made)" if drop else ""
+    kinds = {c: "text" for c in (*columns, "rnm")}
+    ctes = f""", made AS ({made}),
+    late AS (SELECT * REPLACE (CASE WHEN {quantity} % 3 = 0 THEN {quantity} + 1 ELSE {quantity} END AS {quantity}) FROM made {where}),
+    es AS (SELECT * REPLACE (rnm::varchar AS rnm) FROM (SELECT *, row_number() OVER ({part}ORDER BY {order}) AS rnm FROM (SELECT {text} FROM made))),
+    et AS (SELECT * REPLACE (rnm::varchar AS rnm) FROM (SELECT *, row_number() OVER ({part}ORDER BY {order}) AS rnm FROM (SELECT {text} FROM late))),
+    {O.joined("es", "et", list(kinds), O.on_keys(*keys))}, {O.cells_sql(kinds)}"""
+    rows = f"""SELECT column_name, overall_status, src_count, tgt_count, pass_count, fail_count
+      FROM ({O.result_sql("es", "et", "extract", not_null)})"""
+    return O.net(rows, extra=ctes)
+
+
+def _extract_recon(spark, sf, which: str, drop: str) -> DataFrame:
+    """All compared columns against a delivered file with changed and missing rows."""
+    report = _report(spark, sf)
+    delivered = _delivered_copy(spark, E.MAKERS[which][0](report), drop)
+    rows = E.reconcile_extract(which, report, delivered, ExtractRules("extract", "psv"), RUN)
+    return results(rows.filter(F.col("type") == "Regression")).select(
+        "column_name", "overall_status", "src_count", "tgt_count", "pass_count", "fail_count"
+    )
+
+
+_POSITION_SQL = """SELECT process_date, bor_client_id, symbol, option_type, expiry_maturity_date, occ_qty_reported, txntyp, actn,
+    id_clr, id_acct, typ, occ_strkprice_report AS strkpx FROM n12"""
+
+
 @query(
-    O.net(
-        """SELECT c.column_name, 'PASS' AS overall_status, n.n AS src_count, n.n AS tgt_count, n.n AS pass_count
-        FROM (SELECT count(*)::bigint AS n FROM n12) n,
-          (SELECT unnest(['process_date', 'bor_client_id', 'symbol', 'option_type', 'expiry_maturity_date',
-            'occ_qty_reported', 'txntyp', 'actn', 'id_clr', 'id_acct', 'typ', 'strkpx', 'rnm']) AS column_name) c"""
+    _extract_sql(
+        _POSITION_SQL, E.POSITION_COLUMNS, "occ_qty_reported", E.POSITION_KEY, "strkpx, occ_qty_reported", "bor_client_id",
+        (*E.POSITION_KEY, "rnm"),
     )
-)
+)
 def extract_1_recon(spark, sf):
-    """The delivered file, written from the same report, must agree in every cell."""
-    report = _report(spark, sf)
-    path = staging_path(spark, "delivered")
-    T.export_delimited(E.position_extract(report), path)
-    delivered = T.read_text_table(spark, path, sep="|")
-    rows = E.reconcile_extract("1", report, delivered, ExtractRules("reporting_occ_1", "psv"), RUN)
-    return results(rows.filter(F.col("type") == "Regression")).select(
-        "column_name", "overall_status", "src_count", "tgt_count", "pass_count"
+    return _extract_recon(spark, sf, "1", "bor_client_id")
+
+
+_CLEARING_SQL = """SELECT 'O' AS type, symbol, occ_strkprice_report AS strike, p_c, series_contract_date, '' AS cusip,
+    occ_qty_reported AS net_quantity, '' AS settlement_date, '' AS net_cash, occ_qty_reported FROM n12"""
+
+
+@query(
+    _extract_sql(
+        _CLEARING_SQL, E.CLEARING_COLUMNS, "occ_qty_reported", (), ", ".join(E.CLEARING_COLUMNS), "", ("rnm",)
     )
+)
+def extract_2_recon(spark, sf):
+    return _extract_recon(spark, sf, "2", "")
+
+
+@query(
+    _extract_sql(MESSAGE_SQL, E.MESSAGE_COLUMNS, "qty_long", E.MESSAGE_KEY, ", ".join(E.MESSAGE_COLUMNS), "instrmt_sym", ())
+)
+def extract_3_recon(spark, sf):
+    return _extract_recon(spark, sf, "3", "instrmt_sym")
 
 
 # --- contract ---------------------------------------------------------------

@@ -12,7 +12,8 @@ AS_OF_DATE = "20240131"
 PROCESS_DATE = "2024-01-31"
 RUN_STAMP = "20240201083000"
 RUN_DATE = "2024-02-01"
-FILE_ROWS = 100_000
+#: Keys of an extract file: few enough that the smallest data have several files.
+FILE_ROWS = 250
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -38,12 +38,12 @@ def blank_nulls(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     )
 
 
-def is_text(data_type: T.DataType) -> bool:
-    return isinstance(data_type, (T.StringType, T.CharType, T.VarcharType))
+def as_text(df: DataFrame) -> DataFrame:
+    return df.select([F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-def is_blank(column: Column) -> Column:
-    return column.isNull() | (F.trim(column.cast("string")) == "")
+def is_text(data_type: T.DataType) -> bool:
+    return isinstance(data_type, (T.StringType, T.CharType, T.VarcharType))
 
 
 def any_null(columns: Sequence[str]) -> Column:

@@ -11,8 +11,10 @@ DELIVERY_SUFFIX = "000000"
 
 
 def parse_date(column: Column) -> Column:
-    """Reads either date format."""
-    return F.coalesce(F.try_to_date(column, DASHED), F.try_to_date(column, COMPACT))
+    """Reads either date format. NULL and '' give NULL, any other text raises an error."""
+    read = F.coalesce(F.try_to_date(column, DASHED), F.try_to_date(column, COMPACT))
+    unread = F.raise_error(F.concat(F.lit("no date: "), column)).cast("date")
+    return F.when(column.isNull() | (column == ""), F.lit(None).cast("date")).otherwise(F.coalesce(read, unread))
 
 
 def _three_forms(day: Column, before: str, after: str) -> dict[str, Column]:

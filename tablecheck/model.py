@@ -46,6 +46,7 @@ TESTCASES = {
     "Duplicate": ("SF_DUP_001", "Duplicate check for the table"),
     "Extract": ("SF_EXT_001", "Header and trailer check for the extract"),
 }
+# Fixed value: the tolerance that holds when the rules name none.
 DEFAULT_TOLERANCE_PERCENT = 0.002
 
 
@@ -70,6 +71,11 @@ class TableRules:
     threshold_val_perc: float = DEFAULT_TOLERANCE_PERCENT
     dupe_check_flag: bool = True
 
+    def __post_init__(self) -> None:
+        """Column names in lower case, as those of the tables are made."""
+        for name in ("pk_col", "non_nullable_col", "important_col", "ignore_col", "threshold_col"):
+            object.__setattr__(self, name, tuple(c.lower() for c in getattr(self, name)))
+
     @classmethod
     def from_mapping(cls, raw: Mapping[str, Any]) -> TableRules:
         def names(key: str) -> tuple[str, ...]:
@@ -110,7 +116,7 @@ class ExtractRules:
     table_name: str
     file_format: str
     extract_file_ext: str = ""
-    delimiter: str = "|"
+    delimiter: str = ""  # '' is that of the format
     primary_key: tuple[str, ...] = ()
     skip_header_rows: int = 0
     skip_trailer_rows: int = 0
@@ -133,7 +139,7 @@ class ExtractRules:
             table_name=raw["table_name"],
             file_format=raw["file_format"],
             extract_file_ext=raw.get("extract_file_ext", ""),
-            delimiter=raw.get("delimiter") or "|",
+            delimiter=raw.get("delimiter") or "",
             primary_key=name_list(raw.get("primary_key")),
             skip_header_rows=int(raw.get("skip_header_rows") or 0),
             skip_trailer_rows=int(raw.get("skip_trailer_rows") or 0),

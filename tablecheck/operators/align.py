@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 
 from tablecheck.functions.columns import is_text, prefix_source
 from tablecheck.model import PREFIX
-from tablecheck.operators.hot import HOT_ROWS, listed, null_safe
+from tablecheck.operators.hot import HOT_ROWS, null_safe
 from tablecheck.operators.windows import numbered
+from tablecheck.session import pin
 
-HEAVY_PAIRS = 10_000
 ROW_ID = "row_id"
 
 
@@ -58,9 +58,10 @@ def key_columns(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> list[tup
 
 @dataclass(frozen=True)
 class Pairing:
-    """`joined`: paired rows. `many_src`, `many_tgt`: the rows of keys that have
-    many rows on both sides, kept apart so that their pairs are counted and
-    never written out."""
+    """`joined`: the pairs of all keys that at least one side has once at most, and rows without
+    a partner. `many_src`, `many_tgt`: the rows of keys that both sides repeat, whose pairs
+    would grow with the product of their rows. Counts take those pairs from value counts
+    (`many_cells`); rows take them by occurrence (`rows`)."""
 
     joined: DataFrame
     keys: tuple[str, ...]
@@ -68,10 +69,35 @@ class Pairing:
     many_src: DataFrame | None = None
     many_tgt: DataFrame | None = None
 
-
-def _wanted(how: str) -> Column:
-    both = F.col("_in_src") & F.col("_in_tgt")
-    return {"full": F.lit(True), "inner": both, "left": F.col("_in_src"), "right": F.col("_in_tgt")}[how]
+    def rows(self) -> DataFrame:
+        """Every row of both sides. In a key that both sides repeat, the n-th row of one side
+        meets the n-th of the other, by the common columns; what one side has more of is left
+        without a partner. So the rows are as many as those of the longer side."""
+        if self.many_src is None or self.many_tgt is None:
+            return self.joined
+        k = [f"_k{i}" for i in range(len(self.keys))]
+        src_columns = [c for c in self.many_src.columns if c not in k]
+        tgt_columns = [c for c in self.many_tgt.columns if c not in k]
+        s_order, t_order = agreed_order(self.many_src.select(src_columns), self.many_tgt.select(tgt_columns))
+        s = numbered(self.many_src, k, s_order, "_n")
+        t = numbered(self.many_tgt, k, t_order, "_n")
+        s = s.withColumnsRenamed({"_n": "_k_n"}).withColumn("_in_src", F.lit(True))
+        t = t.withColumnsRenamed({c: c + "t" for c in k} | {"_n": "_k_nt"}).withColumn("_in_tgt", F.lit(True))
+        paired = _joined(s, t, [*k, "_k_n"], self.how)
+        return self.joined.unionByName(_flagged(paired, [*src_columns, *tgt_columns]))
+
+
+def _flagged(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*columns, *[F.coalesce(f, F.lit(False)).alias(f) for f in ("_in_src", "_in_tgt")])
+
+
+def _joined(left: DataFrame, right: DataFrame, k: Sequence[str], how: str) -> DataFrame:
+    """Keys `k` of the left side against those with `t` added of the right one."""
+    same = null_safe([(F.col(c), F.col(c + "t")) for c in k])
+    if how != "full":
+        return left.join(right, same, how)
+    # a full join can't be split by adaptive execution; its two halves can
+    return left.join(right, same, "left").unionByName(right.join(left, same, "left_anti"), allowMissingColumns=True)
 
 
 def pair_by_key(
@@ -80,65 +106,81 @@ def pair_by_key(
     keys: Sequence[str],
     how: str = "full",
     unique: bool = False,
-    heavy_pairs: int = HEAVY_PAIRS,
-    hot_rows: int | None = HOT_ROWS,
 ) -> Pairing:
-    """Join on the keys, NULL-safe. `unique=True` (keys made unique by a row
-    number) or `hot_rows=None` skips the search for heavy keys."""
+    """Join on the keys, NULL-safe. `unique=True`: the keys are unique by construction.
+
+    A key is treated by what it is, whatever its size. One aggregation counts the rows of both
+    sides by key. Keys repeated on both sides are set apart. Keys repeated in the target alone
+    are joined from the target's side, all others from the source's, so the side that may be
+    skewed is the one that adaptive execution can split."""
     named = key_columns(src, tgt, keys)
     k = [f"_k{i}" for i in range(len(keys))]
     s = src.withColumns({c: e for c, (_, e, _) in zip(k, named)}).withColumn("_in_src", F.lit(True))
     t = tgt.withColumns({c + "t": e for c, (_, _, e) in zip(k, named)}).withColumn("_in_tgt", F.lit(True))
-    columns = [*src.columns, *tgt.columns, "_in_src", "_in_tgt"]
-
-    def flagged(df: DataFrame) -> DataFrame:
-        flags = [F.coalesce(f, F.lit(False)).alias(f) for f in ("_in_src", "_in_tgt")]
-        return df.select(*columns[:-2], *flags)
-
-    def joined(left: DataFrame, right: DataFrame, kind: str) -> DataFrame:
-        return flagged(left.join(right, null_safe([(F.col(c), F.col(c + "t")) for c in k]), kind))
+    columns = [*src.columns, *tgt.columns]
+    if unique:
+        return Pairing(_flagged(_joined(s, t, k, how), columns), tuple(keys), how)
+    marks = _repeated_keys(s, t, k)
+    if marks.isEmpty():
+        return Pairing(_flagged(_joined(s, t, k, how), columns), tuple(keys), how)
 
-    heavy = None if unique or hot_rows is None else _heavy_keys(s, t, k, heavy_pairs, hot_rows)
-    if heavy is None:
-        return Pairing(joined(s, t, how), tuple(keys), how)
+    def classed(df: DataFrame, suffix: str, name: str) -> DataFrame:
+        same = null_safe([(F.col(c + suffix), F.col(f"{c}_h")) for c in k])
+        found = df.join(marks.select(*[F.col(c).alias(f"{c}_h") for c in k], "_class"), same, "left")
+        return pin(found.drop(*[f"{c}_h" for c in k]), name)
 
-    def classed(df: DataFrame, suffix: str) -> DataFrame:
-        marks = F.broadcast(heavy.select(*[F.col(c).alias(f"{c}_h") for c in k], "_class"))
-        return df.join(marks, null_safe([(F.col(c + suffix), F.col(f"{c}_h")) for c in k]), "left")
-
-    s_all, t_all = classed(s, ""), classed(t, "t")
+    s_all, t_all = classed(s, "", "source"), classed(t, "t", "target")
 
     def part(df: DataFrame, name: str | None) -> DataFrame:
-        kept = df.filter(F.col("_class").isNull() if name is None else F.col("_class") == name)
-        return kept.drop("_class", *[f"{c}_h" for c in k])
-
-    # The lone side has at most one row per listed key, so at most MAX_LISTED.
-    many_tgt_rows = joined(F.broadcast(part(s_all, "lone_src")), part(t_all, "lone_src"), "right")
-    many_src_rows = joined(part(s_all, "lone_tgt"), F.broadcast(part(t_all, "lone_tgt")), "left")
-    rows = joined(part(s_all, None), part(t_all, None), how)
-    rows = rows.unionByName(many_tgt_rows.filter(_wanted(how))).unionByName(many_src_rows.filter(_wanted(how)))
+        return df.filter(F.col("_class").isNull() if name is None else F.col("_class") == name).drop("_class")
+
+    rows = _flagged(_joined(part(s_all, None), part(t_all, None), k, how), columns)
+    by_target = _joined(part(s_all, "target"), part(t_all, "target"), k, "right")
+    rows = rows.unionByName(_flagged(by_target, columns).filter(_wanted(how)))
     return Pairing(
         rows,
         tuple(keys),
         how,
-        many_src=part(s_all, "many").select(*src.columns, *k),
-        many_tgt=part(t_all, "many").select(*tgt.columns, *[F.col(c + "t").alias(c) for c in k]),
+        many_src=part(s_all, "both").select(*src.columns, *k),
+        many_tgt=part(t_all, "both").select(*tgt.columns, *[F.col(c + "t").alias(c) for c in k]),
     )
 
 
-def _heavy_keys(s: DataFrame, t: DataFrame, k: list[str], heavy_pairs: int, hot_rows: int) -> DataFrame | None:
+def _wanted(how: str) -> Column:
+    both = F.col("_in_src") & F.col("_in_tgt")
+    return {"full": F.lit(True), "inner": both, "left": F.col("_in_src"), "right": F.col("_in_tgt")}[how]
+
+
+def _repeated_keys(s: DataFrame, t: DataFrame, k: list[str]) -> DataFrame:
+    """Keys that the target repeats, and whether the source does so too; as a table."""
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     sides = s.select(*k, one.alias("_s"), none.alias("_t")).unionAll(
         t.select(*[F.col(c + "t").alias(c) for c in k], none.alias("_s"), one.alias("_t"))
     )
-    counts = sides.groupBy(*k).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t"))
-    pairs = F.col("_s").cast("double") * F.col("_t")
-    both_many = (F.col("_s") > 1) & (F.col("_t") > 1)
-    heavy = counts.filter((both_many & (pairs > heavy_pairs)) | (F.col("_s") + F.col("_t") > hot_rows))
-    heavy = heavy.withColumn(
-        "_class", F.when(both_many, "many").when(F.col("_s") <= 1, "lone_src").otherwise("lone_tgt")
-    ).withColumn("_pairs", pairs)
-    return listed(heavy, F.desc("_pairs"), F.desc(F.col("_s") + F.col("_t")), *k)
+    counts = sides.groupBy(*k).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t")).filter("_t > 1")
+    return pin(counts.select(*k, F.when(F.col("_s") > 1, "both").otherwise("target").alias("_class")), "repeated")
+
+
+def agreed_order(src: DataFrame, tgt: DataFrame) -> tuple[list[Column], list[Column]]:
+    """One order for both sides: by the common columns as the target has them, in a common type
+    (text where they can't be compared as they are), with NULL text as ''; then by the side's
+    other columns by name."""
+    names = {c.removeprefix(PREFIX): c for c in src.columns}
+    common = [c for c in tgt.columns if c in names]
+    orders: list[list[Column]] = [[], []]
+    for name in common:
+        s, t = F.col(names[name]), F.col(name)
+        s_type, t_type = src.schema[names[name]].dataType, tgt.schema[name].dataType
+        if is_text(s_type) or is_text(t_type) or not comparable(s_type, t_type):
+            s, t = F.coalesce(s.cast("string"), F.lit("")), F.coalesce(t.cast("string"), F.lit(""))
+        elif s_type != t_type:
+            wide = common_type(src.sparkSession, s_type, t_type)
+            s, t = s.cast(wide), t.cast(wide)
+        orders[0].append(s)
+        orders[1].append(t)
+    orders[0] += [F.col(c) for c in sorted(src.columns) if c.removeprefix(PREFIX) not in common]
+    orders[1] += [F.col(c) for c in sorted(tgt.columns) if c not in common]
+    return orders[0], orders[1]
 
 
 def blank_text(df: DataFrame) -> DataFrame:
@@ -162,20 +204,21 @@ def occurrence_number(
 def pair_by_important(
     src: DataFrame, tgt: DataFrame, important: Sequence[str], how: str = "full", hot_rows: int | None = HOT_ROWS
 ) -> Pairing:
-    """Keyless: rows are numbered inside the important columns, ordered by all."""
+    """Keyless: rows are numbered inside the important columns, ordered by the common ones."""
     s, t = blank_text(src), blank_text(tgt)
-    s = numbered(s, [PREFIX + c for c in important], s.columns, PREFIX + ROW_ID, hot_rows)
-    t = numbered(t, important, t.columns, ROW_ID, hot_rows)
-    return pair_by_key(s, t, [*important, ROW_ID], how, unique=True)
+    s_order, t_order = agreed_order(s, t)
+    named = key_columns(s, t, important)
+    k = [f"_g{i}" for i in range(len(important))]
+    s = numbered(s.withColumns({c: e for c, (_, e, _) in zip(k, named)}), k, s_order, PREFIX + ROW_ID, hot_rows)
+    t = numbered(t.withColumns({c: e for c, (_, _, e) in zip(k, named)}), k, t_order, ROW_ID, hot_rows)
+    return pair_by_key(s.drop(*k), t.drop(*k), [*important, ROW_ID], how, unique=True)
 
 
-def pair_by_ordinal(
-    src: DataFrame, tgt: DataFrame, how: str = "full", hot_rows: int | None = HOT_ROWS
-) -> Pairing:
+def pair_by_ordinal(src: DataFrame, tgt: DataFrame, how: str = "full") -> Pairing:
     """Keyless: the n-th row of one side meets the n-th row of the other."""
     s, t = blank_text(src), blank_text(tgt)
-    s = numbered(s, [], s.columns, PREFIX + ROW_ID, hot_rows)
-    t = numbered(t, [], t.columns, ROW_ID, hot_rows)
+    s_order, t_order = agreed_order(s, t)
+    s, t = numbered(s, [], s_order, PREFIX + ROW_ID), numbered(t, [], t_order, ROW_ID)
     return pair_by_key(s, t, [ROW_ID], how, unique=True)
 
 

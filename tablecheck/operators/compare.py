@@ -87,7 +87,7 @@ def compare_cells(pairing: Pairing, found: Coverage, rules: Sequence[CellRule])
     """`x, qa_x, status_x, x_null` per column, then ignored and source-only
     columns, then `row_status`; one projection.
 
-    Keys with many rows on both sides are not paired here, see `many_cells`."""
+    Rows of keys that both sides repeat are paired by occurrence, see `Pairing.rows`."""
     columns: list[Column] = []
     for rule in rules:
         source = F.lit(None).cast("string") if rule.kind == "absent" else F.col(PREFIX + rule.column)
@@ -100,7 +100,7 @@ def compare_cells(pairing: Pairing, found: Coverage, rules: Sequence[CellRule])
     compared = {rule.column for rule in rules}
     columns += [F.col(c) for c in found.ignored]
     columns += [F.col(PREFIX + c) for c in found.src_only if c not in compared]
-    return pairing.joined.select(*columns, row_status().alias("row_status"))
+    return pairing.rows().select(*columns, row_status().alias("row_status"))
 
 
 def long_cells(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
@@ -117,12 +117,12 @@ def long_cells(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
         )
         for r in rules
     ]
-    return pairing.joined.select(*keys, F.inline(F.array(*cells)))
+    return pairing.rows().select(*keys, F.inline(F.array(*cells)))
 
 
 def unmatched_counts(pairing: Pairing) -> DataFrame:
     """One row: `src_only` and `tgt_only` rows, and how many of them have a blank
-    key. Keys with many rows on both sides are matched, so they add nothing."""
+    key. Keys that both sides repeat are matched, so they add nothing."""
     blank = F.lit(False)
     for k in pairing.keys:
         value = F.coalesce(F.col(k).cast("string"), F.col(PREFIX + k).cast("string"), F.lit(""))
@@ -187,7 +187,7 @@ def _value_counts(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
 
 
 def many_cells(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame | None:
-    """For keys with many rows on both sides: how often each value occurs per key
+    """For keys that both sides repeat: how often each value occurs per key
     and column on either side. Every pair follows from it, but it only has as
     many rows as there are different cells."""
     if pairing.many_src is None or pairing.many_tgt is None:
@@ -205,7 +205,7 @@ def _cell_total(column: str) -> Column:
 
 
 def _count_many(pairing: Pairing, rules: Sequence[CellRule]) -> list[DataFrame]:
-    """The counters of the pairs of heavy keys, without making the pairs."""
+    """The counters of the pairs of repeated keys, without making the pairs."""
     if pairing.many_src is None or pairing.many_tgt is None:
         return []
     exact = [r for r in rules if r.kind != "tolerance"]

@@ -2,7 +2,9 @@
 
 The lists made here are only hints on which of two exact ways a group takes, so
 a list that misses a group costs time, never rows. They are bounded (the
-largest `MAX_LISTED` groups), which is what makes broadcasting them safe."""
+largest `MAX_LISTED` groups), which is what makes broadcasting them safe. A group
+that is not listed is smaller than all that are, so it holds less than one part in
+`MAX_LISTED` of the rows: no task that windows it has more than that."""
 
 from __future__ import annotations
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.model import CELL_COUNT, RESULT_SCHEMA, TESTCASES, RunInfo, TableRules
-from tablecheck.operators.align import bag_alignment
+from tablecheck.model import CELL_COUNT, PREFIX, RESULT_SCHEMA, TESTCASES, RunInfo, TableRules
+from tablecheck.operators.compare import CellRule
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -77,23 +77,40 @@ def regression_rows(
     return result_rows(rated, "Regression", rules, run)
 
 
-def bag_cells(src: DataFrame, tgt: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Counts per column when whole rows are matched as a bag: a row passes in
-    every column or in none."""
-    bag = bag_alignment(src, tgt, columns)
-    nulls = [F.sum(F.when(F.col(c).isNull(), F.col("n_tgt")).otherwise(0)).alias(f"_n{i}") for i, c in enumerate(columns)]
-    one = bag.agg(
-        F.coalesce(F.sum("matched"), F.lit(0)).alias("_pass"),
-        F.coalesce(F.sum(F.col("src_only") + F.col("tgt_only")), F.lit(0)).alias("_fail"),
-        *nulls,
+def bag_cells(src: DataFrame, tgt: DataFrame, rules: Sequence[CellRule]) -> DataFrame:
+    """Counts per column when whole rows are matched as a bag: a row passes in every column or
+    in none. Cells are grouped by the text that is equal exactly when they pass. A target
+    column that the source lacks has no part in the matching; all its cells fail."""
+    compared = [r for r in rules if r.kind != "absent"]
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def side(df: DataFrame, prefix: str) -> DataFrame:
+        cells = [r.canonical(F.col(prefix + r.column)).alias(f"_c{i}") for i, r in enumerate(compared)]
+        empty = [F.col(r.column).isNull().cast("bigint") if not prefix else none for r in rules]
+        sides = (one, none) if prefix else (none, one)
+        return df.select(
+            *cells, sides[0].alias("_s"), sides[1].alias("_t"), *[e.alias(f"_n{i}") for i, e in enumerate(empty)]
+        )
+
+    both = side(src, PREFIX).unionByName(side(tgt, ""))
+    counts = both.groupBy(*[f"_c{i}" for i in range(len(compared))]).agg(
+        F.sum("_s").alias("_s"), F.sum("_t").alias("_t"), *[F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(rules))]
+    )
+    matched = F.least("_s", "_t")
+    total = counts.agg(
+        F.coalesce(F.sum(matched), none).alias("_pass"),
+        F.coalesce(F.sum(F.greatest("_s", "_t") - matched), none).alias("_fail"),
+        *[F.coalesce(F.sum(f"_n{i}"), none).alias(f"_n{i}") for i in range(len(rules))],
     )
-    rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col("_pass").cast(CELL_COUNT).alias("pass_count"),
-            F.col("_fail").cast(CELL_COUNT).alias("fail_count"),
-            F.coalesce(F.col(f"_n{i}"), F.lit(0)).cast(CELL_COUNT).alias("null_count"),
+    rows = []
+    for i, r in enumerate(rules):
+        absent = r.kind == "absent"
+        rows.append(
+            F.struct(
+                F.lit(r.column).alias("column_name"),
+                (none if absent else F.col("_pass")).cast(CELL_COUNT).alias("pass_count"),
+                (F.col("_pass") + F.col("_fail") if absent else F.col("_fail")).cast(CELL_COUNT).alias("fail_count"),
+                F.col(f"_n{i}").cast(CELL_COUNT).alias("null_count"),
+            )
         )
-        for i, c in enumerate(columns)
-    ]
-    return one.select(F.inline(F.array(*rows)))
+    return total.select(F.inline(F.array(*rows)))

@@ -37,6 +37,7 @@ def verdict(results: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
 
 
 def overall_verdict(results: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
-    """One row for all tables together."""
+    """One row for all tables together; a log without results is a failure, as nothing was checked."""
     failed = F.max(F.col("overall_Status").startswith("FAIL"))
-    return counted_rows(results, ignore).agg(F.when(failed, "FAIL").otherwise("PASS").alias("overall_status"))
+    status = F.when(failed | failed.isNull(), "FAIL").otherwise("PASS")
+    return counted_rows(results, ignore).agg(status.alias("overall_status"))

@@ -50,16 +50,15 @@ def numbered(
 ) -> DataFrame:
     """`row_number() over (partition by group order by order)`.
 
-    Groups (and, without a group, tables) below `hot_rows` rows use that window.
-    Sorted pieces need no window: a row's place in the whole is the size of the
+    Groups below `hot_rows` rows use that window; the others, and a table without a
+    group whatever its size, are sorted in pieces, so that no task has it all. Sorted pieces need no window: a row's place in the whole is the size of the
     pieces before its own plus its place there; its number in the group is that
     less the place of the group's first row."""
     group = list(group)
     if group:
         rest, hot = split_hot(df, group, hot_rows)
     else:
-        large = hot_rows is not None and df.count() >= hot_rows
-        rest, hot = (None, df) if large else (df, None)
+        rest, hot = None, df
     plain = (
         rest.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*order)).cast("bigint"))
         if rest is not None

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.functions.columns import blank_nulls
-from tablecheck.model import ExtractRules, RunInfo
+from tablecheck.functions.columns import as_text, blank_nulls
+from tablecheck.model import ExtractRules, RunInfo, TableRules
 from tablecheck.operators.align import occurrence_number
 from tablecheck.operators.hot import HOT_ROWS
 from tablecheck.operators.windows import numbered
@@ -109,10 +109,13 @@ MAKERS = {
 def reconcile_extract(
     which: str, report: DataFrame, delivered: DataFrame, rules: ExtractRules, run: RunInfo
 ) -> DataFrame:
-    """An extract made from the report against the delivered file. Both sides are
-    text; key columns must not be NULL except in the message file."""
-    make, number, key = MAKERS[which]
-    wanted = rules.table_rules(with_not_null=which != "3")
-    wanted = type(wanted)(rules.table_name, rules.primary_key or key, wanted.non_nullable_col)
-    src, tgt = number(blank_nulls(make(report))), number(blank_nulls(delivered))
+    """An extract made from the report against the delivered file, both as text.
+
+    The key in use, that of the rules or else the file's own, must not be NULL, except in the
+    message file. Only the clearing file is blanked: it is numbered through by all its columns."""
+    make, number, own_key = MAKERS[which]
+    key = tuple(c.lower() for c in rules.primary_key) or own_key
+    wanted = TableRules(rules.table_name, key, () if which == "3" else key)
+    shaped = blank_nulls if which == "2" else as_text
+    src, tgt = number(shaped(make(report))), number(shaped(delivered))
     return run_table(src, tgt, wanted, run, unique=True, compare="text")

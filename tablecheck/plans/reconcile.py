@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from tablecheck.functions.columns import lower_names, prefix_source
 from tablecheck.model import PREFIX, RunInfo, TableRules
 from tablecheck.operators.align import (
-    HEAVY_PAIRS,
     HOT_ROWS,
     Pairing,
     pair_by_important,
@@ -30,15 +29,14 @@ def pair(
     align: str,
     how: str = "full",
     unique: bool = False,
-    heavy_pairs: int = HEAVY_PAIRS,
     hot_rows: int | None = HOT_ROWS,
 ) -> Pairing:
     if align == "key":
-        return pair_by_key(src, tgt, rules.pk_col, how, unique, heavy_pairs, hot_rows)
+        return pair_by_key(src, tgt, rules.pk_col, how, unique)
     if align == "important":
         return pair_by_important(src, tgt, rules.important_col, how, hot_rows)
     if align == "ordinal":
-        return pair_by_ordinal(src, tgt, how, hot_rows)
+        return pair_by_ordinal(src, tgt, how)
     raise ValueError(f"unknown alignment: {align}")
 
 
@@ -52,7 +50,7 @@ def detail(
     src: DataFrame, tgt: DataFrame, rules: TableRules, align: str | None = None, how: str = "full",
     compare: str = "typed", signed: bool = False, unique: bool = False,
 ) -> DataFrame:
-    """The wide comparison, one row per pair of rows."""
+    """The wide comparison, one row per pair of rows; see `Pairing.rows` for repeated keys."""
     s, t = prefix_source(src), lower_names(tgt)
     paired = pair(s, t, rules, choose_alignment(rules, align), how, unique)
     found, cells = _rules_for(paired, s, t, rules, compare, signed)
@@ -78,17 +76,26 @@ def reconcile(
     compare: str = "typed",
     signed: bool = False,
     unique: bool = False,
-    heavy_pairs: int = HEAVY_PAIRS,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """One result row per compared column; one aggregate over one pairing."""
+    """One result row per compared column; one aggregate over one pairing, and one over the
+    value counts of keys that both sides repeat.
+
+    Without a key or important columns whole rows are matched as a bag, whatever their order.
+    Rows within a tolerance are no equal rows, so rules with a tolerance ask for another
+    alignment; nor does a bag know sides to leave out."""
     s, t = prefix_source(src), lower_names(tgt)
     align = choose_alignment(rules, align)
     if align == "bag":
-        found, _ = cell_rules(s, t, rules, compare, signed)
-        cells = bag_cells(s, t, found.compared)
+        found, cell_list = cell_rules(s, t, rules, compare, signed)
+        unfit = [r.column for r in cell_list if r.kind == "tolerance"]
+        if unfit:
+            raise ValueError(f"a bag has no tolerance ({', '.join(unfit)}): name a key or important columns, or use ordinal")
+        if how != "full":
+            raise ValueError("a bag compares all rows of both sides: how must be 'full'")
+        cells = bag_cells(s, t, cell_list)
     else:
-        paired = pair(s, t, rules, align, how, unique, heavy_pairs, hot_rows)
+        paired = pair(s, t, rules, align, how, unique, hot_rows)
         found, cell_list = _rules_for(paired, s, t, rules, compare, signed)
         cells = count_cells(paired, cell_list)
     return regression_rows(cells, s, t, rules, run, found.tgt_only)

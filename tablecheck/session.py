@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,26 +26,27 @@ def build_session(app_name: str = "tablecheck", master: str | None = None, **con
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The folder all executors share: the one the cluster names, else the
-    checkpoint folder already set, else (local runs only) a fresh one."""
+    """This application's folder in storage that all executors share: below the checkpoint folder
+    that the cluster names, else the one that is set, else the warehouse folder."""
     context = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_CONF, None)
-    current = context.getCheckpointDir()
-    if named:
-        if current is None:
-            context.setCheckpointDir(named)
-        return named
-    if current is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-        current = tempfile.mkdtemp(prefix="tablecheck-")
-        context.setCheckpointDir(current)
-    return current
+    root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/tablecheck-{context.applicationId}"
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder; no two calls get the same one."""
-    return f"{staging_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> bool:
+    """Deletes all tables that this application has staged; frames that read them are void."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pin(df: DataFrame, name: str = "stage") -> DataFrame:

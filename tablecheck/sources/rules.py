@@ -14,10 +14,10 @@ LIST_FIELDS = ("pk_col", "non_nullable_col", "important_col", "ignore_col", "thr
 
 
 def table_rules(
-    entries: Iterable[Mapping[str, Any]], table: str, suffix: str = "", synapse_suffix: str = ""
+    entries: Iterable[Mapping[str, Any]], table: str, suffix: str = "", second_suffix: str = ""
 ) -> TableRules | None:
     """The entry named exactly table + suffixes, if any."""
-    wanted = f"{table}{suffix}{synapse_suffix}"
+    wanted = f"{table}{suffix}{second_suffix}"
     found = next((e for e in entries if e["table_name"] == wanted), None)
     return TableRules.from_mapping(found) if found is not None else None
 
@@ -31,11 +31,11 @@ def extract_rules(entries: Iterable[Mapping[str, Any]], table: str, suffix: str
     return ExtractRules.from_mapping(found)
 
 
-def load_table_rules(path: str, table: str, suffix: str = "", synapse_suffix: str = "") -> TableRules:
+def load_table_rules(path: str, table: str, suffix: str = "", second_suffix: str = "") -> TableRules:
     """From a JSON file on the driver; absent rules are an error."""
-    found = table_rules(load_json(path), table, suffix, synapse_suffix)
+    found = table_rules(load_json(path), table, suffix, second_suffix)
     if found is None:
-        raise LookupError(f"no rules for {table}{suffix}{synapse_suffix} in {path}")
+        raise LookupError(f"no rules for {table}{suffix}{second_suffix} in {path}")
     return found
 
 

@@ -189,18 +189,28 @@ def escape_pipes(df: DataFrame, mark: str = PIPE_MARK) -> DataFrame:
     return df.select([F.replace(F.col(c), F.lit("|"), F.lit(mark)).alias(c) for c in df.columns])
 
 
+def header_names(edges: DataFrame, rules: ExtractRules, sep: str) -> list[str]:
+    """Column names from the last header line, which all files must agree on."""
+    last = edges.filter((F.col("part") == "header") & (F.col("line_no") == rules.skip_header_rows))
+    found = [r.value for r in last.select("value").distinct().limit(2).collect()]
+    if len(found) != 1:
+        raise ValueError(f"{rules.table_name}: no column names, and {len(found) or 'no'} header lines to take them from")
+    return [n.strip().strip('"') for n in found[0].split(sep)]
+
+
 def read_extract(spark: SparkSession, path: str, rules: ExtractRules) -> DataFrame:
-    """A delivered extract as a flat text table, whatever its format."""
+    """A delivered extract as a flat text table, whatever its format. Without column names the
+    last header line names the columns of delimited files."""
     if rules.file_format == "xml":
         from tablecheck.sources.xml import flatten_xml
 
         return flatten_xml(spark, path, rules.row_tag, rules.root_tag or None, rules.row_schema or None)
-    data, _ = split_lines(read_lines(spark, path), rules)
+    data, edges = split_lines(read_lines(spark, path), rules)
     names = rules.tbl_column_names
-    if rules.file_format == "csv":
-        return escape_pipes(parse_delimited(data, names, ","))
-    if rules.file_format == "psv":
-        return parse_delimited(data, names, "|")
+    if rules.file_format in ("csv", "psv"):
+        sep = rules.delimiter or {"csv": ",", "psv": "|"}[rules.file_format]
+        rows = parse_delimited(data, names or header_names(edges, rules, sep), sep)
+        return rows if sep == "|" else escape_pipes(rows)
     if rules.file_format in ("fwf", "fw_csv"):
         return parse_fixed_width(data, rules.fixed_widths, names, drop_commas=rules.file_format == "fw_csv")
     raise ValueError(f"unknown extract format: {rules.file_format}")

@@ -84,3 +84,23 @@ def test_suite_and_log(spark, tmp_path):
     export_results(verdict(log), str(tmp_path / "verdict"))
     back = spark.read.csv(str(tmp_path / "verdict"), header=True, sep="|")
     assert {tuple(r) for r in back.collect()} == {("same", "PASS"), ("short", "FAIL"), ("bag", "PASS")}
+
+
+def test_an_empty_log_is_no_pass(spark):
+    from tablecheck.model import RESULT_SCHEMA
+    from tablecheck.operators.verdict import overall_verdict
+
+    assert overall_verdict(spark.createDataFrame([], RESULT_SCHEMA)).first().overall_status == "FAIL"
+
+
+def test_null_keys_of_a_delivered_file_fail(spark):
+    from tablecheck.model import ExtractRules, RunInfo
+    from tablecheck.plans import extracts as E
+
+    one = {c: "1" for c in E.POSITION_COLUMNS if c != "strkpx"} | {"occ_strkprice_report": "1"}
+    report = spark.createDataFrame([one])
+    delivered = E.position_extract(report).withColumn("bor_client_id", E.F.lit(None).cast("string"))
+    run = RunInfo("20240131", "2024-02-01 08:30:00")
+    rows = E.reconcile_extract("1", report, delivered, ExtractRules("x", "psv"), run)
+    null = rows.filter("type = 'Null'").first()
+    assert (null.overall_Status, int(null.null_count)) == ("FAIL", 1)

@@ -174,3 +174,17 @@ def test_xsd(spark, tmp_path):
     schema = spark.createDataFrame([], "n string").schema
     bad = M.xsd_failures(spark, str(folder), "r", schema, M.ship_xsd(spark, xsd)).collect()
     assert len(bad) == 1 and "oops" in bad[0][0]
+
+
+def test_names_and_delimiter_come_from_the_rules(spark, tmp_path):
+    rules = ExtractRules("t", "psv", delimiter=";", skip_header_rows=1)
+    path = write(tmp_path / "semi", "a.txt", ["k;v", "1;a|b", "2;"])
+    write(tmp_path / "semi", "b.txt", ["k;v", "3;c"])
+    got = sorted(tuple(r) for r in L.read_extract(spark, path, rules).collect())
+    assert got == [("1", "a~!~b"), ("2", None), ("3", "c")]
+    assert L.read_extract(spark, path, rules).columns == ["k", "v"]
+    write(tmp_path / "semi", "c.txt", ["k;other", "4;d"])
+    with pytest.raises(ValueError, match="no column names"):
+        L.read_extract(spark, path, rules)
+    with pytest.raises(ValueError, match="no column names"):
+        L.read_extract(spark, path, ExtractRules("t", "psv"))

@@ -58,20 +58,19 @@ def expected(src, tgt, how, percent=0.01):
 
 
 @pytest.mark.parametrize("how", ["full", "inner", "left", "right"])
-@pytest.mark.parametrize("heavy", [(10**9, 10**9), (10, 50), (1, 1)])
-def test_counts_equal_all_pairs(spark, how, heavy):
+def test_counts_equal_all_pairs(spark, how):
     src, tgt = spark.createDataFrame(SRC, SCHEMA), spark.createDataFrame(TGT, SCHEMA)
     s = prefix_source(src)
-    paired = pair_by_key(s, tgt, ["k"], how, heavy_pairs=heavy[0], hot_rows=heavy[1])
-    assert (paired.many_src is not None) == (heavy[0] < 10**9)
+    paired = pair_by_key(s, tgt, ["k"], how)
+    assert paired.many_src is not None
     _, cells = cell_rules(s, tgt, RULES)
     got = {r[0]: tuple(int(x) for x in r[1:]) for r in count_cells(paired, cells).collect()}
     assert got == expected(SRC, TGT, how)
 
 
-def test_heavy_keys_make_no_pairs(spark):
+def test_repeated_keys_make_no_pairs(spark):
     s, tgt = prefix_source(spark.createDataFrame(SRC, SCHEMA)), spark.createDataFrame(TGT, SCHEMA)
-    paired = pair_by_key(s, tgt, ["k"], heavy_pairs=10, hot_rows=50)
+    paired = pair_by_key(s, tgt, ["k"])
     assert paired.joined.count() < len(SRC) + len(TGT)
     _, cells = cell_rules(s, tgt, RULES)
     counted = many_cells(paired, cells)
@@ -79,6 +78,59 @@ def test_heavy_keys_make_no_pairs(spark):
     assert tuple(totals) == (sum(r[0] == "h" for r in SRC), sum(r[0] == "h" for r in TGT))
 
 
+@pytest.mark.parametrize("n", [2, 100, 101, 200])
+def test_detail_has_every_row_of_a_repeated_key(spark, n):
+    """One rule at every size: by occurrence, the surplus without a partner."""
+    src = spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    tgt = spark.range(n + 3).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    rows = detail(src, tgt, TableRules("t", pk_col=("k",)))
+    got = {r.row_status: r["count"] for r in rows.groupBy("row_status").count().collect()}
+    assert got == {"matched": n, "tgt_only": 3}
+    assert rows.filter("row_status = 'matched' and status_v = 'FAIL'").count() == 0
+
+
+def test_many_repeated_keys_stay_linear(spark):
+    df = spark.range(36_000).select((F.col("id") % 12_000).alias("k"), F.col("id").alias("v"))
+    rows = detail(df, df, TableRules("t", pk_col=("k",)))
+    assert rows.count() == 36_000
+    assert rows.filter("status_v = 'FAIL' or row_status != 'matched'").count() == 0
+
+
+def test_bag_with_a_target_only_column_fails(spark):
+    src = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    tgt = src.withColumn("extra", F.lit("x"))
+    got = {r.column_name: (r.overall_Status, int(r.fail_count)) for r in reconcile(src, tgt, TableRules("t"), RUN).collect()}
+    assert got == {"k": ("PASS", 0), "v": ("PASS", 0), "extra": ("FAIL", 2)}
+
+
+def test_bag_compares_by_value(spark):
+    src = spark.createDataFrame([("1", 1.0), ("x1", 2.0), (None, -0.0)], "k string, v double")
+    tgt = spark.createDataFrame([(1, 1), (7, 2), (None, 0)], "k int, v int")
+    got = {r.column_name: (int(r.pass_count), int(r.fail_count)) for r in reconcile(src, tgt, TableRules("t"), RUN).collect()}
+    assert got == {"k": (2, 2), "v": (2, 2)}
+
+
+def test_bag_refuses_what_it_cannot_do(spark):
+    df = spark.createDataFrame([(1, 1.0)], "k int, v double")
+    with pytest.raises(ValueError, match="tolerance"):
+        reconcile(df, df, TableRules("t", threshold_col=("v",)), RUN)
+    with pytest.raises(ValueError, match="how"):
+        reconcile(df, df, TableRules("t"), RUN, how="left")
+
+
+@pytest.mark.parametrize("align", ["ordinal", "important"])
+def test_keyless_order_ignores_column_order_and_type(spark, align):
+    src = spark.createDataFrame([(str(i), i % 3) for i in range(1, 21)], "a string, b int")
+    tgt = spark.createDataFrame([(i % 3, i) for i in range(1, 21)], "b int, a int")
+    rows = reconcile(src, tgt, TableRules("t", important_col=("B",)), RUN, align=align).collect()
+    assert {r.overall_Status for r in rows} == {"PASS"}
+
+
+def test_rule_names_may_be_in_capitals(spark):
+    df = spark.createDataFrame([(1, "a")], "K int, V string")
+    assert {r.overall_Status for r in reconcile(df, df, TableRules("t", pk_col=("K",)), RUN).collect()} == {"PASS"}
+
+
 def test_signed_tolerance_and_text_mode(spark):
     src = spark.createDataFrame([(1, -5.0, 1.5), (2, None, 2.0)], "k int, amount double, d double")
     tgt = spark.createDataFrame([(1, 5.0, 1.5), (2, 0.0, 2.0)], "k int, amount double, d double")

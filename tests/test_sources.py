@@ -139,3 +139,13 @@ def test_tables_and_views(spark, tmp_path):
     assert T.read_table(spark, "global_temp.everyone").count() == 5
     assert T.read_query(spark, "select max(k) as m from {t}", t=df).first().m == 4
     spark.sql("drop database checks_db cascade")
+
+
+def test_unreadable_dates_raise(spark):
+    from tablecheck.functions.dates import with_previous_params
+
+    days = spark.createDataFrame([("20240131", "")], "as_of_date string, prev string")
+    assert with_previous_params(days, previous=F.col("prev")).first()["previous_as_of_date"] == ""
+    odd = spark.createDataFrame([("20240131", "soon")], "as_of_date string, prev string")
+    with pytest.raises(Exception, match="no date: soon"):
+        with_previous_params(odd, previous=F.col("prev")).collect()

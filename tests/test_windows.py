@@ -38,9 +38,10 @@ def test_copies_are_cut(spark, cut_often):
     assert sum(r["count"] for r in sizes) == 1000
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1])
-def test_ordinal_equals_global_row_number(rows, hot_rows):
-    got = numbered(rows, [], rows.columns, hot_rows=hot_rows).collect()
+def test_ordinal_equals_global_row_number(rows):
+    numbers = numbered(rows, [], rows.columns)
+    assert "SinglePartition" not in numbers._jdf.queryExecution().executedPlan().toString().split("Window")[0]
+    got = numbers.collect()
     assert sorted(r["row_id"] for r in got) == list(range(1, len(ROWS) + 1))
     by_id = sorted(got, key=lambda r: r["row_id"])
     assert [(r["g"], r["a"], r["b"]) for r in by_id] == sorted(ROWS, key=sort_key)
