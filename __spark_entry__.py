@@ -1329,7 +1329,7 @@ def _text_queries():
     """Those of the subpackage for training text, where it is there."""
     import importlib.util
 
-    if importlib.util.find_spec("tablecheck.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+    if any(importlib.util.find_spec(n) is None for n in ("tablecheck.llm", "tablecheck.llm.queries", "corpus_pipeline")):
         return {}, {}
     from tablecheck.llm import queries as texts
 
