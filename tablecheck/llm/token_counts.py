@@ -42,7 +42,8 @@ class PieceCounter:
             return [text]
         if "  " not in text and text[:1] != " " and text[-1:] != " ":
             return text.split(" ") if text else []
-        parts = re.findall(r" *[^ ]+| +$", text)
+        # spaces at the end stay with what is before them: alone, one of them would have no token
+        parts = re.findall(r" *[^ ]+(?: +\Z)?| +\Z", text)
         return [parts[0], *(p[1:] for p in parts[1:])] if parts else []
 
     def counts(self, values: list[str]) -> list[int]:
