@@ -30,7 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -111,6 +111,7 @@ def _describe(make: Callable[[], SetOf], percent: int):
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
+                    "mark": batch.column("mark"),
                     "n": pa.array([len(x) for x in found], pa.int64()),
                     "key": pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in found], pa.binary()),
                     "sketch": pa.array([sketch(x) for x in found], pa.binary()),
@@ -218,13 +219,19 @@ def near(ids: DataFrame, rows: DataFrame, on: str, how: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, on, how)
 
 
+def text_mark(column: str) -> Column:
+    """The SHA-256 of a text."""
+    return F.unhex(F.sha2(F.col(column), 256))
+
+
 def classes(docs: DataFrame, make: Callable[[], SetOf], percent: int) -> DataFrame:
-    """(doc_id, n, component): the size of each row's set, and a number that rows share if
-    links of sets connect them. Rows with an empty set have no component."""
+    """(doc_id, mark, n, component): what tells each row's text from others, the size of its set,
+    and a number that rows share if links of sets connect them, whatever their ids. Rows with
+    an empty set have no component."""
     ship(docs.sparkSession)
     docs = texts(docs)
-    schema = "doc_id bigint, n bigint, key binary, sketch binary, regions array<bigint>"
-    described = pin(docs.mapInArrow(_describe(make, percent), schema), "sets")
+    schema = "doc_id bigint, mark binary, n bigint, key binary, sketch binary, regions array<bigint>"
+    described = pin(docs.withColumn("mark", text_mark("text")).mapInArrow(_describe(make, percent), schema), "sets")
     some = described.filter("n > 0")
     # one node for each distinct set: its least id, or a hash where one id has several sets
     many = some.groupBy("doc_id").agg(F.min("key").alias("u"), F.max("key").alias("v"))
@@ -246,7 +253,7 @@ def classes(docs: DataFrame, make: Callable[[], SetOf], percent: int) -> DataFra
     joined = _links(docs, nodes, spots, make, percent)
     found = nodes.select("key", F.col("x").alias("a")).join(joined, "a", "left")
     found = found.select("key", F.coalesce("b", "a").alias("component"))
-    return described.join(found, "key", "left").select("doc_id", "n", "component")
+    return described.join(found, "key", "left").select("doc_id", "mark", "n", "component")
 
 
 def _members(spots: DataFrame, percent: int) -> DataFrame:
@@ -340,18 +347,30 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id") -> DataFrame:
-    """`docs` with one document of each group of linked ones: that with the least id.
-
-    Of rows with the same id in one group, exact repeats among them, one stays. Documents
-    without words stay. All columns stay as they are."""
-    linked = link_documents(docs.select(F.col(id_col).alias("doc_id"), "text"), words, percent)
-    linked = pin(linked.filter("n_shingles > 0 and doc_id is not null"), "linked")
-    drop = linked.filter("component_id < doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    again = linked.filter("component_id = doc_id").groupBy("doc_id").count().filter("count > 1")
-    again = again.select(F.col("doc_id").alias("__id"))
-    ids = F.col(id_col) == F.col("__id")
-    kept = docs.join(drop if drop.count() > BROADCAST_ROWS else F.broadcast(drop), ids, "left_anti")
+    """`docs` with one document of each group of linked ones: that with the least id, and of
+    several texts with that id the one with the least hash.
+
+    Groups are those of the texts, whatever their ids: different texts that share an id are
+    apart unless links connect them, and rows without an id stay only in groups where no row
+    has one. Exact repeats of the row that stays go. Documents without words stay. All columns
+    stay as they are."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), "text")
+    linked = classes(rows, lambda: shingles(words), percent).filter("component is not null")
+    # one text has one set, and so one component
+    held = linked.groupBy("doc_id", "mark").agg(F.min("component").alias("component"), F.count("*").alias("rows"))
+    held = pin(held, "linked")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "mark")).alias("least")
+    chosen = held.groupBy("component").agg(least)
+    chosen = pin(chosen.select(F.col("least.doc_id").alias("__id"), F.col("least.mark").alias("__mark")), "chosen")
+    this = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark"))
+    named = [F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")]
+    drop = pin(held.join(chosen, this, "left_anti").select(*named), "drop")
+    again = pin(held.filter("rows > 1").join(chosen, this, "left_semi").select(*named), "again")
+    marked = docs.withColumns({"__own_id": F.col(id_col).cast("bigint"), "__own_mark": text_mark("text")})
+    same = F.col("__own_id").eqNullSafe(F.col("__id")) & (F.col("__own_mark") == F.col("__mark"))
+    few = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_ROWS // 4 else ids
+    kept = marked.join(few(drop), same, "left_anti")
     if again.isEmpty():
-        return kept
-    repeated = kept.join(again, ids, "left_semi").dropDuplicates([id_col])
-    return kept.join(again, ids, "left_anti").unionByName(repeated)
+        return kept.select(*docs.columns)
+    repeated = kept.join(few(again), same, "left_semi").dropDuplicates(["__own_id", "__own_mark"])
+    return kept.join(few(again), same, "left_anti").unionByName(repeated).select(*docs.columns)

@@ -120,7 +120,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Sets are partitioned by length, and a set is also compared in lower partitions that its
     length allows; see `jaccard_join` for the comparison. Without words: no component."""
-    return classes(docs, spotsigs, percent).withColumnRenamed("n", "n_signatures")
+    return classes(docs, spotsigs, percent).drop("mark").withColumnRenamed("n", "n_signatures")
 
 
 # --- each document against its edited text and the next one ---

@@ -88,6 +88,24 @@ def test_one_of_each_group_stays(spark):
     assert jaccard_join.one_of_each(docs_of(spark, [])).collect() == []
 
 
+def test_one_of_each_tells_texts_that_share_an_id_apart(spark):
+    a, b, c, d = (prose(k, 80) for k in (11, 12, 13, 14))
+    given = [(a, 5), (b, 5), (c, 5), (edited(a, 1, 1), 3), ("", 5), (None, 5), (b, 5), (b.upper(), 5),
+             (d, None), (d, None), (c, None), ("", None)]
+    kept = jaccard_join.one_of_each(docs_of(spark, [t for t, _ in given], [i for _, i in given]))
+    rows = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(((i, (t or "").upper()) for i, t in rows), key=str) == sorted(
+        [(3, edited(a, 1, 1).upper()), (5, b.upper()), (5, c.upper()), (5, ""), (5, ""), (None, d.upper()), (None, "")],
+        key=str,
+    )
+
+
+def test_one_of_each_with_one_id_on_all_rows(spark):
+    texts = [prose(500 + k, 60) for k in range(20)]
+    kept = jaccard_join.one_of_each(docs_of(spark, [*texts, *texts], [7] * 40))
+    assert sorted(r.text for r in kept.collect()) == sorted(texts)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(100, 160)] + [(5, k) for k in range(6, 40)] + [(3, 3), (None, 4)]
     got = {r.a: r.b for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
