@@ -48,55 +48,67 @@ _TOKEN = re.compile(
 _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 
 
-def _no_article(name: str, attributes: str) -> bool:
+def _no_article(name: str, attributes: str) -> str:
+    """Why an element is no article: `hard`, by what it is; `whole`, by a class or id; `part`, by
+    a word in one; or ''."""
     if name in BOILERPLATE:
-        return True
+        return "hard"
     if "=" not in attributes and "hidden" not in attributes.lower():
-        return False
+        return ""
+    found = ""
     for m in _NAMED.finditer(attributes):
         kind, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if kind == "role" and value in ROLES or kind == "hidden" or kind == "aria-hidden" and value == "true":
-            return True
+            return "hard"
         if kind in ("class", "id") and name not in ("html", "body") and name not in MAIN:
-            if not NAMES.isdisjoint(re.split(r"[\s_-]+", value)):
-                return True
-    return False
+            if not NAMES.isdisjoint(value.split()):
+                found = "whole"
+            elif not found and not NAMES.isdisjoint(re.split(r"[\s_-]+", value)):
+                found = "part"
+    return found
 
 
 def units(page: str) -> list[tuple[str, str, int]]:
     """(type, raw text, words) for each run of text and (type, '', 0) for each tag, in page order.
 
     The type of a text says where it stands: `skip` below a part that is no article, `link`
-    in a link, `in` or `out` of an article element, `free` on a page without one. A part that
-    is never closed ends with what it lies in."""
+    in a link, `in` or `out` of an article element, `free` on a page without one. Tags of a
+    part that is no article are `skip` too, and the inline ones are left out. A part that is
+    never closed ends with what it lies in.
+
+    A class or id around an outermost article or main does not make it no article, nor does a
+    mere word in one around an article inside another (`comments` does, `has-sidebar` not)."""
     out: list[tuple[str, str, int]] = []
-    stack: list[tuple[str, bool]] = []
-    skipped = inside = links = 0
+    stack: list[tuple[str, tuple[int, int, int, int, int]]] = []  # open elements, and what held before each
+    hard = whole = part = inside = links = 0
     has_main = re.search(r"<(?:article|main)\b", page, re.I) is not None
 
     def cut(to: int) -> None:
-        nonlocal skipped, inside, links
-        for name, skip in stack[to:]:
-            skipped -= skip
-            inside -= name in MAIN
-            links -= name == "a"
+        nonlocal hard, whole, part, inside, links
+        hard, whole, part, inside, links = stack[to][1]
         del stack[to:]
 
+    def tag(kind: str) -> None:
+        if not (hard or whole or part):
+            out.append((kind, "", 0))
+        elif kind.lstrip("/") not in INLINE:
+            out.append(("skip", "", 0))
+
     for m in _TOKEN.finditer(page):
         name = m[3]
         if name is None:
             text = m[0]
             if m[1] or text[:2] in ("<!", "<?", "</"):
                 continue
-            place = "skip" if skipped else "link" if links else "in" if inside else "out" if has_main else "free"
+            place = "skip" if hard or whole or part else "link" if links else "in" if inside else "out" if has_main else "free"
             out.append((place, text, len(text.split())))
             continue
         name = name.lower()
         if m[2]:
+            tag(f"/{name}")
             at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if at is not None and not (name in INLINE and any(x not in INLINE for x, _ in stack[at:])):
                 cut(at)
-            out.append((f"/{name}", "", 0))
             continue
         if name not in INLINE:  # a block ends an open paragraph, an item ends an open item
             for k in range(len(stack) - 1, -1, -1):
@@ -106,20 +118,25 @@ def units(page: str) -> list[tuple[str, str, int]]:
                     break
                 if open_name not in INLINE:
                     break
-        out.append((name, "", 0))
-        if name not in VOID and not m[4].endswith("/"):
-            skip = _no_article(name, m[4])
-            stack.append((name, skip))
-            skipped += skip
-            inside += name in MAIN
-            links += name == "a"
+        if name in VOID or m[4].endswith("/"):
+            tag(name)
+            continue
+        skip = _no_article(name, m[4])
+        stack.append((name, (hard, whole, part, inside, links)))
+        if name in MAIN:
+            part = 0
+            whole = whole if inside else 0
+        hard, whole, part = hard + (skip == "hard"), whole + (skip == "whole"), part + (skip == "part")
+        inside += name in MAIN
+        links += name == "a"
+        tag(name)
     return out
 
 
 def learn(pages: list[str]) -> dict[str, float]:
     """Log odds of each type for standing inside the article of labelled pages, which are those
     that mark it by an article or main element. Words of the article score positive at least
-    a little, all tags and other words negative. Types never seen take the default ones."""
+    a little, all tags and other words negative, skipped parts nothing. Types never seen take the default ones."""
     within, beyond = Counter(), Counter()
     for page in pages:
         found = units(page)
@@ -138,13 +155,15 @@ def learn(pages: list[str]) -> dict[str, float]:
         odds = max(-MOST, min(MOST, odds))
         if kind == "in":
             weights[kind] = max(0.5, odds)
-        elif kind in ("skip", "out") or kind not in DEFAULT:
+        elif kind == "skip":  # cut out of any region anyway
+            weights[kind] = 0.0
+        elif kind == "out" or kind not in DEFAULT:
             weights[kind] = min(-0.05, odds)
     return weights
 
 
 #: Weights of texts, and under "" of tags, that no labelled page shows.
-DEFAULT = {"in": 1.0, "free": 1.0, "link": 0.2, "out": -1.0, "skip": -1.0, "": -0.5}
+DEFAULT = {"in": 1.0, "free": 1.0, "link": 0.2, "out": -1.0, "skip": 0.0, "": -0.5}
 
 
 def best_region(found: list[tuple[str, str, int]], weights: dict[str, float]) -> tuple[int, int]:
@@ -160,10 +179,36 @@ def best_region(found: list[tuple[str, str, int]], weights: dict[str, float]) ->
     return best_at
 
 
+def whole_article(found: list[tuple[str, str, int]], begin: int, end: int) -> tuple[int, int]:
+    """The run, extended to the smallest article or main element that holds all its words of
+    articles; where none does, to all those that hold some."""
+    held = [k for k in range(begin, end) if found[k][0] in ("in", "link") and found[k][2]]
+    if not held:
+        return begin, end
+    spans, opened = [], []
+    for k, (kind, raw, _) in enumerate(found):
+        if raw or kind.lstrip("/") not in MAIN:
+            continue
+        if kind in MAIN:
+            opened.append((kind, k))
+            continue
+        at = next((i for i in range(len(opened) - 1, -1, -1) if opened[i][0] == kind[1:]), None)
+        if at is not None:
+            spans += [(b, k + 1) for _, b in opened[at:]]
+            del opened[at:]
+    spans += [(b, len(found)) for _, b in opened]
+    around = [(b, e) for b, e in spans if b <= held[0] and held[-1] < e]
+    if around:
+        around = [min(around, key=lambda s: s[1] - s[0])]
+    else:
+        around = [(b, e) for b, e in spans if any(b <= k < e for k in (held[0], held[-1]))]
+    return min([begin, *(b for b, _ in around)]), max([end, *(e for _, e in around)])
+
+
 def extract(page: str, weights: dict[str, float]) -> str:
-    """Blocks of the best region, joined by line breaks; parts that are no article are left out."""
+    """Blocks of the best region, with all of the article that it lies in, joined by line breaks; parts that are no article are left out."""
     found = units(page)
-    begin, end = best_region(found, weights)
+    begin, end = whole_article(found, *best_region(found, weights))
     blocks, held = [], []
 
     def close() -> None:

@@ -91,6 +91,26 @@ def test_main_text(spark, main):
     assert html_extract.extract(page, html_extract.DEFAULT) == TEXT
 
 
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "content-with-sidebar", "layout-banner", "page sidebar", "search"])
+@pytest.mark.parametrize("kind", ["class", "id"])
+def test_names_around_an_article_do_not_skip_it(name, kind):
+    for inner in (f"<article>{ARTICLE}</article>", f"<main><div {kind}='col-menu'><article>{ARTICLE}</article></div></main>"):
+        page = AROUND.replace("{main}", f"<div {kind}='{name}'>{inner}<div class='sidebar'>not this</div></div>")
+        assert html_extract.extract(page, html_extract.DEFAULT) == TEXT
+
+
+def test_the_whole_article_stays():
+    inner = "<p>Some words of the text stand here.</p>"
+    advert = "<div class='ad-slot'><p>" + "buy this now " * 20 + "</p><ul><li>a<li>b</ul></div>"
+    listed = "<ul>" + "".join(f"<li><b>x{k}</b></li>" for k in range(9)) + "</ul>"
+    page = f"<body><p>out</p><article><h1>Short title</h1>{advert}{inner}{advert}{inner}{listed}</article><p>out</p></body>"
+    want = ["Short title", *["Some words of the text stand here."] * 2, *(f"x{k}" for k in range(9))]
+    for weights in (html_extract.DEFAULT, html_extract.learn([page] * 3), html_extract.DEFAULT | {"li": -4.0, "/li": -4.0}):
+        assert html_extract.extract(page, weights) == "\n".join(want)
+    inline = "<article><p>one <span class='share'>two</span> three</p><section class=comments><article>no</article></section></article>"
+    assert html_extract.extract(inline, html_extract.DEFAULT) == "one three"
+
+
 def test_odd_pages(spark):
     pages = ["", None, "no tags at all", "<p>", "<article></article>", "<p>open <b>never <i>closed", "<<<>>> a < b", "<a title=\"x>y\">z</a>",
              "<div " * 2000, "<p>" + "word " * 50_000, "<script>never closed", "<!-- never closed"]
