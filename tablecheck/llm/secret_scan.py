@@ -47,8 +47,22 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{14,}", needs=("AKIA",)),
     Rule("hex", r"[0-9a-f]{16,}"),
 )
+# A private key goes to its END line, and not over another BEGIN. Where no END follows, it goes over
+# the base64 words after the BEGIN, of which a last one in a line of its own may look like any word.
+_GAP = r"(?:\s|\\[nr])*+"
+_CODED = r"(?=[A-Za-z]*+[0-9+/=]|[A-Za-z]*[a-z][A-Z]|[A-Za-z]{16})[A-Za-z0-9+/=]++"
+_OPEN = (
+    rf"(?:{_GAP}(?:Proc-Type|DEK-Info):[^\n\\]*+)*+"
+    rf"(?:(?:{_GAP}{_CODED})++(?:[^\S\n]*+\n[A-Za-z0-9+/=]++(?=\s*?(?:\n|\Z)))?)?"
+)
 ADDED = (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", needs=("PRIVATE KEY-----",)),
+    Rule(
+        "pem",
+        r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+        rf"(?:(?:(?!-----BEGIN ).)*?-----END [A-Z ]{{0,40}}PRIVATE KEY-----|{_OPEN})",
+        flags=re.DOTALL,
+        needs=("PRIVATE KEY-----",),
+    ),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}", needs=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", needs=("xox",)),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", needs=("eyJ",)),

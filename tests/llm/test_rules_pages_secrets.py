@@ -208,3 +208,22 @@ def test_redaction(spark):
         assert got[i].text == want
         assert got[i].n_chars == (None if want is None else len(want))
         assert not base_spans(got[i].text or "")
+
+
+def test_private_keys_go_whole(spark):
+    import base64
+    import random
+
+    body = base64.b64encode(random.Random(3).randbytes(1600)).decode()
+    lines = [body[k : k + 64] for k in range(0, len(body), 64)]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headed = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123", "", *lines]
+    keys = ["\n".join([begin, *rows, *last]) for rows in (lines, headed) for last in ([end], [])]
+    keys += ["\\n".join([begin, *lines, end]), " ".join([begin, *lines]), "\n".join([begin, *lines, "abc"]), f"{begin}\n{body * 40}"]
+    texts = [f"before it {k}{gap}, after it" for k in keys[:6] for gap in ("", "\n")] + [f"before it {k}" for k in keys]
+    rows = secret_scan.redact(docs_of(spark, texts), secret_scan.Ledger(spark)).collect()
+    for r in rows:
+        left = r.text.replace(secret_scan.MASK, "")
+        assert left.split() in (["before", "it", ",", "after", "it"], ["before", "it"]), left
+    two = f"{begin} is a header. Words stay, {begin}\n{body}\n{end} too"
+    assert [two[a:b] for k, a, b in secret_scan.find(two) if k == "pem"] == [begin, f"{begin}\n{body}\n{end}"]
