@@ -67,7 +67,8 @@ class QualityModel:
     # --- vectors ---
 
     def learn_vectors(self, values: list[str]) -> None:
-        """The vector of a word is its index vector and those of the words around it."""
+        """The vector of a word is its index vector and those of the words around it, over the
+        whole of each text."""
         words = [t.split() for t in values]
         seen = Counter(w for ws in words for w in set(ws))
         forms = Counter(f for ws in words for f in {shape(w) for w in set(ws)})
@@ -77,13 +78,23 @@ class QualityModel:
         self.rows = {name: k + 1 for k, name in enumerate(names)}
         index = np.vstack([np.zeros((1, SIZE), np.float32), *(index_vector(n)[None] for n in names)])
         total = index.copy()
+        by_form: dict[str, int] = {}
         for ws in words:
-            # each word counts by itself and by its form, so that rare words have contexts too
-            for row in (self.lookup(ws), np.array([self.rows.get(shape(w), 0) for w in ws[:2000]], np.int32)):
-                for off in range(1, CONTEXT + 1):
-                    if len(row) > off:
-                        np.add.at(total, row[off:], index[row[:-off]])
-                        np.add.at(total, row[:-off], index[row[off:]])
+            for begin in range(0, len(ws), CHUNK):
+                lead = min(begin, CONTEXT)  # words of the chunk before, as context only
+                part = ws[begin - lead : begin + CHUNK]
+                if len(by_form) > KEPT_WORDS:
+                    by_form.clear()
+                for w in set(part) - by_form.keys():
+                    by_form[w] = self.rows.get(shape(w), 0)
+                # each word counts by itself and by its form, so that rare words have contexts too
+                for row in (self.lookup(part), np.fromiter(map(by_form.__getitem__, part), np.int32, len(part))):
+                    for off in range(1, CONTEXT + 1):
+                        at = max(off, lead)
+                        if len(row) > at:
+                            later, before = row[at:], row[at - off : len(row) - off]
+                            np.add.at(total, later, index[before])
+                            np.add.at(total, before, index[later])
         total[0] = 0
         norm = np.linalg.norm(total, axis=1, keepdims=True)
         self.vectors = (total / np.where(norm > 0, norm, 1)).astype(np.float32)

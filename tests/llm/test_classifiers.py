@@ -70,3 +70,23 @@ def test_labels_of_the_held_out_fold_are_not_learned(spark):
     _, labels = tables(spark)
     ids = {r.doc_id for v in (0, 1) for r in label_ids(labels, "toxic", v).collect()}
     assert ids and all(zlib.crc32(str(i).encode()) % 5 != HELD_OUT for i in ids)
+
+
+@pytest.mark.parametrize("chunk", [7, 1 << 16])
+def test_vectors_come_from_whole_texts(chunk, monkeypatch):
+    monkeypatch.setattr(quality_classifier, "CHUNK", chunk)
+    values = [" ".join([*["stone river"] * 1100, *(f"#{k}{j}! ab{k}" for j in range(60))]) for k in range(6)]
+    model = quality_classifier.QualityModel()
+    model.learn_vectors(values)
+    total = np.vstack([np.zeros(quality_classifier.SIZE), *(quality_classifier.index_vector(n) for n in model.rows)])
+    index = total.copy()
+    for value in values:
+        words = value.split()
+        for row in (model.lookup(words), [model.rows.get(quality_classifier.shape(w), 0) for w in words]):
+            for i in range(len(row)):
+                for j in range(max(0, i - quality_classifier.CONTEXT), i):
+                    total[row[i]] += index[row[j]]
+                    total[row[j]] += index[row[i]]
+    total[0] = 0
+    norm = np.linalg.norm(total, axis=1, keepdims=True)
+    assert np.allclose(model.vectors, total / np.where(norm > 0, norm, 1), atol=1e-4)
