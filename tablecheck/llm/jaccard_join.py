@@ -19,8 +19,10 @@ inside its regions:
    pivots, four times as many each round, meet only sets of other components whose distance to the
    old pivot lies in the triangle window, |d(x, p) - d(q, p)| <= radius.
 
-No link between different texts is lost: every linked pair shares a region, and in it the pair
-is either compared, or excluded by the triangle inequality, or already in one component."""
+No connection between different texts is lost: every linked pair shares a region, and in it the
+pair is either compared, or excluded by the triangle inequality, or already in one component.
+So this finds components, not all links. Links are counted afterwards: they are inside
+components, whose sets meet there block by block (`link_counts`)."""
 
 from __future__ import annotations
 
@@ -46,6 +48,9 @@ FREQUENT = 16
 #: A list of ids up to this size is broadcast (16 MB), a longer one is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 KEPT_WORDS = 500_000
+#: Elements and sets of a block in which links are counted, and elements that one product of
+#: matrices has. These set the size of a task only.
+BLOCK_ELEMENTS, BLOCK_SETS, PRODUCT_ELEMENTS = 1 << 18, 1024, 2048
 
 SetOf = Callable[[str], np.ndarray]
 
@@ -198,6 +203,11 @@ class _Measure:
         new = pin(sets.join(found.select("key", "x"), "key").select("x", "elements"), "elements")
         self.sets = new if self.sets is None else self.sets.unionAll(new)
 
+    def load(self, wanted: DataFrame) -> DataFrame:
+        """(x, elements) of these nodes at least."""
+        self._load(wanted)
+        return self.sets
+
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """(p, x, common, together) of the pairs (p, x, n) that may link, n being their sizes' sum."""
         small = self.nodes.select("x", "sketch")
@@ -224,8 +234,8 @@ def text_mark(column: str) -> Column:
     return F.unhex(F.sha2(F.col(column), 256))
 
 
-def classes(docs: DataFrame, make: Callable[[], SetOf], percent: int) -> DataFrame:
-    """(doc_id, mark, n, component): what tells each row's text from others, the size of its set,
+def classes(docs: DataFrame, make: Callable[[], SetOf], percent: int, count_links: bool = False) -> DataFrame:
+    """(doc_id, mark, n, component, and n_links if asked for): what tells each row's text from others, the size of its set,
     and a number that rows share if links of sets connect them, whatever their ids. Rows with
     an empty set have no component."""
     ship(docs.sparkSession)
@@ -250,10 +260,71 @@ def classes(docs: DataFrame, make: Callable[[], SetOf], percent: int) -> DataFra
     copies = some.join(nodes.select("key", "x"), "key").filter("node != x").select(F.col("node").alias("x")).distinct()
     spots = near(pin(copies, "copies"), some.withColumn("x", F.col("node")), "x", "left_anti")
     spots = spots.select("x", "n", F.posexplode("regions").alias("at", "region"))
-    joined = _links(docs, nodes, spots, make, percent)
+    measure = _Measure(docs, nodes, make, percent)
+    joined = _links(docs, spots, measure, percent)
     found = nodes.select("key", F.col("x").alias("a")).join(joined, "a", "left")
     found = found.select("key", F.coalesce("b", "a").alias("component"))
-    return described.join(found, "key", "left").select("doc_id", "mark", "n", "component")
+    if not count_links:
+        return described.join(found, "key", "left").select("doc_id", "mark", "n", "component")
+    held = some.groupBy("key").agg(F.count("*").alias("rows"), F.first("n").alias("n"))
+    held = pin(found.join(held, "key").join(nodes.select("key", "x"), "key").select("key", "x", "n", "rows", "component"), "held")
+    counted = held.join(link_counts(held, measure, percent), "x", "left")
+    # the other rows with the same set, and those whose sets are linked with it
+    links = (F.col("rows") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
+    rows = described.join(counted.select("key", "component", links), "key", "left")
+    return rows.select("doc_id", "mark", "n", "component", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+
+
+def _count_block(percent: int):
+    """Links in a cell, in which the sets of two blocks of a component meet, or those of one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x = table.column("x").to_pylist()
+        rows = table.column("rows").to_numpy().astype(np.int64)
+        block = table.column("block").to_numpy()
+        sets = [np.frombuffer(e, np.uint64) for e in table.column("elements").to_pylist()]
+        sizes = np.array([len(e) for e in sets], np.int64)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        _, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        several = often > 1
+        number = np.cumsum(several) - 1
+        keep = several[place]
+        place, owner = number[place[keep]], owner[keep]
+        by_place = np.argsort(place, kind="stable")
+        place, owner = place[by_place], owner[by_place]
+        common = np.zeros((len(sets), len(sets)), np.float64)
+        for begin in range(0, int(several.sum()), PRODUCT_ELEMENTS):
+            a, b = np.searchsorted(place, [begin, begin + PRODUCT_ELEMENTS])
+            holds = np.zeros((len(sets), PRODUCT_ELEMENTS), np.float32)
+            holds[owner[a:b], place[a:b] - begin] = 1
+            common += holds @ holds.T
+        together = sizes[:, None] + sizes[None, :] - common
+        linked = common * 100 >= together * percent
+        np.fill_diagonal(linked, False)
+        if len(np.unique(block)) > 1:  # links inside a block are counted in its own cell
+            linked &= block[:, None] != block[None, :]
+        return pa.table({"x": pa.array(x, pa.int64()), "linked": pa.array(linked @ rows, pa.int64())})
+
+    return run
+
+
+def link_counts(held: DataFrame, measure: _Measure, percent: int) -> DataFrame:
+    """(x, linked): the rows whose sets are linked with that of x, which is itself not counted.
+
+    `held` has the sets (x, n, rows, component). All pairs of sets in one component are compared,
+    as products of matrices of two blocks of it each; a set is copied once for each block."""
+    of = held.groupBy("component").agg(F.count("*").alias("sets"), F.sum("n").alias("elements_of"))
+    of = of.filter("sets > 1")
+    blocks = F.ceil(F.greatest(F.col("elements_of") / BLOCK_ELEMENTS, F.col("sets") / BLOCK_SETS)).cast("int").alias("blocks")
+    rows = pin(held.join(of.select("component", blocks), "component").select("x", "rows", "component", "blocks"), "grouped")
+    sets = measure.load(rows.select("x"))
+    block = F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int")
+    rows = rows.join(sets, "x").withColumn("block", block)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = ["component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
+    rows = rows.select(*cell, "x", "rows", "block", "elements")
+    found = rows.groupBy("component", "low", "high").applyInArrow(_count_block(percent), "x bigint, linked bigint")
+    return found.groupBy("x").agg(F.sum("linked").alias("linked"))
 
 
 def _members(spots: DataFrame, percent: int) -> DataFrame:
@@ -284,12 +355,11 @@ def _members(spots: DataFrame, percent: int) -> DataFrame:
     return members.join(one.select("region"), "region", "left_semi")
 
 
-def _links(docs: DataFrame, nodes: DataFrame, spots: DataFrame, make: Callable[[], SetOf], percent: int) -> DataFrame:
+def _links(docs: DataFrame, spots: DataFrame, measure: _Measure, percent: int) -> DataFrame:
     """(a, b): every linked node that is not the least of its component, with the least one."""
     spark = docs.sparkSession
     radius = 1 - percent / 100
     members = pin(_members(spots, percent), "regions")
-    measure = _Measure(docs, nodes, make, percent)
     tested = spark.createDataFrame([], "p bigint, x bigint")
     stars = spark.createDataFrame([], "a bigint, b bigint")
     members = members.withColumns({"far": F.lit(None).cast("double"), "component": F.col("x")})
@@ -331,7 +401,8 @@ def _links(docs: DataFrame, nodes: DataFrame, spots: DataFrame, make: Callable[[
 
 
 def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id): the least id that links lead to, for every row.
+    """(doc_id, n_shingles, component_id, n_links): the least id that links lead to, and the number
+    of other rows that a row is linked with, for every row.
 
     Links are between texts whose sets of `words`-word shingles have a Jaccard similarity of
     at least `percent`. Equal sets are one node from the start, so groups of exact copies cost
@@ -339,11 +410,11 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     nothing: component_id is their own id. Repeated rows repeat; of rows that share an id but
     not a text each is linked on its own; NULL ids are never the least, and are the component
     of groups in which all ids are NULL."""
-    found = classes(docs, lambda: shingles(words), percent)
+    found = pin(classes(docs, lambda: shingles(words), percent, count_links=True), "classes")
     least = found.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     rows = found.join(least, "component", "left")
     own = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), "n_links")
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id") -> DataFrame:

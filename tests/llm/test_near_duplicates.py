@@ -88,6 +88,21 @@ def test_one_of_each_group_stays(spark):
     assert jaccard_join.one_of_each(docs_of(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("block", [400, 1 << 18])
+def test_links_equal_brute_force(spark, block, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_ELEMENTS", block)
+    monkeypatch.setattr(jaccard_join, "PRODUCT_ELEMENTS", 64)
+    crowd = prose(8, 60)
+    texts = [*(edited(crowd, k, 1 + k % 3) for k in range(12)), crowd, crowd.upper(), crowd, "", None, prose(9, 60), "one", "one"]
+    ids = [*range(15), 3, 3, None, 40, 40]
+    sets = [shingles(t, 3) for t in texts]
+    linked = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    want = [sum(bool(a and b) and i != j and linked(a, b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    assert len(set(want)) > 4
+    got = jaccard_join.link_documents(docs_of(spark, texts, ids), 3, 80).collect()
+    assert sorted(((r.doc_id, r.n_links) for r in got), key=str) == sorted(zip(ids, want, strict=True), key=str)
+
+
 def test_one_of_each_tells_texts_that_share_an_id_apart(spark):
     a, b, c, d = (prose(k, 80) for k in (11, 12, 13, 14))
     given = [(a, 5), (b, 5), (c, 5), (edited(a, 1, 1), 3), ("", 5), (None, 5), (b, 5), (b.upper(), 5),
