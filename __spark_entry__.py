@@ -697,6 +697,24 @@ def recon_blank_keys(spark, sf):
     return paired.select("qa_c_custkey", "c_custkey", "qa_c_name", "c_name")
 
 
+_BY_NAME = "row_number() OVER (PARTITION BY coalesce(c_name, '') ORDER BY c_custkey NULLS FIRST) AS occ"
+
+
+@query(
+    f"""WITH sb AS (SELECT *, {_BY_NAME} FROM (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name END AS c_name FROM customer)),
+    tb AS (SELECT *, {_BY_NAME} FROM (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_name END AS c_name FROM customer)),
+    {O.joined("sb", "tb", ["c_custkey", "c_name"], "coalesce(s.c_name, '') = coalesce(t.c_name, '') AND s.occ = t.occ")}
+    SELECT s_c_custkey AS qa_c_custkey, t_c_custkey AS c_custkey, s_c_name AS qa_c_name, t_c_name AS c_name FROM j"""
+)
+def recon_many_blank_keys(spark, sf):
+    """All customers; '' on many rows of the source side meets NULL on many of the target side."""
+    rows, fifth = customer(spark, sf), F.col("c_custkey") % 5 == 0
+    src = rows.withColumn("c_name", F.when(fifth, "").otherwise(F.col("c_name")))
+    tgt = rows.withColumn("c_name", F.when(~fifth, F.col("c_name")))
+    paired = A.pair_by_key(C.prefix_source(src), tgt, ["c_name"]).rows()
+    return paired.select("qa_c_custkey", "c_custkey", "qa_c_name", "c_name")
+
+
 # --- alignment without a key ------------------------------------------------
 
 IMPORTANT = ("l_orderkey", "l_returnflag")
