@@ -118,8 +118,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, n_signatures, component): rows share a component if links of fingerprints with
     a likeness of `percent` or more connect them.
 
-    Sets are partitioned by length, and a set is also compared in lower partitions that its
-    length allows; see `jaccard_join` for the comparison. Without words: no component."""
+    The regions of `jaccard_join` replace a partition by length, and its exact comparison the
+    pruned one: the links are the same. Without words: no component."""
     return classes(docs, spotsigs, percent).drop("mark").withColumnRenamed("n", "n_signatures")
 
 
