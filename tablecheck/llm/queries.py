@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablecheck.llm import bpe, html_extract, jaccard_join, packing, quality_classifier, quality_rules
-from tablecheck.llm import secret_scan, spotsigs, token_counts, toxicity
+from tablecheck.llm import bpe, html_extract, jaccard_join, license_scan, packing, quality_classifier, quality_rules
+from tablecheck.llm import ranked_search, secret_scan, spelling_variants, spotsigs, token_counts, toxicity
 from tablecheck.llm.common import table
 
 
@@ -90,6 +90,18 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -129,6 +141,9 @@ QUERIES = {
         op8_toxicity,
         op9_html_extraction,
         op10_secret_scans,
+        op11_ranked_search,
+        op12_license_scans,
+        op13_spelling_variants,
         pipeline,
     )
 }
