@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablecheck.llm import bpe, html_extract, jaccard_join, license_scan, packing, quality_classifier, quality_rules
-from tablecheck.llm import ranked_search, secret_scan, spelling_variants, spotsigs, token_counts, toxicity
+from tablecheck.llm import ranked_search, secret_scan, spelling_variants, spotsigs, token_counts, toxicity, twins
 from tablecheck.llm.common import table
 
 
@@ -147,4 +147,9 @@ QUERIES = {
         pipeline,
     )
 }
-ORACLES = {"op6_quality_rules": OP6_SQL}
+ORACLES = {
+    "op6_quality_rules": OP6_SQL,
+    "op11_ranked_search": twins.OP11_SQL,
+    "op12_license_scans": twins.OP12_SQL,
+    "op13_spelling_variants": twins.OP13_SQL,
+}
