@@ -6,7 +6,7 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -523,14 +523,18 @@ for _how in ("full", "inner", "left", "right"):
 
 
 @query(
-    f"""WITH {O.P_CUSTOMER}, {O.joined("customer", "p", list(O.CUSTOMER), O.on_keys("c_mktsegment", "c_nationkey"))}
-    SELECT count(*) FILTER (WHERE in_src AND NOT in_tgt)::bigint AS src_only,
-      count(*) FILTER (WHERE in_tgt AND NOT in_src)::bigint AS tgt_only,
-      count(*) FILTER (WHERE NOT (in_src AND in_tgt) AND coalesce(t_c_mktsegment, s_c_mktsegment, '') = '')::bigint AS blank_keys
-    FROM j"""
+    f"""WITH {O.P_CUSTOMER}, u AS (
+      SELECT coalesce(c_mktsegment, '') AS m, c_nationkey, 1 AS s, 0 AS t FROM customer
+      UNION ALL SELECT coalesce(c_mktsegment, ''), c_nationkey, 0, 1 FROM p),
+    k AS (SELECT m, sum(s) AS s, sum(t) AS t FROM u GROUP BY m, c_nationkey),
+    n AS (SELECT m, CASE WHEN t = 0 OR (s > 1 AND t > 1) THEN greatest(s - t, 0) ELSE 0 END AS a,
+      CASE WHEN s = 0 OR (s > 1 AND t > 1) THEN greatest(t - s, 0) ELSE 0 END AS b FROM k)
+    SELECT sum(a)::bigint AS src_only, sum(b)::bigint AS tgt_only, coalesce(sum(a + b) FILTER (WHERE m = ''), 0)::bigint AS blank_keys
+    FROM n"""
 )
 def recon_unmatched(spark, sf):
-    """Keyed by a column that is blank or NULL in places on the target side."""
+    """Keyed by a column that is blank or NULL in places on the target side. What one side has more
+    of in a key that both repeat is without a partner too."""
     s, t = C.prefix_source(customer(spark, sf)), changed_customer(spark, sf)
     return unmatched_counts(A.pair_by_key(s, t, ["c_mktsegment", "c_nationkey"]))
 
@@ -637,14 +641,30 @@ def recon_duplicates(spark, sf):
     return results(reconcile(lineitem(spark, sf), changed_lineitem(spark, sf), BY_SUPPLIER, RUN))
 
 
-# A key that both sides repeat: its rows meet by occurrence, in the order of the common columns.
+# A key that both sides repeat: copies of one row meet first, what is left by occurrence, in the
+# order of the common columns.
+_WHOLE_ROW = ", ".join(O.LINE_COLUMNS)
+
+
+def _left_over(side: str, other: str) -> str:
+    """Rows of repeated keys of which the other side has fewer copies."""
+    of_key = f"(SELECT * FROM {side} WHERE copy > coalesce((SELECT n FROM {other}n o WHERE {O.same(side, 'o', O.LINE_COLUMNS)}), 0))"
+    return f"(SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {O.LINE_ORDER}, copy) AS occ FROM {of_key})"
+
+
 _BY_ORDER = f"""{O.P_LINEITEM},
 sk AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY ALL),
 tk AS (SELECT l_orderkey, count(*) AS n FROM pl GROUP BY ALL),
 both_many AS (SELECT l_orderkey FROM sk JOIN tk USING (l_orderkey) WHERE sk.n > 1 AND tk.n > 1),
-so AS (SELECT *, CASE WHEN l_orderkey IN (FROM both_many) THEN row_id ELSE 0 END AS occ FROM {O.numbered("lineitem", "l_orderkey")}),
-ot AS (SELECT *, CASE WHEN l_orderkey IN (FROM both_many) THEN row_id ELSE 0 END AS occ FROM {O.numbered("pl", "l_orderkey")}),
-{O.joined("so", "ot", O.LINE_COLUMNS, O.on_keys("l_orderkey", "occ"))}"""
+sm AS (SELECT *, row_number() OVER (PARTITION BY {_WHOLE_ROW}) AS copy FROM lineitem WHERE l_orderkey IN (FROM both_many)),
+tm AS (SELECT *, row_number() OVER (PARTITION BY {_WHOLE_ROW}) AS copy FROM pl WHERE l_orderkey IN (FROM both_many)),
+smn AS (SELECT {_WHOLE_ROW}, count(*) AS n FROM sm GROUP BY ALL), tmn AS (SELECT {_WHOLE_ROW}, count(*) AS n FROM tm GROUP BY ALL),
+sl AS {_left_over("sm", "tm")}, tl AS {_left_over("tm", "sm")},
+sf AS (SELECT * FROM lineitem WHERE l_orderkey NOT IN (FROM both_many)), tf AS (SELECT * FROM pl WHERE l_orderkey NOT IN (FROM both_many)),
+{O.joined("sm", "tm", O.LINE_COLUMNS, O.on_keys(*O.LINE_COLUMNS, "copy"), "INNER").replace("j AS", "j1 AS", 1)},
+{O.joined("sl", "tl", O.LINE_COLUMNS, O.on_keys("l_orderkey", "occ")).replace("j AS", "j2 AS", 1)},
+{O.joined("sf", "tf", O.LINE_COLUMNS, O.on_keys("l_orderkey")).replace("j AS", "j3 AS", 1)},
+j AS (FROM j1 UNION ALL FROM j2 UNION ALL FROM j3)"""
 BY_ORDER = TableRules("lineitem", pk_col=("l_orderkey",))
 
 
@@ -654,50 +674,67 @@ BY_ORDER = TableRules("lineitem", pk_col=("l_orderkey",))
     CASE WHEN {O.cell("l_quantity", "typed")} THEN 'PASS' ELSE 'FAIL' END AS status_l_quantity, {O.ROW_STATUS} FROM j"""
 )
 def detail_duplicates(spark, sf):
-    """Every row of repeated keys, as many as the longer side has."""
+    """Every row of repeated keys, as many as the longer side has; a missing row is one row without
+    a partner, and the others of its key stay in their pairs."""
     rows = detail(lineitem(spark, sf), changed_lineitem(spark, sf), BY_ORDER)
     shown_columns = ("l_orderkey", "l_linenumber", "l_extendedprice")
     names = [n for c in shown_columns for n in (c, f"qa_{c}")]
     return rows.select(*names, "status_l_quantity", "row_status")
 
 
+_LONG_TEXT = {
+    "l_quantity": "::bigint::varchar", "l_extendedprice": "::decimal(18, 2)::varchar", "l_discount": "::decimal(18, 2)::varchar",
+    "l_tax": "::decimal(18, 2)::varchar", "l_shipdate": "::date::varchar",
+}
+
+
 @query(
-    f"""WITH {_BY_ORDER} SELECT coalesce(t_l_orderkey, s_l_orderkey)::varchar AS key_l_orderkey, c.column_name,
-      CASE c.column_name WHEN 'l_quantity' THEN s_l_quantity::bigint ELSE s_l_partkey::bigint END AS src_value,
-      CASE c.column_name WHEN 'l_quantity' THEN t_l_quantity::bigint ELSE t_l_partkey::bigint END AS tgt_value,
-      CASE WHEN CASE c.column_name WHEN 'l_quantity' THEN {O.cell("l_quantity", "typed")} ELSE {O.cell("l_partkey", "typed")} END
-        THEN 'PASS' ELSE 'FAIL' END AS status
-    FROM j, (SELECT unnest(['l_partkey', 'l_quantity']) AS column_name) c"""
+    f"WITH {_BY_ORDER} "
+    + " UNION ALL ".join(
+        f"""SELECT coalesce(t_l_orderkey, s_l_orderkey)::varchar AS key_l_orderkey, '{c}' AS column_name,
+        s_{c}{_LONG_TEXT.get(c, '::varchar')} AS src_value, t_{c}{_LONG_TEXT.get(c, '::varchar')} AS tgt_value,
+        CASE WHEN {O.cell(c, k)} THEN 'PASS' ELSE 'FAIL' END AS status FROM j"""
+        for c, k in O.LINEITEM.items()
+    )
 )
 def long_cells(spark, sf):
-    """One row per cell of the same pairs."""
+    """One row per cell of the same pairs, all columns."""
     s, t = C.prefix_source(lineitem(spark, sf)), changed_lineitem(spark, sf)
     _, rules = cell_rules(s, t, BY_ORDER)
-    rows = cells_as_rows(A.pair_by_key(s, t, ["l_orderkey"]), [r for r in rules if r.column in ("l_partkey", "l_quantity")])
-    whole = {c: F.col(c).cast("double").cast("bigint") for c in ("src_value", "tgt_value")}
-    return rows.withColumns(whole)
+    rows = cells_as_rows(A.pair_by_key(s, t, ["l_orderkey"]), rules)
 
+    def shown_as(c: str) -> Column:
+        """Numbers and dates in one form, whatever engine wrote them."""
+        whole = F.when(F.col("column_name") == "l_quantity", F.col(c).try_cast("double").cast("bigint").cast("string"))
+        cents = F.col("column_name").isin("l_extendedprice", "l_discount", "l_tax")
+        day = F.col("column_name") == "l_shipdate"
+        return whole.when(cents, F.col(c).try_cast("decimal(18,2)").cast("string")).when(day, F.substring(c, 1, 10)).otherwise(F.col(c))
 
-_BLANK = f"""{O.P_CUSTOMER},
-sb AS (SELECT * REPLACE (CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name END AS c_name) FROM customer WHERE c_custkey % 5 <> 0 OR c_custkey = 5),
-tb AS (SELECT * REPLACE (CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_name END AS c_name) FROM customer
-  WHERE c_custkey % 5 <> 0 OR c_custkey = 10)"""
+    return rows.withColumns({c: shown_as(c) for c in ("src_value", "tgt_value")})
 
 
-@query(
-    f"""WITH {_BLANK}, {O.joined("sb", "tb", ["c_custkey", "c_name"], "coalesce(s.c_name, '') = coalesce(t.c_name, '')")}
+_BY_NAME = "row_number() OVER (PARTITION BY coalesce(c_name, '') ORDER BY c_custkey NULLS FIRST) AS occ"
+
+
+def _blank_sql(missing: str) -> str:
+    """Every fifth customer without a name on both sides; the target lacks the rows of `missing`."""
+    return f"""WITH sb AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name END AS c_name FROM customer),
+    tb AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_name END AS c_name FROM customer WHERE NOT ({missing})),
+    {O.joined("sb", "tb", ["c_custkey", "c_name"], "s.c_custkey = t.c_custkey")}
     SELECT s_c_custkey AS qa_c_custkey, t_c_custkey AS c_custkey, s_c_name AS qa_c_name, t_c_name AS c_name FROM j"""
-)
-def recon_blank_keys(spark, sf):
-    """'' on the source side meets NULL on the target side."""
-    rows, fifth = customer(spark, sf), F.col("c_custkey") % 5 == 0
-    src = rows.filter(~fifth | (F.col("c_custkey") == 5)).withColumn("c_name", F.when(fifth, "").otherwise(F.col("c_name")))
-    tgt = rows.filter(~fifth | (F.col("c_custkey") == 10)).withColumn("c_name", F.when(~fifth, F.col("c_name")))
-    paired = A.pair_by_key(C.prefix_source(src), tgt, ["c_name"]).joined
-    return paired.select("qa_c_custkey", "c_custkey", "qa_c_name", "c_name")
 
 
-_BY_NAME = "row_number() OVER (PARTITION BY coalesce(c_name, '') ORDER BY c_custkey NULLS FIRST) AS occ"
+def _blank_names(rows: DataFrame, missing: Column) -> DataFrame:
+    fifth = F.col("c_custkey") % 5 == 0
+    src = rows.withColumn("c_name", F.when(fifth, "").otherwise(F.col("c_name")))
+    tgt = rows.filter(~missing).withColumn("c_name", F.when(~fifth, F.col("c_name")))
+    return A.pair_by_key(C.prefix_source(src), tgt, ["c_name"]).rows().select("qa_c_custkey", "c_custkey", "qa_c_name", "c_name")
+
+
+@query(_blank_sql("c_custkey % 35 = 0"))
+def recon_blank_keys(spark, sf):
+    """All customers; '' on many rows of the source side meets NULL on fewer of the target side."""
+    return _blank_names(customer(spark, sf), F.col("c_custkey") % 35 == 0)
 
 
 @query(
@@ -708,11 +745,7 @@ _BY_NAME = "row_number() OVER (PARTITION BY coalesce(c_name, '') ORDER BY c_cust
 )
 def recon_many_blank_keys(spark, sf):
     """All customers; '' on many rows of the source side meets NULL on many of the target side."""
-    rows, fifth = customer(spark, sf), F.col("c_custkey") % 5 == 0
-    src = rows.withColumn("c_name", F.when(fifth, "").otherwise(F.col("c_name")))
-    tgt = rows.withColumn("c_name", F.when(~fifth, F.col("c_name")))
-    paired = A.pair_by_key(C.prefix_source(src), tgt, ["c_name"]).rows()
-    return paired.select("qa_c_custkey", "c_custkey", "qa_c_name", "c_name")
+    return _blank_names(customer(spark, sf), F.lit(False))
 
 
 # --- alignment without a key ------------------------------------------------
@@ -775,14 +808,15 @@ def align_bag_status(spark, sf):
     u AS (SELECT c_custkey, c_name, coalesce(c_mktsegment, '') AS m, c_nationkey, c_acctbal, 1 AS a, 0 AS b FROM customer
       UNION ALL SELECT c_custkey, c_name, coalesce(c_mktsegment, ''), c_nationkey, c_acctbal, 0, 1 FROM p),
     bag AS (SELECT sum(a) AS a, sum(b) AS b FROM u GROUP BY c_custkey, c_name, m, c_nationkey, c_acctbal),
-    n AS (SELECT sum(least(a, b)) AS good, sum(greatest(a, b) - least(a, b)) AS bad FROM bag)
-    SELECT column_name, overall_status, pass_count, fail_count, null_count FROM (
-      SELECT x.column_name, CASE WHEN x.column_name = 'extra' THEN 'FAIL' ELSE 'FAIL(Count Check)' END AS overall_status,
-        CASE WHEN x.column_name = 'extra' THEN 0 ELSE good END::bigint AS pass_count,
+    n AS (SELECT sum(least(a, b)) AS good, sum(greatest(a, b) - least(a, b)) AS bad FROM bag),
+    cells AS (
+      SELECT x.column_name, CASE WHEN x.column_name = 'extra' THEN 0 ELSE good END::bigint AS pass_count,
         CASE WHEN x.column_name = 'extra' THEN good + bad ELSE bad END::bigint AS fail_count,
         (SELECT count(*) FILTER (WHERE CASE x.column_name WHEN 'c_acctbal' THEN c_acctbal IS NULL
           WHEN 'c_mktsegment' THEN c_mktsegment IS NULL ELSE false END) FROM p)::bigint AS null_count
-      FROM n, (SELECT unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment', 'extra']) AS column_name) x)"""
+      FROM n, (SELECT unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment', 'extra']) AS column_name) x)
+    SELECT column_name, CASE WHEN column_name = 'extra' THEN 'FAIL' ELSE overall_status END AS overall_status, pass_count, fail_count,
+      null_count FROM ({O.result_sql("customer", "t2", "customer")})"""
 )
 def align_bag_missing_column(spark, sf):
     """Whole rows as a bag; a target column the source lacks fails."""

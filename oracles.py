@@ -239,6 +239,10 @@ def on_keys(*keys: str) -> str:
     return " AND ".join(f"s.{k} IS NOT DISTINCT FROM t.{k}" for k in keys)
 
 
+def same(a: str, b: str, columns: Sequence[str]) -> str:
+    return " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in columns)
+
+
 def cells_sql(kinds: dict[str, str]) -> str:
     """One row per column of `j`."""
     counters = ", ".join(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +47,21 @@ def is_text(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.StringType, T.CharType, T.VarcharType))
 
 
+def null_safe(pairs: Sequence[tuple[Column, Column]]) -> Column:
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in pairs])
+
+
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """The names, each with more underscores until no column is called so, in any case."""
+    held, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in held:
+            name = "_" + name
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def any_null(columns: Sequence[str]) -> Column:
     found = F.lit(False)
     for name in columns:

@@ -12,9 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablecheck.functions.columns import is_text, prefix_source
+from tablecheck.functions.columns import is_text, null_safe, prefix_source
 from tablecheck.model import PREFIX
-from tablecheck.operators.hot import HOT_ROWS, null_safe
 from tablecheck.operators.windows import numbered
 from tablecheck.session import pin
 
@@ -69,22 +68,35 @@ class Pairing:
     many_src: DataFrame | None = None
     many_tgt: DataFrame | None = None
 
-    def rows(self) -> DataFrame:
-        """Every row of both sides. In a key that both sides repeat, the n-th row of one side
-        meets the n-th of the other, by the common columns; what one side has more of is left
-        without a partner. So the rows are as many as those of the longer side."""
+    def rows(self, ignored: Sequence[str] = ()) -> DataFrame:
+        """Every row of both sides, as many as the longer side has in each key.
+
+        In a key that both sides repeat, rows that are equal in all common columns but the
+        `ignored` ones meet first: the n-th copy of a row on one side and the n-th on the other.
+        Of what is left, the n-th row of one side meets the n-th of the other, by the common
+        columns; what one side has more of then is left without a partner. So a row that one
+        side lacks leaves all others of its key in their pairs."""
         if self.many_src is None or self.many_tgt is None:
             return self.joined
         k = [f"_k{i}" for i in range(len(self.keys))]
         src_columns = [c for c in self.many_src.columns if c not in k]
         tgt_columns = [c for c in self.many_tgt.columns if c not in k]
-        s_order, t_order = agreed_order(self.many_src.select(src_columns), self.many_tgt.select(tgt_columns))
-        s = numbered(self.many_src, k, s_order, "_n")
-        t = numbered(self.many_tgt, k, t_order, "_n")
-        s = s.withColumnsRenamed({"_n": "_k_n"}).withColumn("_in_src", F.lit(True))
-        t = t.withColumnsRenamed({c: c + "t" for c in k} | {"_n": "_k_nt"}).withColumn("_in_tgt", F.lit(True))
-        paired = _joined(s, t, [*k, "_k_n"], self.how)
-        return self.joined.unionByName(_flagged(paired, [*src_columns, *tgt_columns]))
+        src, tgt = self.many_src.select(src_columns), self.many_tgt.select(tgt_columns)
+        s_order, t_order = agreed_order(src, tgt)
+        s_value, t_value = agreed_values(src, tgt, ignored)
+        v = [f"_v{i}" for i in range(len(s_value))]
+        s = numbered(self.many_src.withColumns(dict(zip(v, s_value))), [*k, *v], s_order, "_k_n")
+        t = numbered(self.many_tgt.withColumns(dict(zip(v, t_value))), [*k, *v], t_order, "_k_n")
+        s = s.withColumn("_in_src", F.lit(True))
+        t = t.withColumnsRenamed({c: c + "t" for c in [*k, *v, "_k_n"]}).withColumn("_in_tgt", F.lit(True))
+        met = pin(_flagged(_joined(s, t, [*k, *v, "_k_n"], "full"), [*k, *[c + "t" for c in k], *src_columns, *tgt_columns]), "met")
+        both = F.col("_in_src") & F.col("_in_tgt")
+        s = numbered(met.filter(~F.col("_in_tgt")).select(*src_columns, *k), k, s_order, "_k_n")
+        t = met.filter(~F.col("_in_src")).select(*tgt_columns, *[F.col(c + "t").alias(c) for c in k])
+        t = numbered(t, k, t_order, "_k_n").withColumnsRenamed({c: c + "t" for c in [*k, "_k_n"]})
+        rest = _joined(s.withColumn("_in_src", F.lit(True)), t.withColumn("_in_tgt", F.lit(True)), [*k, "_k_n"], self.how)
+        columns = [*src_columns, *tgt_columns]
+        return self.joined.unionByName(_flagged(met.filter(both), columns)).unionByName(_flagged(rest, columns))
 
 
 def _flagged(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -112,7 +124,8 @@ def pair_by_key(
     A key is treated by what it is, whatever its size. One aggregation counts the rows of both
     sides by key. Keys repeated on both sides are set apart. Keys repeated in the target alone
     are joined from the target's side, all others from the source's, so the side that may be
-    skewed is the one that adaptive execution can split."""
+    skewed is the one that adaptive execution can split. Only rows of keys that the target
+    repeats are staged; the others are read where they are."""
     named = key_columns(src, tgt, keys)
     k = [f"_k{i}" for i in range(len(keys))]
     s = src.withColumns({c: e for c, (_, e, _) in zip(k, named)}).withColumn("_in_src", F.lit(True))
@@ -124,17 +137,17 @@ def pair_by_key(
     if marks.isEmpty():
         return Pairing(_flagged(_joined(s, t, k, how), columns), tuple(keys), how)
 
-    def classed(df: DataFrame, suffix: str, name: str) -> DataFrame:
+    def marked(df: DataFrame, suffix: str, kind: str) -> DataFrame:
         same = null_safe([(F.col(c + suffix), F.col(f"{c}_h")) for c in k])
-        found = df.join(marks.select(*[F.col(c).alias(f"{c}_h") for c in k], "_class"), same, "left")
-        return pin(found.drop(*[f"{c}_h" for c in k]), name)
+        found = df.join(marks.select(*[F.col(c).alias(f"{c}_h") for c in k], "_class"), same, kind)
+        return found.drop(*[f"{c}_h" for c in k])
 
-    s_all, t_all = classed(s, "", "source"), classed(t, "t", "target")
+    s_all, t_all = pin(marked(s, "", "inner"), "source"), pin(marked(t, "t", "inner"), "target")
 
-    def part(df: DataFrame, name: str | None) -> DataFrame:
-        return df.filter(F.col("_class").isNull() if name is None else F.col("_class") == name).drop("_class")
+    def part(df: DataFrame, name: str) -> DataFrame:
+        return df.filter(F.col("_class") == name).drop("_class")
 
-    rows = _flagged(_joined(part(s_all, None), part(t_all, None), k, how), columns)
+    rows = _flagged(_joined(marked(s, "", "left_anti"), marked(t, "t", "left_anti"), k, how), columns)
     by_target = _joined(part(s_all, "target"), part(t_all, "target"), k, "right")
     rows = rows.unionByName(_flagged(by_target, columns).filter(_wanted(how)))
     return Pairing(
@@ -167,8 +180,17 @@ def agreed_order(src: DataFrame, tgt: DataFrame) -> tuple[list[Column], list[Col
     other columns by name."""
     names = {c.removeprefix(PREFIX): c for c in src.columns}
     common = [c for c in tgt.columns if c in names]
-    orders: list[list[Column]] = [[], []]
-    for name in common:
+    orders = agreed_values(src, tgt)
+    orders[0].extend(F.col(c) for c in sorted(src.columns) if c.removeprefix(PREFIX) not in common)
+    orders[1].extend(F.col(c) for c in sorted(tgt.columns) if c not in common)
+    return orders
+
+
+def agreed_values(src: DataFrame, tgt: DataFrame, ignored: Sequence[str] = ()) -> tuple[list[Column], list[Column]]:
+    """The common columns of both sides but the `ignored` ones, in the form of `agreed_order`."""
+    names = {c.removeprefix(PREFIX): c for c in src.columns}
+    orders: tuple[list[Column], list[Column]] = ([], [])
+    for name in [c for c in tgt.columns if c in names and c not in ignored]:
         s, t = F.col(names[name]), F.col(name)
         s_type, t_type = src.schema[names[name]].dataType, tgt.schema[name].dataType
         if is_text(s_type) or is_text(t_type) or not comparable(s_type, t_type):
@@ -178,9 +200,7 @@ def agreed_order(src: DataFrame, tgt: DataFrame) -> tuple[list[Column], list[Col
             s, t = s.cast(wide), t.cast(wide)
         orders[0].append(s)
         orders[1].append(t)
-    orders[0] += [F.col(c) for c in sorted(src.columns) if c.removeprefix(PREFIX) not in common]
-    orders[1] += [F.col(c) for c in sorted(tgt.columns) if c not in common]
-    return orders[0], orders[1]
+    return orders
 
 
 def blank_text(df: DataFrame) -> DataFrame:
@@ -195,22 +215,21 @@ def occurrence_number(
     keys: Sequence[str],
     order: Sequence[str] | None = None,
     name: str = "rnm",
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Numbers the rows inside each business key."""
-    return numbered(df, keys, list(order) if order else df.columns, name, hot_rows)
+    return numbered(df, keys, list(order) if order else df.columns, name)
 
 
 def pair_by_important(
-    src: DataFrame, tgt: DataFrame, important: Sequence[str], how: str = "full", hot_rows: int | None = HOT_ROWS
+    src: DataFrame, tgt: DataFrame, important: Sequence[str], how: str = "full"
 ) -> Pairing:
     """Keyless: rows are numbered inside the important columns, ordered by the common ones."""
     s, t = blank_text(src), blank_text(tgt)
     s_order, t_order = agreed_order(s, t)
     named = key_columns(s, t, important)
     k = [f"_g{i}" for i in range(len(important))]
-    s = numbered(s.withColumns({c: e for c, (_, e, _) in zip(k, named)}), k, s_order, PREFIX + ROW_ID, hot_rows)
-    t = numbered(t.withColumns({c: e for c, (_, _, e) in zip(k, named)}), k, t_order, ROW_ID, hot_rows)
+    s = numbered(s.withColumns({c: e for c, (_, e, _) in zip(k, named)}), k, s_order, PREFIX + ROW_ID)
+    t = numbered(t.withColumns({c: e for c, (_, _, e) in zip(k, named)}), k, t_order, ROW_ID)
     return pair_by_key(s.drop(*k), t.drop(*k), [*important, ROW_ID], how, unique=True)
 
 

@@ -87,7 +87,8 @@ def compare_cells(pairing: Pairing, found: Coverage, rules: Sequence[CellRule])
     """`x, qa_x, status_x, x_null` per column, then ignored and source-only
     columns, then `row_status`; one projection.
 
-    Rows of keys that both sides repeat are paired by occurrence, see `Pairing.rows`."""
+    Rows of keys that both sides repeat are paired by what they have in common, then by
+    occurrence, see `Pairing.rows`."""
     columns: list[Column] = []
     for rule in rules:
         source = F.lit(None).cast("string") if rule.kind == "absent" else F.col(PREFIX + rule.column)
@@ -100,10 +101,10 @@ def compare_cells(pairing: Pairing, found: Coverage, rules: Sequence[CellRule])
     compared = {rule.column for rule in rules}
     columns += [F.col(c) for c in found.ignored]
     columns += [F.col(PREFIX + c) for c in found.src_only if c not in compared]
-    return pairing.rows().select(*columns, row_status().alias("row_status"))
+    return pairing.rows(found.ignored).select(*columns, row_status().alias("row_status"))
 
 
-def long_cells(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
+def long_cells(pairing: Pairing, rules: Sequence[CellRule], ignored: Sequence[str] = ()) -> DataFrame:
     """(key columns, column_name, src_value, tgt_value, status), one row per cell."""
     keys = [
         F.coalesce(F.col(k).cast("string"), F.col(PREFIX + k).cast("string")).alias(f"key_{k}") for k in pairing.keys
@@ -117,22 +118,42 @@ def long_cells(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
         )
         for r in rules
     ]
-    return pairing.rows().select(*keys, F.inline(F.array(*cells)))
+    return pairing.rows(ignored).select(*keys, F.inline(F.array(*cells)))
 
 
 def unmatched_counts(pairing: Pairing) -> DataFrame:
     """One row: `src_only` and `tgt_only` rows, and how many of them have a blank
-    key. Keys that both sides repeat are matched, so they add nothing."""
-    blank = F.lit(False)
-    for k in pairing.keys:
-        value = F.coalesce(F.col(k).cast("string"), F.col(PREFIX + k).cast("string"), F.lit(""))
-        blank = blank | (value == "")
+    key. Of a key that both sides repeat it is what one side has more of, as in `Pairing.rows`;
+    the surplus follows from counts by key."""
+
+    def blank(values: Sequence[Column]) -> Column:
+        found = F.lit(False)
+        for value in values:
+            found = found | (F.coalesce(value.cast("string"), F.lit("")) == "")
+        return found
+
     src_only, tgt_only = F.col("_in_src") & ~F.col("_in_tgt"), F.col("_in_tgt") & ~F.col("_in_src")
-    return pairing.joined.agg(
+    no_key = blank([F.coalesce(F.col(k).cast("string"), F.col(PREFIX + k).cast("string")) for k in pairing.keys])
+    found = pairing.joined.agg(
         F.count_if(src_only).alias("src_only"),
         F.count_if(tgt_only).alias("tgt_only"),
-        F.count_if((src_only | tgt_only) & blank).alias("blank_keys"),
+        F.count_if((src_only | tgt_only) & no_key).alias("blank_keys"),
+    )
+    if pairing.many_src is None or pairing.many_tgt is None:
+        return found
+    k, one, none = _key_names(pairing), F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    sides = pairing.many_src.select(*k, one.alias("_s"), none.alias("_t"))
+    sides = sides.unionAll(pairing.many_tgt.select(*k, none.alias("_s"), one.alias("_t")))
+    counts = sides.groupBy(*k).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t"))
+    more_src = F.greatest(F.col("_s") - F.col("_t"), none) if pairing.how in ("full", "left") else none
+    more_tgt = F.greatest(F.col("_t") - F.col("_s"), none) if pairing.how in ("full", "right") else none
+    surplus = counts.select(
+        more_src.alias("src_only"),
+        more_tgt.alias("tgt_only"),
+        F.when(blank([F.col(c) for c in k]), more_src + more_tgt).otherwise(none).alias("blank_keys"),
     )
+    names = ("src_only", "tgt_only", "blank_keys")
+    return found.unionByName(surplus).agg(*[F.sum(c).alias(c) for c in names])
 
 
 def _count_joined(joined: DataFrame, rules: Sequence[CellRule]) -> DataFrame:
@@ -209,8 +230,9 @@ def _count_many(pairing: Pairing, rules: Sequence[CellRule]) -> list[DataFrame]:
     if pairing.many_src is None or pairing.many_tgt is None:
         return []
     exact = [r for r in rules if r.kind != "tolerance"]
+    banded = [r for r in rules if r.kind == "tolerance"]
     parts = [_count_exact(pairing, exact)] if exact else []
-    return parts + [_count_band(pairing, r) for r in rules if r.kind == "tolerance"]
+    return parts + ([_count_band(pairing, banded)] if banded else [])
 
 
 def _finished(per_key: DataFrame) -> DataFrame:
@@ -244,14 +266,18 @@ def _count_exact(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
     return _finished(per_key)
 
 
-def _count_band(pairing: Pairing, rule: CellRule) -> DataFrame:
+def _count_band(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
     """A key's passing pairs are, over its source values, the targets up to the
     upper bound less the targets below the lower bound. Both are running totals
     along the key's sorted values; `place` puts a target between the two bounds
-    of an equal value."""
-    k = _key_names(pairing)
+    of an equal value. One sort serves all columns."""
+    k = [*_key_names(pairing), "column_name"]
     zero = F.lit(0).cast("bigint")
-    low, high = rule.bounds(F.col("amount"))
+    low = high = F.lit(None).cast("double")
+    for rule in rules:
+        here = F.col("column_name") == rule.column
+        bounds = rule.bounds(F.col("amount"))
+        low, high = F.when(here, bounds[0]).otherwise(low), F.when(here, bounds[1]).otherwise(high)
 
     def mark(point: Column, place: int, targets: Column, weight: Column) -> Column:
         return F.struct(
@@ -263,7 +289,7 @@ def _count_band(pairing: Pairing, rule: CellRule) -> DataFrame:
         mark(F.col("amount"), 1, F.col("n_tgt"), zero),
         mark(high, 2, zero, F.col("n_src")),
     )
-    counts = _value_counts(pairing, [rule])
+    counts = _value_counts(pairing, rules)
     sizes = [F.when(F.col("place") == p, F.col(c)).otherwise(zero) for p, c in ((2, "n_src"), (1, "n_tgt"), (1, "n_tgt_null"))]
     placed = counts.select(*k, "n_src", "n_tgt", "n_tgt_null", F.inline(marks)).select(
         *k, "point", "place", "targets", "weight", *[s.alias(n) for s, n in zip(sizes, ("_s", "_t", "_n"), strict=True)]
@@ -274,7 +300,7 @@ def _count_band(pairing: Pairing, rule: CellRule) -> DataFrame:
     per_key = run.groupBy(*k).agg(
         F.sum(near).cast(CELL_COUNT).alias("_pass"), *[_cell_total(c).alias(c) for c in ("_s", "_t", "_n")]
     )
-    return _finished(per_key.withColumn("column_name", F.lit(rule.column)))
+    return _finished(per_key)
 
 
 def count_cells(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:

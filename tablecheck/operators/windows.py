@@ -1,9 +1,10 @@
 """Ordered window operators that hold up when one group has most of the rows.
 
-Ordinary groups use a plain window. A hot group (or the whole table, when there
-is no group) is cut into ordered pieces by a range shuffle; each piece is
-windowed on its own and gets a carry from the pieces before it. The carry table
-has one row per piece of a group, so at most listed groups + shuffle partitions."""
+Rows are sorted by (group, order) over all tasks, whatever the sizes of the groups, so a group
+may be cut anywhere. Each piece is windowed on its own. Only the group that a piece begins with
+can have rows before it, so a piece needs one carry at most: what the pieces before it
+have of that group, which is their last one. The carry table has at most one row per piece
+and is what is broadcast. Nothing is counted and no group is set apart by its size."""
 
 from __future__ import annotations
 
@@ -13,79 +14,98 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablecheck.operators.hot import HOT_ROWS, null_safe, split_hot
+from tablecheck.functions.columns import fresh, null_safe
 from tablecheck.session import pin
 
 Order = Sequence[str | Column]
 
 
-def ordered_pieces(df: DataFrame, group: Sequence[str], order: Order) -> DataFrame:
-    """Sorts by (group, order) over all tasks and adds `_piece` (the task) and
-    `_pos` (the place in it, from 0), both increasing along the order.
+def ordered_pieces(df: DataFrame, group: Sequence[str], order: Order, piece: str = "_piece", pos: str = "_pos") -> DataFrame:
+    """Sorts by (group, order) over all tasks and adds `piece` (the task) and
+    `pos` (the place in it, from 0), both increasing along the order.
 
     Equal rows may fall on both sides of a cut, so a group of copies is cut as
-    well; `_tie` is what tells them apart. Sorting by hash before handing it out
+    well; a tie number is what tells them apart. Sorting by hash before handing it out
     makes it the same when a task is rerun, and the staged copy keeps the cuts
     the same for every later reader."""
-    hashed = df.withColumn("_hash", F.xxhash64(*df.columns)).sortWithinPartitions("_hash")
-    ready = hashed.withColumn("_tie", F.monotonically_increasing_id()).drop("_hash")
-    laid = ready.repartitionByRange(*group, *order, "_tie").sortWithinPartitions(*group, *order, "_tie")
+    hashed_as, tie = fresh(df.columns, "_hash", "_tie")
+    hashed = df.withColumn(hashed_as, F.xxhash64(*df.columns)).sortWithinPartitions(hashed_as)
+    ready = hashed.withColumn(tie, F.monotonically_increasing_id()).drop(hashed_as)
+    laid = ready.repartitionByRange(*group, *order, tie).sortWithinPartitions(*group, *order, tie)
     place = F.monotonically_increasing_id()
-    marks = {"_piece": F.shiftright(place, 33).cast("int"), "_pos": place.bitwiseAND(F.lit((1 << 33) - 1))}
-    return pin(laid.drop("_tie").withColumns(marks), "pieces")
+    marks = {piece: F.shiftright(place, 33).cast("int"), pos: place.bitwiseAND(F.lit((1 << 33) - 1))}
+    return pin(laid.drop(tie).withColumns(marks), "pieces")
 
 
-def _with_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = F.broadcast(carry.withColumnsRenamed({k: f"_carry_{i}" for i, k in enumerate(keys)}))
-    joined = df.join(renamed, null_safe([(df[k], renamed[f"_carry_{i}"]) for i, k in enumerate(keys)]))
-    return joined.drop(*[f"_carry_{i}" for i in range(len(keys))])
+def border_carry(local: DataFrame, group: Sequence[str], piece: str, pos: str, ends: dict[str, Column]) -> DataFrame:
+    """(_at, _head, ends...): for each piece whose first group goes back over its border, the piece,
+    that group and the `ends` of all pieces before that have it, each as a list in their order.
 
+    `ends` are taken at the last row of a piece, where running values of its last group are complete.
+    From here on there are two rows per piece, whatever the table's size."""
+    of_group = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(group)])
+    values = F.struct(*[e.alias(n) for n, e in ends.items()])
+    edges = local.groupBy(F.col(piece).alias("_at")).agg(
+        F.min_by(of_group, pos).alias("_head"), F.max_by(F.struct(of_group.alias("g"), values.alias("v")), pos).alias("_tail")
+    )
+    heads = edges.select("_at", F.lit(0).alias("_end"), F.col("_head").alias("_g"), F.lit(None).cast(edges.schema["_tail"].dataType["v"].dataType).alias("_v"))
+    tails = edges.select("_at", F.lit(1).alias("_end"), F.col("_tail.g").alias("_g"), F.col("_tail.v").alias("_v"))
+    before = W.partitionBy("_g").orderBy("_at", "_end").rowsBetween(W.unboundedPreceding, -1)
+    events = heads.unionByName(tails)
+    return events.select("_at", "_end", F.col("_g").alias("_head"), "_v.*", F.count("_v").over(before).alias("_pieces"))
 
-def _before(group: Sequence[str]):
-    return W.partitionBy(*group).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
 
+def _carried(events: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """The carry of each piece: `columns` over what comes before it."""
+    return events.withColumns(columns).filter("_end = 0 AND _pieces > 0").select("_at", "_head", *columns)
 
-def numbered(
-    df: DataFrame, group: Sequence[str], order: Order, name: str = "row_id", hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+
+def _before(name: str = "_head"):
+    return W.partitionBy(name).orderBy("_at", "_end").rowsBetween(W.unboundedPreceding, -1)
+
+
+def _with_carry(local: DataFrame, carry: DataFrame, group: Sequence[str], piece: str) -> tuple[DataFrame, Column]:
+    """The rows with the carry of their piece, and whether it is for their group."""
+    joined = local.join(F.broadcast(carry), F.col(piece) == F.col("_at"), "left")
+    same = null_safe([(F.col(g), F.col(f"_head.g{i}")) for i, g in enumerate(group)])
+    return joined, F.col("_at").isNotNull() & same
+
+
+def numbered(df: DataFrame, group: Sequence[str], order: Order, name: str = "row_id") -> DataFrame:
     """`row_number() over (partition by group order by order)`.
 
-    Groups below `hot_rows` rows use that window; the others, and a table without a
-    group whatever its size, are sorted in pieces, so that no task has it all. Sorted pieces need no window: a row's place in the whole is the size of the
-    pieces before its own plus its place there; its number in the group is that
-    less the place of the group's first row."""
+    Without a group, sorted pieces need no window: a row's number is the size of the
+    pieces before its own plus its place there."""
     group = list(group)
-    if group:
-        rest, hot = split_hot(df, group, hot_rows)
-    else:
-        rest, hot = None, df
-    plain = (
-        rest.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*order)).cast("bigint"))
-        if rest is not None
-        else None
-    )
-    if hot is None:
-        return plain
-    pieces = ordered_pieces(hot, group, order)
-    sizes = pieces.groupBy("_piece").agg(F.count(F.lit(1)).alias("_size"))
-    carry = sizes.select("_piece", F.coalesce(F.sum("_size").over(_before([])), F.lit(0)).alias("_start"))
-    counted = _with_carry(pieces, carry, ["_piece"]).withColumn(name, F.col("_start") + F.col("_pos") + 1)
-    if group:
-        firsts = counted.groupBy(*group).agg(F.min(name).alias("_first"))
-        counted = _with_carry(counted, firsts, group).withColumn(name, F.col(name) - F.col("_first") + 1)
-    counted = counted.select(*df.columns, name)
-    return counted if plain is None else plain.unionByName(counted)
+    piece, pos, local_number = fresh([*df.columns, name], "_piece", "_pos", "_number")
+    pieces = ordered_pieces(df, group, order, piece, pos)
+    if not group:
+        sizes = pieces.groupBy(F.col(piece).alias("_at")).agg(F.count(F.lit(1)).alias("_size"))
+        rows_before = F.sum("_size").over(W.orderBy("_at").rowsBetween(W.unboundedPreceding, -1))
+        carry = sizes.select("_at", F.coalesce(rows_before, F.lit(0)).alias("_start"))
+        counted = pieces.join(F.broadcast(carry), F.col(piece) == F.col("_at"))
+        return counted.select(*df.columns, (F.col("_start") + F.col(pos) + 1).alias(name))
+    w = W.partitionBy(piece, *group).orderBy(pos)
+    local = pieces.withColumn(local_number, F.row_number().over(w).cast("bigint"))
+    events = border_carry(local, group, piece, pos, {"_rows": F.col(local_number)})
+    carry = _carried(events, {"_skip": F.sum("_rows").over(_before())})
+    counted, same = _with_carry(local, carry, group, piece)
+    number = F.col(local_number) + F.when(same, F.col("_skip")).otherwise(F.lit(0))
+    return counted.select(*df.columns, number.alias(name))
 
 
 def running_total(df: DataFrame, group: Sequence[str], order: Order, value: str, name: str) -> DataFrame:
-    """Running sum in (group, order) for groups that are all large."""
+    """Running sum along (group, order), which starts anew in every group."""
     group = list(group)
-    pieces = ordered_pieces(df, group, order)
-    rows = W.partitionBy(*group, "_piece").orderBy("_pos").rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = pieces.withColumn("_run", F.sum(value).over(rows))
-    sums = pieces.groupBy(*group, "_piece").agg(F.sum(value).alias("_sum"))
-    carry = sums.select(*group, "_piece", F.coalesce(F.sum("_sum").over(_before(group)), F.lit(0)).alias("_start"))
-    return _with_carry(local, carry, [*group, "_piece"]).select(*df.columns, (F.col("_run") + F.col("_start")).alias(name))
+    piece, pos, run = fresh([*df.columns, name], "_piece", "_pos", "_run")
+    pieces = ordered_pieces(df, group, order, piece, pos)
+    upto = W.partitionBy(piece, *group).orderBy(pos).rowsBetween(W.unboundedPreceding, W.currentRow)
+    local = pieces.withColumn(run, F.sum(value).over(upto))
+    events = border_carry(local, group, piece, pos, {"_sum": F.col(run)})
+    carry = _carried(events, {"_start": F.sum("_sum").over(_before())})
+    placed, same = _with_carry(local, carry, group, piece)
+    total = F.col(run) + F.coalesce(F.when(same, F.col("_start")), F.lit(0))
+    return placed.select(*df.columns, total.alias(name))
 
 
 def capped_running_balance(
@@ -96,57 +116,33 @@ def capped_running_balance(
     balance: str = "short_balance",
     previous: str = "short_balance_prev",
     number: str | None = None,
-    hot_rows: int | None = HOT_ROWS,
-    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Balance that never rises above zero: b = min(0, b_before + amount).
 
     Closed form: running sum minus the largest running sum so far (not below
-    zero). `order` must leave no ties. `number` also adds the row number; all of
-    it is one shuffle and one sort."""
+    zero). `order` must leave no ties. `number` also adds the row number."""
     group = list(group)
-    frame = df.withColumn("_amount", F.coalesce(amount, F.lit(0)))
-    rest, hot = split_hot(frame, group, hot_rows, counted_on)
-    zero = F.lit(0)
-
-    def running(rows: DataFrame, part: list[str], sort: list) -> DataFrame:
-        w = W.partitionBy(*part).orderBy(*sort)
-        upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-        summed = rows.withColumns({"_sum": F.sum("_amount").over(upto), "_number": F.row_number().over(w)})
-        topped = summed.withColumn("_top", F.max("_sum").over(upto))
-        return topped.withColumns({"_sum_prev": F.lag("_sum").over(w), "_top_prev": F.lag("_top").over(w)})
-
-    def shaped(rows: DataFrame, now: Column, before: Column, place: Column) -> DataFrame:
-        numbers = [place.cast("bigint").alias(number)] if number else []
-        return rows.select(*df.columns, *numbers, now.alias(balance), before.alias(previous))
-
-    plain = shaped(
-        running(rest, group, list(order)),
-        F.col("_sum") - F.greatest("_top", zero),
-        F.coalesce(F.col("_sum_prev") - F.greatest("_top_prev", zero), zero),
-        F.col("_number"),
-    )
-    if hot is None:
-        return plain
-    local = running(ordered_pieces(hot, group, order), [*group, "_piece"], ["_pos"])
-    ends = local.groupBy(*group, "_piece").agg(
-        F.sum("_amount").alias("_whole"), F.max("_sum").alias("_peak"), F.count(zero).alias("_rows")
+    taken = [*df.columns, balance, previous, number or ""]
+    piece, pos, value, total, top, place, total_prev, top_prev = fresh(
+        taken, "_piece", "_pos", "_amount", "_sum", "_top", "_number", "_sum_prev", "_top_prev"
     )
-    starts = ends.withColumns(
-        {
-            "_start": F.coalesce(F.sum("_whole").over(_before(group)), zero),
-            "_skip": F.coalesce(F.sum("_rows").over(_before(group)), zero),
-        }
-    )
-    top_before = F.max(F.col("_start") + F.col("_peak")).over(_before(group))
-    carry = starts.select(*group, "_piece", "_start", "_skip", top_before.alias("_top_start"))
-    placed = _with_carry(local, carry, [*group, "_piece"])
-    top = F.greatest("_top_start", F.col("_start") + F.col("_top"), zero)
-    top_prev = F.greatest("_top_start", F.col("_start") + F.col("_top_prev"), zero)
-    cut = shaped(
-        placed,
-        F.col("_start") + F.col("_sum") - top,
-        F.col("_start") + F.coalesce("_sum_prev", zero) - top_prev,
-        F.col("_skip") + F.col("_number"),
-    )
-    return plain.unionByName(cut)
+    zero = F.lit(0)
+    pieces = ordered_pieces(df.withColumn(value, F.coalesce(amount, zero)), group, order, piece, pos)
+    w = W.partitionBy(piece, *group).orderBy(pos)
+    upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
+    local = pieces.withColumns({total: F.sum(value).over(upto), place: F.row_number().over(w).cast("bigint")})
+    local = local.withColumn(top, F.max(total).over(upto))
+    local = local.withColumns({total_prev: F.lag(total).over(w), top_prev: F.lag(top).over(w)})
+    events = border_carry(local, group, piece, pos, {"_whole": F.col(total), "_peak": F.col(top), "_rows": F.col(place)})
+    starts = {"_start": F.coalesce(F.sum("_whole").over(_before()), zero), "_skip": F.sum("_rows").over(_before())}
+    carry = _carried(events.withColumns(starts), {"_start": F.col("_start"), "_skip": F.col("_skip"), "_high": F.max(F.col("_start") + F.col("_peak")).over(_before())})
+    placed, same = _with_carry(local, carry, group, piece)
+    start, skip = (F.coalesce(F.when(same, F.col(c)), zero) for c in ("_start", "_skip"))
+    # the highest sum so far, never below zero, with the row and before it
+    high = F.greatest(F.when(same, F.col("_high")), start + F.col(top), zero)
+    high_prev = F.greatest(F.when(same, F.col("_high")), start + F.col(top_prev), zero)
+    numbers = [(skip + F.col(place)).alias(number)] if number else []
+    now = start + F.col(total) - high
+    # 0 before the first row of a group; before the first of a piece it is what the carry leaves
+    before = start + F.coalesce(F.col(total_prev), zero) - high_prev
+    return placed.select(*df.columns, *numbers, now.alias(balance), before.alias(previous))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tablecheck.functions.columns import as_text, blank_nulls
 from tablecheck.model import ExtractRules, RunInfo, TableRules
 from tablecheck.operators.align import occurrence_number
-from tablecheck.operators.hot import HOT_ROWS
 from tablecheck.operators.windows import numbered
 from tablecheck.plans.netting import REPORT_CONSTANTS
 from tablecheck.plans.reconcile import run_table
@@ -86,17 +85,17 @@ def message_extract(report: DataFrame) -> DataFrame:
     return report.select([fields[name].alias(name) for name in MESSAGE_COLUMNS])
 
 
-def number_positions(rows: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    return occurrence_number(rows, POSITION_KEY, POSITION_ORDER, OCCURRENCE, hot_rows)
+def number_positions(rows: DataFrame) -> DataFrame:
+    return occurrence_number(rows, POSITION_KEY, POSITION_ORDER, OCCURRENCE)
 
 
-def number_clearing(rows: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def number_clearing(rows: DataFrame) -> DataFrame:
     """Numbered through the whole file, by all its columns."""
-    return numbered(rows, [], CLEARING_COLUMNS, OCCURRENCE, hot_rows)
+    return numbered(rows, [], CLEARING_COLUMNS, OCCURRENCE)
 
 
-def number_messages(rows: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    return occurrence_number(rows, MESSAGE_KEY, MESSAGE_COLUMNS, OCCURRENCE, hot_rows)
+def number_messages(rows: DataFrame) -> DataFrame:
+    return occurrence_number(rows, MESSAGE_KEY, MESSAGE_COLUMNS, OCCURRENCE)
 
 
 MAKERS = {

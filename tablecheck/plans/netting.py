@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from tablecheck.functions.options import compact_date, contract_date, option_symbol, option_type, put_call
 from tablecheck.model import RunInfo, TableRules
 from tablecheck.operators.align import occurrence_number
-from tablecheck.operators.hot import HOT_ROWS
 from tablecheck.operators.windows import capped_running_balance, numbered
 from tablecheck.plans.reconcile import run_table
 from tablecheck.session import pin
@@ -133,9 +132,9 @@ def carriers(longs: DataFrame) -> DataFrame:
     return longs.groupBy(*MATURITY_KEY).agg(first, F.sum("quantity").cast(QUANTITY).alias("quantity"))
 
 
-def numbered_long_rows(longs: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def numbered_long_rows(longs: DataFrame) -> DataFrame:
     """Long rows numbered inside their maturity; number 1 is the carrier."""
-    return numbered(longs, MATURITY_KEY, ["underlying_sec_name", "strikepriceamount"], "row_id", hot_rows)
+    return numbered(longs, MATURITY_KEY, ["underlying_sec_name", "strikepriceamount"], "row_id")
 
 
 def short_rows(totals: DataFrame, by_name: bool = True) -> DataFrame:
@@ -255,9 +254,7 @@ def still_both_sides(open_rows: DataFrame) -> DataFrame:
     return kept.withColumns({c: F.coalesce(c, zero) for c in ("short_quantity", "long_quantity")})
 
 
-def sequence(
-    open_rows: DataFrame, policy: str = "ordered", newest_first: bool = False, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def sequence(open_rows: DataFrame, policy: str = "ordered", newest_first: bool = False) -> DataFrame:
     """Numbers the rows of each group and runs the capped balance over them."""
     return capped_running_balance(
         still_both_sides(open_rows),
@@ -265,8 +262,6 @@ def sequence(
         sequence_order(policy, newest_first),
         F.col("long_quantity") + F.col("short_quantity"),
         number="row_seqno",
-        hot_rows=hot_rows,
-        counted_on=open_rows,
     )
 
 
@@ -324,12 +319,11 @@ class Stages:
         policy: str = "ordered",
         newest_first: bool = False,
         by_name: bool = True,
-        hot_rows: int | None = HOT_ROWS,
     ) -> None:
         self.positions = positions.filter(F.col("process_date") == process_date)
         self.process_date = process_date
         self._policy, self._newest_first = policy, newest_first
-        self._by_name, self._hot_rows = by_name, hot_rows
+        self._by_name = by_name
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -383,7 +377,7 @@ class Stages:
 
     @cached_property
     def sequenced(self) -> DataFrame:
-        return sequence(unprocessed(self.pinned_offset), self._policy, self._newest_first, self._hot_rows)
+        return sequence(unprocessed(self.pinned_offset), self._policy, self._newest_first)
 
     @cached_property
     def allocated(self) -> DataFrame:
@@ -399,18 +393,16 @@ def netting_report(positions: DataFrame, process_date: str, **options) -> DataFr
     return Stages(positions, process_date, **options).report
 
 
-def report_for_compare(report: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def report_for_compare(report: DataFrame) -> DataFrame:
     """Report rows with an occurrence number, which makes their key unique."""
     rows = report.withColumn("occ_strkprice_report", F.col("occ_strkprice_report").cast("string"))
-    return occurrence_number(rows, REPORT_KEY, REPORT_ORDER, "rnm", hot_rows)
+    return occurrence_number(rows, REPORT_KEY, REPORT_ORDER, "rnm")
 
 
-def reconcile_report(
-    report: DataFrame, target: DataFrame, run: RunInfo, ignore: Sequence[str] = (), hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
+def reconcile_report(report: DataFrame, target: DataFrame, run: RunInfo, ignore: Sequence[str] = ()) -> DataFrame:
     """The report against the delivered table: comparison and checks."""
     rules = TableRules(
         "reporting_occ", pk_col=(*REPORT_KEY, "rnm"), non_nullable_col=REPORT_KEY, ignore_col=tuple(ignore)
     )
-    src, tgt = report_for_compare(report, hot_rows), report_for_compare(target, hot_rows)
+    src, tgt = report_for_compare(report), report_for_compare(target)
     return run_table(src, tgt, rules, run, unique=True)

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from tablecheck.functions.columns import lower_names, prefix_source
 from tablecheck.model import PREFIX, RunInfo, TableRules
 from tablecheck.operators.align import (
-    HOT_ROWS,
     Pairing,
     pair_by_important,
     pair_by_key,
@@ -29,12 +28,11 @@ def pair(
     align: str,
     how: str = "full",
     unique: bool = False,
-    hot_rows: int | None = HOT_ROWS,
 ) -> Pairing:
     if align == "key":
         return pair_by_key(src, tgt, rules.pk_col, how, unique)
     if align == "important":
-        return pair_by_important(src, tgt, rules.important_col, how, hot_rows)
+        return pair_by_important(src, tgt, rules.important_col, how)
     if align == "ordinal":
         return pair_by_ordinal(src, tgt, how)
     raise ValueError(f"unknown alignment: {align}")
@@ -76,7 +74,6 @@ def reconcile(
     compare: str = "typed",
     signed: bool = False,
     unique: bool = False,
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """One result row per compared column; one aggregate over one pairing, and one over the
     value counts of keys that both sides repeat.
@@ -95,7 +92,7 @@ def reconcile(
             raise ValueError("a bag compares all rows of both sides: how must be 'full'")
         cells = bag_cells(s, t, cell_list)
     else:
-        paired = pair(s, t, rules, align, how, unique, hot_rows)
+        paired = pair(s, t, rules, align, how, unique)
         found, cell_list = _rules_for(paired, s, t, rules, compare, signed)
         cells = count_cells(paired, cell_list)
     return regression_rows(cells, s, t, rules, run, found.tgt_only)

@@ -4,7 +4,9 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tablecheck.operators.windows import capped_running_balance, numbered, ordered_pieces, running_total
+from pyspark.sql import Window as W
+
+from tablecheck.operators.windows import border_carry, capped_running_balance, numbered, ordered_pieces, running_total
 
 # A third of the rows in one group, a third of those copies of one row.
 random.seed(3)
@@ -47,9 +49,8 @@ def test_ordinal_equals_global_row_number(rows):
     assert [(r["g"], r["a"], r["b"]) for r in by_id] == sorted(ROWS, key=sort_key)
 
 
-@pytest.mark.parametrize("hot_rows", [None, 100, 1])
-def test_number_inside_groups(rows, hot_rows):
-    got = numbered(rows, ["g"], ["a", "b"], "n", hot_rows).collect()
+def test_number_inside_groups(rows):
+    got = numbered(rows, ["g"], ["a", "b"], "n").collect()
     groups = defaultdict(list)
     for r in got:
         groups[r["g"]].append((r["n"], r["a"], r["b"]))
@@ -69,11 +70,10 @@ def test_running_total(rows):
         assert r["run"] == totals[r["g"]]
 
 
-@pytest.mark.parametrize("hot_rows", [None, 100, 1])
-def test_capped_balance_equals_a_loop(spark, cut_often, hot_rows):
+def test_capped_balance_equals_a_loop(spark, cut_often):
     data = [(g, i, b) for i, (g, _, b) in enumerate(ROWS)]
     df = spark.createDataFrame(data, "g string, i int, b int").repartition(5)
-    got = capped_running_balance(df, ["g"], ["i"], F.col("b"), "bal", "prev", "n", hot_rows).collect()
+    got = capped_running_balance(df, ["g"], ["i"], F.col("b"), "bal", "prev", "n").collect()
     expect, state, count = {}, defaultdict(int), defaultdict(int)
     for g, i, b in data:
         before = state[g]
@@ -81,3 +81,38 @@ def test_capped_balance_equals_a_loop(spark, cut_often, hot_rows):
         count[g] += 1
         expect[i] = (state[g], before, count[g])
     assert {r["i"]: (r["bal"], r["prev"], r["n"]) for r in got} == expect
+
+
+def test_carry_is_bounded_by_the_pieces(rows):
+    """However many groups there are, a piece has one border."""
+    pieces = ordered_pieces(rows, ["g"], ["a", "b"])
+    local = pieces.withColumn("n", F.row_number().over(W.partitionBy("_piece", "g").orderBy("_pos")))
+    events = border_carry(local, ["g"], "_piece", "_pos", {"rows": F.col("n")})
+    count = pieces.select("_piece").distinct().count()
+    assert events.count() == 2 * count > 2
+    assert events.filter("_end = 0 AND _pieces > 0").count() < count
+
+
+def test_nothing_is_counted_while_planning(spark, rows):
+    """Numbering in groups runs no job but those that write the sorted pieces."""
+
+    def jobs(name, plan):
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", name)
+        plan()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    pieces = jobs("pieces", lambda: ordered_pieces(rows, ["g"], ["a", "b"]))
+    assert jobs("numbered", lambda: numbered(rows, ["g"], ["a", "b"])) == pieces
+
+
+def test_names_that_a_table_has_already(spark, cut_often):
+    data = [("x", k % 5, k, k, k, "t") for k in range(200)]
+    odd = spark.createDataFrame(data, "_piece string, _pos int, _tie int, _hash int, _number int, _run string").repartition(3)
+    got = numbered(odd, ["_piece"], ["_tie"], "n").collect()
+    assert sorted((r["n"], r["_tie"]) for r in got) == [(k + 1, k) for k in range(200)]
+    assert got[0].__fields__ == [*odd.columns, "n"]
+    run = running_total(odd, ["_pos"], ["_tie"], "_number", "total").collect()
+    assert all(r["total"] == sum(x for x in range(r["_tie"] + 1) if x % 5 == r["_pos"]) for r in run)
+    balance = capped_running_balance(odd, ["_run"], ["_tie"], -F.col("_hash"), number="n").collect()
+    assert all(r["short_balance"] == -sum(range(r["_tie"] + 1)) for r in balance)
