@@ -144,6 +144,20 @@ def replace_stage(spark, sf):
     return T.read_query(spark, "SELECT o_orderstatus, count(*) AS n FROM {staged} GROUP BY o_orderstatus", staged=staged)
 
 
+@query("SELECT o_orderkey, o_orderstatus FROM orders")
+def replace_failed(spark, sf):
+    """A write that fails half-way leaves the rows of the version before."""
+    path, orders = staging_path(spark, "stage"), X.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    T.replace_table(orders, path)
+    stops = F.when(F.col("o_orderkey") % 7 == 3, F.raise_error(F.lit("stopped"))).otherwise(F.lit("X"))
+    try:
+        T.replace_table(orders.withColumn("o_orderstatus", stops.cast("string")), path)
+    except Exception as error:  # noqa: BLE001
+        if "stopped" not in str(error):
+            raise
+    return T.read_table(spark, path)
+
+
 def _delivered(spark, rows: DataFrame, key: str, line, header=(), trailer=None) -> str:
     return X.deliver_lines(rows, key, line, list(header), trailer)
 
@@ -346,6 +360,115 @@ def xsd_check(spark, sf):
     return bad.select(F.regexp_extract(M.BAD, r'key="(\d+)"', 1).cast("bigint").alias("part_key"))
 
 
+# Lines by order: a key across the records of a file, a reference from line to line, and a limit of
+# records. Some lines break the record's own rules, some only those of the document.
+LINES_XSD = """<?xml version="1.0" encoding="UTF-8"?>
+<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema">
+  <xs:element name="lines">
+    <xs:complexType><xs:sequence><xs:element ref="line" minOccurs="1" maxOccurs="{most}"/></xs:sequence></xs:complexType>
+    <xs:key name="line_key"><xs:selector xpath="line"/><xs:field xpath="@order"/><xs:field xpath="@number"/></xs:key>
+    <xs:unique name="label_once"><xs:selector xpath="line"/><xs:field xpath="label"/></xs:unique>
+    <xs:keyref name="follows" refer="line_key">
+      <xs:selector xpath="line"/><xs:field xpath="@order"/><xs:field xpath="after"/>
+    </xs:keyref>
+  </xs:element>
+  <xs:element name="line">
+    <xs:complexType>
+      <xs:sequence>
+        <xs:element name="after" type="xs:int" minOccurs="0"/>
+        <xs:element name="label" type="xs:string" minOccurs="0"/>
+        <xs:element name="quantity">
+          <xs:simpleType><xs:restriction base="xs:int"><xs:maxInclusive value="49"/></xs:restriction></xs:simpleType>
+        </xs:element>
+      </xs:sequence>
+      <xs:attribute name="order" type="xs:long" use="required"/>
+      <xs:attribute name="number" type="xs:int"/>
+    </xs:complexType>
+  </xs:element>
+</xs:schema>
+"""
+LINES_SCHEMA = "_order bigint, _number int, after int, label string, quantity int"
+#: Most lines that a file may have, of the number that it would have on average.
+LINES_SQL = """l AS (SELECT l_suppkey % 4 AS file, l_orderkey AS o, CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE l_linenumber END AS n,
+    CASE WHEN l_partkey % 53 = 0 THEN l_linenumber + 100 WHEN l_linenumber > 1 AND l_partkey % 3 = 0 THEN l_linenumber END AS after,
+    CASE WHEN l_partkey % 41 = 0 THEN 'label ' || (l_partkey % 5)::varchar END AS label, l_quantity::int AS q FROM lineitem),
+  good AS (SELECT * FROM l WHERE q <= 49), bad AS (SELECT * FROM l WHERE q > 49),
+  most AS (SELECT count(*) // 4 AS most FROM lineitem)"""
+LINES_FAILURES = """
+  SELECT file, 'key line_key' AS rule, o::varchar || ', ' || coalesce(n::varchar, '(missing)') AS value, count(*) AS records
+    FROM good GROUP BY file, o, n HAVING n IS NULL OR count(*) > 1
+  UNION ALL SELECT file, 'unique label_once', label, count(*) FROM good WHERE label IS NOT NULL GROUP BY file, label HAVING count(*) > 1
+  UNION ALL SELECT file, 'keyref follows', o::varchar || ', ' || after::varchar, count(*) FROM good
+    WHERE after IS NOT NULL AND NOT EXISTS (SELECT 1 FROM good k WHERE k.file = good.file AND k.o = good.o AND k.n = good.after)
+    GROUP BY file, o, after
+  UNION ALL SELECT file, 'maxOccurs', count(*)::varchar, count(*) FROM good, most GROUP BY file, most HAVING count(*) > most"""
+
+
+def _lines_extract(spark, sf) -> tuple[str, ExtractRules]:
+    """Four files of lines, one folder each, and rules that name the schema file."""
+    rows, part = lineitem(spark, sf), F.col("l_partkey")
+    after = F.when(part % 53 == 0, F.col("l_linenumber") + 100).when((F.col("l_linenumber") > 1) & (part % 3 == 0), F.col("l_linenumber"))
+    shaped = rows.select(
+        (F.col("l_suppkey") % 4).alias("file"),
+        F.col("l_orderkey").cast("bigint").alias("_order"),
+        F.when(part % 97 != 0, F.col("l_linenumber").cast("int")).alias("_number"),
+        after.cast("int").alias("after"),
+        F.when(part % 41 == 0, F.concat(F.lit("label "), (part % 5).cast("string"))).alias("label"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+    )
+    path = staging_path(spark, "lines")
+    options = {"rowTag": "line", "rootTag": "lines", "attributePrefix": "_"}
+    for k in range(4):
+        own = shaped.filter(F.col("file") == k).drop("file").coalesce(1)
+        own.write.format("xml").options(**options).save(f"{path}/part={k}")
+    schema = staging_path(spark, "lines-xsd")
+    text = LINES_XSD.replace("{most}", str(rows.count() // 4))
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(schema)
+    return path, ExtractRules("lines", "xml", row_tag="line", row_schema=LINES_SCHEMA, validator_file_name=schema)
+
+
+def _file_number(column: str) -> Column:
+    return F.regexp_extract(column, r"part=(\d+)", 1).cast("bigint")
+
+
+@query(f"WITH {LINES_SQL}, f AS ({LINES_FAILURES}) SELECT file::bigint AS file, rule, value, records::bigint AS records FROM f")
+def xsd_document(spark, sf):
+    """What only the records of a file together break: keys, unique values, references, how many there are."""
+    path, rules = _lines_extract(spark, sf)
+    found = L.read_checked(spark, path, rules)[1].failures
+    return found.withColumn("file", _file_number("file"))
+
+
+@query(
+    f"""WITH {LINES_SQL}, f AS ({LINES_FAILURES}), n AS (SELECT file, count(*) FILTER (WHERE q <= 49) AS accepted,
+      count(*) FILTER (WHERE q > 49) AS rejected FROM l GROUP BY file), m AS (SELECT file, count(*) AS failures FROM f GROUP BY file)
+    SELECT file::bigint AS file, accepted::bigint AS accepted, rejected::bigint AS rejected, coalesce(failures, 0)::bigint AS failures,
+      CASE WHEN rejected = 0 AND failures IS NULL THEN 'PASS' ELSE 'FAIL' END AS status FROM n LEFT JOIN m USING (file)"""
+)
+def xsd_documents(spark, sf):
+    """One row per file, with a verdict."""
+    from tablecheck.sources.xsd import xml_files
+
+    path, rules = _lines_extract(spark, sf)
+    found = L.read_checked(spark, path, rules)[1].documents(xml_files(spark, path))
+    return found.withColumn("file", _file_number("file"))
+
+
+@query(
+    f"""WITH {LINES_SQL} SELECT 'accepted' AS channel, o::varchar AS line_order, coalesce(n::varchar, '') AS line_number,
+      q::varchar AS quantity FROM good
+    UNION ALL SELECT 'rejected', o::varchar, coalesce(n::varchar, ''), q::varchar FROM bad"""
+)
+def extract_rejects(spark, sf):
+    """An extract read by its rules: flat rows of the records that conform, and the others apart."""
+    path, rules = _lines_extract(spark, sf)
+    rows, found = L.read_checked(spark, path, rules)
+    names = {"line_order": r'order="(\d+)"', "line_number": r'number="(\d+)"', "quantity": r"<quantity>(\d+)</quantity>"}
+    bad = [F.regexp_extract("record", pattern, 1).alias(n) for n, pattern in names.items()]
+    good = rows.select(F.lit("accepted").alias("channel"), "line_order", F.coalesce("line_number", F.lit("")).alias("line_number"), F.col("quantity_text").alias("quantity"))
+    return good.unionByName(found.rejected.select(F.lit("rejected").alias("channel"), *bad))
+
+
 @query(
     """SELECT p_partkey, CASE WHEN replace(p_brand, 'Brand#', '')::int % 2 = 0 THEN p_brand || '_v' ELSE p_brand END AS rules_name
     FROM part WHERE replace(p_brand, 'Brand#', '')::int % 5 <> 0
@@ -923,6 +1046,15 @@ def latest_run(spark, sf):
     return results(V.latest_run(_log(spark, sf), ["customer"]))
 
 
+@query(f"WITH {O.RESULTS} SELECT * FROM regression UNION ALL SELECT * FROM checks")
+def log_repeated_run(spark, sf):
+    """A run that is logged twice, first with other results, is in the log once, as it was last."""
+    base, path = customer(spark, sf), staging_path(spark, "log")
+    T.append_results(run_table(base, base, CUSTOMER_TOL, RUN), path)
+    T.append_results(run_table(base, changed_customer(spark, sf), CUSTOMER_TOL, RUN), path)
+    return results(T.read_results(spark, path))
+
+
 SUPPLIER = {"s_suppkey": "typed", "s_name": "text", "s_nationkey": "typed", "s_acctbal": "typed"}
 NATION = {"n_nationkey": "typed", "n_name": "text", "n_regionkey": "typed"}
 
@@ -1298,40 +1430,41 @@ def extract_3(spark, sf):
 
 
 def _delivered_copy(spark, made: DataFrame, key: str) -> DataFrame:
-    """The delivered file as text: rows of some keys missing, some quantities changed."""
+    """The delivered file as text: some rows missing, some without a key, some quantities changed."""
     quantity = "qty_long" if "qty_long" in made.columns else "occ_qty_reported"
-    path = staging_path(spark, "delivered")
-    changed = F.when(F.col(quantity) % 3 == 0, F.col(quantity) + 1).otherwise(F.col(quantity))
-    rows = made.filter(F.col(key) != made.select(F.min(key)).scalar()) if key else made
-    T.export_delimited(rows.withColumn(quantity, changed), path)
+    path, held = staging_path(spark, "delivered"), F.col(quantity)
+    rows = made.filter(held % 7 != 0).withColumn(key, F.when(held % 5 != 0, F.col(key)))
+    T.export_delimited(rows.withColumn(quantity, F.when(held % 3 == 0, held + 1).otherwise(held)), path)
     return T.read_text_table(spark, path, sep="|")
 
 
-def _extract_sql(made: str, columns: tuple[str, ...], quantity: str, key: tuple[str, ...], order: str, drop: str, not_null: tuple[str, ...]):
-    """Both sides as text, numbered inside the key, joined on all of it."""
-    text = ", ".join(f"coalesce({c}::varchar, '') AS {c}" for c in columns)
+def _extract_sql(made: str, columns: tuple[str, ...], quantity: str, key: tuple[str, ...], order: str, lost: str, checked: tuple[str, ...]):
+    """Both sides as text, numbered inside the key, joined on all of it; then the checks."""
+    blank = not key  # the file that is numbered through has no NULL
+    text = ", ".join(f"coalesce({c}::varchar, '') AS {c}" if blank else f"{c}::varchar AS {c}" for c in columns)
+    # an empty field of the delivered file is read as NULL
+    read = text if blank else ", ".join(f"nullif({c}::varchar, '') AS {c}" for c in columns)
     part = f"PARTITION BY {', '.join(key)} " if key else ""
+    by = ", ".join(f"{c.strip()} NULLS FIRST" for c in order.split(","))
     keys = (*key, "rnm")
-    where = f"WHERE {drop} <> (SELECT min({drop}) FROM made)" if drop else ""
     kinds = {c: "text" for c in (*columns, "rnm")}
     ctes = f""", made AS ({made}),
-    late AS (SELECT * REPLACE (CASE WHEN {quantity} % 3 = 0 THEN {quantity} + 1 ELSE {quantity} END AS {quantity}) FROM made {where}),
-    es AS (SELECT * REPLACE (rnm::varchar AS rnm) FROM (SELECT *, row_number() OVER ({part}ORDER BY {order}) AS rnm FROM (SELECT {text} FROM made))),
-    et AS (SELECT * REPLACE (rnm::varchar AS rnm) FROM (SELECT *, row_number() OVER ({part}ORDER BY {order}) AS rnm FROM (SELECT {text} FROM late))),
-    {O.joined("es", "et", list(kinds), O.on_keys(*keys))}, {O.cells_sql(kinds)}"""
-    rows = f"""SELECT column_name, overall_status, src_count, tgt_count, pass_count, fail_count
-      FROM ({O.result_sql("es", "et", "extract", not_null)})"""
-    return O.net(rows, extra=ctes)
-
-
-def _extract_recon(spark, sf, which: str, drop: str) -> DataFrame:
-    """All compared columns against a delivered file with changed and missing rows."""
+    late AS (SELECT * REPLACE (CASE WHEN {quantity} % 5 = 0 THEN NULL ELSE {lost} END AS {lost},
+      CASE WHEN {quantity} % 3 = 0 THEN {quantity} + 1 ELSE {quantity} END AS {quantity}) FROM made WHERE {quantity} % 7 <> 0),
+    es AS (SELECT * REPLACE (rnm::varchar AS rnm) FROM (SELECT *, row_number() OVER ({part}ORDER BY {by}) AS rnm FROM (SELECT {text} FROM made))),
+    et AS (SELECT * REPLACE (rnm::varchar AS rnm) FROM (SELECT *, row_number() OVER ({part}ORDER BY {by}) AS rnm FROM (SELECT {read} FROM late))),
+    {O.joined("es", "et", list(kinds), " AND ".join(f"coalesce(s.{k}, '') = coalesce(t.{k}, '')" for k in keys))}, {O.cells_sql(kinds)}"""
+    rows = f"SELECT * FROM ({O.result_sql('es', 'et', 'extract', checked)}) UNION ALL {O.count_check('es', 'et', 'extract')}"
+    if checked:
+        rows += f" UNION ALL {O.null_check('et', 'extract', checked)}"
+    return O.net(f"{rows} UNION ALL {O.dupe_check('et', 'extract', keys)}", extra=ctes)
+
+
+def _extract_recon(spark, sf, which: str, lost: str) -> DataFrame:
+    """All result rows against a delivered file with changed and missing rows, and rows without a key."""
     report = _report(spark, sf)
-    delivered = _delivered_copy(spark, E.MAKERS[which][0](report), drop)
-    rows = E.reconcile_extract(which, report, delivered, ExtractRules("extract", "psv"), RUN)
-    return results(rows.filter(F.col("type") == "Regression")).select(
-        "column_name", "overall_status", "src_count", "tgt_count", "pass_count", "fail_count"
-    )
+    delivered = _delivered_copy(spark, E.MAKERS[which][0](report), lost)
+    return results(E.reconcile_extract(which, report, delivered, ExtractRules("extract", "psv"), RUN))
 
 
 _POSITION_SQL = """SELECT process_date, bor_client_id, symbol, option_type, expiry_maturity_date, occ_qty_reported, txntyp, actn,
@@ -1354,11 +1487,11 @@ _CLEARING_SQL = """SELECT 'O' AS type, symbol, occ_strkprice_report AS strike, p
 
 @query(
     _extract_sql(
-        _CLEARING_SQL, E.CLEARING_COLUMNS, "occ_qty_reported", (), ", ".join(E.CLEARING_COLUMNS), "", ("rnm",)
+        _CLEARING_SQL, E.CLEARING_COLUMNS, "occ_qty_reported", (), ", ".join(E.CLEARING_COLUMNS), "symbol", ("rnm",)
     )
 )
 def extract_2_recon(spark, sf):
-    return _extract_recon(spark, sf, "2", "")
+    return _extract_recon(spark, sf, "2", "symbol")
 
 
 @query(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablecheck.functions.options import compact_date, contract_date, option_symbol, option_type, put_call
@@ -282,11 +282,12 @@ def allocate(sequenced: DataFrame) -> DataFrame:
     return out.filter(F.col("occ_qty_reported") > 0)
 
 
-def the_one_value(df: DataFrame, column: str) -> Column:
-    """The single value of a column as a scalar; more than one is an error."""
-    low, high = F.min(column), F.max(column)
-    message = F.lit(f"{column} has more than one value")
-    return df.agg(F.when(low == high, high).when(low.isNull(), high).otherwise(F.raise_error(message))).scalar()
+def the_one_value(seen: Observation, column: str) -> Column:
+    """The single value of a column, from its least and greatest; more than one is an error."""
+    low, high = seen.get["low"], seen.get["high"]
+    if low != high:
+        raise ValueError(f"{column} has more than one value: {low} and {high}")
+    return F.lit(high).cast("string")
 
 
 def report_rows(offset: DataFrame, allocated: DataFrame, process_date: str, run_date: Column) -> DataFrame:
@@ -324,6 +325,7 @@ class Stages:
         self.process_date = process_date
         self._policy, self._newest_first = policy, newest_first
         self._by_name = by_name
+        self._run_dates = Observation()
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -339,8 +341,11 @@ class Stages:
 
     @cached_property
     def pinned_sides(self) -> DataFrame:
-        """Written once: the long rows, their carriers and the short rows read it."""
-        return pin(side_totals(self.sided))
+        """Written once: the long rows, their carriers and the short rows read it. The run dates
+        are seen on the way, so the positions are not read for them again."""
+        least, greatest = F.min("run_date").alias("low"), F.max("run_date").alias("high")
+        seen = self.positions.observe(self._run_dates, least, greatest)
+        return pin(side_totals(both_sides(aggregate(enrich(seen)))))
 
     @cached_property
     def longs(self) -> DataFrame:
@@ -385,8 +390,8 @@ class Stages:
 
     @cached_property
     def report(self) -> DataFrame:
-        run_date = the_one_value(self.positions, "run_date")
-        return report_rows(self.pinned_offset, self.allocated, self.process_date, run_date)
+        offset = self.pinned_offset  # has been written, and the positions read
+        return report_rows(offset, self.allocated, self.process_date, the_one_value(self._run_dates, "run_date"))
 
 
 def netting_report(positions: DataFrame, process_date: str, **options) -> DataFrame:

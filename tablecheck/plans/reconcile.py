@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tablecheck.functions.columns import lower_names, prefix_source
 from tablecheck.model import PREFIX, RunInfo, TableRules
@@ -19,6 +23,7 @@ from tablecheck.operators.align import (
 from tablecheck.operators.checks import run_checks
 from tablecheck.operators.compare import cell_rules, compare_cells, count_cells
 from tablecheck.operators.summary import bag_cells, regression_rows
+from tablecheck.sources.tables import append_results, read_results
 
 
 def pair(
@@ -117,6 +122,44 @@ def run_suite(jobs: Sequence[TableJob], run: RunInfo) -> DataFrame:
     return reduce(DataFrame.unionByName, [run_table(j.src, j.tgt, j.rules, run, align=j.align) for j in jobs])
 
 
+def logged_tables(spark: SparkSession, path: str, run: RunInfo) -> set[str]:
+    """The tables whose results of this run are in the log; at most one name per table."""
+    try:
+        log = read_results(spark, path)
+    except AnalysisException:  # there is no log yet
+        return set()
+    own = log.filter((F.col("as_of_date") == run.as_of_date) & (F.col("last_insert_timestamp") == run.run_ts))
+    return {r.table_name for r in own.select("table_name").distinct().collect()}
+
+
+def run_logged_suite(
+    spark: SparkSession, jobs: Sequence[TableJob], run: RunInfo, path: str, at_once: int = 4
+) -> DataFrame:
+    """Runs many tables into the log, `at_once` of them at a time, and returns the run's results.
+
+    Each table is logged as soon as it is done, and a table that the log has from this run is
+    left out. So a suite that was stopped goes on where it was, under the same stamp, and
+    one table's failure (which is raised in the end) keeps no other from being logged."""
+    names = [j.rules.table_name for j in jobs]
+    if len(set(names)) < len(names):
+        raise ValueError("a table can be in a logged suite once only")
+    done = logged_tables(spark, path, run)
+
+    def one(job: TableJob) -> None:
+        append_results(run_table(job.src, job.tgt, job.rules, run, align=job.align), path)
+
+    # job group, pool and the like go with the thread
+    started = inheritable_thread_target(spark)(one)
+    with ThreadPoolExecutor(at_once) as pool:
+        running = [pool.submit(started, j) for j in jobs if j.rules.table_name not in done]
+    failed = [f.exception() for f in running if f.exception() is not None]
+    if failed:
+        raise failed[0]
+    log = read_results(spark, path)
+    own = (F.col("as_of_date") == run.as_of_date) & (F.col("last_insert_timestamp") == run.run_ts)
+    return log.filter(own & F.col("table_name").isin(names))
+
+
 def self_compare(df: DataFrame, rules: TableRules, run: RunInfo, **options) -> DataFrame:
     """A table against itself; everything must pass."""
     return reconcile(df, df, rules, run, **options)

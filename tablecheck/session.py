@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Where the frames that `pin` returned are staged.
+_staged: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def build_session(app_name: str = "tablecheck", master: str | None = None, **conf: str) -> SparkSession:
@@ -27,7 +30,8 @@ def build_session(app_name: str = "tablecheck", master: str | None = None, **con
 
 def staging_root(spark: SparkSession) -> str:
     """This application's folder in storage that all executors share: below the checkpoint folder
-    that the cluster names, else the one that is set, else the warehouse folder."""
+    that the cluster names, else the one that is set, else the warehouse folder, which is local if the
+    warehouse is: a cluster must name one of the two in storage that its executors share."""
     context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not root:
@@ -44,11 +48,22 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 def drop_staged(spark: SparkSession) -> bool:
     """Deletes all tables that this application has staged; frames that read them are void."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    return delete_path(spark, staging_root(spark))
+
+
+def delete_path(spark: SparkSession, name: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Deletes what `pin` has written for these frames, which nothing may read any more."""
+    for frame in frames:
+        path = _staged.pop(frame, None)
+        if path:
+            delete_path(frame.sparkSession, path)
+
+
 def pin(df: DataFrame, name: str = "stage") -> DataFrame:
     """Writes the rows as a table in the shared folder and reads them back.
 
@@ -57,4 +72,6 @@ def pin(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = staging_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    _staged[held] = path
+    return held

@@ -10,18 +10,21 @@ from pyspark.sql import types as T
 
 from tablecheck.model import RESULT_SCHEMA
 
-LOG_PARTITION = "as_of_date"
+#: A run of a table is one folder of the log, which is replaced as a whole.
+LOG_PARTITIONS = ("as_of_date", "last_insert_timestamp", "table_name")
+#: Folders of a replaced stage: its versions, and an empty file for each that was published.
+VERSION, PUBLISHED = "version=", "_published"
 
 
 def read_table(
     spark: SparkSession, source: DataFrame | str, fmt: str = "parquet", where: Column | str | None = None
 ) -> DataFrame:
     """`source` is a frame, a path (anything with a '/') or a catalog name; a
-    registered view is read by its name."""
+    registered view is read by its name. Of a replaced stage the published version is read."""
     if isinstance(source, DataFrame):
         df = source
     elif "/" in source:
-        df = spark.read.format(fmt).load(source)
+        df = spark.read.format(fmt).load(current_version(spark, source) or source)
     else:
         df = spark.table(source)
     return df if where is None else df.filter(where)
@@ -100,23 +103,77 @@ def sample_rows(df: DataFrame, keys: Sequence[str], n: int = 100) -> DataFrame:
 
 
 def append_results(results: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Adds result rows to the shared log, partitioned by date."""
+    """Adds result rows to the shared log. All rows of a table and run come in one call.
+
+    Each table and run is a folder that is replaced as a whole, so a run that is
+    repeated after a failure, under the same stamp, is in the log once."""
     rows = results.select([f.name for f in RESULT_SCHEMA])
-    rows.write.mode("append").format(fmt).partitionBy(LOG_PARTITION).save(path)
+    rows = rows.repartition(*LOG_PARTITIONS)  # a few rows each; one file
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.format(fmt).partitionBy(*LOG_PARTITIONS).save(path)
 
 
 def read_results(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).schema(RESULT_SCHEMA).load(path).select([f.name for f in RESULT_SCHEMA])
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop has them."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def published_versions(spark: SparkSession, path: str) -> list[int]:
+    """The published versions of a stage that are still there, oldest first."""
+    fs, place = _folder(spark, f"{path}/{PUBLISHED}")
+    if not fs.exists(place):
+        return []
+    return sorted(int(f.getPath().getName()) for f in fs.listStatus(place))
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of a stage's newest published version; None if `path` is no such stage."""
+    found = published_versions(spark, path)
+    return f"{path}/{VERSION}{found[-1]}" if found else None
+
+
 def replace_table(df: DataFrame, target: str, fmt: str = "parquet", path: str | None = None) -> DataFrame:
-    """Overwrites a path or a catalog table and reads it back."""
-    writer = df.write.mode("overwrite").format(fmt)
-    if "/" in target:
-        writer.save(target)
-        return df.sparkSession.read.format(fmt).load(target)
-    (writer.option("path", path) if path else writer).saveAsTable(target)
-    return df.sparkSession.table(target)
+    """Replaces a stage (a path or a catalog table) and reads it back.
+
+    The rows are written as a new version beside the old one, which is read until the new one
+    is whole and published: by an empty file, made last. So a write that fails at any time
+    leaves the old rows, may be repeated, and frames that read the old version go on; the version
+    before the last is deleted. Of two writers at once the second to publish fails.
+    A catalog table points at the published version; its versions are below `path`, else
+    beside the warehouse's tables."""
+    spark = df.sparkSession
+    in_catalog = "/" not in target
+    root = target if not in_catalog else path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{target}.versions"
+    before = published_versions(spark, root)
+    number = before[-1] + 1 if before else 1
+    written = f"{root}/{VERSION}{number}"
+    df.write.mode("overwrite").format(fmt).save(written)
+    fs, mark = _folder(spark, f"{root}/{PUBLISHED}/{number}")
+    fs.create(mark, False).close()
+    if in_catalog:
+        _point(spark, target, fmt, written)
+    for old in before[:-1]:
+        fs.delete(_folder(spark, f"{root}/{PUBLISHED}/{old}")[1], False)
+        fs.delete(_folder(spark, f"{root}/{VERSION}{old}")[1], True)
+    return spark.table(target) if in_catalog else spark.read.format(fmt).load(written)
+
+
+def _point(spark: SparkSession, name: str, fmt: str, location: str) -> None:
+    """Makes the catalog table read a folder. A table of the same columns is only pointed
+    elsewhere; one of other columns is made anew, its rows not being the table's own."""
+    quoted = ".".join(f"`{part}`" for part in name.split("."))
+    wanted = spark.read.format(fmt).load(location).schema
+    if spark.catalog.tableExists(name) and spark.table(name).schema == wanted:
+        spark.sql(f"ALTER TABLE {quoted} SET LOCATION '{location}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {quoted}")
+        spark.catalog.createTable(name, path=location, source=fmt)
+    spark.catalog.refreshTable(name)
 
 
 def publish(df: DataFrame, name: str, everywhere: bool = False) -> DataFrame:

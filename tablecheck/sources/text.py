@@ -15,17 +15,19 @@ from pyspark.sql import functions as F
 from tablecheck.model import EdgeRule, ExtractRules, RunInfo, TableRules
 from tablecheck.operators.summary import result_rows
 from tablecheck.session import pin
+from tablecheck.sources.xml import file_filter, flatten, flatten_with_root, flatten_xml
+from tablecheck.sources.xsd import FILE, Checked, check_xml
 
 PIPE_MARK = "~!~"
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, file_ext: str = "") -> DataFrame:
     """(file, block, seq, value); (block, seq) gives the line order in a file and
     `seq` has no gaps inside a block.
 
     The lines are staged, so that everything derived from them refers to the
     same positions; later steps that need no text do not read it again."""
-    lines = spark.read.text(path).select(
+    lines = spark.read.options(**file_filter(file_ext)).text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
@@ -200,12 +202,17 @@ def header_names(edges: DataFrame, rules: ExtractRules, sep: str) -> list[str]:
 
 def read_extract(spark: SparkSession, path: str, rules: ExtractRules) -> DataFrame:
     """A delivered extract as a flat text table, whatever its format. Without column names the
-    last header line names the columns of delimited files."""
+    last header line names the columns of delimited files. Records that the rules' schema
+    file rejects are left out; `read_checked` has them."""
     if rules.file_format == "xml":
-        from tablecheck.sources.xml import flatten_xml
-
-        return flatten_xml(spark, path, rules.row_tag, rules.root_tag or None, rules.row_schema or None)
-    data, edges = split_lines(read_lines(spark, path), rules)
+        if rules.validator_file_name:
+            return read_checked(spark, path, rules)[0]
+        return flatten_xml(
+            spark, path, rules.row_tag, rules.root_tag or None, rules.row_schema or None, rules.extract_file_ext
+        )
+    if rules.validator_file_name:
+        raise ValueError(f"{rules.table_name}: only XML extracts have a schema file")
+    data, edges = split_lines(read_lines(spark, path, rules.extract_file_ext), rules)
     names = rules.tbl_column_names
     if rules.file_format in ("csv", "psv"):
         sep = rules.delimiter or {"csv": ",", "psv": "|"}[rules.file_format]
@@ -214,3 +221,15 @@ def read_extract(spark: SparkSession, path: str, rules: ExtractRules) -> DataFra
     if rules.file_format in ("fwf", "fw_csv"):
         return parse_fixed_width(data, rules.fixed_widths, names, drop_commas=rules.file_format == "fw_csv")
     raise ValueError(f"unknown extract format: {rules.file_format}")
+
+
+def read_checked(spark: SparkSession, path: str, rules: ExtractRules) -> tuple[DataFrame, Checked]:
+    """(flat rows of the records that conform, what was checked) of an XML extract, by the rules'
+    schema file, which any path that Spark reads may name."""
+    xsd = spark.read.text(rules.validator_file_name, wholetext=True).first()
+    if xsd is None:
+        raise ValueError(f"{rules.table_name}: the schema file {rules.validator_file_name} is empty")
+    found = check_xml(spark, path, rules.row_tag, rules.row_schema or None, xsd.value, rules.extract_file_ext)
+    if rules.root_tag:
+        return flatten_with_root(found.accepted, path, rules.row_tag, rules.root_tag), found
+    return flatten(found.accepted.drop(FILE), rules.row_tag), found

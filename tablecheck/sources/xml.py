@@ -18,12 +18,19 @@ def _bare(name: str) -> str:
     return name.removeprefix(ATTRIBUTE).split(":")[-1].lower()
 
 
+def file_filter(file_ext: str) -> dict[str, str]:
+    """Reader options that leave out files with another extension; '' takes all."""
+    return {"pathGlobFilter": f"*.{file_ext.lstrip('.')}"} if file_ext else {}
+
+
 def read_xml(
-    spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str | None = None, xsd: str | None = None
+    spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str | None = None, xsd: str | None = None,
+    file_ext: str = "",
 ) -> DataFrame:
     """One row per `row_tag` element. With `xsd`, elements that do not conform
     keep their text in `_corrupt_record`."""
     options = {"rowTag": row_tag, "attributePrefix": ATTRIBUTE, "valueTag": TEXT, "inferSchema": "false"}
+    options |= file_filter(file_ext)
     if xsd:
         options |= {"rowValidationXSDPath": xsd, "columnNameOfCorruptRecord": BAD, "mode": "PERMISSIVE"}
     reader = spark.read.format("xml").options(**options)
@@ -117,16 +124,22 @@ def root_values(spark: SparkSession, path: str, root_tag: str) -> DataFrame:
 
 
 def flatten_xml(
-    spark: SparkSession, path: str, row_tag: str, root_tag: str | None = None, schema: T.StructType | str | None = None
+    spark: SparkSession, path: str, row_tag: str, root_tag: str | None = None, schema: T.StructType | str | None = None,
+    file_ext: str = "",
 ) -> DataFrame:
     """Flat rows of an XML extract; root attributes are on every row.
 
     Without a schema Spark infers one in a pass of its own and sorts it by name;
     give one to save the pass and to keep the order of repeated tags."""
+    records = read_xml(spark, path, row_tag, schema, file_ext=file_ext)
     if root_tag is None:
-        return flatten(read_xml(spark, path, row_tag, schema), row_tag)
-    records = read_xml(spark, path, row_tag, schema).withColumn("_file", F.col("_metadata.file_path"))
-    roots = root_values(spark, path, root_tag)
+        return flatten(records, row_tag)
+    return flatten_with_root(records.withColumn("_file", F.col("_metadata.file_path")), path, row_tag, root_tag)
+
+
+def flatten_with_root(records: DataFrame, path: str, row_tag: str, root_tag: str) -> DataFrame:
+    """Flat rows of parsed records, which carry their `_file`, with its root's attributes."""
+    roots = root_values(records.sparkSession, path, root_tag)
     tag = _bare(root_tag)
     # The attribute names are metadata: a few names, from the files' first tags.
     names = sorted(r.k for r in roots.select(F.explode(F.map_keys("_root")).alias("k")).distinct().collect())

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tablecheck.model import RESULT_SCHEMA, RunInfo, TableRules
 from tablecheck.operators.checks import check_not_null, check_unique, duplicate_keys, run_checks
 from tablecheck.operators.verdict import latest_run, overall_verdict, verdict
-from tablecheck.plans.reconcile import TableJob, run_suite
+from tablecheck.plans.reconcile import TableJob, logged_tables, run_logged_suite, run_suite
 from tablecheck.sources.tables import append_results, export_results, read_results
 
 RUN = RunInfo("20240131", "2024-02-01 08:30:00")
@@ -86,6 +86,40 @@ def test_suite_and_log(spark, tmp_path):
     assert {tuple(r) for r in back.collect()} == {("same", "PASS"), ("short", "FAIL"), ("bag", "PASS")}
 
 
+def rows_of(df):
+    return sorted(str(tuple(r)) for r in df.collect())
+
+
+def test_a_run_logged_twice_is_there_once(spark, tmp_path):
+    df = spark.range(20).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    path, rules = str(tmp_path / "log"), TableRules("a:b/c", pk_col=("k",))
+    append_results(run_suite([TableJob(df, df.limit(3), rules)], RUN), path)
+    other = RunInfo("20240131", "2024-03-01 00:00:00")
+    append_results(run_suite([TableJob(df, df, rules)], other), path)
+    append_results(run_suite([TableJob(df, df, rules)], RUN), path)
+    once = run_suite([TableJob(df, df, rules)], RUN)
+    log = read_results(spark, path)
+    assert rows_of(log.filter(F.col("last_insert_timestamp") == RUN.run_ts)) == rows_of(once)
+    assert log.count() == 2 * once.count()
+
+
+def test_a_stopped_suite_goes_on(spark, tmp_path):
+    df = spark.range(20).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    broken = df.withColumn("v", F.when(F.col("k") < 5, "x").otherwise(F.raise_error(F.lit("stopped"))))
+    jobs = [TableJob(df, df.filter(f"k < {n}"), TableRules(f"t{n}", pk_col=("k",))) for n in (20, 19, 18)]
+    path = str(tmp_path / "log")
+    stopped = [*jobs[:2], TableJob(df, broken, TableRules("t18", pk_col=("k",)))]
+    with pytest.raises(Exception, match="stopped"):
+        run_logged_suite(spark, stopped, RUN, path, at_once=2)
+    assert logged_tables(spark, path, RUN) == {"t20", "t19"}
+    # tables that are logged are not run again: these would fail now
+    left = [TableJob(df, broken, jobs[0].rules), TableJob(df, broken, jobs[1].rules), jobs[2]]
+    found = run_logged_suite(spark, left, RUN, path)
+    assert rows_of(found) == rows_of(run_suite(jobs, RUN))
+    with pytest.raises(ValueError, match="once only"):
+        run_logged_suite(spark, [jobs[0], jobs[0]], RUN, path)
+
+
 def test_an_empty_log_is_no_pass(spark):
     from tablecheck.model import RESULT_SCHEMA
     from tablecheck.operators.verdict import overall_verdict

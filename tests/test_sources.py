@@ -141,6 +141,43 @@ def test_tables_and_views(spark, tmp_path):
     spark.sql("drop database checks_db cascade")
 
 
+def failing(df):
+    stop = F.raise_error(F.lit("stopped")).cast("bigint")
+    return df.withColumn("k", F.when(F.col("k") < 3, F.col("k")).otherwise(stop))
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_a_failed_replacement_leaves_the_old_rows(spark, tmp_path, catalog):
+    df = spark.range(5).withColumnRenamed("id", "k")
+    root = str(tmp_path / "stage")
+    replace = lambda rows: T.replace_table(rows, "stage_t", path=root) if catalog else T.replace_table(rows, root)
+    read = lambda: T.read_table(spark, "stage_t" if catalog else root)
+    first = replace(df)
+    for _ in range(2):  # a write that died leaves a folder that the next one replaces
+        with pytest.raises(Exception, match="stopped"):
+            replace(failing(df))
+        assert read().count() == first.count() == 5
+    second = replace(df.filter("k < 2").withColumn("more", F.lit("x")))
+    assert second.columns == read().columns == ["k", "more"]
+    assert (second.count(), read().count()) == (2, 2)
+    if not catalog:
+        assert first.count() == 5  # a frame that reads the old version goes on
+    replace(df.filter("k < 1").withColumn("more", F.lit("y")))
+    assert read().count() == 1
+    assert T.published_versions(spark, root) == [2, 3]
+    spark.sql("drop table if exists stage_t")
+
+
+def test_of_two_writers_one_publishes(spark, tmp_path, monkeypatch):
+    root, df = str(tmp_path / "stage"), spark.range(3)
+    T.replace_table(df, root)
+    seen = T.published_versions(spark, root)
+    T.replace_table(df.limit(1), root)
+    monkeypatch.setattr(T, "published_versions", lambda *_: seen)  # this one began before the other published
+    with pytest.raises(Exception, match="exists"):
+        T.replace_table(df.limit(2), root)
+
+
 def test_unreadable_dates_raise(spark):
     from tablecheck.functions.dates import with_previous_params
 
