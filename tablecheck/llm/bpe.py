@@ -243,7 +243,9 @@ def encode_tree(docs: DataFrame, vocabulary: str, leaf: int = LEAF) -> DataFrame
     most = copies.agg(F.max(F.length("text"))).first()[0]
     if most is None:
         return spark.createDataFrame([], "doc_id bigint, ids binary")
-    keyed = copies.withColumn("uid", F.sha2(F.concat_ws(":", F.col("doc_id").cast("string"), "text"), 256))
+    # a NULL id is told from a text that begins like one
+    own = F.coalesce(F.concat(F.lit("id "), F.col("doc_id").cast("string")), F.lit("none"))
+    keyed = copies.withColumn("uid", F.sha2(F.concat(own, F.lit(":"), "text"), 256))
     leaves = keyed.select(
         "uid",
         F.explode(F.expr(f"sequence(0, cast((length(text) - 1) div {leaf} as int))")).alias("node"),

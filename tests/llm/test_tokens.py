@@ -144,3 +144,13 @@ def test_queries_on_given_data(spark, library):
     for r in queries.op5_packing(spark, sf).collect():
         ids = [*ids_of(library, texts[r.doc_id]), 1]
         assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
+
+
+def test_missing_ids_are_told_from_texts(spark, library):
+    """A NULL id with a text that begins like another id, through the tree."""
+    long = "abcdefghij" * 3
+    docs = docs_of(spark, [f"5:{long}", long, f"5:{long}"], [None, 5, 5])
+    rows = bpe.encode_tree(docs.select("doc_id", "text"), FILE, leaf=8).collect()
+    got = sorted(((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in rows), key=str)
+    one, two = ids_of(library, f"5:{long}"), ids_of(library, long)
+    assert got == sorted([(None, one), (5, two), (5, one)], key=str)
