@@ -6,6 +6,7 @@ import html
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,100 +15,156 @@ from pyspark.sql import functions as F
 from tablecheck.llm.common import in_batches, ship
 
 #: Labelled pages that the weights are learned from, and the longest of them in code points.
-FIT_PAGES, FIT_LONGEST = 1000, 200_000
+FIT_PAGES, FIT_LONGEST = 1000, 50_000
 #: Weights lie within this range.
 MOST = 4.0
+#: A tag whose quotes are not closed within so many code points ends at the next `>`.
+LONGEST_TAG = 1024
 
 # Element names of HTML and usual names of parts that are no article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr br".split()
+    "a abbr b bdi bdo big cite code data del dfn em font i img ins kbd mark math mi mn mo mrow ms msqrt mfrac msub msup "
+    "mtext q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split()
 )
 BOILERPLATE = frozenset(
-    "head nav header footer aside form script style noscript template iframe button select option textarea svg "
-    "canvas object audio video menu dialog map math title".split()
+    "head nav footer aside form script style noscript template iframe button select option textarea svg menu dialog".split()
 )
-RAW = "script|style|noscript|textarea|title|iframe"
+RAW = frozenset("script style noscript textarea title iframe".split())
+#: Names of parts by a class or id, as a whole or with one of AROUND before or after.
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adbox sponsor sponsored promo promotion banner sidebar side menu "
     "nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar cookie cookies consent notice notices gdpr popup modal overlay "
     "comment comments commentlist respond reply replies disqus share sharing social related recommended newsletter "
     "subscribe subscription signup login search widget toolbar pagination pager copyright skip".split()
 )
+AROUND = frozenset(
+    "area bar block bottom box buttons container content footer form global inner left links list main outer page post "
+    "posts primary right row secondary section site slot thread top unit widget wrap wrapper".split()
+)
+ADS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored".split())
+#: Inside an article only these say that a part is none of it; the other names may be its subject.
+IN_ARTICLE = frozenset(
+    "ad ads advert adverts advertisement adbox sponsored sidebar side-bar nav navbar navigation breadcrumb breadcrumbs "
+    "comments comment-list commentlist comment-section comments-section comments-area respond disqus disqus_thread "
+    "share share-buttons sharing social-share related related-posts related-articles recommended newsletter "
+    "newsletter-signup cookie-banner cookie-notice cookie-consent pagination".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 MAIN = frozenset(("article", "main"))
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"""|<(/?)([a-zA-Z][\w:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-    r"|<[!?/][^>]*>|[^<]+|<",
-    re.S | re.I,
-)
+_TAG = re.compile(r"""<(/?)([a-zA-Z][\w:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+_OPEN = re.compile(r"</?([a-zA-Z][\w:-]*)")
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 
 
-def _no_article(name: str, attributes: str) -> str:
-    """Why an element is no article: `hard`, by what it is; `whole`, by a class or id; `part`, by
-    a word in one; or ''."""
-    if name in BOILERPLATE:
+def _tokens(page: str) -> Iterator[tuple[str, bool, str, str]]:
+    """(name, whether it ends an element, attributes, '') of each tag and ('', False, '', text) of
+    each run of text. Comments, declarations and the contents of raw elements are left out.
+
+    The page is gone through once: a tag that has no end within LONGEST_TAG ends at the next `>`,
+    and from where there is no `>` any more all is text."""
+    at, last = 0, page.rfind(">")
+    while at < len(page):
+        begin = page.find("<", at)
+        if begin < 0 or begin > last:
+            yield "", False, "", page[at:]
+            return
+        if begin > at:
+            yield "", False, "", page[at:begin]
+        if page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            at = len(page) if end < 0 else end + 3
+            continue
+        m = _TAG.match(page, begin, begin + LONGEST_TAG)
+        opened = m or _OPEN.match(page, begin)
+        if not opened:
+            if page[begin + 1 : begin + 2] in ("!", "?", "/"):
+                at = page.find(">", begin) + 1
+            else:
+                yield "", False, "", "<"
+                at = begin + 1
+            continue
+        end = m.end() if m else page.find(">", begin) + 1
+        if m:
+            closing, name, attributes = bool(m[1]), m[2].lower(), m[3]
+        else:
+            closing, name, attributes = page[begin + 1] == "/", opened[1].lower(), page[opened.end() : end - 1]
+        at = end
+        if name in RAW and not closing:
+            found = _RAW_END[name].search(page, end)
+            at = found.end() if found else len(page)
+            continue
+        yield name, closing, attributes, ""
+
+
+def _is_part(value: str, inside: bool) -> bool:
+    """Whether a class or id names a part that is no article: as a whole, not by a word in it."""
+    whole, parts = (IN_ARTICLE, ADS) if inside else (NAMES, NAMES)
+    for name in value.split():
+        words = [w for w in re.split(r"[_-]+", name) if w]
+        if name in whole or not parts.isdisjoint(words) and all(w in parts or w in AROUND for w in words):
+            return True
+    return False
+
+
+def _no_article(name: str, attributes: str, inside: bool) -> str:
+    """Why an element is no article: `hard`, by what it is; `named`, by a class or id; or ''.
+
+    Inside an article a header holds its title, and only unmistakable names count."""
+    if name in BOILERPLATE or name == "header" and not inside:
         return "hard"
     if "=" not in attributes and "hidden" not in attributes.lower():
         return ""
-    found = ""
     for m in _NAMED.finditer(attributes):
         kind, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if kind == "role" and value in ROLES or kind == "hidden" or kind == "aria-hidden" and value == "true":
             return "hard"
-        if kind in ("class", "id") and name not in ("html", "body") and name not in MAIN:
-            if not NAMES.isdisjoint(value.split()):
-                found = "whole"
-            elif not found and not NAMES.isdisjoint(re.split(r"[\s_-]+", value)):
-                found = "part"
-    return found
+        if kind in ("class", "id") and name not in ("html", "body") and name not in MAIN and _is_part(value, inside):
+            return "named"
+    return ""
 
 
 def units(page: str) -> list[tuple[str, str, int]]:
-    """(type, raw text, words) for each run of text and (type, '', 0) for each tag, in page order.
+    """(type, raw text, words) for each run of text and (type, '', element) for each tag, in page
+    order; `element` numbers the element that an article or main element lies in.
 
     The type of a text says where it stands: `skip` below a part that is no article, `link`
     in a link, `in` or `out` of an article element, `free` on a page without one. Tags of a
     part that is no article are `skip` too, and the inline ones are left out. A part that is
     never closed ends with what it lies in.
 
-    A class or id around an outermost article or main does not make it no article, nor does a
-    mere word in one around an article inside another (`comments` does, `has-sidebar` not)."""
+    A class or id around an outermost article or main does not make it no article."""
     out: list[tuple[str, str, int]] = []
-    stack: list[tuple[str, tuple[int, int, int, int, int]]] = []  # open elements, and what held before each
-    hard = whole = part = inside = links = 0
+    stack: list[tuple[str, int, tuple[int, int, int, int]]] = []  # open elements, and what held before each
+    open_names: Counter = Counter()
+    hard = named = inside = links = count = 0
     has_main = re.search(r"<(?:article|main)\b", page, re.I) is not None
 
     def cut(to: int) -> None:
-        nonlocal hard, whole, part, inside, links
-        hard, whole, part, inside, links = stack[to][1]
+        nonlocal hard, named, inside, links
+        hard, named, inside, links = stack[to][2]
+        open_names.subtract(x for x, _, _ in stack[to:])
         del stack[to:]
 
-    def tag(kind: str) -> None:
-        if not (hard or whole or part):
-            out.append((kind, "", 0))
+    def tag(kind: str, element: int = 0) -> None:
+        if not (hard or named):
+            out.append((kind, "", element))
         elif kind.lstrip("/") not in INLINE:
             out.append(("skip", "", 0))
 
-    for m in _TOKEN.finditer(page):
-        name = m[3]
-        if name is None:
-            text = m[0]
-            if m[1] or text[:2] in ("<!", "<?", "</"):
-                continue
-            place = "skip" if hard or whole or part else "link" if links else "in" if inside else "out" if has_main else "free"
+    for name, closing, attributes, text in _tokens(page):
+        if not name:
+            place = "skip" if hard or named else "link" if links else "in" if inside else "out" if has_main else "free"
             out.append((place, text, len(text.split())))
             continue
-        name = name.lower()
-        if m[2]:
+        if closing:
             tag(f"/{name}")
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if at is not None and not (name in INLINE and any(x not in INLINE for x, _ in stack[at:])):
+            if not open_names[name]:
+                continue
+            at = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name)
+            if not (name in INLINE and any(x not in INLINE for x, _, _ in stack[at:])):
                 cut(at)
             continue
         if name not in INLINE:  # a block ends an open paragraph, an item ends an open item
@@ -118,18 +175,20 @@ def units(page: str) -> list[tuple[str, str, int]]:
                     break
                 if open_name not in INLINE:
                     break
-        if name in VOID or m[4].endswith("/"):
+        if name in VOID or attributes.endswith("/"):
             tag(name)
             continue
-        skip = _no_article(name, m[4])
-        stack.append((name, (hard, whole, part, inside, links)))
-        if name in MAIN:
-            part = 0
-            whole = whole if inside else 0
-        hard, whole, part = hard + (skip == "hard"), whole + (skip == "whole"), part + (skip == "part")
+        skip = _no_article(name, attributes, inside > 0)
+        parent = next((n for x, n, _ in reversed(stack) if x not in INLINE), 0) if name in MAIN else 0
+        count += 1
+        open_names[name] += 1
+        stack.append((name, count, (hard, named, inside, links)))
+        if name in MAIN and not inside:
+            named = 0
+        hard, named = hard + (skip == "hard"), named + (skip == "named")
         inside += name in MAIN
         links += name == "a"
-        tag(name)
+        tag(name, parent)
     return out
 
 
@@ -181,7 +240,8 @@ def best_region(found: list[tuple[str, str, int]], weights: dict[str, float]) ->
 
 def whole_article(found: list[tuple[str, str, int]], begin: int, end: int) -> tuple[int, int]:
     """The run, extended to the smallest article or main element that holds all its words of
-    articles; where none does, to all those that hold some."""
+    articles, where none does to all those that hold some; and to the articles beside these, in
+    the same element."""
     held = [k for k in range(begin, end) if found[k][0] in ("in", "link") and found[k][2]]
     if not held:
         return begin, end
@@ -202,6 +262,8 @@ def whole_article(found: list[tuple[str, str, int]], begin: int, end: int) -> tu
         around = [min(around, key=lambda s: s[1] - s[0])]
     else:
         around = [(b, e) for b, e in spans if any(b <= k < e for k in (held[0], held[-1]))]
+    parents = {found[b][2] for b, _ in around if found[b][0] == "article"}
+    around += [(b, e) for b, e in spans if found[b][0] == "article" and found[b][2] in parents]
     return min([begin, *(b for b, _ in around)]), max([end, *(e for _, e in around)])
 
 
@@ -233,12 +295,14 @@ def fit(pages: DataFrame, most: int = FIT_PAGES, longest: int = FIT_LONGEST) ->
     """Weights from at most `most` labelled pages of at most `longest` code points, chosen by
     hash from all pages."""
     labelled = pages.filter((F.length("html") <= longest) & F.lower("html").rlike("<(article|main)[ >]"))
-    ids = labelled.select(F.xxhash64("page_id", "url").alias("h")).orderBy("h").limit(most)
-    edge = ids.agg(F.max("h")).first()[0]
+    labelled = labelled.select("html", F.xxhash64("page_id", "url", "html").alias("h"))
+    edge, below = labelled.select("h").orderBy("h").limit(most).agg(F.max("h"), F.count("*")).first()
     if edge is None:
         return dict(DEFAULT)
-    chosen = labelled.filter(F.xxhash64("page_id", "url") <= edge).select("html").limit(2 * most)
-    return learn([r.html for r in chosen.toLocalIterator()])
+    # rows with the hash at the edge are one page, so it does not matter which of them are taken
+    first = [r.html for r in labelled.filter(F.col("h") < edge).select("html").toLocalIterator()]
+    at_edge = labelled.filter(F.col("h") == edge).select("html").limit(below - len(first)).collect()
+    return learn(first + [r.html for r in at_edge])
 
 
 def main_text(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:

@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tablecheck.functions.columns import fresh
 from tablecheck.llm.common import in_batches, ship, texts
 from tablecheck.session import staging_path
 
 SPAN = "struct<kind:string,start:bigint,end:bigint>"
 LEDGER = f"blob binary, rule_version string, spans array<{SPAN}>, cover array<struct<start:bigint,end:bigint>>"
 MASK = "[SECRET]"
+#: Up to so many blobs with findings are broadcast (some 100 bytes each), more are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -122,16 +125,20 @@ def _scan(rules: tuple[Rule, ...], version: str):
 class Ledger:
     """What has been found in which blob by which version of the rules.
 
-    A folder of Parquet files that only grows, with one row for each pair of blob and rule
-    version. `path` must be in storage that all executors share; without one, a new folder
-    below the shared staging folder."""
+    A folder of Parquet files that only grows. It is read with one row for each pair of blob and
+    rule version: writers that begin together may each add a blob, and what they add is the same.
+    `path` must be in storage that all executors share; without one, a new folder below the
+    shared staging folder."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, rules: tuple[Rule, ...] = RULES):
         self.spark, self.rules, self.version = spark, rules, rule_version(rules)
         self.path = path or staging_path(spark, "secret-ledger")
 
     def rows(self) -> DataFrame:
-        """This rule version's part of the ledger."""
+        """This rule version's part of the ledger, one row for each blob."""
+        return self._written().dropDuplicates(["blob"])
+
+    def _written(self) -> DataFrame:
         try:
             found = self.spark.read.schema(LEDGER).parquet(self.path)
         except AnalysisException:  # nothing was ever scanned
@@ -140,7 +147,7 @@ class Ledger:
 
     def _begun(self) -> bool:
         try:
-            return not self.rows().limit(1).isEmpty()
+            return not self._written().limit(1).isEmpty()
         except AnalysisException:
             return False
 
@@ -152,7 +159,7 @@ class Ledger:
         ship(self.spark)
         blobs = addressed(docs).select("blob", "text")
         if self._begun():
-            blobs = blobs.join(self.rows().select("blob"), "blob", "left_anti")
+            blobs = blobs.join(self._written().select("blob"), "blob", "left_anti")
         new = blobs.groupBy("blob").agg(F.first("text").alias("text"))
         new.mapInArrow(_scan(self.rules, self.version), LEDGER).write.mode("append").parquet(self.path)
 
@@ -185,8 +192,10 @@ def redact(docs: DataFrame, ledger: Ledger, text_col: str = "text", size_col: st
     """`docs` with every secret replaced by a mask, and their size in code points renewed.
     All rows and columns stay; texts without a secret, and NULL ones, stay as they are."""
     ledger.update(docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text")))
-    key, cover = "__blob", "__cover"
+    key, cover = fresh(docs.columns, "blob", "cover")
     held = ledger.rows().filter(F.size("spans") > 0).select(F.col("blob").alias(key), F.col("cover").alias(cover))
+    if held.count() <= BROADCAST_ROWS:  # then the texts need not move again
+        held = F.broadcast(held)
     blob = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     mask = f"""CASE WHEN {cover} IS NULL THEN `{text_col}` ELSE aggregate({cover}, `{text_col}`, (t, s) ->
         concat(substring(t, 1, int(s.start)), '{MASK}', substring(t, int(s.end) + 1))) END"""

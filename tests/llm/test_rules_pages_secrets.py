@@ -2,10 +2,12 @@
 
 import html
 import re
+import time
 from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from texts import AWKWARD, docs_of, prose
 
 from tablecheck.llm import html_extract, quality_rules, queries, secret_scan
@@ -196,6 +198,97 @@ def test_ledger_scans_each_blob_once_for_each_version(spark):
     assert stricter.rows().count() == 3 and ledger.rows().count() == 4
 
 
+HEAD = "<html><head><title>t</title></head><body><nav><a href='/'>home</a></nav>"
+
+
+@pytest.mark.parametrize(
+    "inner,want",
+    [
+        ("<section id='side-effects'><p>Nausea and pain.</p></section>", "Nausea and pain."),
+        ("<div class='search'><p>How a search runs.</p></div>", "How a search runs."),
+        ("<div class='menu-of-day'><p>Soup and bread.</p></div>", "Soup and bread."),
+        ("<blockquote class='notice-board'>Pinned words.</blockquote>", "Pinned words."),
+        ("<header><h1>My Title</h1></header>", "My Title"),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p>", "Let x=1 hold."),
+        ("<video><p>No video here.</p></video>", "No video here."),
+        ("<ul class='comments'><li>first!</li></ul>", ""),
+        ("<div class='related-posts'><a href='x'>other</a></div>", ""),
+        ("<div class='ad-slot'>buy</div><div class='post sidebar'>side</div>", ""),
+        ("<footer>written by</footer><aside>by the way</aside>", ""),
+    ],
+)
+def test_parts_of_an_article(inner, want):
+    page = f"{HEAD}<div class='has-sidebar'><article><p>The first words of it.</p>{inner}<p>The last words of it.</p></article></div></body></html>"
+    blocks = ["The first words of it.", *([want] if want else []), "The last words of it."]
+    assert html_extract.extract(page, html_extract.DEFAULT) == "\n".join(blocks)
+
+
+def test_sibling_articles_stay():
+    one, two = "<article><p>One two three four.</p></article>", "<article><h2>Next</h2><p>Five six seven.</p></article>"
+    page = f"{HEAD}<div>{one}<div class='ad'>buy</div><p>between</p>{two}</div><section>{one}</section></body>"
+    assert html_extract.extract(page, html_extract.DEFAULT) == "One two three four.\nNext\nFive six seven."
+
+
+def test_names_of_parts_on_pages_without_an_article():
+    for name in ("sidebar", "main-sidebar", "site-footer", "comments-list", "nav_top"):
+        assert html_extract.extract(f"<body><p>Some words here.</p><div class='{name}'><p>x y</p></div>", html_extract.DEFAULT) == "Some words here."
+    for name in ("side-effects", "menu-of-day", "searching"):
+        assert html_extract.extract(f"<body><p>Some words here.</p><div class='{name}'><p>x y</p></div>", html_extract.DEFAULT).endswith("x y")
+
+
+@pytest.mark.parametrize("piece", ['<a href="x" ', "<a '", '<a ">"', "<", "</", "<!-- ", "<script>", "<p>", "<a x=\"'", "<b>>", "&lt;<"])
+def test_long_pages_of_odd_tags_take_linear_time(piece):
+    page = "<article><p>Words.</p>" + piece * (5_000_000 // len(piece))
+    begin = time.time()
+    found = list(html_extract._tokens(page))
+    assert time.time() - begin < 30
+    assert found[0][0] == "article"
+
+
+@pytest.mark.parametrize("piece", ["<b>", "<p>", "<div></i>", "<b></i>", "<li>x"])
+def test_deep_pages(piece):
+    page = "<article><p>Words.</p>" + piece * 200_000
+    begin = time.time()
+    assert html_extract.extract(page, html_extract.DEFAULT).startswith("Words.")
+    assert time.time() - begin < 30
+
+
+def test_quotes_and_ends_of_tags():
+    page = "<p title='a > b'>one</p><img alt=\"x\" src=\"" + "d" * 9000 + "\">two<i title='never closed>three</i> 1 < 2 and 3 > 2"
+    assert html_extract.extract(f"<article>{page}</article>", html_extract.DEFAULT) == "one\ntwothree 1 < 2 and 3 > 2"
+
+
+def test_equal_pages_at_the_edge_of_the_sample(spark):
+    page = "<article><p>Words of it.</p></article>"
+    rows = [(1, "u", page)] * 30 + [(k, "v", page.replace("Words", f"W{k}")) for k in range(5)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    fits = [html_extract.fit(pages.repartition(n), most=4) for n in (1, 3, 7)]
+    assert fits[0] == fits[1] == fits[2]
+
+
+def test_two_writers_that_began_together(spark):
+    """Both found an empty ledger and scanned the same blobs."""
+    docs = docs_of(spark, ["password = abcdef0123456789", "nothing", None])
+    first = secret_scan.Ledger(spark)
+    first.update(docs)
+    other = secret_scan.Ledger(spark)
+    other.update(docs)
+    other._written().write.mode("append").parquet(first.path)
+    assert first._written().count() == 6 and first.rows().count() == 3
+    assert {r.doc_id: len(r.spans) for r in first.findings(docs).collect()} == {0: 2, 1: 0, 2: 0}
+    assert sorted(r.doc_id for r in secret_scan.redact(docs, first).collect()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_redaction_keeps_columns_named_like_its_own(spark, monkeypatch, most):
+    monkeypatch.setattr(secret_scan, "BROADCAST_ROWS", most)
+    docs = docs_of(spark, ["password = abcdef0123456789", "nothing"])
+    odd = docs.withColumns({"blob": F.lit("b"), "cover": F.lit("c"), "__cover": F.lit(1), "spans": F.lit(2)})
+    out = secret_scan.redact(odd, secret_scan.Ledger(spark))
+    assert out.columns == odd.columns
+    assert sorted((r.text, r.blob, r.cover, r["__cover"]) for r in out.collect()) == [("[SECRET]", "b", "c", 1), ("nothing", "b", "c", 1)]
+
+
 def test_redaction(spark):
     docs = docs_of(spark, SECRETS)
     out = secret_scan.redact(docs, secret_scan.Ledger(spark))
