@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from texts import AWKWARD, docs_of
 
-from tablecheck.llm import quality_classifier, queries, toxicity
+from tablecheck.llm import labelled, quality_classifier, queries, toxicity
 from tablecheck.llm.labelled import HELD_OUT, label_ids
 
 SF = "/root/testdata/sf0.1"
@@ -56,6 +56,23 @@ def test_filters_keep_rows_and_columns(spark):
     assert {r.doc_id for r in kept.collect()} >= set(range(60)) and not {r.doc_id for r in clean.collect()} & set(range(125, 175))
 
 
+def test_samples_are_bounded_by_rows_and_characters(spark, monkeypatch):
+    """One id on many texts, long texts that are not drawn from, and repeated rows."""
+    ids = [7] * 300 + list(range(100, 130)) + [None] * 3
+    texts = [f"text {k}" for k in range(300)] + [f"other {k}" for k in range(28)] + ["x" * 50] * 2 + ["no id"] * 3
+    docs = docs_of(spark, texts * 2, ids * 2).repartition(3)
+    got = labelled.any_sample(docs, 10, 40)
+    assert len(got) == 10 and got == labelled.any_sample(docs.repartition(5), 10, 40)
+    assert sum(i == 7 for i, _ in got) <= 1
+    everything = labelled.any_sample(docs, 1000, 40)
+    held = {i for i in ids if i is not None and zlib.crc32(str(i).encode()) % 5 == 0}
+    assert sorted(everything) == sorted({(i, t) for i, t in zip(ids, texts, strict=True) if i is not None and i not in held and len(t) <= 40})
+    labels = spark.createDataFrame([(i, 1, 0) for i in {i for i in ids if i}], "doc_id bigint, quality int, toxic int")
+    assert len(labelled.label_sample(docs, labels, "quality", 1, 12, 40)) == 12
+    monkeypatch.setattr(labelled, "SAMPLE_CHARS", 60)
+    assert 0 < sum(len(t) for _, t in labelled.any_sample(docs, 1000, 40)) <= 60
+
+
 def test_no_labels_no_rows(spark):
     docs, labels = tables(spark)
     none = labels.limit(0)
