@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import tempfile
@@ -9,6 +10,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +73,28 @@ def in_batches(batches: Iterator[pa.RecordBatch], column: str = "text", most: in
             yield batch.slice(begin)
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = BATCH_BYTES):
+    """As `in_batches`, by lengths that Arrow has, without making the values of a whole batch."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_pylist()
+        begin = held = 0
+        for at, length in enumerate(lengths):
+            held += length
+            if held >= most:
+                yield batch.slice(begin, at + 1 - begin)
+                begin, held = at + 1, 0
+        if begin < batch.num_rows:
+            yield batch.slice(begin)
+
+
+def give_back() -> None:
+    """Returns memory that is free to the system, as a worker goes on with other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_texts(docs: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
     """Applies `make()(ids, texts) -> dict of columns` to the (doc_id, text) rows of `docs`."""
     ship(docs.sparkSession)

@@ -11,12 +11,18 @@ inside its regions:
    first pivot. Linked documents differ in few shingles, so one of the first `nearest(n)`
    pivots of each is common to both: into this window of regions a document is copied.
    The order is by hash, with frequent shingles last, so that passages which many documents
-   share make no regions. A document that would have to look too far for rare ones keeps the
-   plain order by hash, and meets all documents by that.
-2. In each region with several sets, one becomes the pivot and the distance of all others to
+   share make no regions. Frequent is what many documents have among the first `looked_at(n)`.
+2. Documents that have too few others among those, as edited copies of one text, are a crowd.
+   Any `nearest(n)` shingles of a document hold one of each that is linked with it; so a crowd's
+   documents meet all others in the windows above, by all that they hold themselves. Among
+   themselves they are joined in a second order, the shingles that fewest of the crowd hold
+   first: what an edited copy has alone fills its window, and it meets no others. Windows are
+   narrower there too: two sets can only link in the region of their first common pivot if what
+   follows it in both is as much as the link needs.
+3. In each region with several sets, one becomes the pivot and the distance of all others to
    it is computed exactly: a link, or a coordinate. Regions whose sets now lie in one component
    are done. The others go on recursively: the pivot, whose links are all known, leaves; new
-   pivots, four times as many each round, meet only sets of other components whose distance to the
+   pivots, sixteen times as many each round, meet only sets of other components whose distance to the
    old pivot lies in the triangle window, |d(x, p) - d(q, p)| <= radius.
 
 No connection between different texts is lost: every linked pair shares a region, and in it the
@@ -36,18 +42,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablecheck.llm.common import in_batches, ship, texts
+from tablecheck.functions.columns import fresh
+from tablecheck.llm.common import give_back, in_slices, ship, texts
 from tablecheck.llm.components import components
-from tablecheck.session import pin
+from tablecheck.session import discard, pin
 
 #: Words in a shingle; linked are sets with 100 * intersection >= PERCENT * union.
 WORDS, PERCENT = 5, 80
 #: A shingle is frequent if more sets than this have it among the elements they look at. This
 #: sets an order only; any value gives the same links.
 FREQUENT = 16
-#: A list of ids up to this size is broadcast (16 MB), a longer one is joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
-KEPT_WORDS = 500_000
+#: A list of ids up to this size is broadcast (some 10 MB), a longer one is joined by a shuffle.
+BROADCAST_ROWS = 200_000
+KEPT_WORDS = 100_000
 #: Elements and sets of a block in which links are counted, and elements that one product of
 #: matrices has. These set the size of a task only.
 BLOCK_ELEMENTS, BLOCK_SETS, PRODUCT_ELEMENTS = 1 << 18, 1024, 2048
@@ -109,7 +116,7 @@ def looked_at(size: int, percent: int) -> int:
 def _describe(make: Callable[[], SetOf], percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         set_of = make()
-        for batch in in_batches(batches):
+        for batch in in_slices(batches):
             found = [set_of(t) for t in batch.column("text").to_pylist()]
             first = [x[: looked_at(len(x), percent)] if len(x) else x for x in found]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in first])]).astype(np.int32)
@@ -123,6 +130,7 @@ def _describe(make: Callable[[], SetOf], percent: int):
                     "regions": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first).view(np.int64))),
                 }
             )
+        give_back()
 
     return run
 
@@ -144,17 +152,25 @@ def least_difference(a: bytes, b: bytes) -> int:
 def _sets(make: Callable[[], SetOf]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         set_of = make()
-        for batch in in_batches(batches):
+        for batch in in_slices(batches):
             data = [set_of(t).tobytes() for t in batch.column("text").to_pylist()]
             keys = [xxhash.xxh3_128_digest(x) for x in data]
             yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.binary()), "elements": pa.array(data, pa.binary())})
+        give_back()
 
     return run
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in in_slices(batches, "elements"):
+        data = [np.frombuffer(e, np.int64) for e in batch.column("elements").to_pylist()]
+        owner = np.repeat(batch.column("x").to_numpy(), [len(e) for e in data])
+        yield pa.RecordBatch.from_pydict({"x": pa.array(owner), "shingle": pa.array(np.concatenate(data))})
+
+
 def _may_link(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_batches(batches, "x_sketch"):
+        for batch in in_slices(batches, "x_sketch"):
             rows = zip(*(batch.column(c).to_pylist() for c in ("p_sketch", "x_sketch", "n")), strict=True)
             # linked sets with n elements together differ in n (1 - J) / (1 + J) at most
             may = [least_difference(p, x) * (100 + percent) <= n * (100 - percent) for p, x, n in rows]
@@ -164,7 +180,7 @@ def _may_link(percent: int):
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in in_batches(batches, "x_elements"):
+    for batch in in_slices(batches, "x_elements"):
         common, union = [], []
         for a, b in zip(batch.column("p_elements").to_pylist(), batch.column("x_elements").to_pylist(), strict=True):
             a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
@@ -179,6 +195,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "together": pa.array(union, pa.int64()),
             }
         )
+    give_back()
 
 
 class _Measure:
@@ -202,6 +219,7 @@ class _Measure:
         sets = sets.groupBy("key").agg(F.first("elements").alias("elements"))
         new = pin(sets.join(found.select("key", "x"), "key").select("x", "elements"), "elements")
         self.sets = new if self.sets is None else self.sets.unionAll(new)
+        discard(wanted, found)
 
     def load(self, wanted: DataFrame) -> DataFrame:
         """(x, elements) of these nodes at least."""
@@ -221,7 +239,9 @@ class _Measure:
         measured = close.join(own.withColumnRenamed("elements", "x_elements"), "x")
         measured = measured.join(own.select(F.col("x").alias("p"), F.col("elements").alias("p_elements")), "p")
         measured = measured.select("p", "x", "p_elements", "x_elements")
-        return pin(measured.mapInArrow(_compare, "p bigint, x bigint, common bigint, together bigint"), "compared")
+        compared = pin(measured.mapInArrow(_compare, "p bigint, x bigint, common bigint, together bigint"), "compared")
+        discard(close, needed)
+        return compared
 
 
 def near(ids: DataFrame, rows: DataFrame, on: str, how: str) -> DataFrame:
@@ -259,9 +279,8 @@ def classes(docs: DataFrame, make: Callable[[], SetOf], percent: int, count_link
     nodes = pin(first, "nodes")
     copies = some.join(nodes.select("key", "x"), "key").filter("node != x").select(F.col("node").alias("x")).distinct()
     spots = near(pin(copies, "copies"), some.withColumn("x", F.col("node")), "x", "left_anti")
-    spots = spots.select("x", "n", F.posexplode("regions").alias("at", "region"))
     measure = _Measure(docs, nodes, make, percent)
-    joined = _links(docs, spots, measure, percent)
+    joined = _links(docs, spots.select("x", "n", "regions"), measure, percent)
     found = nodes.select("key", F.col("x").alias("a")).join(joined, "a", "left")
     found = found.select("key", F.coalesce("b", "a").alias("component"))
     if not count_links:
@@ -327,27 +346,52 @@ def link_counts(held: DataFrame, measure: _Measure, percent: int) -> DataFrame:
     return found.groupBy("x").agg(F.sum("linked").alias("linked"))
 
 
-def _members(spots: DataFrame, percent: int) -> DataFrame:
-    """(region, x, n, leads): the sets of each region that has several, and whether they may be
-    its pivots."""
+def _with_company(spots: DataFrame) -> DataFrame:
+    """The spots in regions with several sets, and how many those have."""
+    seen = spots.groupBy("region").agg(F.count("*").alias("sets")).filter("sets > 1")
+    return spots.join(seen, "region")
+
+
+def _members(sets: DataFrame, measure: _Measure, percent: int) -> DataFrame:
+    """(region, x, n, at, leads): the sets that meet in a region, of which those that lead may be
+    its pivots. `at` is the place in the second order, NULL in regions of the first.
+
+    `sets` has (x, n, regions), the elements that each looks at."""
     near_ones = F.expr(f"n * {100 - percent} div 100 + 1")  # as nearest() and looked_at()
     looked = F.expr(f"least(n, n * {100 - percent} div 100 + 1 + (n * {100 - percent} div 100 + 1) div 2 + 1)")
-    seen = spots.groupBy("region").agg(F.count("*").alias("sets")).filter("sets > 1")
-    found = pin(spots.join(seen, "region").withColumn("frequent", F.col("sets") > FREQUENT).drop("sets"), "shared")
+    spots = sets.select("x", "n", F.posexplode("regions").alias("at", "region"))
+    found = pin(_with_company(spots).withColumn("frequent", F.col("sets") > FREQUENT).drop("sets"), "shared")
     often = found.filter("frequent").groupBy("x").agg(F.first("n").alias("n"), F.collect_set("at").alias("places"))
     lacks = looked - F.size("places") < near_ones
-    often = pin(often.select("x", "places", lacks.alias("plain")), "frequent")
-    found = found.join(often, "x", "left").withColumn("plain", F.coalesce("plain", F.lit(False)))
+    often = pin(often.select("x", "n", "places", lacks.alias("crowd")), "frequent")
+    crowd = often.filter("crowd").select("x", "n")
+    others = often.select("x", "places", "crowd")
+    found = found.join(others, "x", "left").filter(~F.col("frequent") & ~F.coalesce("crowd", F.lit(False)))
     before = F.size(F.filter(F.coalesce("places", F.array().cast("array<int>")), lambda p: p < F.col("at")))
-    place = F.when(F.col("at") < near_ones, 0).otherwise(F.col("at") - before)  # its place among the rare ones
-    rare = found.filter(~F.col("frequent") & ~F.col("plain")).filter(place < near_ones)
-    rare = rare.select("region", "x", "n", F.lit(True).alias("leads"))
-    by_hash = found.filter(F.col("at") < near_ones)
-    led = by_hash.filter("plain").select("region").distinct()
-    by_hash = by_hash.join(led, "region", "left_semi")
-    by_hash = by_hash.select(F.xxhash64("region", F.lit("plain")).alias("region"), "x", "n", F.col("plain").alias("leads"))
-    members = pin(rare.unionAll(by_hash).distinct(), "members")
-    # regions with the same sets, as those of one passage, are one
+    few = found.filter(F.col("at") - before < near_ones).select("region", "x", "n", F.lit(True).alias("leads"))
+    none = F.lit(None).cast("bigint").alias("at")
+    if crowd.isEmpty():
+        members = _merged(few).select("region", "x", "n", none, "leads")
+    else:
+        held = near(crowd.select("x"), measure.load(crowd.select("x")), "x", "inner")
+        held = pin(held.mapInArrow(_elements, "x bigint, shingle bigint"), "crowd-elements")
+        window = sets.join(others, "x", "left").filter(~F.coalesce("crowd", F.lit(False)))
+        rare = F.expr("filter(regions, (r, i) -> not array_contains(coalesce(places, cast(array() as array<int>)), i))")
+        window = window.select("x", "n", F.explode(F.slice(rare, 1, near_ones.cast("int"))).alias("shingle"))
+        known = pin(held.select("shingle").distinct(), "crowd-shingles")
+        window = pin(near(known, window, "shingle", "left_semi"), "crowd-windows")
+        met = near(window.select("shingle").distinct(), held, "shingle", "left_semi").join(crowd, "x")
+        mixed = window.withColumn("leads", F.lit(True)).unionByName(met.withColumn("leads", F.lit(False)))
+        mixed = mixed.select(F.xxhash64("shingle", F.lit("mixed")).alias("region"), "x", "n", "leads")
+        members = _merged(few.unionByName(mixed)).select("region", "x", "n", none, "leads")
+        own = _crowd_members(crowd, held, percent).withColumn("leads", F.lit(True))
+        members = members.unionByName(own.select(*members.columns))
+    return pin(members, "members")
+
+
+def _merged(members: DataFrame) -> DataFrame:
+    """(region, x, n, leads): of regions with the same sets, as those of one passage, one."""
+    members = pin(members.distinct(), "regions")
     mark = [F.xxhash64("x", "leads", F.lit(seed)).cast("decimal(20,0)") for seed in (1, 2)]
     same = members.groupBy("region").agg(
         F.count("*").alias("sets"), *(F.sum(m).alias(f"sum{k}") for k, m in enumerate(mark)))
@@ -355,24 +399,51 @@ def _members(spots: DataFrame, percent: int) -> DataFrame:
     return members.join(one.select("region"), "region", "left_semi")
 
 
-def _links(docs: DataFrame, spots: DataFrame, measure: _Measure, percent: int) -> DataFrame:
+def _crowd_members(crowd: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """(region, x, n, at): the regions in the second order, among the sets (x, n) of a crowd that
+    hold the elements (x, shingle).
+
+    Elements that one set has alone come first in it. Where they fill the window the set
+    meets no other; only the others are looked at element by element."""
+    counts = held.groupBy("shingle").agg(F.count("*").alias("held"), F.max("x").alias("x"))
+    counts = pin(counts.select("shingle", "held", F.when(F.col("held") == 1, F.col("x")).alias("x")), "held")
+    alone = counts.filter("held = 1").groupBy("x").agg(F.count("*").alias("alone"))
+    window = F.expr(f"n * {100 - percent} div 100 + 1")  # as nearest()
+    left = crowd.join(alone, "x", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    left = pin(left.withColumn("window", window - F.col("alone")).filter("window > 0"), "crowd-left")
+    rows = near(left.select("x"), held, "x", "left_semi").join(counts.filter("held > 1").select("shingle", "held"), "shingle")
+    order = F.array_sort(F.collect_list(F.struct("held", "shingle"))).alias("order")
+    rows = rows.groupBy("x").agg(order).join(left, "x")
+    first = F.posexplode(F.expr("slice(order, 1, int(window))")).alias("place", "spot")
+    spots = rows.select("x", "n", "alone", first)
+    spots = spots.select(
+        F.xxhash64("spot.shingle", F.lit("crowd")).alias("region"), "x", "n", (F.col("alone") + F.col("place")).alias("at"))
+    return _with_company(spots).drop("sets")
+
+
+def _links(docs: DataFrame, sets: DataFrame, measure: _Measure, percent: int) -> DataFrame:
     """(a, b): every linked node that is not the least of its component, with the least one."""
     spark = docs.sparkSession
     radius = 1 - percent / 100
-    members = pin(_members(spots, percent), "regions")
+    members = _members(sets, measure, percent)
     tested = spark.createDataFrame([], "p bigint, x bigint")
     stars = spark.createDataFrame([], "a bigint, b bigint")
+    tested_pairs: list[DataFrame] = []
+    started = members
     members = members.withColumns({"far": F.lit(None).cast("double"), "component": F.col("x")})
     pivots = 1
     while True:
         order = W.partitionBy("region").orderBy(F.xxhash64("x", F.lit(pivots)), "x")
         chosen = members.filter("leads").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= pivots)
         chosen = pin(chosen.select(
-            "region", "rank", F.col("x").alias("p"), F.col("n").alias("p_n"), F.col("far").alias("p_far"),
-            F.col("component").alias("p_component")), "pivots")
+            "region", "rank", F.col("x").alias("p"), F.col("n").alias("p_n"), F.col("at").alias("p_at"),
+            F.col("far").alias("p_far"), F.col("component").alias("p_component")), "pivots")
         window = F.coalesce(F.abs(F.col("far") - F.col("p_far")) <= radius + 1e-9, F.lit(True))
         sizes = F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent
-        pairs = members.join(chosen, "region").filter("component != p_component").filter(sizes & window)
+        # what follows the region in both must be as much as a link needs in common
+        follows = F.least(F.col("n") - F.col("at"), F.col("p_n") - F.col("p_at"))
+        enough = F.coalesce(follows * (100 + percent) >= (F.col("n") + F.col("p_n")) * percent, F.lit(True))
+        pairs = members.join(chosen, "region").filter("component != p_component").filter(sizes & window & enough)
         ends = (F.greatest("p", "x").alias("p"), F.least("p", "x").alias("x"))
         pairs = pairs.select(*ends, (F.col("n") + F.col("p_n")).alias("n")).distinct()
         pairs = pin(pairs.join(tested, ["p", "x"], "left_anti"), "pairs")
@@ -385,19 +456,22 @@ def _links(docs: DataFrame, spots: DataFrame, measure: _Measure, percent: int) -
         first = chosen.filter("rank = 1").select("region", F.col("p").alias("q"))
         left = members.drop("far", "component").join(chosen.select("region", F.col("p").alias("x")), ["region", "x"], "left_anti")
         left = left.join(labels, "x", "left").withColumn("component", F.coalesce("root", "x")).drop("root")
-        open_ones = left.groupBy("region").agg(
-            F.min("component").alias("u"), F.max("component").alias("v"), F.max("leads").alias("led"))
+        open_ones = left.groupBy("region").agg(F.min("component").alias("u"), F.max("component").alias("v"), F.max("leads").alias("led"))
         open_ones = open_ones.filter("u < v and led")
         left = left.join(open_ones.select("region"), "region").join(first, "region")
         far = measured.select(
             F.col("p").alias("e"), F.col("x").alias("f"), (1 - F.col("common") / F.col("together")).alias("far"))
         ends = [F.greatest("x", "q").alias("e"), F.least("x", "q").alias("f")]
-        left = left.select("region", "x", "n", "leads", "component", *ends).join(far, ["e", "f"], "left")
-        members = pin(left.select("region", "x", "n", "leads", "far", "component"), "open")
+        left = left.select("region", "x", "n", "at", "leads", "component", *ends).join(far, ["e", "f"], "left")
+        before = members
+        members = pin(left.select("region", "x", "n", "at", "leads", "far", "component"), "open")
+        discard(before, started, chosen, measured)
         if members.isEmpty():
+            discard(members, *(tested_pairs), pairs)
             return stars
-        tested = pin(tested.unionAll(pairs.select("p", "x")), "tested")
-        pivots *= 4
+        tested_pairs.append(pairs)
+        tested = tested.unionAll(pairs.select("p", "x"))
+        pivots *= 16
 
 
 def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -437,11 +511,13 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_
     named = [F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")]
     drop = pin(held.join(chosen, this, "left_anti").select(*named), "drop")
     again = pin(held.filter("rows > 1").join(chosen, this, "left_semi").select(*named), "again")
-    marked = docs.withColumns({"__own_id": F.col(id_col).cast("bigint"), "__own_mark": text_mark("text")})
-    same = F.col("__own_id").eqNullSafe(F.col("__id")) & (F.col("__own_mark") == F.col("__mark"))
-    few = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_ROWS // 4 else ids
+    own_id, own_mark, an_id, a_mark = fresh(docs.columns, "own_id", "own_mark", "id", "mark")
+    drop, again = (ids.select(F.col("__id").alias(an_id), F.col("__mark").alias(a_mark)) for ids in (drop, again))
+    marked = docs.withColumns({own_id: F.col(id_col).cast("bigint"), own_mark: text_mark("text")})
+    same = F.col(own_id).eqNullSafe(F.col(an_id)) & (F.col(own_mark) == F.col(a_mark))
+    few = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     kept = marked.join(few(drop), same, "left_anti")
     if again.isEmpty():
         return kept.select(*docs.columns)
-    repeated = kept.join(few(again), same, "left_semi").dropDuplicates(["__own_id", "__own_mark"])
+    repeated = kept.join(few(again), same, "left_semi").dropDuplicates([own_id, own_mark])
     return kept.join(few(again), same, "left_anti").unionByName(repeated).select(*docs.columns)

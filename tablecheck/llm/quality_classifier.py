@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.llm.common import in_batches, map_texts, ship, texts
+from tablecheck.llm.common import give_back, in_slices, map_texts, ship, texts
 from tablecheck.llm.labelled import HELD_OUT, fold, label_ids, label_sample
 
 #: The fit: rows of each label, the longest of them in code points, words with a vector.
@@ -162,19 +162,23 @@ class QualityModel:
                draw.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(1)]
         moment, square = [np.zeros_like(p) for p in net], [np.zeros_like(p) for p in net]
         for step in range(1, STEPS + 1):
-            hidden = np.tanh(x @ net[0] + net[1])
-            p = 1 / (1 + np.exp(-np.clip(hidden @ net[2] + net[3], -30, 30)))
-            delta = (p - y) / len(y)
-            back = np.outer(delta, net[2]) * (1 - hidden * hidden)
-            grads = [x.T @ back, back.sum(0), hidden.T @ delta, delta.sum(keepdims=True)]
-            for k, g in enumerate(grads):
-                g = g + DECAY * net[k]
+            for k, g in enumerate(QualityModel._gradients(net, x, y)):
                 moment[k] = 0.9 * moment[k] + 0.1 * g
                 square[k] = 0.999 * square[k] + 0.001 * g * g
                 up = moment[k] / (1 - 0.9**step) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
                 net[k] = net[k] - RATE * up
         return [p.astype(np.float32) for p in net]
 
+    @staticmethod
+    def _gradients(net: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+        """Of the mean log loss with DECAY / 2 of the squared weights, by each part of the network."""
+        hidden = np.tanh(x @ net[0] + net[1])
+        p = 1 / (1 + np.exp(-np.clip(hidden @ net[2] + net[3], -30, 30)))
+        delta = (p - y) / len(y)
+        back = np.outer(delta, net[2]) * (1 - hidden * hidden)
+        grads = [x.T @ back, back.sum(0), hidden.T @ delta, delta.sum(keepdims=True)]
+        return [g + DECAY * own for g, own in zip(grads, net, strict=True)]
+
     def _logits(self, x: np.ndarray) -> np.ndarray:
         return np.tanh(x @ self.net[0] + self.net[1]) @ self.net[2] + self.net[3]
 
@@ -226,9 +230,12 @@ def keep_scored(docs: DataFrame, model, keep, text_col: str = "text") -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in in_batches(batches, text_col):
+        batch = values = None
+        for batch in in_slices(batches, text_col):
             values = [t or "" for t in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array(keep(shared.value.scores(values)), pa.bool_()))
+        del batch, values
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

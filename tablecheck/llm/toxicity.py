@@ -94,15 +94,7 @@ class ToxicityModel:
         w, b = np.zeros(p.shape[1], np.float32), -1.0
         moments = [0.0, 0.0, 0.0, 0.0]
         for step in range(1, STEPS + 1):
-            sp = 1 / (1 + np.exp(-np.clip(p @ w + b, -30, 30)))  # loss of calling it toxic is 1 - sp
-            su = 1 / (1 + np.exp(-np.clip(u @ w + b, -30, 30)))
-            dp, du = sp * (1 - sp) / len(p), su * (1 - su) / len(u)
-            negative = su.mean() - prior * sp.mean()
-            if negative >= 0:
-                gp, gu = -2 * prior * dp, du
-            else:
-                gp, gu = prior * dp, -du
-            grads = p.T @ gp + u.T @ gu + DECAY * w, gp.sum() + gu.sum()
+            grads = ToxicityModel._gradients(p, u, w, b, prior)
             values = [w, b]
             for k, g in enumerate(grads):
                 moments[k] = 0.9 * moments[k] + 0.1 * g
@@ -112,6 +104,20 @@ class ToxicityModel:
             w, b = values
         return w, float(b)
 
+    @staticmethod
+    def _gradients(p: np.ndarray, u: np.ndarray, w: np.ndarray, b: float, prior: float) -> tuple[np.ndarray, float]:
+        """Of the risk with DECAY / 2 of the squared weights, while its second part is not negative;
+        else of that part turned round."""
+        sp = 1 / (1 + np.exp(-np.clip(p @ w + b, -30, 30)))  # loss of calling it toxic is 1 - sp
+        su = 1 / (1 + np.exp(-np.clip(u @ w + b, -30, 30)))
+        dp, du = sp * (1 - sp) / len(p), su * (1 - su) / len(u)
+        negative = su.mean() - prior * sp.mean()
+        if negative >= 0:
+            gp, gu = -2 * prior * dp, du
+        else:
+            gp, gu = prior * dp, -du
+        return p.T @ gp + u.T @ gu + DECAY * w, gp.sum() + gu.sum()
+
     def scores(self, values: list[str]) -> np.ndarray:
         if not self.members:
             return np.full(len(values), min(self.prior, 0.49))

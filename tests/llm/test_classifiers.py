@@ -107,3 +107,106 @@ def test_vectors_come_from_whole_texts(chunk, monkeypatch):
     total[0] = 0
     norm = np.linalg.norm(total, axis=1, keepdims=True)
     assert np.allclose(model.vectors, total / np.where(norm > 0, norm, 1), atol=1e-4)
+
+
+def numeric(loss, values, at, step=1e-5):
+    """The slope of `loss` along one number of one array of `values`."""
+    up, down = ([v.copy() for v in values] for _ in range(2))
+    up[at[0]][at[1]] += step
+    down[at[0]][at[1]] -= step
+    return (loss(up) - loss(down)) / (2 * step)
+
+
+def test_network_gradient_is_the_slope_of_the_loss():
+    draw = np.random.default_rng(3)
+    x, y = draw.normal(size=(30, 6)), (draw.random(30) < 0.4).astype(float)
+    net = [draw.normal(size=(6, 4)), draw.normal(size=4), draw.normal(size=4), draw.normal(size=1)]
+
+    def loss(n):
+        z = np.tanh(x @ n[0] + n[1]) @ n[2] + n[3]
+        return np.mean(np.logaddexp(0, z) - y * z) + quality_classifier.DECAY / 2 * sum((p * p).sum() for p in n)
+
+    grads = quality_classifier.QualityModel._gradients(net, x, y)
+    for k, part in enumerate(net):
+        for at in np.ndindex(part.shape):
+            assert grads[k][at] == pytest.approx(numeric(loss, net, (k, at)), abs=1e-6)
+
+
+def test_risk_gradient_is_the_slope_of_the_risk():
+    """Both where the part of the unlabelled is positive and where it is turned round."""
+    draw = np.random.default_rng(4)
+    p, u = (draw.random((20, 5)) < 0.5).astype(float), (draw.random((50, 5)) < 0.2).astype(float)
+    seen = set()
+    for prior, b in ((0.1, 0.3), (0.9, -2.0), (0.5, 0.0)):
+        w = draw.normal(size=5) + (prior > 0.8) * 3
+
+        def parts(v):
+            toxic = [1 / (1 + np.exp(-(r @ v[0] + v[1][0]))) for r in p]
+            other = [1 / (1 + np.exp(-(r @ v[0] + v[1][0]))) for r in u]
+            return prior * np.mean([1 - s for s in toxic]), np.mean(other) - prior * np.mean(toxic)
+
+        turned = parts([w, np.array([b])])[1] < 0
+        seen.add(bool(turned))
+
+        def risk(v):
+            first, second = parts(v)
+            return (-second if turned else first + second) + toxicity.DECAY / 2 * (v[0] @ v[0])
+
+        grad, slope = toxicity.ToxicityModel._gradients(p, u, w, b, prior)
+        values = [w, np.array([b])]
+        assert slope == pytest.approx(numeric(risk, values, (1, 0)), abs=1e-6)
+        assert [pytest.approx(numeric(risk, values, (0, k)), abs=1e-6) for k in range(5)] == grad.tolist()
+    assert seen == {True, False}
+
+
+def test_temperature_has_the_least_loss():
+    draw = np.random.default_rng(5)
+    logits = draw.normal(0, 6, 400)
+    y = (draw.random(400) < 1 / (1 + np.exp(-logits / 3))).astype(float)
+    found = quality_classifier.QualityModel._calibrate(logits, y)
+    loss = lambda t: sum(np.log1p(np.exp(-z / t)) if v else np.log1p(np.exp(z / t)) for z, v in zip(logits, y, strict=True))
+    tried = np.geomspace(0.25, 8, 400)
+    best = min(tried, key=loss)
+    assert found == pytest.approx(best, rel=0.07) and 2 < found < 4.5
+
+
+def test_quality_scores_equal_a_loop(spark):
+    docs, labels = tables(spark)
+    model = quality_classifier.fit(docs, labels)
+    assert model.net is not None
+    got = {r.doc_id: r.score for r in quality_classifier.score(docs, model).collect()}
+    for doc_id, text in [(r.doc_id, r.text) for r in docs.collect()]:
+        words = (text or "").split()
+        vectors = [model.vectors[model.rows.get(w) or model.rows.get(quality_classifier.shape(w), 0)].astype(float) for w in words]
+        x = np.zeros(2 * quality_classifier.SIZE + 5)
+        if words:
+            mean = sum(vectors) / len(words)
+            x[: len(mean)] = mean
+            x[len(mean) : 2 * len(mean)] = [np.sqrt(max(0, sum(v[k] ** 2 for v in vectors) / len(words) - mean[k] ** 2)) for k in range(len(mean))]
+            lines = [t for t in text.split("\n") if t.strip()]
+            x[2 * len(mean) :] = [
+                np.log(1 + len(words)) / 10,
+                len(set(words)) / len(words),
+                sum(a == b for a, b in zip(words, words[1:])) / len(words),
+                np.log(1 + sum(map(len, words)) / len(words)),
+                1 - len(set(lines)) / len(lines),
+            ]
+        x = (x - model.mean) / model.scale
+        hidden = [np.tanh(sum(x[i] * model.net[0][i, h] for i in range(len(x))) + model.net[1][h]) for h in range(len(model.net[1]))]
+        z = sum(hidden[h] * model.net[2][h] for h in range(len(hidden))) + model.net[3][0]
+        assert got[doc_id] == pytest.approx(1 / (1 + np.exp(-(z / model.temperature + model.shift))), abs=2e-3)
+
+
+def test_toxicity_scores_equal_a_loop(spark):
+    docs, labels = tables(spark)
+    model = toxicity.fit(docs, labels)
+    assert model.members
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    for doc_id, text in [(r.doc_id, r.text) for r in docs.collect()]:
+        letters = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+        held = {f for w in letters.split() for f in (w, *(w[:n] + "*" for n in toxicity.BEGINNINGS if len(w) > n))}
+        own = []
+        for w, b in model.members:
+            z = b + sum(w[k] for f, k in model.columns.items() if f in held)
+            own.append(1 / (1 + np.exp(-z)))
+        assert got[doc_id] == pytest.approx(sum(own) / len(own), abs=1e-5)

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from texts import AWKWARD, docs_of, prose
 
 from tablecheck.llm import jaccard_join, spotsigs
@@ -61,9 +62,9 @@ def corpus():
     return out
 
 
-@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
-def test_components_equal_brute_force(spark, k, percent, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "FREQUENT", 4)
+@pytest.mark.parametrize("k,percent,crowd", [(3, 90, 4), (5, 80, 4), (3, 90, 1), (3, 60, 16)])
+def test_components_equal_brute_force(spark, k, percent, crowd, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FREQUENT", crowd)
     texts = corpus()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link_documents(docs_of(spark, texts), k, percent).collect()}
     want = brute(texts, k, percent)
@@ -115,6 +116,40 @@ def test_one_of_each_tells_texts_that_share_an_id_apart(spark):
     )
 
 
+def test_one_of_each_keeps_columns_named_like_its_own(spark):
+    names = ["__id", "__own_id", "own_id", "own_mark", "id", "mark", "component", "x"]
+    docs = docs_of(spark, [prose(1, 60), prose(1, 60), prose(2, 60)]).drop("x")
+    odd = docs.withColumns({n: F.lit(f"value of {n}") for n in names})
+    rows = jaccard_join.one_of_each(odd).collect()
+    assert sorted(r.doc_id for r in rows) == [0, 2]
+    assert all(r[n] == f"value of {n}" for r in rows for n in names)
+
+
+def crowd_pairs(spark, n, percent):
+    """The pairs that are looked at among n copies of one text, each edited in eight places."""
+    base = prose(77, 300)
+    docs = docs_of(spark, [edited(base, k, 8) for k in range(n)])
+    seen = []
+    measure = jaccard_join._Measure.__call__
+
+    def counted(self, pairs):
+        seen.append(pairs.count())
+        return measure(self, pairs)
+
+    jaccard_join._Measure.__call__ = counted
+    try:
+        jaccard_join.classes(docs, lambda: jaccard_join.shingles(3), percent).count()
+    finally:
+        jaccard_join._Measure.__call__ = measure
+    return sum(seen)
+
+
+def test_pairs_of_a_crowd_grow_with_its_size(spark):
+    """Copies that are too different to link are hardly compared."""
+    few, many = crowd_pairs(spark, 100, 90), crowd_pairs(spark, 400, 90)
+    assert few <= 500 and many <= 2000
+
+
 def test_one_of_each_with_one_id_on_all_rows(spark):
     texts = [prose(500 + k, 60) for k in range(20)]
     kept = jaccard_join.one_of_each(docs_of(spark, [*texts, *texts], [7] * 40))
