@@ -1360,23 +1360,47 @@ def net_recon(spark, sf):
 AMOUNT = "CASE WHEN event_id % 2 = 0 THEN floor(value) ELSE -floor(value) END"
 
 
-@query(
-    f"""WITH e AS (SELECT event_id, user_id, ts, coalesce({AMOUNT}, 0)::bigint AS amount FROM events),
+def _balance_sql(user: str) -> str:
+    return f"""WITH e AS (SELECT event_id, {user} AS user_id, ts, coalesce({AMOUNT}, 0)::bigint AS amount FROM events),
     s AS (SELECT *, sum(amount) OVER w AS run FROM e
           WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
     b AS (SELECT *, run - greatest(max(run) OVER w, 0) AS balance FROM s
           WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
     SELECT event_id, user_id, balance::bigint AS balance,
       coalesce(lag(balance) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0)::bigint AS balance_prev FROM b"""
-)
-def capped_balance(spark, sf):
-    events = X.table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+
+
+def _balance(spark, sf, user: Column) -> DataFrame:
+    events = X.table(spark, sf, "events").select("event_id", user.alias("user_id"), "ts", "value")
     whole = F.floor("value").cast("bigint")
     amount = F.when(F.col("event_id") % 2 == 0, whole).otherwise(-whole)
     rows = capped_running_balance(events, ["user_id"], ["ts", "event_id"], amount, "balance", "balance_prev")
     return rows.select("event_id", "user_id", "balance", "balance_prev")
 
 
+@query(_balance_sql("user_id"))
+def capped_balance(spark, sf):
+    return _balance(spark, sf, F.col("user_id"))
+
+
+@query(_balance_sql("CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END"))
+def capped_balance_hot(spark, sf):
+    """The same with a third of all events in one group."""
+    return _balance(spark, sf, F.when(F.col("event_id") % 3 == 0, -1).otherwise(F.col("user_id")))
+
+
+@query(
+    f"""SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice,
+    row_number() OVER (PARTITION BY l_returnflag ORDER BY {O.LINE_ORDER})::bigint AS place FROM lineitem"""
+)
+def number_hot_groups(spark, sf):
+    """Numbered in three groups, which have all rows of the table."""
+    rows = lineitem(spark, sf)
+    return numbered(rows, ["l_returnflag"], rows.columns, "place").select(
+        "l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice", "place"
+    )
+
+
 # --- extracts ---------------------------------------------------------------
 
 
