@@ -104,12 +104,16 @@ def _flagged(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _joined(left: DataFrame, right: DataFrame, k: Sequence[str], how: str) -> DataFrame:
-    """Keys `k` of the left side against those with `t` added of the right one."""
+    """Keys `k` of the left side against those with `t` added of the right one.
+
+    Always by sorted pieces: Spark takes the size of a staged table from its files, where millions
+    of like rows are a few MB, and would send them all through the driver to broadcast them."""
     same = null_safe([(F.col(c), F.col(c + "t")) for c in k])
     if how != "full":
-        return left.join(right, same, how)
+        return left.join(right.hint("merge"), same, how)
     # a full join can't be split by adaptive execution; its two halves can
-    return left.join(right, same, "left").unionByName(right.join(left, same, "left_anti"), allowMissingColumns=True)
+    both = left.join(right.hint("merge"), same, "left")
+    return both.unionByName(right.join(left.hint("merge"), same, "left_anti"), allowMissingColumns=True)
 
 
 def pair_by_key(

@@ -9,6 +9,7 @@ from tablecheck.model import RESULT_SCHEMA, RunInfo, TableRules
 from tablecheck.operators.align import bag_alignment, pair_by_key
 from tablecheck.operators.compare import cell_rules, compare_cells, count_cells, long_cells, many_cells, unmatched_counts
 from tablecheck.plans.reconcile import detail, reconcile, run_table, self_compare
+from tablecheck.session import pin
 
 RUN = RunInfo("20240131", "2024-02-01 08:30:00")
 random.seed(5)
@@ -267,3 +268,12 @@ def test_tolerance_of_many_columns_is_one_sort(spark, cut_often):
         good = sum(s * 0.98 <= t <= s * 1.02 for s, t in pairs)
         row = next(r for r in rows if r.column_name == name)
         assert (row.pass_count, row.fail_count) == (good, len(pairs) - good)
+
+
+def test_staged_sides_are_not_broadcast(spark):
+    """Millions of like rows are a few MB of files; their keys must not go through the driver."""
+    src = pin(spark.range(100).selectExpr("id as qa_id", "'x' as qa_v"))
+    tgt = pin(spark.range(50, 150).selectExpr("id", "'x' as v"))
+    joined = pair_by_key(src, tgt, ["id"], unique=True).joined
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 150
