@@ -128,6 +128,7 @@ class ExtractRules:
     row_tag: str = ""
     root_tag: str = ""
     row_schema: str = ""
+    document_folders: bool = False  # an XML document is a folder of part files, each with a root
 
     @classmethod
     def from_mapping(cls, raw: Mapping[str, Any]) -> ExtractRules:

@@ -229,7 +229,8 @@ def read_checked(spark: SparkSession, path: str, rules: ExtractRules) -> tuple[D
     xsd = spark.read.text(rules.validator_file_name, wholetext=True).first()
     if xsd is None:
         raise ValueError(f"{rules.table_name}: the schema file {rules.validator_file_name} is empty")
-    found = check_xml(spark, path, rules.row_tag, rules.row_schema or None, xsd.value, rules.extract_file_ext)
+    folders = rules.document_folders
+    found = check_xml(spark, path, rules.row_tag, rules.row_schema or None, xsd.value, rules.extract_file_ext, folders)
     if rules.root_tag:
-        return flatten_with_root(found.accepted, path, rules.row_tag, rules.root_tag), found
+        return flatten_with_root(found.accepted, path, rules.row_tag, rules.root_tag, folders), found
     return flatten(found.accepted.drop(FILE), rules.row_tag), found

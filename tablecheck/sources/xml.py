@@ -23,6 +23,12 @@ def file_filter(file_ext: str) -> dict[str, str]:
     return {"pathGlobFilter": f"*.{file_ext.lstrip('.')}"} if file_ext else {}
 
 
+def document_path(folders: bool = False) -> Column:
+    """What a row's document is called: by its file, or by its folder if documents come in part files."""
+    file = F.col("_metadata.file_path")
+    return F.regexp_replace(file, "/[^/]*$", "") if folders else file
+
+
 def read_xml(
     spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str | None = None, xsd: str | None = None,
     file_ext: str = "",
@@ -104,8 +110,8 @@ def flatten(df: DataFrame, row_tag: str) -> DataFrame:
     return level.df.select([c.alias(n) for n, c in level.columns.items()])
 
 
-def root_values(spark: SparkSession, path: str, root_tag: str) -> DataFrame:
-    """(file, attributes) of each file's root element.
+def root_values(spark: SparkSession, path: str, root_tag: str, folders: bool = False) -> DataFrame:
+    """(file, attributes) of each document's root element.
 
     Cutting the text at '>' keeps a tag in one piece even when it runs over
     several lines; the root tag lies in the first block of its file. The result,
@@ -119,7 +125,7 @@ def root_values(spark: SparkSession, path: str, root_tag: str) -> DataFrame:
     names = F.regexp_extract_all("value", pattern, F.lit(1))
     values = F.regexp_extract_all("value", pattern, F.lit(2))
     bare = F.transform(names, lambda n: F.lower(F.regexp_replace(n, "^.*:", "")))
-    found = opening.select(F.col("_metadata.file_path").alias("_file"), F.map_from_arrays(bare, values).alias("_root"))
+    found = opening.select(document_path(folders).alias("_file"), F.map_from_arrays(bare, values).alias("_root"))
     return pin(found.groupBy("_file").agg(F.any_value("_root").alias("_root")), "roots")
 
 
@@ -137,9 +143,9 @@ def flatten_xml(
     return flatten_with_root(records.withColumn("_file", F.col("_metadata.file_path")), path, row_tag, root_tag)
 
 
-def flatten_with_root(records: DataFrame, path: str, row_tag: str, root_tag: str) -> DataFrame:
+def flatten_with_root(records: DataFrame, path: str, row_tag: str, root_tag: str, folders: bool = False) -> DataFrame:
     """Flat rows of parsed records, which carry their `_file`, with its root's attributes."""
-    roots = root_values(records.sparkSession, path, root_tag)
+    roots = root_values(records.sparkSession, path, root_tag, folders)
     tag = _bare(root_tag)
     # The attribute names are metadata: a few names, from the files' first tags.
     names = sorted(r.k for r in roots.select(F.explode(F.map_keys("_root")).alias("k")).distinct().collect())

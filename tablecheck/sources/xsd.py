@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tablecheck.functions.columns import null_safe
 from tablecheck.session import pin
-from tablecheck.sources.xml import ATTRIBUTE, BAD, TEXT, file_filter, read_xml, ship_xsd
+from tablecheck.sources.xml import ATTRIBUTE, BAD, TEXT, document_path, file_filter, read_xml, ship_xsd
 
 #: Columns of a staged document besides those of its records.
 FILE = "_file"
@@ -159,17 +159,22 @@ class Checked:
         return out.withColumn("status", F.when(good, "PASS").otherwise("FAIL"))
 
 
-def xml_files(spark: SparkSession, path: str, file_ext: str = "") -> DataFrame:
-    """(file): the files of an extract, those without records too."""
+def xml_files(spark: SparkSession, path: str, file_ext: str = "", folders: bool = False) -> DataFrame:
+    """(file): the documents of an extract, those without records too."""
     files = spark.read.format("binaryFile").options(**file_filter(file_ext)).load(path)
-    return files.select(F.col("_metadata.file_path").alias("file"))  # contents are not read
+    named = files.select(document_path(folders).alias("file"))  # contents are not read
+    return named.distinct() if folders else named
 
 
 def check_xml(
-    spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str | None, xsd: str, file_ext: str = ""
+    spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str | None, xsd: str, file_ext: str = "",
+    folders: bool = False,
 ) -> Checked:
     """An XML extract against the text of a schema file, parsed once.
 
+    Spark reads an XML file in one task. With `folders` a document is a folder of part files, as many
+    as it takes, and the rules hold for all of them together; `_file` is the folder then.
+
     One staged scan holds both the records that conform and the text of the others; all else
     reads the columns of that which it needs. Without a schema of the records Spark infers one."""
     if schema is None:
@@ -177,12 +182,12 @@ def check_xml(
     wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     wanted = T.StructType([f for f in wanted.fields if f.name != BAD] + [T.StructField(BAD, T.StringType())])
     parsed = read_xml(spark, path, row_tag, wanted, ship_xsd(spark, xsd), file_ext)
-    staged = pin(parsed.withColumn(FILE, F.col("_metadata.file_path")), "checked")
+    staged = pin(parsed.withColumn(FILE, document_path(folders)), "checked")
     rejected = staged.filter(F.col(BAD).isNotNull())
     accepted = staged.filter(F.col(BAD).isNull()).drop(BAD)
     rules = document_rules(xsd, row_tag)
     return Checked(
         accepted,
         rejected.select(F.col(FILE).alias("file"), F.lit("does not conform to the schema").alias("reason"), F.col(BAD).alias("record")),
-        document_failures(accepted, xml_files(spark, path, file_ext), rules),
+        document_failures(accepted, xml_files(spark, path, file_ext, folders), rules),
     )

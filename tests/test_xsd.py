@@ -136,3 +136,23 @@ def test_only_files_with_the_extension(spark, tmp_path):
     assert [tuple(r) for r in take("dat").collect()] == [("1", "2")]
     assert [tuple(r) for r in take(".bak").collect()] == [("3", "4")]
     assert take("").count() == 2
+
+
+def test_documents_of_part_files(spark, tmp_path):
+    """A document in several files, which several tasks read: its rules hold across them."""
+    for day, parts in {"one": [["a", "b"], ["a"]], "two": [["a"], ["b", "c"], []]}.items():
+        (tmp_path / "in" / f"part={day}").mkdir(parents=True)
+        for i, ids in enumerate(parts):
+            items = "".join(f"<item id='{k}'><n>1</n></item>\n" for k in ids)
+            (tmp_path / "in" / f"part={day}" / f"{i}.xml").write_text(f"<items day='{day}'>\n{items}</items>")
+    (tmp_path / "items.xsd").write_text(XSD)
+    given = ExtractRules(
+        "items", "xml", row_tag="item", root_tag="items", row_schema=SCHEMA, validator_file_name=str(tmp_path / "items.xsd"),
+        document_folders=True,
+    )
+    path = str(tmp_path / "in")
+    rows, found = L.read_checked(spark, path, given)
+    assert [(name_of(r.file), r.rule, r.value, r.records) for r in found.failures.collect()] == [("part=one", "key id_key", "a", 2)]
+    verdicts = {name_of(r.file): (r.accepted, r.status) for r in found.documents(X.xml_files(spark, path, folders=True)).collect()}
+    assert verdicts == {"part=one": (3, "FAIL"), "part=two": (3, "PASS")}
+    assert sorted(r.items_day for r in rows.collect()) == ["one"] * 3 + ["two"] * 3
