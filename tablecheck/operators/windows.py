@@ -25,11 +25,11 @@ def ordered_pieces(df: DataFrame, group: Sequence[str], order: Order, piece: str
     `pos` (the place in it, from 0), both increasing along the order.
 
     Equal rows may fall on both sides of a cut, so a group of copies is cut as
-    well; a tie number is what tells them apart. Sorting by hash before handing it out
-    makes it the same when a task is rerun, and the staged copy keeps the cuts
-    the same for every later reader."""
+    well; a tie number is what tells them apart. Sorting by (group, order) and hash before handing
+    it out makes it the same when a task is rerun, and like rows go through the shuffle side by
+    side, so it is compressed well. The staged copy keeps the cuts the same for every later reader."""
     hashed_as, tie = fresh(df.columns, "_hash", "_tie")
-    hashed = df.withColumn(hashed_as, F.xxhash64(*df.columns)).sortWithinPartitions(hashed_as)
+    hashed = df.withColumn(hashed_as, F.xxhash64(*df.columns)).sortWithinPartitions(*group, *order, hashed_as)
     ready = hashed.withColumn(tie, F.monotonically_increasing_id()).drop(hashed_as)
     laid = ready.repartitionByRange(*group, *order, tie).sortWithinPartitions(*group, *order, tie)
     place = F.monotonically_increasing_id()
@@ -37,6 +37,18 @@ def ordered_pieces(df: DataFrame, group: Sequence[str], order: Order, piece: str
     return pin(laid.drop(tie).withColumns(marks), "pieces")
 
 
+def edge_rows(pieces: DataFrame, group: Sequence[str], piece: str, pos: str) -> DataFrame:
+    """The rows that `border_carry` looks at: the first one of each piece, and all of its last group.
+    What is windowed to find the carries is these rows only, not the table."""
+    at, end = fresh(pieces.columns, "_at", "_end")
+    ends = pieces.groupBy(F.col(piece).alias(at)).agg(F.max(pos).alias(end))
+    last = pieces.join(F.broadcast(ends), (F.col(piece) == F.col(at)) & (F.col(pos) == F.col(end)))
+    last = last.select(at, *[F.col(g).alias(f"{at}{i}") for i, g in enumerate(group)])
+    same = null_safe([(F.col(g), F.col(f"{at}{i}")) for i, g in enumerate(group)])
+    found = pieces.join(F.broadcast(last), F.col(piece) == F.col(at)).filter((F.col(pos) == 0) | same)
+    return found.select(*pieces.columns)
+
+
 def border_carry(local: DataFrame, group: Sequence[str], piece: str, pos: str, ends: dict[str, Column]) -> DataFrame:
     """(_at, _head, ends...): for each piece whose first group goes back over its border, the piece,
     that group and the `ends` of all pieces before that have it, each as a list in their order.
@@ -86,10 +98,11 @@ def numbered(df: DataFrame, group: Sequence[str], order: Order, name: str = "row
         counted = pieces.join(F.broadcast(carry), F.col(piece) == F.col("_at"))
         return counted.select(*df.columns, (F.col("_start") + F.col(pos) + 1).alias(name))
     w = W.partitionBy(piece, *group).orderBy(pos)
-    local = pieces.withColumn(local_number, F.row_number().over(w).cast("bigint"))
-    events = border_carry(local, group, piece, pos, {"_rows": F.col(local_number)})
+    place = {local_number: F.row_number().over(w).cast("bigint")}
+    edges = edge_rows(pieces, group, piece, pos).withColumns(place)
+    events = border_carry(edges, group, piece, pos, {"_rows": F.col(local_number)})
     carry = _carried(events, {"_skip": F.sum("_rows").over(_before())})
-    counted, same = _with_carry(local, carry, group, piece)
+    counted, same = _with_carry(pieces.withColumns(place), carry, group, piece)
     number = F.col(local_number) + F.when(same, F.col("_skip")).otherwise(F.lit(0))
     return counted.select(*df.columns, number.alias(name))
 
@@ -100,10 +113,10 @@ def running_total(df: DataFrame, group: Sequence[str], order: Order, value: str,
     piece, pos, run = fresh([*df.columns, name], "_piece", "_pos", "_run")
     pieces = ordered_pieces(df, group, order, piece, pos)
     upto = W.partitionBy(piece, *group).orderBy(pos).rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = pieces.withColumn(run, F.sum(value).over(upto))
-    events = border_carry(local, group, piece, pos, {"_sum": F.col(run)})
+    edges = edge_rows(pieces, group, piece, pos).withColumn(run, F.sum(value).over(upto))
+    events = border_carry(edges, group, piece, pos, {"_sum": F.col(run)})
     carry = _carried(events, {"_start": F.sum("_sum").over(_before())})
-    placed, same = _with_carry(local, carry, group, piece)
+    placed, same = _with_carry(pieces.withColumn(run, F.sum(value).over(upto)), carry, group, piece)
     total = F.col(run) + F.coalesce(F.when(same, F.col("_start")), F.lit(0))
     return placed.select(*df.columns, total.alias(name))
 
@@ -130,10 +143,13 @@ def capped_running_balance(
     pieces = ordered_pieces(df.withColumn(value, F.coalesce(amount, zero)), group, order, piece, pos)
     w = W.partitionBy(piece, *group).orderBy(pos)
     upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = pieces.withColumns({total: F.sum(value).over(upto), place: F.row_number().over(w).cast("bigint")})
-    local = local.withColumn(top, F.max(total).over(upto))
-    local = local.withColumns({total_prev: F.lag(total).over(w), top_prev: F.lag(top).over(w)})
-    events = border_carry(local, group, piece, pos, {"_whole": F.col(total), "_peak": F.col(top), "_rows": F.col(place)})
+
+    def running(rows: DataFrame) -> DataFrame:
+        sums = rows.withColumns({total: F.sum(value).over(upto), place: F.row_number().over(w).cast("bigint")})
+        return sums.withColumn(top, F.max(total).over(upto))
+
+    local = running(pieces).withColumns({total_prev: F.lag(total).over(w), top_prev: F.lag(top).over(w)})
+    events = border_carry(running(edge_rows(pieces, group, piece, pos)), group, piece, pos, {"_whole": F.col(total), "_peak": F.col(top), "_rows": F.col(place)})
     starts = {"_start": F.coalesce(F.sum("_whole").over(_before()), zero), "_skip": F.sum("_rows").over(_before())}
     carry = _carried(events.withColumns(starts), {"_start": F.col("_start"), "_skip": F.col("_skip"), "_high": F.max(F.col("_start") + F.col("_peak")).over(_before())})
     placed, same = _with_carry(local, carry, group, piece)

@@ -127,9 +127,10 @@ def long_rows(totals: DataFrame) -> DataFrame:
 def carriers(longs: DataFrame) -> DataFrame:
     """Per maturity, the first long row by name and strike: it takes the whole
     short quantity. Found by a minimum, so a large group combines before the
-    shuffle."""
+    shuffle. `maturity` has the key as one value."""
     first = F.min(F.struct("underlying_sec_name", "strikepriceamount", "quantity")).alias("carrier")
-    return longs.groupBy(*MATURITY_KEY).agg(first, F.sum("quantity").cast(QUANTITY).alias("quantity"))
+    totals = longs.groupBy(_maturity("maturity")).agg(first, F.sum("quantity").cast(QUANTITY).alias("quantity"))
+    return totals.select("maturity.*", "carrier", "quantity", "maturity")
 
 
 def numbered_long_rows(longs: DataFrame) -> DataFrame:
@@ -148,6 +149,11 @@ def short_rows(totals: DataFrame, by_name: bool = True) -> DataFrame:
     )
 
 
+def _maturity(name: str) -> Column:
+    """The maturity key as one value, whose NULLs are equal."""
+    return F.struct(*MATURITY_KEY).alias(name)
+
+
 def _same_key(left: DataFrame, right: DataFrame) -> list[Column]:
     return [left[c].eqNullSafe(right[f"r_{c}"]) for c in MATURITY_KEY]
 
@@ -157,7 +163,8 @@ def pair_sides(carried: DataFrame, shorts: DataFrame) -> DataFrame:
 
     Written as short-left-carrier plus the carriers without a short row: a
     maturity has one carrier but may have very many short rows, and those two
-    joins can be split where a full outer join cannot."""
+    joins can be split where a full outer join cannot. The second one has each maturity once on
+    both sides, which are dealt by it already."""
     right = carried.select(*[F.col(c).alias(f"r_{c}") for c in MATURITY_KEY], "carrier")
     with_short = shorts.join(right, _same_key(shorts, right), "left").select(
         *MATURITY_KEY,
@@ -166,8 +173,8 @@ def pair_sides(carried: DataFrame, shorts: DataFrame) -> DataFrame:
         "underlying_sec_name",
         "carrier",
     )
-    short_keys = shorts.select(*MATURITY_KEY).distinct().toDF(*[f"r_{c}" for c in MATURITY_KEY])
-    alone = carried.join(short_keys, _same_key(carried, short_keys), "left_anti").select(
+    short_keys = shorts.select(_maturity("r_maturity")).distinct()
+    alone = carried.join(short_keys, F.col("maturity") == F.col("r_maturity"), "left_anti").select(
         *MATURITY_KEY,
         F.lit(None).cast("string").alias("short_option_maturitydate"),
         F.lit(0).cast(QUANTITY).alias("short_quantity"),
@@ -345,7 +352,8 @@ class Stages:
         are seen on the way, so the positions are not read for them again."""
         least, greatest = F.min("run_date").alias("low"), F.max("run_date").alias("high")
         seen = self.positions.observe(self._run_dates, least, greatest)
-        return pin(side_totals(both_sides(aggregate(enrich(seen)))))
+        totals = pin(aggregate(enrich(seen)), "totals")  # read for the groups and for their rows
+        return pin(side_totals(both_sides(totals)))
 
     @cached_property
     def longs(self) -> DataFrame:
@@ -382,7 +390,10 @@ class Stages:
 
     @cached_property
     def sequenced(self) -> DataFrame:
-        return sequence(unprocessed(self.pinned_offset), self._policy, self._newest_first)
+        rows = unprocessed(self.pinned_offset)
+        if self._policy != "ordered_alterix":  # the one order that looks at the carrier
+            rows = rows.drop("carrier")
+        return sequence(rows, self._policy, self._newest_first)
 
     @cached_property
     def allocated(self) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import Window as W
 
-from tablecheck.operators.windows import border_carry, capped_running_balance, numbered, ordered_pieces, running_total
+from tablecheck.operators import windows
+from tablecheck.operators.windows import border_carry, capped_running_balance, edge_rows, numbered, ordered_pieces, running_total
 
 # A third of the rows in one group, a third of those copies of one row.
 random.seed(3)
@@ -116,3 +117,21 @@ def test_names_that_a_table_has_already(spark, cut_often):
     assert all(r["total"] == sum(x for x in range(r["_tie"] + 1) if x % 5 == r["_pos"]) for r in run)
     balance = capped_running_balance(odd, ["_run"], ["_tie"], -F.col("_hash"), number="n").collect()
     assert all(r["short_balance"] == -sum(range(r["_tie"] + 1)) for r in balance)
+
+
+def test_carries_come_from_border_rows_only(spark, cut_often):
+    """Of a table with small groups only the ends of its pieces are windowed for the carries."""
+    small = spark.range(4000).selectExpr("id div 4 as g", "id as a").repartition(5)
+    pieces = ordered_pieces(small, ["g"], ["a"])
+    count = pieces.select("_piece").distinct().count()
+    assert 1 < count < edge_rows(pieces, ["g"], "_piece", "_pos").count() <= 5 * count
+    assert numbered(small, ["g"], ["a"], "n").filter("n <> a % 4 + 1").count() == 0
+
+
+def test_like_rows_go_through_the_shuffle_together(spark, monkeypatch):
+    """Rows are sorted by (group, order) before they are dealt by range, not put in the order of a hash."""
+    monkeypatch.setattr(windows, "pin", lambda df, name="": df)
+    laid = windows.ordered_pieces(spark.range(10).selectExpr("id % 2 as g", "id as a"), ["g"], ["a"])
+    plan = laid._jdf.queryExecution().optimizedPlan().toString()
+    before = plan.split("RepartitionByExpression")[1].split("Sort [")[1]
+    assert before.startswith("g#") and "a#" in before.split("]")[0]
