@@ -144,11 +144,15 @@ def capped_running_balance(
     w = W.partitionBy(piece, *group).orderBy(pos)
     upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
 
+    # what is before a row has a frame of its own, which needs no pass over the group of its own
+    earlier = w.rowsBetween(W.unboundedPreceding, -1)
+
     def running(rows: DataFrame) -> DataFrame:
-        sums = rows.withColumns({total: F.sum(value).over(upto), place: F.row_number().over(w).cast("bigint")})
-        return sums.withColumn(top, F.max(total).over(upto))
+        number = F.row_number().over(w).cast("bigint")
+        sums = rows.withColumns({total: F.sum(value).over(upto), total_prev: F.sum(value).over(earlier), place: number})
+        return sums.withColumns({top: F.max(total).over(upto), top_prev: F.max(total).over(earlier)})
 
-    local = running(pieces).withColumns({total_prev: F.lag(total).over(w), top_prev: F.lag(top).over(w)})
+    local = running(pieces)
     events = border_carry(running(edge_rows(pieces, group, piece, pos)), group, piece, pos, {"_whole": F.col(total), "_peak": F.col(top), "_rows": F.col(place)})
     starts = {"_start": F.coalesce(F.sum("_whole").over(_before()), zero), "_skip": F.sum("_rows").over(_before())}
     carry = _carried(events.withColumns(starts), {"_start": F.col("_start"), "_skip": F.col("_skip"), "_high": F.max(F.col("_start") + F.col("_peak")).over(_before())})

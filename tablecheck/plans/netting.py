@@ -124,13 +124,22 @@ def long_rows(totals: DataFrame) -> DataFrame:
     return totals.filter(F.col("short_or_long") == "Long")
 
 
+def maturities(sides: DataFrame) -> DataFrame:
+    """Per maturity: the first long row by name and strike, which takes the whole short quantity,
+    the long quantity, and whether there are short rows. Found by minima and maxima, so a large
+    group combines before the shuffle. `maturity` has the key as one value."""
+    long = F.col("short_or_long") == "Long"
+    first = F.min(F.when(long, F.struct("underlying_sec_name", "strikepriceamount", "quantity")))
+    return sides.groupBy(_maturity("maturity")).agg(
+        first.alias("carrier"),
+        F.sum(F.when(long, F.col("quantity"))).cast(QUANTITY).alias("quantity"),
+        F.max(~long).alias("with_short"),
+    )
+
+
 def carriers(longs: DataFrame) -> DataFrame:
-    """Per maturity, the first long row by name and strike: it takes the whole
-    short quantity. Found by a minimum, so a large group combines before the
-    shuffle. `maturity` has the key as one value."""
-    first = F.min(F.struct("underlying_sec_name", "strikepriceamount", "quantity")).alias("carrier")
-    totals = longs.groupBy(_maturity("maturity")).agg(first, F.sum("quantity").cast(QUANTITY).alias("quantity"))
-    return totals.select("maturity.*", "carrier", "quantity", "maturity")
+    """Per maturity with long rows, its carrier and their quantity."""
+    return maturities(longs).select("maturity.*", "carrier", "quantity", "maturity")
 
 
 def numbered_long_rows(longs: DataFrame) -> DataFrame:
@@ -154,70 +163,58 @@ def _maturity(name: str) -> Column:
     return F.struct(*MATURITY_KEY).alias(name)
 
 
-def _same_key(left: DataFrame, right: DataFrame) -> list[Column]:
-    return [left[c].eqNullSafe(right[f"r_{c}"]) for c in MATURITY_KEY]
-
+def place_sides(longs: DataFrame, shorts: DataFrame) -> DataFrame:
+    """Every long and short row with the carrier of its maturity and whether that has short rows.
 
-def pair_sides(carried: DataFrame, shorts: DataFrame) -> DataFrame:
-    """Full outer pairing of carriers and short rows on the maturity key.
-
-    Written as short-left-carrier plus the carriers without a short row: a
-    maturity has one carrier but may have very many short rows, and those two
-    joins can be split where a full outer join cannot. The second one has each maturity once on
-    both sides, which are dealt by it already."""
-    right = carried.select(*[F.col(c).alias(f"r_{c}") for c in MATURITY_KEY], "carrier")
-    with_short = shorts.join(right, _same_key(shorts, right), "left").select(
-        *MATURITY_KEY,
-        F.col("option_maturitydate").alias("short_option_maturitydate"),
-        F.col("quantity").alias("short_quantity"),
-        "underlying_sec_name",
-        "carrier",
-    )
-    short_keys = shorts.select(_maturity("r_maturity")).distinct()
-    alone = carried.join(short_keys, F.col("maturity") == F.col("r_maturity"), "left_anti").select(
-        *MATURITY_KEY,
-        F.lit(None).cast("string").alias("short_option_maturitydate"),
-        F.lit(0).cast(QUANTITY).alias("short_quantity"),
-        F.lit(None).cast("string").alias("underlying_sec_name"),
-        "carrier",
+    The one join of the two sides. A maturity is one row on its right side and may have very many
+    rows on its left one, which adaptive execution can split; the right one is dealt by the
+    maturity already."""
+    sides = longs.unionByName(shorts, allowMissingColumns=True)
+    rows = sides.select(
+        _maturity("maturity"), "underlying_sec_name", "strikepriceamount", F.col("quantity").alias("own"), "short_or_long"
     )
-    return with_short.unionByName(alone).withColumnRenamed("option_maturitydate", "long_option_maturitydate")
+    found = maturities(sides).select(F.col("maturity").alias("of"), "carrier", "with_short")
+    return rows.join(found, F.col("maturity") == F.col("of")).drop("of")
 
 
+PAIRED = (
+    *GROUP, "underlying", "long_option_maturitydate", "short_option_maturitydate", "short_quantity",
+    "underlying_sec_name", "carrier",
+)
 ATTACHED = (
     *GROUP, "underlying", "underlying_sec_name", "long_option_maturitydate", "short_option_maturitydate",
     "short_quantity", "long_quantity", "strikepriceamount", "source", "carrier",
 )
 
 
-def attach_rest(paired: DataFrame, longs: DataFrame, carried: DataFrame) -> DataFrame:
-    """Adds the long rows that carry no short quantity."""
-    from_pairs = paired.withColumns(
-        {
-            "long_quantity": F.coalesce("carrier.quantity", F.lit(0).cast(QUANTITY)),
-            "strikepriceamount": F.coalesce("carrier.strikepriceamount", F.lit(0).cast(STRIKE)),
-            "source": F.lit("step4"),
-        }
-    )
-    used = carried.select(
-        *[F.col(c).alias(f"r_{c}") for c in MATURITY_KEY],
-        F.col("carrier.underlying_sec_name").alias("r_underlying_sec_name"),
-        F.col("carrier.strikepriceamount").alias("r_strikepriceamount"),
-    )
-    same = [longs[c].eqNullSafe(used[f"r_{c}"]) for c in LONG_KEY]
-    rest = longs.join(used, same, "left_anti").select(
-        *GROUP,
-        "underlying",
-        "underlying_sec_name",
-        F.col("option_maturitydate").alias("long_option_maturitydate"),
-        F.lit(None).cast("string").alias("short_option_maturitydate"),
-        F.lit(None).cast(QUANTITY).alias("short_quantity"),
-        F.col("quantity").alias("long_quantity"),
-        "strikepriceamount",
-        F.lit("step3.1").alias("source"),
-        F.lit(None).cast(paired.schema["carrier"].dataType).alias("carrier"),
-    )
-    return from_pairs.select(*ATTACHED).unionByName(rest)
+def pair_sides(placed: DataFrame) -> DataFrame:
+    """Full outer pairing of carriers and short rows on the maturity key: every short row with the
+    carrier, if there is one, and the carriers of maturities without a short row."""
+    return attach_rest(placed).filter(F.col("source") == "step4").select(*PAIRED)
+
+
+def attach_rest(placed: DataFrame) -> DataFrame:
+    """The pairs (`step4`), and the long rows that carry no short quantity (`step3.1`); one projection."""
+    short, carrier = F.col("short_or_long") == "Short", F.col("carrier")
+    first = [F.col(c).eqNullSafe(F.col(f"carrier.{c}")) for c in ("underlying_sec_name", "strikepriceamount")]
+    carries = ~short & first[0] & first[1]
+    paired, none = short | carries, F.lit(0).cast(QUANTITY)
+    columns = {
+        "underlying_sec_name": F.when(~carries, F.col("underlying_sec_name")),
+        "long_option_maturitydate": F.col("maturity.option_maturitydate"),
+        "short_option_maturitydate": F.when(short, F.col("maturity.option_maturitydate")),
+        "short_quantity": F.when(short, F.col("own")).when(carries, none),
+        "long_quantity": F.when(paired, F.coalesce("carrier.quantity", none)).otherwise(F.col("own")),
+        "strikepriceamount": F.when(paired, F.coalesce("carrier.strikepriceamount", F.lit(0).cast(STRIKE))).otherwise(
+            F.col("strikepriceamount")
+        ),
+        "source": F.when(paired, "step4").otherwise("step3.1"),
+        "carrier": F.when(paired, carrier),
+    }
+    # a carrier that short rows have is in their rows
+    kept = placed.filter(~(carries & F.col("with_short")))
+    names = [columns[c].alias(c) if c in columns else F.col(f"maturity.{c}").alias(c) for c in ATTACHED]
+    return kept.select(*names)
 
 
 def exact_offset(attached: DataFrame) -> DataFrame:
@@ -367,13 +364,17 @@ class Stages:
     def shorts(self) -> DataFrame:
         return short_rows(self.pinned_sides, self._by_name)
 
+    @cached_property
+    def placed(self) -> DataFrame:
+        return place_sides(self.longs, self.shorts)
+
     @cached_property
     def paired(self) -> DataFrame:
-        return pair_sides(self.carried, self.shorts)
+        return pair_sides(self.placed)
 
     @cached_property
     def attached(self) -> DataFrame:
-        return attach_rest(self.paired, self.longs, self.carried)
+        return attach_rest(self.placed)
 
     @cached_property
     def offset(self) -> DataFrame:

@@ -110,3 +110,32 @@ def test_more_than_one_run_date_is_an_error(spark):
     odd = (*position(qty=-1)[:-1], "2024-02-02")
     with pytest.raises(Exception, match="run_date has more than one value"):
         stages(spark, [position(qty=1), odd]).report.collect()
+
+
+def test_sides_meet_in_one_join(spark):
+    """Short rows, lone carriers and the rest, blank names and no symbol included, from one join."""
+    rows = [position(qty=3), position(qty=4, strike=30), position(qty=-5), position(qty=-1, sec="B")]
+    rows += [position(qty=2, day="2024-07-01", symbol=None), position(qty=1, day=None), position(qty=-9, day=None)]
+    rows += [position(qty=7, day="2024-09-01"), position(qty=8, day="2024-09-01", sec="Z"), position(qty=-2, day="2024-10-01")]
+    st = stages(spark, rows)
+    got = [
+        (r.long_option_maturitydate, r.short_quantity, r.long_quantity, r.source, r.underlying_sec_name)
+        for r in st.attached.collect()
+    ]
+    assert sorted(map(str, [(d, None if s is None else int(s), int(q), *rest) for d, s, q, *rest in got])) == sorted(
+        map(
+            str,
+            [
+                ("2024-06-01", -5, 3, "step4", "ABC CORP"),
+                ("2024-06-01", -1, 3, "step4", "B"),
+                ("2024-06-01", None, 4, "step3.1", "ABC CORP"),
+                ("2024-07-01", 0, 2, "step4", None),
+                (None, -9, 1, "step4", "ABC CORP"),
+                ("2024-09-01", 0, 7, "step4", None),
+                ("2024-09-01", None, 8, "step3.1", "Z"),
+                ("2024-10-01", -2, 0, "step4", "ABC CORP"),
+            ],
+        )
+    )
+    assert st.paired.count() == 6
+    assert st.attached._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
