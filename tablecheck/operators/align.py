@@ -108,8 +108,14 @@ def _joined(left: DataFrame, right: DataFrame, k: Sequence[str], how: str) -> Da
 
     Always by sorted pieces: Spark takes the size of a staged table from its files, where millions
     of like rows are a few MB, and would send them all through the driver to broadcast them."""
-    same = null_safe([(F.col(c), F.col(c + "t")) for c in k])
-    if how != "full":
+    return _met(left, right, [(F.col(c), F.col(c + "t")) for c in k], how)
+
+
+def _met(left: DataFrame, right: DataFrame, pairs: list[tuple[Column, Column]], how: str, unique: bool = False) -> DataFrame:
+    """The join of `_joined` on any expressions. Keys that are unique on both sides are dealt
+    evenly, so their full join needs no halves and moves each side once."""
+    same = null_safe(pairs)
+    if how != "full" or unique:
         return left.join(right.hint("merge"), same, how)
     # a full join can't be split by adaptive execution; its two halves can
     both = left.join(right.hint("merge"), same, "left")
@@ -131,12 +137,13 @@ def pair_by_key(
     skewed is the one that adaptive execution can split. Only rows of keys that the target
     repeats are staged; the others are read where they are."""
     named = key_columns(src, tgt, keys)
+    columns = [*src.columns, *tgt.columns]
+    if unique:  # joined on the expressions themselves: no second copy of the keys is moved
+        s, t = src.withColumn("_in_src", F.lit(True)), tgt.withColumn("_in_tgt", F.lit(True))
+        return Pairing(_flagged(_met(s, t, [(a, b) for _, a, b in named], how, unique=True), columns), tuple(keys), how)
     k = [f"_k{i}" for i in range(len(keys))]
     s = src.withColumns({c: e for c, (_, e, _) in zip(k, named)}).withColumn("_in_src", F.lit(True))
     t = tgt.withColumns({c + "t": e for c, (_, _, e) in zip(k, named)}).withColumn("_in_tgt", F.lit(True))
-    columns = [*src.columns, *tgt.columns]
-    if unique:
-        return Pairing(_flagged(_joined(s, t, k, how), columns), tuple(keys), how)
     marks = _repeated_keys(s, t, k)
     if marks.isEmpty():
         return Pairing(_flagged(_joined(s, t, k, how), columns), tuple(keys), how)
@@ -232,8 +239,12 @@ def pair_by_important(
     s_order, t_order = agreed_order(s, t)
     named = key_columns(s, t, important)
     k = [f"_g{i}" for i in range(len(important))]
-    s = numbered(s.withColumns({c: e for c, (_, e, _) in zip(k, named)}), k, s_order, PREFIX + ROW_ID)
-    t = numbered(t.withColumns({c: e for c, (_, _, e) in zip(k, named)}), k, t_order, ROW_ID)
+    # text has no NULL here, so a key of one type on both sides is its own group
+    own = [s.schema[PREFIX + c].dataType == t.schema[c].dataType for c in important]
+    s_group, t_group = ([p + c if o else g for c, g, o in zip(important, k, own)] for p in (PREFIX, ""))
+    s = s.withColumns({g: e for g, o, (_, e, _) in zip(k, own, named) if not o})
+    t = t.withColumns({g: e for g, o, (_, _, e) in zip(k, own, named) if not o})
+    s, t = numbered(s, s_group, s_order, PREFIX + ROW_ID), numbered(t, t_group, t_order, ROW_ID)
     return pair_by_key(s.drop(*k), t.drop(*k), [*important, ROW_ID], how, unique=True)
 
 

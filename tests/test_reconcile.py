@@ -277,3 +277,14 @@ def test_staged_sides_are_not_broadcast(spark):
     joined = pair_by_key(src, tgt, ["id"], unique=True).joined
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == 150
+
+
+def test_unique_sides_are_moved_once(spark):
+    """A full join of unique keys is one join, and its keys do not go along twice."""
+    src = pin(spark.range(100).selectExpr("cast(id as string) as qa_id", "'x' as qa_v"))
+    tgt = pin(spark.range(50, 150).selectExpr("cast(id as string) as id", "'x' as v"))
+    joined = pair_by_key(src, tgt, ["id"], unique=True).joined
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1
+    assert "_k0" not in plan
+    assert joined.groupBy("_in_src", "_in_tgt").count().orderBy("count").collect()[0]["count"] == 50
