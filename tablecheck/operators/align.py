@@ -55,6 +55,75 @@ def key_columns(src: DataFrame, tgt: DataFrame, keys: Sequence[str]) -> list[tup
     return out
 
 
+#: Copies that one step makes from a count; more are dealt out in portions of so many.
+PORTION = 4096
+
+
+@dataclass(frozen=True)
+class Bag:
+    """The distinct rows of two sides with the same columns, staged: `columns`, the key values `_k0`...,
+    `n_src`, `n_tgt`, `n_met` (the smaller of the two) and `_class` of `_repeated_keys`. Rows are as
+    they were, so NULL and '', and 0 and -0, are apart here."""
+
+    rows: DataFrame
+    columns: tuple[str, ...]
+
+    def of(self, name: str | None) -> Bag:
+        wanted = F.col("_class").isNull() if name is None else F.col("_class") == name
+        return Bag(self.rows.filter(wanted), self.columns)
+
+    def side(self, count: str, keys: Sequence[str], prefix: str, suffix: str = "") -> DataFrame:
+        """`count` copies of each row under the names of one side, with the key values."""
+        named = [F.col(c).alias(prefix + c) for c in self.columns]
+        return copies(self.rows.select(*named, *[F.col(k).alias(k + suffix) for k in keys], F.expr(count).alias("_n")), "_n")
+
+    def met(self) -> DataFrame:
+        both = [F.col(c).alias(p + c) for p in (PREFIX, "") for c in self.columns]
+        flags = [F.lit(True).alias(f) for f in ("_in_src", "_in_tgt")]
+        return copies(self.rows.select(*both, *flags, F.col("n_met").alias("_n")), "_n")
+
+
+def copies(df: DataFrame, count: str) -> DataFrame:
+    """Each row as often as `count` says. Rows with many copies are dealt to all tasks in portions."""
+    n, at, columns = F.col(count), "_portion", [c for c in df.columns if c != count]
+    one = F.lit(1).cast("bigint")
+    few = df.filter(n.between(1, PORTION)).select(*columns, F.explode(F.sequence(one, n)).alias(at))
+    portions = df.filter(n > PORTION).withColumn(at, F.explode(F.sequence(one, F.ceil(n / PORTION))))
+    size = F.least(F.lit(PORTION).cast("bigint"), n - (F.col(at) - 1) * PORTION)
+    dealt = portions.select(*columns, F.col(at), size.alias(count)).repartition(*columns[:1], at)
+    many = dealt.select(*columns, F.explode(F.sequence(one, n)).alias(at))
+    return few.unionAll(many).drop(at)
+
+
+def _alike(src: DataFrame, tgt: DataFrame) -> bool:
+    """Whether both sides have the same columns of the same plain types."""
+    s = {f.name.removeprefix(PREFIX): f.dataType for f in src.schema}
+    t = {f.name: f.dataType for f in tgt.schema}
+    own = {"n_src", "n_tgt", "n_met", "_class", "_minus", "_n", "_portion"}
+    plain = all(isinstance(d, T.AtomicType) and not isinstance(d, T.VariantType) for d in t.values())
+    return s == t and plain and not own & set(t) and not any(c.startswith("_k") for c in t)
+
+
+def _bag(src: DataFrame, tgt: DataFrame, named: list[tuple[str, Column, Column]], marks: DataFrame) -> Bag:
+    """Both sides counted by whole rows: every row is moved once, and copies combine before that.
+    The class of their keys is looked up for distinct rows."""
+    names, one, none = tgt.columns, F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    s = src.select(*[F.col(PREFIX + c).alias(c) for c in names], one.alias("n_src"), none.alias("n_tgt"))
+    both = s.unionAll(tgt.select("*", none.alias("n_src"), one.alias("n_tgt")))
+    # grouping makes -0 a 0, so which columns have it is grouped by as well
+    floats = [f.name for f in tgt.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    minus = [F.when((F.col(c) == 0) & F.col(c).cast("string").startswith("-"), F.lit(c)) for c in floats]
+    both = both.withColumn("_minus", F.concat_ws(",", *minus) if minus else F.lit(""))
+    counts = both.groupBy(*names, "_minus").agg(F.sum("n_src").alias("n_src"), F.sum("n_tgt").alias("n_tgt"))
+    signed = {c: F.when(F.array_contains(F.split("_minus", ","), c), F.lit(-0.0).cast(tgt.schema[c].dataType)).otherwise(F.col(c)) for c in floats}
+    values = {f"_k{i}": t for i, (_, _, t) in enumerate(named)} | {"n_met": F.least("n_src", "n_tgt")}
+    rows = counts.withColumns(signed).drop("_minus").withColumns(values)
+    k = [f"_k{i}" for i in range(len(named))]
+    found = marks.select(*[F.col(c).alias(f"{c}_h") for c in k], "_class")
+    classed = rows.join(found, null_safe([(F.col(c), F.col(f"{c}_h")) for c in k]), "left")
+    return Bag(pin(classed.drop(*[f"{c}_h" for c in k]), "bag"), tuple(names))
+
+
 @dataclass(frozen=True)
 class Pairing:
     """`joined`: the pairs of all keys that at least one side has once at most, and rows without
@@ -67,6 +136,7 @@ class Pairing:
     how: str
     many_src: DataFrame | None = None
     many_tgt: DataFrame | None = None
+    bag: Bag | None = None
 
     def rows(self, ignored: Sequence[str] = ()) -> DataFrame:
         """Every row of both sides, as many as the longer side has in each key.
@@ -85,8 +155,12 @@ class Pairing:
         s_order, t_order = agreed_order(src, tgt)
         s_value, t_value = agreed_values(src, tgt, ignored)
         v = [f"_v{i}" for i in range(len(s_value))]
-        s = numbered(self.many_src.withColumns(dict(zip(v, s_value))), [*k, *v], s_order, "_k_n")
-        t = numbered(self.many_tgt.withColumns(dict(zip(v, t_value))), [*k, *v], t_order, "_k_n")
+        many_src, many_tgt, equal = self.many_src, self.many_tgt, self.joined
+        if self.bag is not None and not ignored:  # equal rows have met as counts; what is left goes on
+            many_src, many_tgt = self.bag.side("n_src - n_met", k, PREFIX), self.bag.side("n_tgt - n_met", k, "")
+            equal = equal.unionByName(self.bag.met().select(equal.columns))
+        s = numbered(many_src.withColumns(dict(zip(v, s_value))), [*k, *v], s_order, "_k_n")
+        t = numbered(many_tgt.withColumns(dict(zip(v, t_value))), [*k, *v], t_order, "_k_n")
         s = s.withColumn("_in_src", F.lit(True))
         t = t.withColumnsRenamed({c: c + "t" for c in [*k, *v, "_k_n"]}).withColumn("_in_tgt", F.lit(True))
         met = pin(_flagged(_joined(s, t, [*k, *v, "_k_n"], "full"), [*k, *[c + "t" for c in k], *src_columns, *tgt_columns]), "met")
@@ -96,7 +170,7 @@ class Pairing:
         t = numbered(t, k, t_order, "_k_n").withColumnsRenamed({c: c + "t" for c in [*k, "_k_n"]})
         rest = _joined(s.withColumn("_in_src", F.lit(True)), t.withColumn("_in_tgt", F.lit(True)), [*k, "_k_n"], self.how)
         columns = [*src_columns, *tgt_columns]
-        return self.joined.unionByName(_flagged(met.filter(both), columns)).unionByName(_flagged(rest, columns))
+        return equal.unionByName(_flagged(met.filter(both), columns)).unionByName(_flagged(rest, columns))
 
 
 def _flagged(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -134,8 +208,8 @@ def pair_by_key(
     A key is treated by what it is, whatever its size. One aggregation counts the rows of both
     sides by key. Keys repeated on both sides are set apart. Keys repeated in the target alone
     are joined from the target's side, all others from the source's, so the side that may be
-    skewed is the one that adaptive execution can split. Only rows of keys that the target
-    repeats are staged; the others are read where they are."""
+    skewed is the one that adaptive execution can split. Sides with the same columns are staged as
+    counts of their distinct rows; of others only the rows of keys that the target repeats are."""
     named = key_columns(src, tgt, keys)
     columns = [*src.columns, *tgt.columns]
     if unique:  # joined on the expressions themselves: no second copy of the keys is moved
@@ -153,6 +227,20 @@ def pair_by_key(
         found = df.join(marks.select(*[F.col(c).alias(f"{c}_h") for c in k], "_class"), same, kind)
         return found.drop(*[f"{c}_h" for c in k])
 
+    if _alike(src, tgt):
+        bag = _bag(src, tgt, named, marks)
+
+        def sides(name: str | None) -> tuple[DataFrame, DataFrame]:
+            rows, flags = bag.of(name), (F.lit(True).alias("_in_src"), F.lit(True).alias("_in_tgt"))
+            return rows.side("n_src", k, PREFIX).select("*", flags[0]), rows.side("n_tgt", k, "", "t").select("*", flags[1])
+
+        rows = _flagged(_joined(*sides(None), k, how), columns)
+        by_target = _flagged(_joined(*sides("target"), k, "right"), columns).filter(_wanted(how))
+        many = bag.of("both")
+        return Pairing(
+            rows.unionByName(by_target), tuple(keys), how,
+            many_src=many.side("n_src", k, PREFIX), many_tgt=many.side("n_tgt", k, ""), bag=many,
+        )
     s_all, t_all = pin(marked(s, "", "inner"), "source"), pin(marked(t, "t", "inner"), "target")
 
     def part(df: DataFrame, name: str) -> DataFrame:

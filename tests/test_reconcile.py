@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablecheck.functions.columns import prefix_source
 from tablecheck.model import RESULT_SCHEMA, RunInfo, TableRules
+from tablecheck.operators import align
 from tablecheck.operators.align import bag_alignment, pair_by_key
 from tablecheck.operators.compare import cell_rules, compare_cells, count_cells, long_cells, many_cells, unmatched_counts
 from tablecheck.plans.reconcile import detail, reconcile, run_table, self_compare
@@ -288,3 +289,19 @@ def test_unique_sides_are_moved_once(spark):
     assert plan.count("SortMergeJoin") == 1
     assert "_k0" not in plan
     assert joined.groupBy("_in_src", "_in_tgt").count().orderBy("count").collect()[0]["count"] == 50
+
+
+def test_equal_rows_of_repeated_keys_meet_as_counts(spark, cut_often, monkeypatch):
+    """Rows of repeated keys are moved once, as counts; copies, -0, NULL and '' stay as they were."""
+    monkeypatch.setattr(align, "PORTION", 3)
+    schema = "k int, v string, x double"
+    src = spark.createDataFrame([(1, "a", -0.0)] * 8 + [(1, None, 1.0), (1, "b", 2.0), (2, "c", 0.0), (None, "n", 1.0)], schema)
+    tgt = spark.createDataFrame([(1, "a", -0.0)] * 7 + [(1, "", 1.0), (1, "d", 3.0), (2, "c", -0.0), (2, "e", 1.0)], schema)
+    paired = pair_by_key(prefix_source(src), tgt, ["k"])
+    assert paired.bag is not None and paired.bag.rows.count() == 5
+    got = sorted(str((r.qa_k, r.qa_v, str(r.qa_x), r.k, r.v, str(r.x))) for r in paired.rows().collect())
+    expect = [(1, "a", "-0.0", 1, "a", "-0.0")] * 7 + [(1, None, "1.0", 1, "", "1.0"), (1, "a", "-0.0", 1, "d", "3.0")]
+    expect += [(1, "b", "2.0", None, None, "None"), (2, "c", "0.0", 2, "c", "-0.0"), (2, "c", "0.0", 2, "e", "1.0")]
+    expect += [(None, "n", "1.0", None, None, "None")]
+    assert got == sorted(map(str, expect))
+    assert paired.many_src.count() == 10 and paired.many_tgt.count() == 9
