@@ -418,7 +418,11 @@ def _crowd_members(crowd: DataFrame, held: DataFrame, percent: int) -> DataFrame
     spots = rows.select("x", "n", "alone", first)
     spots = spots.select(
         F.xxhash64("spot.shingle", F.lit("crowd")).alias("region"), "x", "n", (F.col("alone") + F.col("place")).alias("at"))
-    return _with_company(spots).drop("sets")
+    # sets link only where the reach of each is at least the other's n (`enough` in _links)
+    reach = F.expr(f"(n - at) * {100 + percent} div {percent} - n")
+    met = spots.groupBy("region").agg(F.count("*").alias("sets"), F.min("n").alias("least"), F.max(reach).alias("most"))
+    can = (reach >= F.col("least")) & (F.col("most") >= F.col("n"))
+    return spots.join(met.filter("sets > 1"), "region").filter(can).drop("sets", "least", "most")
 
 
 def _links(docs: DataFrame, sets: DataFrame, measure: _Measure, percent: int) -> DataFrame:
@@ -433,7 +437,8 @@ def _links(docs: DataFrame, sets: DataFrame, measure: _Measure, percent: int) ->
     members = members.withColumns({"far": F.lit(None).cast("double"), "component": F.col("x")})
     pivots = 1
     while True:
-        order = W.partitionBy("region").orderBy(F.xxhash64("x", F.lit(pivots)), "x")
+        # in a crowd, sets with few rare elements of their own are near its centre, where most links are
+        order = W.partitionBy("region").orderBy("at", F.xxhash64("x", F.lit(pivots)), "x")
         chosen = members.filter("leads").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= pivots)
         chosen = pin(chosen.select(
             "region", "rank", F.col("x").alias("p"), F.col("n").alias("p_n"), F.col("at").alias("p_at"),

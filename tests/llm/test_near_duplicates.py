@@ -128,7 +128,10 @@ def test_one_of_each_keeps_columns_named_like_its_own(spark):
 def crowd_pairs(spark, n, percent):
     """The pairs that are looked at among n copies of one text, each edited in eight places."""
     base = prose(77, 300)
-    docs = docs_of(spark, [edited(base, k, 8) for k in range(n)])
+    return looked_at_pairs(docs_of(spark, [edited(base, k, 8) for k in range(n)]), 3, percent)
+
+
+def looked_at_pairs(docs, words, percent):
     seen = []
     measure = jaccard_join._Measure.__call__
 
@@ -138,7 +141,7 @@ def crowd_pairs(spark, n, percent):
 
     jaccard_join._Measure.__call__ = counted
     try:
-        jaccard_join.classes(docs, lambda: jaccard_join.shingles(3), percent).count()
+        jaccard_join.classes(docs, lambda: jaccard_join.shingles(words), percent).count()
     finally:
         jaccard_join._Measure.__call__ = measure
     return sum(seen)
@@ -150,6 +153,15 @@ def test_pairs_of_a_crowd_grow_with_its_size(spark):
     assert few <= 500 and many <= 2000
 
 
+def test_a_crowd_is_joined_from_its_centre(spark):
+    """Of copies with up to eight edits, those with few link with most others and are pivots first."""
+    base = prose(78, 150)
+    texts = [edited(base, k, k % 9) for k in range(300)]
+    assert looked_at_pairs(docs_of(spark, texts), 5, 80) <= 300
+    rows = jaccard_join.link_documents(docs_of(spark, texts)).orderBy("doc_id").collect()
+    assert [(r.n_shingles, r.component_id) for r in rows] == brute(texts, 5, 80)
+
+
 def test_one_of_each_with_one_id_on_all_rows(spark):
     texts = [prose(500 + k, 60) for k in range(20)]
     kept = jaccard_join.one_of_each(docs_of(spark, [*texts, *texts], [7] * 40))
