@@ -228,7 +228,8 @@ class _Measure:
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """(p, x, common, together) of the pairs (p, x, n) that may link, n being their sizes' sum."""
-        small = self.nodes.select("x", "sketch")
+        ends = pin(pairs.select("x").unionAll(pairs.select("p")).distinct(), "ends")
+        small = near(ends, self.nodes.select("x", "sketch"), "x", "inner")  # late rounds need few of them
         close = pairs.join(small.withColumnRenamed("sketch", "x_sketch"), "x")
         close = close.join(small.select(F.col("x").alias("p"), F.col("sketch").alias("p_sketch")), "p")
         close = close.select("p", "x", "n", "p_sketch", "x_sketch")
@@ -240,7 +241,7 @@ class _Measure:
         measured = measured.join(own.select(F.col("x").alias("p"), F.col("elements").alias("p_elements")), "p")
         measured = measured.select("p", "x", "p_elements", "x_elements")
         compared = pin(measured.mapInArrow(_compare, "p bigint, x bigint, common bigint, together bigint"), "compared")
-        discard(close, needed)
+        discard(ends, close, needed)
         return compared
 
 
