@@ -142,8 +142,11 @@ def unmatched_counts(pairing: Pairing) -> DataFrame:
     if pairing.many_src is None or pairing.many_tgt is None:
         return found
     k, one, none = _key_names(pairing), F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    sides = pairing.many_src.select(*k, one.alias("_s"), none.alias("_t"))
-    sides = sides.unionAll(pairing.many_tgt.select(*k, none.alias("_s"), one.alias("_t")))
+    if pairing.bag is not None:
+        sides = pairing.bag.rows.select(*k, F.col("n_src").alias("_s"), F.col("n_tgt").alias("_t"))
+    else:
+        sides = pairing.many_src.select(*k, one.alias("_s"), none.alias("_t"))
+        sides = sides.unionAll(pairing.many_tgt.select(*k, none.alias("_s"), one.alias("_t")))
     counts = sides.groupBy(*k).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t"))
     more_src = F.greatest(F.col("_s") - F.col("_t"), none) if pairing.how in ("full", "left") else none
     more_tgt = F.greatest(F.col("_t") - F.col("_s"), none) if pairing.how in ("full", "right") else none
@@ -183,7 +186,7 @@ def _value_counts(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
     k = _key_names(pairing)
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
 
-    def unpivot(df: DataFrame, prefix: str) -> DataFrame:
+    def unpivot(df: DataFrame, prefix: str, n_src: Column, n_tgt: Column) -> DataFrame:
         cells = []
         for r in rules:
             cell = F.lit(None).cast("string") if r.kind == "absent" and prefix else F.col(prefix + r.column)
@@ -193,15 +196,17 @@ def _value_counts(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
                     F.lit(r.column).alias("column_name"),
                     (F.lit(None).cast("string") if banded else r.canonical(cell)).alias("value"),
                     (r.amount(cell) if banded else F.lit(None).cast("double")).alias("amount"),
-                    cell.isNull().cast("bigint").alias("_null"),
+                    cell.isNull().alias("_null"),
                 )
             )
-        n_src, n_tgt = (one, none) if prefix else (none, one)
-        nulls = none if prefix else F.col("_null")
-        long = df.select(*k, F.inline(F.array(*cells)))
-        return long.select(*k, "column_name", "value", "amount", n_src.alias("_s"), n_tgt.alias("_t"), nulls.alias("_n"))
-
-    both = unpivot(pairing.many_src, PREFIX).unionAll(unpivot(pairing.many_tgt, ""))
+        long = df.select(*k, n_src.alias("_s"), n_tgt.alias("_t"), F.inline(F.array(*cells)))
+        nulls = F.when(F.col("_null"), F.col("_t")).otherwise(none) if not prefix else none
+        return long.select(*k, "column_name", "value", "amount", "_s", "_t", nulls.alias("_n"))
+
+    if pairing.bag is not None:  # a distinct row is one for both sides
+        both = unpivot(pairing.bag.rows, "", F.col("n_src"), F.col("n_tgt"))
+    else:
+        both = unpivot(pairing.many_src, PREFIX, one, none).unionAll(unpivot(pairing.many_tgt, "", none, one))
     return both.groupBy(*k, "column_name", "value", "amount").agg(
         F.sum("_s").alias("n_src"), F.sum("_t").alias("n_tgt"), F.sum("_n").alias("n_tgt_null")
     )
@@ -226,44 +231,53 @@ def _cell_total(column: str) -> Column:
 
 
 def _count_many(pairing: Pairing, rules: Sequence[CellRule]) -> list[DataFrame]:
-    """The counters of the pairs of repeated keys, without making the pairs."""
+    """The counters of the pairs of repeated keys, without making the pairs; their sums by column
+    are what counts. All pairs first count as failed, those that pass are then taken off."""
     if pairing.many_src is None or pairing.many_tgt is None:
         return []
-    exact = [r for r in rules if r.kind != "tolerance"]
+    exact = [r for r in rules if r.kind not in ("tolerance", "absent")]
     banded = [r for r in rules if r.kind == "tolerance"]
-    parts = [_count_exact(pairing, exact)] if exact else []
+    parts = [_count_all(pairing, rules)]
+    parts += [_count_exact(pairing, exact)] if exact else []
     return parts + ([_count_band(pairing, banded)] if banded else [])
 
 
-def _finished(per_key: DataFrame) -> DataFrame:
-    """From (column_name, _pass, _s, _t, _n) per key to the counters per column."""
-    totals = per_key.groupBy("column_name").agg(
-        _cell_total("_pass").alias("pass_count"),
-        F.sum(_product(F.col("_s"), F.col("_t"))).cast(CELL_COUNT).alias("_all"),
-        F.sum(_product(F.col("_s"), F.col("_n"))).cast(CELL_COUNT).alias("null_count"),
-    )
-    return totals.select(
-        "column_name", "pass_count", (F.col("_all") - F.col("pass_count")).cast(CELL_COUNT).alias("fail_count"), "null_count"
-    )
+def _count_all(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
+    """A key's pairs are its source rows times its target rows, and those with a NULL target cell
+    its source rows times such targets; no values are needed."""
+    k, one, none = _key_names(pairing), F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def nulls(n_tgt: Column) -> list[Column]:
+        return [F.when(F.col(r.column).isNull(), n_tgt).otherwise(none).alias(f"_n{i}") for i, r in enumerate(rules)]
+
+    if pairing.bag is not None:
+        sides = pairing.bag.rows.select(*k, F.col("n_src").alias("_s"), F.col("n_tgt").alias("_t"), *nulls(F.col("n_tgt")))
+    else:
+        empty = [none.alias(f"_n{i}") for i in range(len(rules))]
+        sides = pairing.many_src.select(*k, one.alias("_s"), none.alias("_t"), *empty)
+        sides = sides.unionAll(pairing.many_tgt.select(*k, none.alias("_s"), one.alias("_t"), *nulls(one)))
+    sums = ["_t", *[f"_n{i}" for i in range(len(rules))]]
+    per_key = sides.groupBy(*k).agg(*[F.sum(c).alias(c) for c in ("_s", *sums)])
+    zero = F.lit(0).cast(CELL_COUNT)
+    totals = per_key.agg(*[F.coalesce(F.sum(_product(F.col("_s"), F.col(c))).cast(CELL_COUNT), zero).alias(c) for c in sums])
+    counters = [
+        F.struct(F.lit(r.column).alias("column_name"), zero.alias("pass_count"), F.col("_t").alias("fail_count"), F.col(f"_n{i}").alias("null_count"))
+        for i, r in enumerate(rules)
+    ]
+    return totals.select(F.inline(F.array(*counters)))
+
+
+def _passed(pairs: DataFrame, passing: Column) -> DataFrame:
+    """The passing pairs by column, taken off the failed ones."""
+    found = pairs.groupBy("column_name").agg(F.sum(passing).cast(CELL_COUNT).alias("pass_count"))
+    return found.select("column_name", "pass_count", (-F.col("pass_count")).cast(CELL_COUNT).alias("fail_count"), F.lit(0).cast(CELL_COUNT).alias("null_count"))
 
 
 def _count_exact(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
     """A key's passing pairs are the sum over its values of source copies times
     target copies."""
-    absent = F.col("column_name").isin([r.column for r in rules if r.kind == "absent"])
-    pairs = F.when(absent, F.lit(0).cast(CELL_COUNT)).otherwise(_product(F.col("n_src"), F.col("n_tgt")))
-    per_key = (
-        _value_counts(pairing, rules)
-        .withColumn("_pairs", pairs)
-        .groupBy(*_key_names(pairing), "column_name")
-        .agg(
-            _cell_total("_pairs").alias("_pass"),
-            _cell_total("n_src").alias("_s"),
-            _cell_total("n_tgt").alias("_t"),
-            _cell_total("n_tgt_null").alias("_n"),
-        )
-    )
-    return _finished(per_key)
+    counts = _value_counts(pairing, rules).filter("n_src > 0 and n_tgt > 0")
+    return _passed(counts, _product(F.col("n_src"), F.col("n_tgt")))
 
 
 def _count_band(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
@@ -290,17 +304,9 @@ def _count_band(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:
         mark(high, 2, zero, F.col("n_src")),
     )
     counts = _value_counts(pairing, rules)
-    sizes = [F.when(F.col("place") == p, F.col(c)).otherwise(zero) for p, c in ((2, "n_src"), (1, "n_tgt"), (1, "n_tgt_null"))]
-    placed = counts.select(*k, "n_src", "n_tgt", "n_tgt_null", F.inline(marks)).select(
-        *k, "point", "place", "targets", "weight", *[s.alias(n) for s, n in zip(sizes, ("_s", "_t", "_n"), strict=True)]
-    )
-    placed = placed.filter((F.col("targets") != 0) | (F.col("weight") != 0))
+    placed = counts.select(*k, F.inline(marks)).filter((F.col("targets") != 0) | (F.col("weight") != 0))
     run = running_total(placed, k, ["point", "place"], "targets", "_below")
-    near = _product(F.col("weight"), F.col("_below"))
-    per_key = run.groupBy(*k).agg(
-        F.sum(near).cast(CELL_COUNT).alias("_pass"), *[_cell_total(c).alias(c) for c in ("_s", "_t", "_n")]
-    )
-    return _finished(per_key)
+    return _passed(run, _product(F.col("weight"), F.col("_below")))
 
 
 def count_cells(pairing: Pairing, rules: Sequence[CellRule]) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -80,6 +81,18 @@ def test_repeated_keys_make_no_pairs(spark):
     assert tuple(totals) == (sum(r[0] == "h" for r in SRC), sum(r[0] == "h" for r in TGT))
 
 
+def test_counts_of_repeated_keys_read_distinct_rows_only(spark):
+    """Sides with the same columns are staged as counts, and no copies are made from them to be counted."""
+    s, tgt = prefix_source(spark.createDataFrame(SRC, SCHEMA)), spark.createDataFrame(TGT, SCHEMA)
+    paired = pair_by_key(s, tgt, ["k"])
+    made = F.coalesce(F.raise_error(F.lit("copies were made")).cast("boolean"), F.lit(True))
+    paired = replace(paired, many_src=paired.many_src.filter(made), many_tgt=paired.many_tgt.filter(made))
+    _, cells = cell_rules(s, tgt, RULES)
+    got = {r[0]: tuple(int(x) for x in r[1:]) for r in count_cells(paired, cells).collect()}
+    assert got == expected(SRC, TGT, "full")
+    assert unmatched_counts(paired).first().src_only >= 60
+
+
 @pytest.mark.parametrize("n", [2, 100, 101, 200])
 def test_detail_has_every_row_of_a_repeated_key(spark, n):
     """One rule at every size: by occurrence, the surplus without a partner."""
