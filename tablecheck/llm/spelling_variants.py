@@ -30,7 +30,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 from zlib import crc32
 
 import numpy as np
@@ -66,6 +66,12 @@ def _cuts(text: str) -> Iterator[str]:
     yield text[begin:] if begin else text
 
 
+@lru_cache(maxsize=4)
+def _runs(least: int) -> re.Pattern:
+    """Whole runs of at least so many characters: one that is shorter matches from none of its places."""
+    return re.compile(f"{RUN.pattern[:-1]}{{{max(least, 1)},}}")
+
+
 def words_of(doc_id: int | None, text: str, every: int = EVERY, least: int = LEAST_CHARS) -> Counter:
     """How often each word of at least `least` code points occurs in a text, A-Z lower-cased.
 
@@ -74,19 +80,15 @@ def words_of(doc_id: int | None, text: str, every: int = EVERY, least: int = LEA
     begin = crc32(f"{'' if doc_id is None else doc_id}:".encode())
     found: Counter = Counter()
     for piece in _cuts(text.encode().lower().decode()):
-        found.update(RUN.findall(piece))
-    out: Counter = Counter()
-    for word, n in found.items():
-        if len(word) < least:
-            continue
-        h = crc32(word.encode(), begin)
-        if h % every == 0:
-            at = h % len(word)
-            word = word[:at] + word[at + 1 :]
-            if len(word) < least:
-                continue
-        out[word] += n
-    return out
+        found.update(_runs(least).findall(piece))
+    hashes = ((word, crc32(word.encode(), begin)) for word in found)
+    lost = [(word, h % len(word), found[word]) for word, h in hashes if h % every == 0]
+    for word, _, _ in lost:
+        del found[word]
+    for word, at, n in lost:
+        if len(word) > least:
+            found[word[:at] + word[at + 1 :]] += n
+    return found
 
 
 def _count(every: int, least: int):
@@ -170,7 +172,7 @@ def _step(states: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _trie_pairs(words: DataFrame) -> list[DataFrame]:
     """(word, other) of words one edit apart, in one direction at least, by level."""
-    nodes = pin(trie(words), "trie")
+    nodes = pin(trie(words), "trie", by="depth")  # each level reads its own nodes only
     levels = sorted(r.depth for r in nodes.select("depth").distinct().collect())  # at most LONGEST + 1
     found: list[DataFrame] = []
     going: DataFrame | None = None

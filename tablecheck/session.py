@@ -64,14 +64,15 @@ def discard(*frames: DataFrame) -> None:
             delete_path(frame.sparkSession, path)
 
 
-def pin(df: DataFrame, name: str = "stage") -> DataFrame:
+def pin(df: DataFrame, name: str = "stage", by: str | None = None) -> DataFrame:
     """Writes the rows as a table in the shared folder and reads them back.
 
     This cuts the lineage, lets every later reader see the same rows whatever
-    executors are lost, and unlike a checkpoint it can be read column by column."""
+    executors are lost, and unlike a checkpoint it can be read column by column. Rows are in a folder
+    for each value of `by`, so a reader of one value reads no other."""
     spark = df.sparkSession
     path = staging_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     held = spark.read.schema(df.schema).parquet(path)
     _staged[held] = path
     return held

@@ -9,9 +9,11 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from texts import AWKWARD, docs_of, prose
 
 from tablecheck.llm import license_scan, ranked_search, spelling_variants
+from tablecheck.session import pin
 
 LOWER = str.maketrans(license_scan.UPPER, license_scan.LOWER)
 
@@ -328,3 +330,19 @@ def test_cuts_part_no_word(monkeypatch):
     monkeypatch.setattr(spelling_variants, "CUT_CHARS", 5)
     text = "a wordthatislong and others, " * 4 + "x" * 30
     assert spelling_variants.words_of(1, text, every=10**9, least=1) == Counter(RUN.findall(text))
+
+
+def test_a_level_reads_its_own_nodes_only(spark, monkeypatch):
+    staged = {}
+
+    def kept(df, name="stage", **how):
+        staged[name] = pin(df, name, **how)
+        return staged[name]
+
+    monkeypatch.setattr(spelling_variants, "pin", kept)
+    words = spark.createDataFrame([("aaaaaaab",), ("aaaaaaac",), ("bbbbbbbbbb",), ("bbbbbbbbbc",)], "word string")
+    assert spelling_variants.near_words(words).count() == 4
+    depths = [r.depth for r in staged["trie"].select("depth").distinct().collect()]
+    assert len(depths) > 1
+    files = [{r[0] for r in staged["trie"].filter(F.col("depth") == d).select(F.input_file_name()).collect()} for d in depths]
+    assert all(files) and len(set.union(*files)) == sum(map(len, files))
