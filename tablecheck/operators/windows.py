@@ -18,6 +18,8 @@ from tablecheck.functions.columns import fresh, null_safe
 from tablecheck.session import pin
 
 Order = Sequence[str | Column]
+#: Rows up to which `numbered_groups` numbers a group in one piece; any value gives the same numbers.
+WHOLE_GROUP_ROWS = 1_000_000
 
 
 def ordered_pieces(df: DataFrame, group: Sequence[str], order: Order, piece: str = "_piece", pos: str = "_pos") -> DataFrame:
@@ -107,6 +109,25 @@ def numbered(df: DataFrame, group: Sequence[str], order: Order, name: str = "row
     return counted.select(*df.columns, number.alias(name))
 
 
+def numbered_groups(df: DataFrame, group: Sequence[str], order: Order, name: str = "row_id") -> DataFrame:
+    """As `numbered`, for staged rows whose groups are mostly small, at one shuffle of the rows.
+
+    Groups of up to WHOLE_GROUP_ROWS rows are windowed as they are. Larger ones, of which there can
+    only be few, are cut into pieces: that is the exact way for groups of any size."""
+    group = list(group)
+    whole = F.row_number().over(W.partitionBy(*group).orderBy(*order)).cast("bigint").alias(name)
+    key, of = fresh([*df.columns, name], "_key", "_of")
+    # counted by a hash of the group: should two meet in one hash, that count is too high, never too low
+    counts = df.groupBy(F.xxhash64(*group).alias("hash")).agg(F.count(F.lit(1)).alias("rows"))
+    if (counts.agg(F.max("rows")).first()[0] or 0) <= WHOLE_GROUP_ROWS:
+        return df.select("*", whole)
+    large = df.groupBy(F.struct(*group).alias(of)).agg(F.count(F.lit(1)).alias("rows"))  # one value, whose NULLs are equal
+    large = pin(large.filter(F.col("rows") > WHOLE_GROUP_ROWS).select(of), "large-groups")
+    keyed, listed = df.withColumn(key, F.struct(*group)), F.broadcast(large)
+    found = [keyed.join(listed, F.col(key) == F.col(of), how).drop(key) for how in ("left_anti", "left_semi")]
+    return found[0].select("*", whole).unionByName(numbered(found[1], group, order, name))
+
+
 def running_total(df: DataFrame, group: Sequence[str], order: Order, value: str, name: str) -> DataFrame:
     """Running sum along (group, order), which starts anew in every group."""
     group = list(group)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tablecheck.functions.options import compact_date, contract_date, option_symbol, option_type, put_call
 from tablecheck.model import RunInfo, TableRules
 from tablecheck.operators.align import occurrence_number
-from tablecheck.operators.windows import capped_running_balance, numbered
+from tablecheck.operators.windows import capped_running_balance, numbered_groups
 from tablecheck.plans.reconcile import run_table
 from tablecheck.session import pin
 
@@ -97,7 +97,7 @@ def _in_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
     blank = [F.coalesce(F.col(g), F.lit("")).alias(f"_g{i}") for i, g in enumerate(GROUP)]
     listed = groups.select(*blank)
     match = [F.coalesce(F.col(g), F.lit("")) == F.col(f"_g{i}") for i, g in enumerate(GROUP)]
-    return rows.join(listed, match, "left_semi")
+    return rows.join(listed.hint("shuffle_hash"), match, "left_semi")
 
 
 def both_sides(totals: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def carriers(longs: DataFrame) -> DataFrame:
 
 def numbered_long_rows(longs: DataFrame) -> DataFrame:
     """Long rows numbered inside their maturity; number 1 is the carrier."""
-    return numbered(longs, MATURITY_KEY, ["underlying_sec_name", "strikepriceamount"], "row_id")
+    return numbered_groups(longs, MATURITY_KEY, ["underlying_sec_name", "strikepriceamount"], "row_id")
 
 
 def short_rows(totals: DataFrame, by_name: bool = True) -> DataFrame:
@@ -344,17 +344,23 @@ class Stages:
         return both_sides(self.totals)
 
     @cached_property
-    def pinned_sides(self) -> DataFrame:
-        """Written once: the long rows, their carriers and the short rows read it. The run dates
-        are seen on the way, so the positions are not read for them again."""
+    def pinned_totals(self) -> DataFrame:
+        """Written once, as it is read for the groups and for their rows. The run dates are seen on
+        the way, so the positions are not read for them again."""
         least, greatest = F.min("run_date").alias("low"), F.max("run_date").alias("high")
         seen = self.positions.observe(self._run_dates, least, greatest)
-        totals = pin(aggregate(enrich(seen)), "totals")  # read for the groups and for their rows
-        return pin(side_totals(both_sides(totals)))
+        return pin(aggregate(enrich(seen)), "totals")
+
+    @cached_property
+    def pinned_sides(self) -> DataFrame:
+        """Written once: what needs both sides reads it, and the short rows."""
+        return pin(side_totals(both_sides(self.pinned_totals)))
 
     @cached_property
     def longs(self) -> DataFrame:
-        return long_rows(self.pinned_sides)
+        """Written once: the carriers and the numbering read it. Short rows are left out before the
+        joins and sums, where only their groups count."""
+        return pin(long_rows(side_totals(both_sides(self.pinned_totals))), "longs")
 
     @cached_property
     def carried(self) -> DataFrame:
@@ -366,7 +372,7 @@ class Stages:
 
     @cached_property
     def placed(self) -> DataFrame:
-        return place_sides(self.longs, self.shorts)
+        return place_sides(long_rows(self.pinned_sides), self.shorts)
 
     @cached_property
     def paired(self) -> DataFrame:

@@ -139,3 +139,23 @@ def test_sides_meet_in_one_join(spark):
     )
     assert st.paired.count() == 6
     assert st.attached._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_long_rows_are_staged_without_short_ones_or_pieces(spark, monkeypatch):
+    """The numbering of long rows joins, sums and writes no short rows, and stages no second time."""
+    rows = [position(client=c, sec=s, strike=k, qty=q) for c in ("c1", "c2") for s in ("A", "B") for k in (10, 20) for q in (3, -1)]
+    rows += [position(client="lone", qty=4), position(client=None, qty=2), position(client="", qty=-2), position(client=None, sec=None, qty=1), position(client=None, qty=-1)]
+    seen = []
+    pin = N.pin
+    monkeypatch.setattr(N, "pin", lambda df, *name: seen.append(pin(df, *name)) or seen[-1])
+    monkeypatch.setattr("tablecheck.operators.windows.pin", lambda *_: pytest.fail("staged again"))
+    run = stages(spark, rows)
+    got = N.numbered_long_rows(run.longs).collect()
+    assert len(seen) == 2
+    assert {r.short_or_long for r in seen[1].collect()} == {"Long"}
+    key = lambda r: (r.bor_client_id or "", r.underlying_sec_name, r.strikepriceamount)
+    assert [(*key(r), r.row_id) for r in sorted(got, key=key)] == [
+        ("", "ABC CORP", 20, 1), ("", "CALL 100 ABC'24 @20", 20, 2),
+        *((c, s, k, n) for c in ("c1", "c2") for s, k, n in (("A", 10, 1), ("A", 20, 2), ("B", 10, 3), ("B", 20, 4))),
+    ]
+    assert sorted(map(repr, run.longs.collect())) == sorted(map(repr, N.long_rows(run.pinned_sides).collect()))

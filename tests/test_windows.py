@@ -135,3 +135,21 @@ def test_like_rows_go_through_the_shuffle_together(spark, monkeypatch):
     plan = laid._jdf.queryExecution().optimizedPlan().toString()
     before = plan.split("RepartitionByExpression")[1].split("Sort [")[1]
     assert before.startswith("g#") and "a#" in before.split("]")[0]
+
+
+@pytest.mark.parametrize("whole", [1_000_000, 100])
+def test_groups_are_numbered_whole_or_in_pieces(rows, monkeypatch, whole):
+    """Groups below the bound need no staged pieces; those above it are cut, also if a key is NULL."""
+    monkeypatch.setattr(windows, "WHOLE_GROUP_ROWS", whole)
+    staged = []
+    pin = windows.pin
+    monkeypatch.setattr(windows, "pin", lambda df, name: staged.append(name) or pin(df, name))
+    odd = rows.withColumn("h", F.when(F.col("a") % 2 == 0, F.col("g"))).unionAll(
+        rows.limit(150).select(F.lit(None).alias("g"), F.monotonically_increasing_id().alias("a"), "b", F.lit(None).alias("h")))
+    order = ["a", "b"]
+    got = windows.numbered_groups(odd, ["g", "h"], order, "n")
+    plain = odd.withColumn("n", F.row_number().over(W.partitionBy("g", "h").orderBy(*order)).cast("bigint"))
+    assert got.columns == plain.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+    assert staged == ([] if whole > 1000 else ["large-groups", "pieces"])
+    assert windows.numbered_groups(rows.limit(0), ["g"], order).collect() == []
