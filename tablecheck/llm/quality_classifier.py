@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from itertools import islice
 
 import numpy as np
@@ -69,26 +68,34 @@ class QualityModel:
     def learn_vectors(self, values: list[str]) -> None:
         """The vector of a word is its index vector and those of the words around it, over the
         whole of each text."""
-        words = [t.split() for t in values]
-        seen = Counter(w for ws in words for w in set(ws))
-        forms = Counter(f for ws in words for f in {shape(w) for w in set(ws)})
-        kept = sorted((w for w, n in seen.items() if n >= LEAST_DOCS and len(w) <= 40), key=lambda w: (-seen[w], w))
-        kept_forms = sorted((f for f, n in forms.items() if n >= LEAST_DOCS), key=lambda f: (-forms[f], f))
-        names = [*kept_forms[: VOCABULARY // 4], *kept[:VOCABULARY]]
+        number: dict[str, int] = {}  # each distinct word is held once, a text is the numbers of its words
+        coded = [np.fromiter((number.setdefault(w, len(number)) for w in t.split()), np.int32) for t in values]
+        words = list(number)
+        del number
+        form_number: dict[str, int] = {}
+        form_of = np.fromiter((form_number.setdefault(shape(w), len(form_number)) for w in words), np.int32, len(words))
+        forms = list(form_number)
+        seen, seen_form = np.zeros(len(words), np.int64), np.zeros(len(forms), np.int64)
+        for row in coded:
+            own = np.unique(row)
+            seen[own] += 1
+            seen_form[np.unique(form_of[own])] += 1
+        kept = sorted((k for k in np.flatnonzero(seen >= LEAST_DOCS) if len(words[k]) <= 40), key=lambda k: (-seen[k], words[k]))
+        kept_forms = sorted(np.flatnonzero(seen_form >= LEAST_DOCS), key=lambda k: (-seen_form[k], forms[k]))
+        names = [*(forms[k] for k in kept_forms[: VOCABULARY // 4]), *(words[k] for k in kept[:VOCABULARY])]
         self.rows = {name: k + 1 for k, name in enumerate(names)}
+        form_row = np.fromiter((self.rows.get(f, 0) for f in forms), np.int32, len(forms))[form_of]
+        own_row = np.fromiter((self.rows.get(w, 0) for w in words), np.int32, len(words))
+        own_row = np.where(own_row > 0, own_row, form_row)  # as `lookup`
+        del words, forms, form_number, form_of
         index = np.vstack([np.zeros((1, SIZE), np.float32), *(index_vector(n)[None] for n in names)])
         total = index.copy()
-        by_form: dict[str, int] = {}
-        for ws in words:
-            for begin in range(0, len(ws), CHUNK):
+        for codes in coded:
+            for begin in range(0, len(codes), CHUNK):
                 lead = min(begin, CONTEXT)  # words of the chunk before, as context only
-                part = ws[begin - lead : begin + CHUNK]
-                if len(by_form) > KEPT_WORDS:
-                    by_form.clear()
-                for w in set(part) - by_form.keys():
-                    by_form[w] = self.rows.get(shape(w), 0)
+                part = codes[begin - lead : begin + CHUNK]
                 # each word counts by itself and by its form, so that rare words have contexts too
-                for row in (self.lookup(part), np.fromiter(map(by_form.__getitem__, part), np.int32, len(part))):
+                for row in (own_row[part], form_row[part]):
                     for off in range(1, CONTEXT + 1):
                         at = max(off, lead)
                         if len(row) > at:
@@ -145,6 +152,7 @@ class QualityModel:
             return self
         self.learn_vectors([t for _, t, _ in rows])
         x = np.vstack([self.features(t) for _, t, _ in rows])
+        self.__dict__.pop("known", None)
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-3
         x = (x - self.mean) / self.scale
         held = np.array([zlib.crc32(b"calibrate%d" % (d or 0)) % 5 == 0 for d, _, _ in rows])
@@ -202,10 +210,15 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, longest: int =
     Where the bound changes the labels' shares, the scores are shifted back to the shares among
     all labelled rows outside the fold. Without rows of both labels every score is the prior."""
     drawn = [label_sample(docs, labels, "quality", value, most, longest) for value in (0, 1)]
-    model = QualityModel().learn(sorted((*r, value) for value in (0, 1) for r in drawn[value]))
+    few_bad, few_good = map(len, drawn)
+    rows = sorted((*r, value) for value in (0, 1) for r in drawn[value])
+    del drawn
+    model = QualityModel().learn(rows)
     if model.net is not None:
         bad, good = (label_ids(labels, "quality", value).count() for value in (0, 1))
-        model.shift = float(np.log(good / bad) - np.log(len(drawn[1]) / len(drawn[0])))
+        model.shift = float(np.log(good / bad) - np.log(few_good / few_bad))
+    del rows
+    give_back()  # the driver goes on with other stages
     return model
 
 

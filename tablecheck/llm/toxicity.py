@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecheck.llm.common import map_texts, texts
+from tablecheck.llm.common import give_back, map_texts, texts
 from tablecheck.llm.labelled import HELD_OUT, any_sample, fold, label_ids, label_sample
 from tablecheck.llm.quality_classifier import keep_scored
 
@@ -58,33 +58,37 @@ class ToxicityModel:
         self.prior = prior
         if len(toxic) < LEAST_DOCS or not unlabelled:
             return self
-        counts = []
-        for rows in (toxic, unlabelled):
-            seen: Counter = Counter()
-            for t in rows:
-                seen.update(set(chain.from_iterable(map(word_features, set(_WORD.findall(t.lower()))))))
-            counts.append(seen)
-        ratio = {
-            f: (n / len(toxic)) / ((counts[1][f] + 0.5) / len(unlabelled))
-            for f, n in counts[0].items()
-            if n >= max(LEAST_DOCS, 0.004 * len(toxic))
-        }
-        best = sorted((f for f in ratio if ratio[f] >= LEAST_RATIO), key=lambda f: (-ratio[f] * counts[0][f] ** 0.5, f))
+        least = max(LEAST_DOCS, 0.004 * len(toxic))
+        held = {f: n for f, n in self._held(toxic).items() if n >= least}
+        usual = self._held(unlabelled, held)  # of these only, as others are not asked for
+        ratio = {f: (n / len(toxic)) / ((usual[f] + 0.5) / len(unlabelled)) for f, n in held.items()}
+        best = sorted((f for f in ratio if ratio[f] >= LEAST_RATIO), key=lambda f: (-ratio[f] * held[f] ** 0.5, f))
         self.columns = {f: k for k, f in enumerate(best[:FEATURES])}
         self.__dict__.pop("known", None)
         if not self.columns:
             return self
-        p, u = self._matrix(toxic), self._matrix(unlabelled)
+        p, u = ([np.fromiter(self.present(t), np.int32) for t in rows] for rows in (toxic, unlabelled))
+        self.__dict__.pop("known", None)
         draw = np.random.default_rng(seed)
         for _ in range(MEMBERS):
             some = draw.integers(0, len(p), len(p)), draw.integers(0, len(u), len(u))
-            self.members.append(self._train(p[some[0]], u[some[1]], prior))
+            self.members.append(self._train(self._matrix(p, some[0]), self._matrix(u, some[1]), prior))
         return self
 
-    def _matrix(self, rows: list[str]) -> np.ndarray:
-        out = np.zeros((len(rows), len(self.columns)), np.float32)
-        for k, t in enumerate(rows):
-            out[k, list(self.present(t))] = 1
+    @staticmethod
+    def _held(rows: list[str], of=None) -> Counter:
+        """How many texts hold each feature, of all or of the given ones."""
+        seen: Counter = Counter()
+        for t in rows:
+            found = chain.from_iterable(map(word_features, set(_WORD.findall(t.lower()))))
+            seen.update(set(found) if of is None else {f for f in found if f in of})
+        return seen
+
+    def _matrix(self, rows: list[np.ndarray], drawn: np.ndarray) -> np.ndarray:
+        """The drawn rows, each given by its columns; only those of one member are in memory."""
+        out = np.zeros((len(drawn), len(self.columns)), np.float32)
+        for k, at in enumerate(drawn):
+            out[k, rows[at]] = 1
         return out
 
     @staticmethod
@@ -147,7 +151,10 @@ def fit(
     rows no text is called toxic."""
     prior = class_prior(labels) if prior is None else prior
     toxic = [t for _, t in label_sample(docs, labels, "toxic", 1, most_toxic, longest)]
-    return ToxicityModel().learn(toxic, [t for _, t in any_sample(docs, most_unlabelled, longest)], prior)
+    model = ToxicityModel().learn(toxic, [t for _, t in any_sample(docs, most_unlabelled, longest)], prior)
+    del toxic
+    give_back()  # the driver goes on with other stages
+    return model
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:

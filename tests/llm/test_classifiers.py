@@ -1,5 +1,6 @@
 """Held-out quality of the classifiers, and the cases that texts may hold."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -210,3 +211,29 @@ def test_toxicity_scores_equal_a_loop(spark):
             z = b + sum(w[k] for f, k in model.columns.items() if f in held)
             own.append(1 / (1 + np.exp(-z)))
         assert got[doc_id] == pytest.approx(sum(own) / len(own), abs=1e-5)
+
+
+def traced_peak(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_fits_hold_a_word_once(monkeypatch):
+    """The driver, which fits, has numbers of words and not a copy for each place they stand at."""
+    monkeypatch.setattr(quality_classifier, "CHUNK", 1 << 10)
+    values = [" ".join(f"word{(k * 7 + j) % 500}" for j in range(5000)) for k in range(40)]
+    assert traced_peak(lambda: quality_classifier.QualityModel().learn_vectors(values)) < 6 << 20
+
+
+def test_fits_count_only_what_toxic_texts_hold():
+    toxic = [f"you blockhead {'ab'[k % 2] * 5}" for k in range(40)]
+    other = [" ".join(f"q{chr(97 + k % 26)}{chr(97 + j % 26)}{chr(97 + j // 26)}{'x' * (k // 26)}" for j in range(400)) for k in range(200)]
+    model = toxicity.ToxicityModel()
+    assert traced_peak(lambda: model.learn(toxic, other, 0.1)) < 8 << 20
+    assert {"blockhead", "you"} <= model.columns.keys()
+    scores = model.scores(["you blockhead", "qaab qaac"])
+    assert scores[0] > 0.5 > scores[1]
