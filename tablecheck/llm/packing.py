@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tablecheck.llm.bpe import byte_bpe
-from tablecheck.llm.common import in_batches, ship, texts
+from tablecheck.llm.common import give_back, in_slices, ship, texts
 
 #: Rests of documents that a task holds before it fills windows from them.
 POOL = 2048
@@ -121,12 +121,13 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, po
     ship(docs.sparkSession)
 
     def run(batches):
+        give_back()  # what stages before have left in this worker
         bpe = byte_bpe(vocabulary)
         end = np.array([end_id], "<u4").tobytes()
         packer = Packer(size, TaskContext.get().partitionId() << 40, pool)
 
         def rows():
-            for batch in in_batches(batches):
+            for batch in in_slices(batches):
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     yield from packer.add(doc_id, bpe.encode(text) + end)
             yield from packer.finish()
@@ -139,6 +140,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, po
                 held = []
         if held:
             yield _batch(held)
+        give_back()
 
     return texts(docs).mapInArrow(run, SCHEMA)
 
