@@ -75,26 +75,33 @@ def customer_history(customer: DataFrame) -> DataFrame:
 
 
 def positions(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Option positions; the part table is a lookup by key."""
+    """Option positions; the part table is a lookup by key. What follows from the part alone is made
+    once per part."""
     lines = lineitem.select(
         "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
     )
-    parts = part.select("p_partkey", "p_brand", "p_size")
+    brand, price = F.translate("p_brand", "0123456789", "ABCDEFGHIJ"), (F.col("p_size") % 4 + 1) * 10
+    parts = part.select(
+        "p_partkey",
+        brand.alias("code"),
+        price.alias("strike"),
+        F.concat(F.lit(" 100 "), brand, F.lit("'24 @"), price.cast("string")).alias("name"),
+        F.concat(F.lit("U"), (F.col("p_size") % 3).cast("string")).alias("underlying"),
+        F.concat(brand, F.lit(" CORP")).alias("sec_name"),
+    )
     rows = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    code = F.translate("p_brand", "0123456789", "ABCDEFGHIJ")
     kind = F.when(F.col("l_returnflag") == "A", "CALL").otherwise("PUT")
-    strike = (F.col("p_size") % 4 + 1) * 10
     long = F.col("l_linestatus") == "O"
     quantity = (F.col("l_quantity") % 4 + 1).cast("int")
     return rows.select(
         F.col("l_suppkey").cast("string").alias("bor_client_id"),
-        F.concat(kind, F.lit(" 100 "), code, F.lit("'24 @"), strike.cast("string")).alias("option_name"),
-        F.concat(F.lit("U"), (F.col("p_size") % 3).cast("string")).alias("underlying"),
-        F.when(F.col("l_linenumber") != 7, code).alias("underlying_symbol"),
-        F.concat(code, F.lit(" CORP")).alias("underlying_sec_name"),
+        F.concat(kind, F.col("name")).alias("option_name"),
+        "underlying",
+        F.when(F.col("l_linenumber") != 7, F.col("code")).alias("underlying_symbol"),
+        F.col("sec_name").alias("underlying_sec_name"),
         F.date_format(F.trunc("l_shipdate", "year"), "yyyy-MM-dd").alias("option_maturitydate"),
         F.when(long, "Long").otherwise("Short").alias("short_or_long"),
-        strike.alias("strikepriceamount"),
+        F.col("strike").alias("strikepriceamount"),
         F.when(long, quantity).otherwise(-quantity).alias("option_tradeqty"),
         F.lit(PROCESS_DATE).alias("process_date"),
         F.lit(RUN_DATE).alias("run_date"),

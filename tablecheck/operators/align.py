@@ -9,12 +9,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablecheck.functions.columns import is_text, null_safe, prefix_source
 from tablecheck.model import PREFIX
-from tablecheck.operators.windows import numbered
+from tablecheck.operators.windows import numbered, whole_groups
 from tablecheck.session import pin
 
 ROW_ID = "row_id"
@@ -315,8 +316,13 @@ def occurrence_number(
     order: Sequence[str] | None = None,
     name: str = "rnm",
 ) -> DataFrame:
-    """Numbers the rows inside each business key."""
-    return numbered(df, keys, list(order) if order else df.columns, name)
+    """Numbers the rows inside each business key. The numbered rows are staged, so that every reader
+    sees the same; only if a key has very many rows are they cut into pieces for it."""
+    order = list(order) if order else df.columns
+    if not whole_groups(df, keys):
+        return numbered(df, keys, order, name)
+    own = W.partitionBy(*keys).orderBy(*[c for c in order if c not in keys])  # a key is one value in its group
+    return pin(df.withColumn(name, F.row_number().over(own).cast("bigint")), "numbered")
 
 
 def pair_by_important(

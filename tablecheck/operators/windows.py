@@ -18,8 +18,23 @@ from tablecheck.functions.columns import fresh, null_safe
 from tablecheck.session import pin
 
 Order = Sequence[str | Column]
-#: Rows up to which `numbered_groups` numbers a group in one piece; any value gives the same numbers.
+#: Rows up to which a group is worked on in one piece; any value gives the same results.
 WHOLE_GROUP_ROWS = 1_000_000
+#: Shares of all groups that are counted before the groups themselves.
+SHARES = 1 << 16
+
+
+def whole_groups(df: DataFrame, group: Sequence[str | Column]) -> bool:
+    """Whether no group of these staged rows has more than WHOLE_GROUP_ROWS rows.
+
+    Counted by a hash of the group: should two meet in one hash, that count is too high, never too
+    low. All hashes are first counted in SHARES shares, which hardly shuffles anything."""
+    of_group = F.xxhash64(*group)
+    for share in (F.pmod(of_group, F.lit(SHARES)), of_group):
+        counts = df.groupBy(share.alias("share")).agg(F.count(F.lit(1)).alias("rows"))
+        if (counts.agg(F.max("rows")).first()[0] or 0) <= WHOLE_GROUP_ROWS:
+            return True
+    return False
 
 
 def ordered_pieces(df: DataFrame, group: Sequence[str], order: Order, piece: str = "_piece", pos: str = "_pos") -> DataFrame:
@@ -117,9 +132,7 @@ def numbered_groups(df: DataFrame, group: Sequence[str], order: Order, name: str
     group = list(group)
     whole = F.row_number().over(W.partitionBy(*group).orderBy(*order)).cast("bigint").alias(name)
     key, of = fresh([*df.columns, name], "_key", "_of")
-    # counted by a hash of the group: should two meet in one hash, that count is too high, never too low
-    counts = df.groupBy(F.xxhash64(*group).alias("hash")).agg(F.count(F.lit(1)).alias("rows"))
-    if (counts.agg(F.max("rows")).first()[0] or 0) <= WHOLE_GROUP_ROWS:
+    if whole_groups(df, group):
         return df.select("*", whole)
     large = df.groupBy(F.struct(*group).alias(of)).agg(F.count(F.lit(1)).alias("rows"))  # one value, whose NULLs are equal
     large = pin(large.filter(F.col("rows") > WHOLE_GROUP_ROWS).select(of), "large-groups")
@@ -150,24 +163,41 @@ def capped_running_balance(
     balance: str = "short_balance",
     previous: str = "short_balance_prev",
     number: str | None = None,
+    whole: bool = False,
+    beside: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Balance that never rises above zero: b = min(0, b_before + amount).
 
     Closed form: running sum minus the largest running sum so far (not below
-    zero). `order` must leave no ties. `number` also adds the row number."""
-    group = list(group)
-    taken = [*df.columns, balance, previous, number or ""]
+    zero). `order` must leave no ties. `number` also adds the row number. `whole`: no group has more
+    than WHOLE_GROUP_ROWS rows, so groups are windowed as they are, without pieces; `beside` are more
+    columns over the same groups and order then, which share the window."""
+    group, beside = list(group), beside or {}
+    taken = [*df.columns, balance, previous, number or "", *beside]
     piece, pos, value, total, top, place, total_prev, top_prev = fresh(
         taken, "_piece", "_pos", "_amount", "_sum", "_top", "_number", "_sum_prev", "_top_prev"
     )
     zero = F.lit(0)
-    pieces = ordered_pieces(df.withColumn(value, F.coalesce(amount, zero)), group, order, piece, pos)
-    w = W.partitionBy(piece, *group).orderBy(pos)
+    valued = df.withColumn(value, F.coalesce(amount, zero))
+    w = W.partitionBy(*group).orderBy(*order) if whole else W.partitionBy(piece, *group).orderBy(pos)
     upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
 
     # what is before a row has a frame of its own, which needs no pass over the group of its own
     earlier = w.rowsBetween(W.unboundedPreceding, -1)
 
+    if whole:
+        # the sum before a row is 0 at first, so the highest one so far is never below zero
+        place_of = {place: F.row_number().over(w).cast("bigint")} if number else {}
+        sums = valued.withColumns({total: F.sum(value).over(upto)} | place_of | beside)
+        sums = sums.withColumn(total_prev, F.col(total) - F.col(value))
+        high_prev = F.max(total_prev).over(upto)
+        highs = sums.withColumn(top_prev, high_prev).withColumn(top, F.greatest(top_prev, total))
+        numbers = [F.col(place).alias(number)] if number else []
+        now, before = (F.col(t) - F.col(h) for t, h in ((total, top), (total_prev, top_prev)))
+        return highs.select(*df.columns, *numbers, *beside, now.alias(balance), before.alias(previous))
+
+    pieces = ordered_pieces(valued, group, order, piece, pos)
+
     def running(rows: DataFrame) -> DataFrame:
         number = F.row_number().over(w).cast("bigint")
         sums = rows.withColumns({total: F.sum(value).over(upto), total_prev: F.sum(value).over(earlier), place: number})

@@ -6,22 +6,26 @@ balance that never rises above zero. Short quantities are negative."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tablecheck.functions.options import compact_date, contract_date, option_symbol, option_type, put_call
 from tablecheck.model import RunInfo, TableRules
 from tablecheck.operators.align import occurrence_number
-from tablecheck.operators.windows import capped_running_balance, numbered_groups
+from tablecheck.operators.windows import Order, capped_running_balance, numbered_groups, whole_groups
 from tablecheck.plans.reconcile import run_table
 from tablecheck.session import pin
 
 GROUP = ("bor_client_id", "option_type", "underlying_symbol")
-MATURITY_KEY = (*GROUP, "underlying", "option_maturitydate")
+MATURITY = ("underlying", "option_maturitydate")
+MATURITY_KEY = (*GROUP, *MATURITY)
 LONG_KEY = (*MATURITY_KEY, "underlying_sec_name", "strikepriceamount")
+HOME = "_home"
 STRIKE = "decimal(30,6)"
 QUANTITY = "decimal(30,0)"
 REPORT_KEY = ("bor_client_id", "option_type", "symbol")
@@ -44,6 +48,9 @@ REPORT_COLUMNS = (
     "id_acct", "typ", "txt", "cfi", "typ_ias", "process_date", "run_date",
 )
 
+# What the report takes from the rows it reports.
+REPORTED = (*GROUP, "underlying", "long_option_maturitydate", "occ_qty_reported", "occ_strkprice_report")
+
 # Sort orders inside a group; all end in the same full tie break, so that the
 # result does not depend on how rows arrive.
 TIE_BREAK = (
@@ -92,10 +99,39 @@ def aggregate(enriched: DataFrame) -> DataFrame:
     )
 
 
+def _blank_group() -> list[Column]:
+    return [F.coalesce(F.col(g), F.lit("")) for g in GROUP]
+
+
+def at_home(totals: DataFrame, blanks_meet: bool = True) -> DataFrame:
+    """Rows with a home: a hash of their group, NULL and '' being alike. Every later key has the group,
+    so rows that are dealt by it once need no other shuffle; the steps from `both_sides` to `settle`
+    then look for what they need by windows, not by joins. For groups that fit in one piece.
+    `blanks_meet`: a group column may have both NULL and '', so the group goes along without NULLs."""
+    blank = _blank_group()
+    values = {f"{HOME}{i}": b for i, b in enumerate(blank)} if blanks_meet else {}
+    home = F.xxhash64(*blank)
+    return totals.repartition(home).withColumns({HOME: home} | values)  # the hash itself is not moved
+
+
+def _home(rows: DataFrame) -> list[str]:
+    """The columns of `at_home`, or none."""
+    return [c for c in rows.columns if c.startswith(HOME)]
+
+
+def _of_group(home: Sequence[str], order: Order) -> WindowSpec:
+    """The whole group of a row; `order` is the one that rows are sorted by anyway."""
+    return W.partitionBy(*home, *GROUP).orderBy(*order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+
+
+def _alike(home: Sequence[str], found: Column) -> Column:
+    """Whether `found` holds for a group or for one that is alike."""
+    return F.max(found).over(W.partitionBy(*home)) if len(home) > 1 else found
+
+
 def _in_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows whose group is listed, NULL and '' being alike."""
-    blank = [F.coalesce(F.col(g), F.lit("")).alias(f"_g{i}") for i, g in enumerate(GROUP)]
-    listed = groups.select(*blank)
+    listed = groups.select(*[b.alias(f"_g{i}") for i, b in enumerate(_blank_group())])
     match = [F.coalesce(F.col(g), F.lit("")) == F.col(f"_g{i}") for i, g in enumerate(GROUP)]
     return rows.join(listed.hint("shuffle_hash"), match, "left_semi")
 
@@ -103,23 +139,38 @@ def _in_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
 def both_sides(totals: DataFrame) -> DataFrame:
     """Positions of the groups that hold long and short ones."""
     side = F.col("short_or_long")
-    groups = totals.groupBy(*GROUP).agg(F.min(side).alias("_low"), F.max(side).alias("_high"))
-    kept = _in_groups(totals, groups.filter(F.col("_low") != F.col("_high")))
+    if home := _home(totals):
+        group = _of_group(home, MATURITY)
+        found = totals.withColumn("_mixed", F.min(side).over(group) != F.max(side).over(group))
+        kept = found.withColumn("_mixed", _alike(home, F.col("_mixed"))).filter("_mixed").drop("_mixed")
+    else:
+        groups = totals.groupBy(*GROUP).agg(F.min(side).alias("_low"), F.max(side).alias("_high"))
+        kept = _in_groups(totals, groups.filter(F.col("_low") != F.col("_high")))
     return kept.withColumn("strikepriceamount", F.col("strikepriceamount").cast(STRIKE))
 
 
 def side_totals(sided: DataFrame) -> DataFrame:
     """Quantity per maturity, side and name; long rows by strike as well, short
     rows over all strikes. One shuffle for both sides."""
-    side = F.col("short_or_long")
+    return side_sums(sided.filter(F.col("short_or_long").isin("Long", "Short")))
+
+
+def side_sums(rows: DataFrame) -> DataFrame:
+    """`side_totals` of rows of any side."""
+    strike = F.col("strikepriceamount").cast(STRIKE)
     return (
-        sided.filter(side.isin("Long", "Short"))
-        .withColumn("strikepriceamount", F.when(side == "Long", F.col("strikepriceamount")))
-        .groupBy(*LONG_KEY, "short_or_long")
+        rows.withColumn("strikepriceamount", F.when(F.col("short_or_long") == "Long", strike))
+        .groupBy(*_home(rows), *LONG_KEY, "short_or_long")
         .agg(F.sum("quantity").cast(QUANTITY).alias("quantity"))
     )
 
 
+def sides_at_home(homed: DataFrame) -> DataFrame:
+    """What `side_totals` gives of `both_sides`. Summed first, as sums have the sides of their group, so
+    that fewer rows are sorted, and once for this and for `place`."""
+    return both_sides(side_sums(homed)).filter(F.col("short_or_long").isin("Long", "Short"))
+
+
 def long_rows(totals: DataFrame) -> DataFrame:
     return totals.filter(F.col("short_or_long") == "Long")
 
@@ -128,15 +179,19 @@ def maturities(sides: DataFrame) -> DataFrame:
     """Per maturity: the first long row by name and strike, which takes the whole short quantity,
     the long quantity, and whether there are short rows. Found by minima and maxima, so a large
     group combines before the shuffle. `maturity` has the key as one value."""
-    long = F.col("short_or_long") == "Long"
-    first = F.min(F.when(long, F.struct("underlying_sec_name", "strikepriceamount", "quantity")))
+    quantity = F.sum(F.when(F.col("short_or_long") == "Long", F.col("quantity"))).cast(QUANTITY)
+    first, with_short = _found()
     return sides.groupBy(_maturity("maturity")).agg(
-        first.alias("carrier"),
-        F.sum(F.when(long, F.col("quantity"))).cast(QUANTITY).alias("quantity"),
-        F.max(~long).alias("with_short"),
+        first.alias("carrier"), quantity.alias("quantity"), with_short.alias("with_short")
     )
 
 
+def _found() -> tuple[Column, Column]:
+    """The carrier of a maturity, and whether it has short rows."""
+    long = F.col("short_or_long") == "Long"
+    return F.min(F.when(long, F.struct("underlying_sec_name", "strikepriceamount", "quantity"))), F.max(~long)
+
+
 def carriers(longs: DataFrame) -> DataFrame:
     """Per maturity with long rows, its carrier and their quantity."""
     return maturities(longs).select("maturity.*", "carrier", "quantity", "maturity")
@@ -153,7 +208,7 @@ def short_rows(totals: DataFrame, by_name: bool = True) -> DataFrame:
     shorts = totals.filter(F.col("short_or_long") == "Short").drop("strikepriceamount")
     if by_name:
         return shorts
-    return shorts.groupBy(*MATURITY_KEY, "short_or_long").agg(
+    return shorts.groupBy(*_home(totals), *MATURITY_KEY, "short_or_long").agg(
         F.min("underlying_sec_name").alias("underlying_sec_name"), F.sum("quantity").cast(QUANTITY).alias("quantity")
     )
 
@@ -169,10 +224,20 @@ def place_sides(longs: DataFrame, shorts: DataFrame) -> DataFrame:
     The one join of the two sides. A maturity is one row on its right side and may have very many
     rows on its left one, which adaptive execution can split; the right one is dealt by the
     maturity already."""
-    sides = longs.unionByName(shorts, allowMissingColumns=True)
-    rows = sides.select(
-        _maturity("maturity"), "underlying_sec_name", "strikepriceamount", F.col("quantity").alias("own"), "short_or_long"
-    )
+    return place(longs.unionByName(shorts, allowMissingColumns=True))
+
+
+def place(sides: DataFrame) -> DataFrame:
+    """`place_sides` of rows of both sides; at home a window has what the join looks up."""
+    home = _home(sides)
+    names = [
+        *home, _maturity("maturity"), "underlying_sec_name", "strikepriceamount", F.col("quantity").alias("own"), "short_or_long",
+    ]
+    if home:
+        of = W.partitionBy(*home, *GROUP, *MATURITY)
+        carrier, with_short = (c.over(of) for c in _found())
+        return sides.withColumns({"carrier": carrier, "with_short": with_short}).select(*names, "carrier", "with_short")
+    rows = sides.select(*names)
     found = maturities(sides).select(F.col("maturity").alias("of"), "carrier", "with_short")
     return rows.join(found, F.col("maturity") == F.col("of")).drop("of")
 
@@ -214,7 +279,7 @@ def attach_rest(placed: DataFrame) -> DataFrame:
     # a carrier that short rows have is in their rows
     kept = placed.filter(~(carries & F.col("with_short")))
     names = [columns[c].alias(c) if c in columns else F.col(f"maturity.{c}").alias(c) for c in ATTACHED]
-    return kept.select(*names)
+    return kept.select(*_home(placed), *names)
 
 
 def exact_offset(attached: DataFrame) -> DataFrame:
@@ -249,13 +314,13 @@ def unpivot_sides(open_rows: DataFrame) -> DataFrame:
 
 def still_both_sides(open_rows: DataFrame) -> DataFrame:
     """Open rows of the groups that still have both sides; NULL becomes 0."""
+    zero = F.lit(0).cast(QUANTITY)
+    filled = {c: F.coalesce(c, zero) for c in ("short_quantity", "long_quantity")}
     groups = open_rows.groupBy(*GROUP).agg(
         F.max(F.coalesce(F.col("short_quantity") != 0, F.lit(False))).alias("_short"),
         F.max(F.coalesce(F.col("long_quantity") != 0, F.lit(False))).alias("_long"),
     )
-    kept = _in_groups(open_rows, groups.filter(F.col("_short") & F.col("_long")))
-    zero = F.lit(0).cast(QUANTITY)
-    return kept.withColumns({c: F.coalesce(c, zero) for c in ("short_quantity", "long_quantity")})
+    return _in_groups(open_rows, groups.filter(F.col("_short") & F.col("_long"))).withColumns(filled)
 
 
 def sequence(open_rows: DataFrame, policy: str = "ordered", newest_first: bool = False) -> DataFrame:
@@ -269,8 +334,43 @@ def sequence(open_rows: DataFrame, policy: str = "ordered", newest_first: bool =
     )
 
 
+def sequence_at_home(offset: DataFrame, policy: str = "ordered", newest_first: bool = False) -> DataFrame:
+    """`sequence` of the open rows beside the processed ones, which add nothing to the balance and all stay.
+
+    One sort serves the balance and the search for open rows of both sides, which leaves out
+    whole groups and may as well come after it. Rows are not numbered."""
+    home, order, none = _home(offset), sequence_order(policy, newest_first), F.lit(0).cast(QUANTITY)
+    is_open, held = F.col("row_processed") == "No", ("short_quantity", "long_quantity")
+    rows = offset.withColumns({c: F.coalesce(c, none) for c in held})
+    amount = F.when(is_open, F.col("long_quantity") + F.col("short_quantity")).otherwise(none)
+    group = _of_group(home, order)
+    sides = {f"_{c}": F.max(is_open & (F.col(c) != 0)).over(group) for c in held}
+    run = capped_running_balance(rows, [*home, *GROUP], order, amount, whole=True, beside=sides)
+    kept = run.withColumn("_both", F.col("_short_quantity") & F.col("_long_quantity"))
+    kept = kept.withColumn("_both", _alike(home, F.col("_both"))).filter(~is_open | F.col("_both"))
+    return kept.drop("_both", *sides)
+
+
 def allocate(sequenced: DataFrame) -> DataFrame:
     """What each row may report, given the short balance before it."""
+    calc, reported = _allocation()
+    out = sequenced.withColumns({"short_balance_calc": calc, "occ_qty_reported": reported})
+    out = out.withColumn("occ_strkprice_report", F.when(F.col("occ_qty_reported") > 0, F.col("strikepriceamount")))
+    return out.filter(F.col("occ_qty_reported") > 0)
+
+
+def settle(sequenced: DataFrame) -> DataFrame:
+    """Rows offset exactly, as they are, and rows that are allocated something, in one pass: what
+    `processed` and `allocate` give, of rows at home."""
+    done, given = F.col("row_processed") == "Yes", F.col("_given")
+    rows = sequenced.withColumn("_given", _allocation()[1]).filter(done | (given > 0))
+    strike = F.when(done, F.col("occ_strkprice_report")).otherwise(F.col("strikepriceamount"))
+    quantity = F.when(done, F.col("occ_qty_reported")).otherwise(given)
+    return rows.withColumns({"occ_strkprice_report": strike, "occ_qty_reported": quantity}).drop("_given")
+
+
+def _allocation() -> tuple[Column, Column]:
+    """The balance with the row, and what the row may report."""
     before, short, long = F.col("short_balance_prev"), F.col("short_quantity"), F.col("long_quantity")
     calc = before + short + long
     none = F.lit(0).cast(QUANTITY)
@@ -281,9 +381,7 @@ def allocate(sequenced: DataFrame) -> DataFrame:
         .when(calc > 0, none)
         .otherwise(-before)
     )
-    out = sequenced.withColumns({"short_balance_calc": calc, "occ_qty_reported": reported.cast(QUANTITY)})
-    out = out.withColumn("occ_strkprice_report", F.when(F.col("occ_qty_reported") > 0, F.col("strikepriceamount")))
-    return out.filter(F.col("occ_qty_reported") > 0)
+    return calc, reported.cast(QUANTITY)
 
 
 def the_one_value(seen: Observation, column: str) -> Column:
@@ -296,8 +394,12 @@ def the_one_value(seen: Observation, column: str) -> Column:
 
 def report_rows(offset: DataFrame, allocated: DataFrame, process_date: str, run_date: Column) -> DataFrame:
     """The 21-column report: rows offset exactly and rows allocated."""
-    names = [*GROUP, "underlying", "long_option_maturitydate", "occ_qty_reported", "occ_strkprice_report"]
-    rows = processed(offset).select(*names).unionByName(allocated.select(*names))
+    rows = processed(offset).select(*REPORTED).unionByName(allocated.select(*REPORTED))
+    return report_fields(rows, process_date, run_date)
+
+
+def report_fields(rows: DataFrame, process_date: str, run_date: Column) -> DataFrame:
+    """The columns of the report."""
     kind, maturity = F.col("option_type"), F.col("long_option_maturitydate")
     derived = {
         "symbol": F.col("underlying_symbol"),
@@ -329,7 +431,7 @@ class Stages:
         self.process_date = process_date
         self._policy, self._newest_first = policy, newest_first
         self._by_name = by_name
-        self._run_dates = Observation()
+        self._run_dates, self._blanks = Observation(), Observation()
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -346,10 +448,19 @@ class Stages:
     @cached_property
     def pinned_totals(self) -> DataFrame:
         """Written once, as it is read for the groups and for their rows. The run dates are seen on
-        the way, so the positions are not read for them again."""
+        the way, and whether a group column has NULL as well as '', so nothing is read for them again."""
         least, greatest = F.min("run_date").alias("low"), F.max("run_date").alias("high")
         seen = self.positions.observe(self._run_dates, least, greatest)
-        return pin(aggregate(enrich(seen)), "totals")
+        kinds = [F.max(c).alias(f"{g}{i}") for g in GROUP for i, c in enumerate((F.col(g).isNull(), F.col(g) == ""))]
+        return pin(aggregate(enrich(seen)).observe(self._blanks, *kinds), "totals")
+
+    @cached_property
+    def homed(self) -> DataFrame | None:
+        """The totals at home, if all groups fit in one piece; later steps have no more rows of a group."""
+        if not whole_groups(self.pinned_totals, _blank_group()):
+            return None
+        kinds = self._blanks.get
+        return at_home(self.pinned_totals, any(kinds[f"{g}0"] and kinds[f"{g}1"] for g in GROUP))
 
     @cached_property
     def pinned_sides(self) -> DataFrame:
@@ -406,8 +517,23 @@ class Stages:
     def allocated(self) -> DataFrame:
         return allocate(self.sequenced)
 
+    @cached_property
+    def settled(self) -> DataFrame | None:
+        """What is reported, from one shuffle of the totals; None if a group is too large for that."""
+        if self.homed is None:
+            return None
+        sides = sides_at_home(self.homed)
+        placed = place(sides) if self._by_name else place_sides(long_rows(sides), short_rows(sides, False))
+        rows = exact_offset(attach_rest(placed))
+        if self._policy != "ordered_alterix":
+            rows = rows.drop("carrier")
+        return settle(sequence_at_home(rows, self._policy, self._newest_first))
+
     @cached_property
     def report(self) -> DataFrame:
+        if self.settled is not None:
+            run_date = the_one_value(self._run_dates, "run_date")
+            return report_fields(self.settled.select(*REPORTED), self.process_date, run_date)
         offset = self.pinned_offset  # has been written, and the positions read
         return report_rows(offset, self.allocated, self.process_date, the_one_value(self._run_dates, "run_date"))
 

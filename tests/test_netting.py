@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from tablecheck.functions.options import contract_date, option_symbol, option_type
 from tablecheck.model import RunInfo
+from tablecheck.operators import windows
+from tablecheck.plans import extracts as E
 from tablecheck.plans import netting as N
 
 DATE = "2024-01-31"
@@ -159,3 +161,57 @@ def test_long_rows_are_staged_without_short_ones_or_pieces(spark, monkeypatch):
         *((c, s, k, n) for c in ("c1", "c2") for s, k, n in (("A", 10, 1), ("A", 20, 2), ("B", 10, 3), ("B", 20, 4))),
     ]
     assert sorted(map(repr, run.longs.collect())) == sorted(map(repr, N.long_rows(run.pinned_sides).collect()))
+
+
+def odd(n=400):
+    """Groups that are NULL on one side and '' on the other, sides that only one of them has, several
+    names and strikes in a maturity, and maturities that offset exactly."""
+    rows = many(n)
+    for i in range(n // 4):
+        client, symbol = (None, "", "x")[i % 3], ("ABC", "", None, "D")[i % 4]
+        qty = (i % 5 + 1) * (1 if client is None or i % 8 > 4 else -1)
+        name = None if symbol is None and i % 2 else "CALL 100 ABC'24 @20"
+        rows.append(position(client=client, symbol=symbol, name=name, qty=qty, day=f"2024-{i % 3 + 1:02d}-01", strike=10 * (i % 3), sec=f"N{i % 4}"))
+    rows += [position(client="even", qty=q, day=d) for q, d in ((4, "2024-01-01"), (-4, "2024-01-01"), (3, "2024-02-01"), (-1, "2024-03-01"))]
+    return rows + [position(client="", qty=2, symbol="L"), position(client=None, qty=-2, symbol="L")]
+
+
+@pytest.mark.parametrize("blanks", [True, False])
+@pytest.mark.parametrize("policy, newest, by_name", [("ordered", False, True), ("ordered_alterix", True, True), ("unordered", False, False)])
+def test_report_at_home_equals_the_one_in_pieces(spark, cut_often, monkeypatch, policy, newest, by_name, blanks):
+    rows = [r for r in odd() if blanks or "" not in (r[0], r[3])]
+    options = {"policy": policy, "newest_first": newest, "by_name": by_name}
+    home = stages(spark, rows, **options)
+    got = sorted(map(str, home.report.collect()))
+    assert len(N._home(home.homed)) == (4 if blanks else 1)
+    monkeypatch.setattr(windows, "WHOLE_GROUP_ROWS", 0)
+    cut = stages(spark, rows, **options)
+    assert cut.settled is None
+    assert got == sorted(map(str, cut.report.collect())) and len(got) > 40
+    assert home.report.schema == cut.report.schema
+
+
+def test_report_is_dealt_and_staged_once(spark, monkeypatch):
+    """Behind the totals there are no joins, one shuffle, two sorts and no other staged table."""
+    seen, pin = [], N.pin
+    monkeypatch.setattr(N, "pin", lambda df, *name: seen.append(name) or pin(df, *name))
+    monkeypatch.setattr("tablecheck.operators.windows.pin", lambda *_: pytest.fail("staged again"))
+    report = stages(spark, many()).report
+    report.collect()
+    assert seen == [("totals",)]
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 2 and "Join" not in plan
+
+
+def test_extract_rows_are_numbered_without_pieces(spark, monkeypatch):
+    report = stages(spark, many()).report
+    for which in ("1", "3"):
+        make, number, key = E.MAKERS[which]
+        with monkeypatch.context() as m:
+            m.setattr(windows, "WHOLE_GROUP_ROWS", 0)
+            cut = sorted(map(str, number(make(report)).collect()))
+            m.setattr(windows, "WHOLE_GROUP_ROWS", 1000)
+            m.setattr(windows, "ordered_pieces", lambda *_: pytest.fail("cut into pieces"))
+            got = number(make(report))
+        assert sorted(map(str, got.collect())) == cut
+        assert got.groupBy(*key).count().filter("count > 1").isEmpty()

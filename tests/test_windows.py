@@ -153,3 +153,23 @@ def test_groups_are_numbered_whole_or_in_pieces(rows, monkeypatch, whole):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
     assert staged == ([] if whole > 1000 else ["large-groups", "pieces"])
     assert windows.numbered_groups(rows.limit(0), ["g"], order).collect() == []
+
+
+def test_whole_groups_have_the_balance_of_pieces(spark, cut_often, monkeypatch):
+    rows = spark.createDataFrame([(g, i, b) for i, (g, _, b) in enumerate(ROWS)], "g string, i int, b int").repartition(5)
+    cut = capped_running_balance(rows, ["g"], ["i"], F.col("b"), "bal", "prev", "n")
+    monkeypatch.setattr(windows, "ordered_pieces", lambda *_: pytest.fail("cut into pieces"))
+    beside = {"top": F.max("b").over(W.partitionBy("g").orderBy("i").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))}
+    got = capped_running_balance(rows, ["g"], ["i"], F.col("b"), "bal", "prev", "n", whole=True, beside=beside)
+    assert sorted(map(str, got.drop("top").collect())) == sorted(map(str, cut.collect()))
+    assert got.drop("top").dtypes == cut.dtypes
+    assert {r.g: r.top for r in got.collect()} == {g: max(b for h, _, b in ROWS if h == g) for g in {r[0] for r in ROWS}}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 2
+
+
+@pytest.mark.parametrize("limit, fits", [(599, False), (600, True)])
+def test_whole_groups_are_found_by_shares(spark, rows, monkeypatch, limit, fits):
+    monkeypatch.setattr(windows, "WHOLE_GROUP_ROWS", limit)
+    monkeypatch.setattr(windows, "SHARES", 2)  # shares are larger than any group
+    assert windows.whole_groups(rows, ["g"]) is fits
+    assert windows.whole_groups(rows.limit(0), ["g"])
