@@ -319,9 +319,10 @@ def occurrence_number(
     """Numbers the rows inside each business key. The numbered rows are staged, so that every reader
     sees the same; only if a key has very many rows are they cut into pieces for it."""
     order = list(order) if order else df.columns
-    if not whole_groups(df, keys):
+    if not keys or not whole_groups(df, keys):
         return numbered(df, keys, order, name)
-    own = W.partitionBy(*keys).orderBy(*[c for c in order if c not in keys])  # a key is one value in its group
+    apart = [c for c in order if not isinstance(c, str) or c not in keys]  # a key is one value in its group
+    own = W.partitionBy(*keys).orderBy(*(apart or keys))
     return pin(df.withColumn(name, F.row_number().over(own).cast("bigint")), "numbered")
 
 

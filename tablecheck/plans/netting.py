@@ -284,7 +284,7 @@ def attach_rest(placed: DataFrame) -> DataFrame:
 
 def exact_offset(attached: DataFrame) -> DataFrame:
     """Rows whose short and long quantity cancel out are reported in full."""
-    even = F.col("short_quantity") + F.col("long_quantity") == 0
+    even = _even()
     return attached.withColumns(
         {
             "occ_qty_reported": F.when(even, F.col("long_quantity")).otherwise(F.lit(0).cast(QUANTITY)),
@@ -294,6 +294,10 @@ def exact_offset(attached: DataFrame) -> DataFrame:
     )
 
 
+def _even() -> Column:
+    return F.col("short_quantity") + F.col("long_quantity") == 0
+
+
 def processed(offset: DataFrame) -> DataFrame:
     return offset.filter(F.col("row_processed") == "Yes")
 
@@ -334,21 +338,23 @@ def sequence(open_rows: DataFrame, policy: str = "ordered", newest_first: bool =
     )
 
 
-def sequence_at_home(offset: DataFrame, policy: str = "ordered", newest_first: bool = False) -> DataFrame:
-    """`sequence` of the open rows beside the processed ones, which add nothing to the balance and all stay.
+def sequence_at_home(attached: DataFrame, policy: str = "ordered", newest_first: bool = False) -> DataFrame:
+    """`exact_offset`, and `sequence` of the open rows beside the processed ones, which add nothing to
+    the balance and all stay.
 
     One sort serves the balance and the search for open rows of both sides, which leaves out
-    whole groups and may as well come after it. Rows are not numbered."""
-    home, order, none = _home(offset), sequence_order(policy, newest_first), F.lit(0).cast(QUANTITY)
-    is_open, held = F.col("row_processed") == "No", ("short_quantity", "long_quantity")
-    rows = offset.withColumns({c: F.coalesce(c, none) for c in held})
-    amount = F.when(is_open, F.col("long_quantity") + F.col("short_quantity")).otherwise(none)
+    whole groups and may as well come after it, as may what is reported of processed rows: less goes
+    through the windows. Rows are not numbered."""
+    home, order, none = _home(attached), sequence_order(policy, newest_first), F.lit(0).cast(QUANTITY)
+    filled = {c: F.coalesce(c, none) for c in ("short_quantity", "long_quantity")}
+    is_open = ~F.coalesce(_even(), F.lit(False))
+    amount = F.when(is_open, filled["long_quantity"] + filled["short_quantity"]).otherwise(none)
     group = _of_group(home, order)
-    sides = {f"_{c}": F.max(is_open & (F.col(c) != 0)).over(group) for c in held}
-    run = capped_running_balance(rows, [*home, *GROUP], order, amount, whole=True, beside=sides)
+    sides = {f"_{c}": F.max(is_open & (q != 0)).over(group) for c, q in filled.items()}
+    run = capped_running_balance(attached, [*home, *GROUP], order, amount, whole=True, beside=sides)
     kept = run.withColumn("_both", F.col("_short_quantity") & F.col("_long_quantity"))
     kept = kept.withColumn("_both", _alike(home, F.col("_both"))).filter(~is_open | F.col("_both"))
-    return kept.drop("_both", *sides)
+    return exact_offset(kept.drop("_both", *sides)).withColumns(filled)
 
 
 def allocate(sequenced: DataFrame) -> DataFrame:
@@ -524,7 +530,7 @@ class Stages:
             return None
         sides = sides_at_home(self.homed)
         placed = place(sides) if self._by_name else place_sides(long_rows(sides), short_rows(sides, False))
-        rows = exact_offset(attach_rest(placed))
+        rows = attach_rest(placed)
         if self._policy != "ordered_alterix":
             rows = rows.drop("carrier")
         return settle(sequence_at_home(rows, self._policy, self._newest_first))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tablecheck.operators import windows
+from tablecheck.operators.align import occurrence_number
 from tablecheck.operators.windows import border_carry, capped_running_balance, edge_rows, numbered, ordered_pieces, running_total
 
 # A third of the rows in one group, a third of those copies of one row.
@@ -173,3 +174,16 @@ def test_whole_groups_are_found_by_shares(spark, rows, monkeypatch, limit, fits)
     monkeypatch.setattr(windows, "SHARES", 2)  # shares are larger than any group
     assert windows.whole_groups(rows, ["g"]) is fits
     assert windows.whole_groups(rows.limit(0), ["g"])
+
+
+@pytest.mark.parametrize("keys, order", [([], ["g", "a", "b"]), (["g"], ["g"]), (["g"], [F.desc]), (["g", "a"], None)])
+def test_occurrences_of_any_key_and_order(spark, rows, keys, order):
+    order = [f("a") if callable(f) else f for f in order] if order else None
+    got = occurrence_number(rows, keys, order, "n").collect()
+    groups = defaultdict(list)
+    for r in got:
+        groups[tuple(r[k] for k in keys)].append(r)
+    assert all(sorted(r.n for r in found) == list(range(1, len(found) + 1)) for found in groups.values())
+    assert sorted(map(str, ((r.g, r.a, r.b) for r in got))) == sorted(map(str, ROWS))
+    if order and not isinstance(order[0], str):
+        assert all([r.a for r in sorted(found, key=lambda r: r.n)] == sorted((r.a for r in found), reverse=True) for found in groups.values())
